@@ -1,8 +1,10 @@
 """Text cleaning as native column expressions.
 
-Every step takes a string Column and returns a string Column. A step names its input only once
-(`unbox` excepted, which runs first on a plain column), so the composed chain stays linear: a
-`CASE WHEN f(x) THEN g(x)` in the middle would evaluate everything below it twice.
+Every step takes a string Column and returns a string Column. Most texts hold nothing for most
+steps, and a regular expression costs some twenty times as much per character as a search for a
+fixed string. So a step first looks for a string that any match must contain, and leaves the text
+alone without it. `bound` makes that possible in a chain: it evaluates the input once and gives it
+a name, where a plain `CASE WHEN f(x) THEN g(x)` would evaluate everything below x twice.
 
 All repeated groups in the patterns are possessive. Java matches a plain repeated group by
 recursion, and one long text is enough to overflow the stack of the task.
@@ -32,7 +34,7 @@ WS = r"[\s\x1c-\x1f\x85\p{Z}]"
 UNBOX = r'^[(\[{"]?' + WS + r"*\$*\\boxed\{([^}]*)\}\$*" + WS + r'*[)\]}"]?\.?' + WS + r"*\z"
 BOX_INNER_WRAP = r"\\(?:text|mathrm)\{([^}]*)\}"
 NEWLINES = r"(?:[\n\r\t]++|\\\\[ntr])++"
-FORMATTING = r"[#*_`]++|[!?]{2,}+|&[a-z]++;"
+FORMATTING = r"(?=[#*_`!?&])(?:[#*_`]++|[!?]{2,}+|&[a-z]++;)"
 MATH_WRAPPER = r"\\(?:mathrm|text|operatorname)\{([^}]*)\}"
 DOLLAR_SPAN = r"(?<!\$)\$([^$]+)\$(?!\$)"
 MATH_SPACING = r"\\(?:,|;|:|!|quad|qquad)" + WS + r"*"
@@ -109,27 +111,44 @@ BAD_TOKENS = [
 # ---- end of fixed values --------------------------------------------------------------------
 
 
-def _quoted(tokens: list[str]) -> str:
-    return "|".join(r"\Q" + t + r"\E" for t in tokens)
 
+def bound(c: Column, body: Callable[[Column], Column]) -> Column:
+    """body(c), with c evaluated once however often the body uses it."""
+    return F.element_at(F.transform(F.array(c), body), 1)
 
-def _shortest(tokens: list[str]) -> list[str]:
-    """Tokens that contain no other token: enough to answer whether any token is present."""
-    return [t for t in tokens if not any(o != t and o in t for o in tokens)]
 
+def _any(tests: list[Column]) -> Column:
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return out
+
+
+def _has(*needles: str) -> Callable[[Column], Column]:
+    return lambda x: _any([x.contains(n) for n in needles])
+
+
+def _has_byte(*values: int) -> Callable[[Column], Column]:
+    """Whether the UTF-8 form of the text holds a byte; finds character ranges in one pass."""
+    return lambda x: _any([F.contains(x.cast("binary"), F.lit(bytes([v]))) for v in values])
+
+
+# Characters that match an ASCII letter when case is ignored: long s, Kelvin sign, both odd i's.
+_FOLDED = ("\u017f", "\u212a", "\u0131", "\u0130")
+
+
+def _has_word(*needles: str) -> Callable[[Column], Column]:
+    """As `_has`, whatever the case; the needles are lower case."""
+    return lambda x: F.exists(F.array(F.lower(x)), _has(*needles)) | (~_ascii_only(x) & _has(*_FOLDED)(x))
 
-def _by_first_char(tokens: list[str]) -> str:
-    """Alternation that looks at the first character once instead of once per token."""
-    tails: dict[str, list[str]] = {}
-    for t in tokens:
-        tails.setdefault(t[0], []).append(t[1:])
-    heads = "".join(re.escape(h) for h in tails)
-    body = "|".join(rf"\Q{h}\E(?:{_quoted(ts)})" for h, ts in tails.items())
-    return rf"(?=[{heads}])(?:{body})"
 
+def _sub(pattern: str, by: str, when: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """Replace all matches; `when` is a cheap test that holds for every text with a match."""
+    return lambda c: bound(c, lambda x: F.when(when(x), F.regexp_replace(x, pattern, by)).otherwise(x))
 
-def _sub(pattern: str, by: str) -> Callable[[Column], Column]:
-    return lambda c: F.regexp_replace(c, pattern, by)
+
+def _ascii_only(x: Column) -> Column:
+    return F.octet_length(x) == F.char_length(x)
 
 
 def strip(c: Column) -> Column:
@@ -143,49 +162,62 @@ def to_text(c: Column) -> Column:
 
 def unbox(c: Column) -> Column:
     """The content of a value that is one `\\boxed{...}` as a whole; other values unchanged."""
-    t = strip(c)
-    inner = F.regexp_replace(F.regexp_extract(t, UNBOX, 1), BOX_INNER_WRAP, "$1")
-    return F.when(F.rlike(t, F.lit(UNBOX)), strip(inner)).otherwise(c)
+    def inner(t: Column) -> Column:
+        return strip(F.regexp_replace(F.regexp_extract(t, UNBOX, 1), BOX_INNER_WRAP, "$1"))
+
+    return bound(c, lambda x: F.when(
+        x.contains(r"\boxed{") & F.rlike(strip(x), F.lit(UNBOX)), inner(strip(x))).otherwise(x))
 
 
 def collapse_newlines(c: Column) -> Column:
-    return strip(F.regexp_replace(c, NEWLINES, " "))
+    """Each run of line ends and tabs, also written as escapes, becomes one space."""
+    runs = _has("\n\n", "\r", "\t", "\\\\")
+    return strip(bound(c, lambda x: F.when(runs(x), F.regexp_replace(x, NEWLINES, " "))
+                       .otherwise(F.replace(x, F.lit("\n"), F.lit(" ")))))
 
 
-strip_formatting = _sub(FORMATTING, "")
-unwrap_math_wrappers = _sub(MATH_WRAPPER, "$1")
-unwrap_dollars = _sub(DOLLAR_SPAN, "$1")
+strip_formatting = _sub(FORMATTING, "", lambda x: F.rlike(x, F.lit(r"[#*_`!?&]")))
+unwrap_math_wrappers = _sub(MATH_WRAPPER, "$1", _has("\\"))
+unwrap_dollars = _sub(DOLLAR_SPAN, "$1", _has("$"))
 
 
 def map_math_symbols(c: Column) -> Column:
-    for symbol, ascii_form in MATH_SYMBOLS.items():
-        c = F.replace(c, F.lit(symbol), F.lit(ascii_form))
-    return c
+    def mapped(x: Column) -> Column:
+        for symbol, ascii_form in MATH_SYMBOLS.items():
+            x = F.replace(x, F.lit(symbol), F.lit(ascii_form))
+        return x
+
+    return bound(c, lambda x: F.when(x.contains("\\"), mapped(x)).otherwise(x))
 
 
-collapse_math_spacing = _sub(MATH_SPACING, " ")
+collapse_math_spacing = _sub(MATH_SPACING, " ", _has("\\"))
 
 
 def collapse_spaces(c: Column) -> Column:
-    return strip(F.regexp_replace(c, MULTI_SPACE, " "))
-
-
-strip_latex_spans = _sub(LATEX_SPAN, "$1")
-strip_tex_spans = _sub(TEX_SPAN, "")
-strip_mathrm = _sub(MATHRM, "")
-strip_environments = _sub(ENVIRONMENT, "")
-strip_html = _sub(HTML_TAG, "")
-unwrap_boxed = _sub(BOXED, "$1")
-strip_chat_tags = _sub(CHAT_TAG, "")
-strip_answer_marker = _sub(ANSWER_MARKER, "")
-strip_double_braces = _sub(DOUBLE_BRACE, "")
-strip_special_tokens = _sub(SPECIAL_TOKEN, "")
-strip_header_lines = _sub(HEADER_LINE, "")
-strip_junk_phrases = _sub(JUNK_PHRASE, "")
-strip_shop_tags = _sub(SHOP_TAG, "")
-strip_bold = _sub(BOLD_SPAN, "")
-strip_invisible = _sub(INVISIBLE, "")
-strip_media_placeholders = _sub(MEDIA_PLACEHOLDER, "")
+    """Runs of white space become one space. Other than ASCII, it starts with one of four bytes."""
+    def may_match(x: Column) -> Column:
+        odd = ~_ascii_only(x) & _has_byte(0xC2, 0xE1, 0xE2, 0xE3)(x)
+        return x.contains("  ") | F.rlike(x, F.lit(r"[\x09-\x0d\x1c-\x1f]")) | odd
+
+    return strip(_sub(MULTI_SPACE, " ", may_match)(c))
+
+
+strip_latex_spans = _sub(LATEX_SPAN, "$1", _has("$"))
+strip_tex_spans = _sub(TEX_SPAN, "", _has(r"\(", r"\["))
+strip_mathrm = _sub(MATHRM, "", _has(r"\mathrm{"))
+strip_environments = _sub(ENVIRONMENT, "", lambda x: x.contains(r"\begin{") & x.contains(r"\end{"))
+strip_html = _sub(HTML_TAG, "", lambda x: x.contains("<") & x.contains(">"))
+unwrap_boxed = _sub(BOXED, "$1", _has(r"\boxed{"))
+strip_chat_tags = _sub(CHAT_TAG, "", _has("["))
+strip_answer_marker = _sub(ANSWER_MARKER, "", _has("###"))
+strip_double_braces = _sub(DOUBLE_BRACE, "", lambda x: x.contains("{{") & x.contains("}}"))
+strip_special_tokens = _sub(SPECIAL_TOKEN, "", lambda x: x.contains("<|") & x.contains("|>"))
+strip_header_lines = _sub(HEADER_LINE, "", _has("#"))
+strip_junk_phrases = _sub(JUNK_PHRASE, "", _has_word("click here", "subscribe", "follow us", "advertisement"))
+strip_shop_tags = _sub(SHOP_TAG, "", _has_word("sku", "asin", "msrp", "price"))
+strip_bold = _sub(BOLD_SPAN, "", _has("**"))
+strip_invisible = _sub(INVISIBLE, "", lambda x: ~_ascii_only(x) & _has_byte(0xE2, 0xEF)(x))
+strip_media_placeholders = _sub(MEDIA_PLACEHOLDER, "", _has("["))
 
 
 def strip_trash(c: Column) -> Column:
@@ -193,28 +225,45 @@ def strip_trash(c: Column) -> Column:
 
 
 def ascii_punctuation(c: Column) -> Column:
-    single = {k: v for k, v in PUNCTUATION.items() if len(v) == 1}
-    c = F.translate(c, "".join(single), "".join(single.values()))
-    for k, v in PUNCTUATION.items():
-        if len(v) > 1:
-            c = F.replace(c, F.lit(k), F.lit(v))
-    return c
+    def mapped(x: Column) -> Column:
+        single = {k: v for k, v in PUNCTUATION.items() if len(v) == 1}
+        x = F.translate(x, "".join(single), "".join(single.values()))
+        for k, v in PUNCTUATION.items():
+            if len(v) > 1:
+                x = F.replace(x, F.lit(k), F.lit(v))
+        return x
+
+    return bound(c, lambda x: F.when(_has_byte(0xE2)(x), mapped(x)).otherwise(x))
+
+
+strip_emoji = _sub(EMOJI, "", _has_byte(0xE2, 0xEF, 0xF0))
+strip_non_ascii = _sub(NON_ASCII, "", lambda x: ~_ascii_only(x))
 
+# Tokens that contain no other token: enough to answer whether any token is present.
+_BAD_CORES = [t for t in BAD_TOKENS if not any(o != t and o in t for o in BAD_TOKENS)]
 
-strip_emoji = _sub(EMOJI, "")
-strip_non_ascii = _sub(NON_ASCII, "")
 
-_REJECT = r"(?s)\A.*?" + _by_first_char(_shortest(BAD_TOKENS)) + r".*\z"
+def has_bad_token(x: Column) -> Column:
+    """Looks for groups of tokens by what the group has in common, so prose is searched little."""
+    camel = [t for t in _BAD_CORES if re.search("[a-z][A-Z]", t)]
+    bracket = [t for t in _BAD_CORES if t[0] in "[<"]
+    other = [t for t in _BAD_CORES if not t.isascii()]
+    plain = [t for t in _BAD_CORES if t not in {*camel, *bracket, *other}]
+    return (_has(*plain)(x)
+            | (_has("[", "<")(x) & _has(*bracket)(x))
+            | (F.rlike(x, F.lit("[a-z][A-Z]")) & _has(*camel)(x))
+            | (~_ascii_only(x) & _has(*other)(x)))
 
 
 def reject_bad_tokens(c: Column) -> Column:
-    """Empty text when any rejected literal occurs. One replace, so `c` is evaluated once."""
-    return F.regexp_replace(c, _REJECT, "")
+    """Empty text when any rejected literal occurs."""
+    return bound(c, lambda x: F.when(has_bad_token(x), F.lit("")).otherwise(x))
 
 
 def bad_token(c: Column) -> Column:
     """The first rejected literal found in the text, or the empty string."""
-    return F.regexp_extract(c, "(" + _quoted(BAD_TOKENS) + ")", 1)
+    alternatives = "|".join(r"\Q" + t + r"\E" for t in BAD_TOKENS)
+    return bound(c, lambda x: F.when(has_bad_token(x), F.regexp_extract(x, f"({alternatives})", 1)).otherwise(""))
 
 
 def steps(mode: str, emoji: bool = False) -> list[Callable[[Column], Column]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "textloom") -> SparkSession:
@@ -36,3 +36,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="textloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a table that lies in fewer files than there are cores.
+
+    A small parquet file is one row group and so one task. Large tables have splits enough and
+    stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
