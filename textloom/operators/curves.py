@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.functions.numbers import round_exact
 from textloom.operators.scans import CHUNK, exact_median, index_rows, neighbours, with_halo
 
 MAX_RECENT = 200
@@ -76,7 +77,8 @@ def live_summary(log: DataFrame) -> DataFrame:
     )
 
 
-def loss_stats(rows: DataFrame) -> DataFrame:
+def loss_stats(log: DataFrame) -> DataFrame:
+    rows = log.where(F.col("loss").isNotNull())
     out = rows.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("entries"),
         F.avg("loss").alias("mean"),
@@ -179,7 +181,7 @@ def steps_to_target(last: Column, best: Column, slope: Column) -> Column:
 
 
 def exposure_pct(epoch: Column) -> Column:
-    return F.round(F.when(epoch >= 1, epoch - F.floor(epoch)).otherwise(epoch) * 100, 2)
+    return round_exact(F.when(epoch >= 1, epoch - F.floor(epoch)).otherwise(epoch) * 100, 2)
 
 
 # (upper limit of the slope, points), (lower limit, points), (lower limit, points): fixed values
@@ -246,7 +248,7 @@ def analysis(log: DataFrame) -> DataFrame:
     drop = F.col("max") - best
     more = steps_to_target(last, best, F.col("recent_raw"))
     runs = runs.withColumn("exposure", exposure_pct(F.coalesce("_last.epoch", F.lit(0.0))))
-    return runs.join(exact_median(rows, "run_id", "loss"), "run_id").select(
+    return runs.join(exact_median(log, "run_id", "loss"), "run_id").select(
         "run_id", "entries", "mean", "median", "std", "max",
         best.alias("best"), F.col("_best.step").alias("best_step"),
         (F.col("entries") - F.col("_best.pos")).alias("since_best"),

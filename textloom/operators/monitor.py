@@ -6,7 +6,8 @@ loss, robust sigma, slope, gates). What is left for the sequential pass are the
 change its state. A row changes the reference only if its threshold (smoothed loss plus required
 drop) is a new low of the run, and the best value only if the smoothed loss is. All other rows
 either do nothing or, if their slope is too steep, stop the run for certain, so nothing after the
-first such row matters.
+first such row matters. Lows and certain stops are found per chunk, which keeps a few rows more
+than needed and needs no exchange between chunks.
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from textloom.operators.scans import CHUNK, index_rows, running, whole_groups, with_halo
+from textloom.session import scratch_path
 
 MAD_SCALE = 1.4826
 _TINY = 1e-12
@@ -135,157 +137,184 @@ def _slope(y, start, width, rows) -> np.ndarray:
     return out
 
 
+def _records(values: np.ndarray, at: np.ndarray, group: np.ndarray, slack: float) -> np.ndarray:
+    """Rows (of those at `at`) whose value is not above the lowest before it in the group."""
+    out = np.zeros(len(values), dtype=bool)
+    for part in np.split(at, np.flatnonzero(np.diff(group[at])) + 1):
+        if len(part):
+            lowest = np.minimum.accumulate(values[part])
+            out[part[0]] = True
+            out[part[1:]] = values[part[1:]] <= lowest[:-1] + slack
+    return out
+
+
+def _turning(s: MonitorSettings, ema, sigma, slope, low, opened, waits, pos, home, start) -> np.ndarray:
+    """Rows that can change the state of the monitor, within each chunk (see the module text)."""
+    sigma = np.maximum(sigma, s.std_floor)
+    key = ema + np.minimum(s.min_abs, s.min_sigma * (sigma + _TINY))
+    at = home[opened[home]]
+    lower = _records(key, at, start, 1e-9)
+    worsening = opened & (slope >= s.slope_threshold)
+    flat = opened & (np.abs(slope) <= s.slope_threshold) & (sigma <= max(0.5 * s.std_floor, 0.05))
+    turning = (pos == 1) | low | lower | worsening | flat
+    next_waits = np.zeros(len(pos), dtype=bool)
+    next_waits[:-1] = waits[1:] & (start[1:] == start[:-1])
+    turning |= waits & ~next_waits  # the last waiting row sets the reference
+    sure = np.flatnonzero(worsening & ~lower)
+    for group in np.unique(start[sure]):
+        first = sure[np.searchsorted(start[sure], group)]
+        turning[first + 1:][start[first + 1:] == group] = False
+    return turning
+
+
 def signals(entries: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
-    """Smoothed loss, robust sigma and slope for every entry.
+    """Add ema (smoothed loss), sigma, slope, and `low`: whether ema is a new low of its chunk.
 
     Needs run_id, pos, n, loss, window and slope_window. A chunk starts early enough that the
-    smoothed loss has forgotten where it started to beyond double precision.
+    smoothed loss has forgotten where it started to beyond double precision. With the columns of
+    `gated`, sigma and slope are computed for open rows only, and `turning` is added.
     """
-    warm, beta = settings.warm_rows, settings.beta
+    warm, s = settings.warm_rows, settings
     before = F.greatest("window", "slope_window") + warm
     length = F.greatest(F.lit(CHUNK), before)
     keys = ["run_id", "_chunk"]
     rows = with_halo(entries, before, 0, length).repartition(*keys).sortWithinPartitions(*keys, "pos")
     names = entries.columns
+    has_gates = "open" in names
+    added = [("ema", DoubleType()), ("sigma", DoubleType()), ("slope", DoubleType()), ("low", BooleanType())]
+    if has_gates:
+        added.append(("turning", BooleanType()))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, keys):
-            col = {c: table[c].to_numpy() for c in ("run_id", "_chunk", "window", "slope_window")}
+            col = {c: table[c].to_numpy() for c in ("run_id", "_chunk", "pos", "window", "slope_window", "_home")}
             start = _group_starts(col["run_id"], col["_chunk"])
-            home = np.flatnonzero(table["_home"].to_numpy())
-            ema = _smooth(table["loss"].cast(pa.float64()).to_numpy(), start, beta)
-            sigma = _sigma(ema, start, col["window"], home)
-            slope = _slope(ema, start, col["slope_window"], home)
+            home = np.flatnonzero(col["_home"])
+            opened = table["open"].to_numpy().astype(bool) if has_gates else None
+            wanted = home[opened[home]] if has_gates else home
+            ema = _smooth(table["loss"].cast(pa.float64()).to_numpy(), start, s.beta)
+            sigma = _sigma(ema, start, col["window"], wanted)
+            slope = _slope(ema, start, col["slope_window"], wanted)
+            low = _records(ema, home, start, 0.0)
+            new = [ema, sigma, slope, low]
+            if has_gates:
+                waits = table["waits"].to_numpy().astype(bool)
+                new.append(_turning(s, ema, sigma, slope, low, opened, waits, col["pos"], home, start))
             out = table.select(names).take(pa.array(home))
-            for name, values in (("ema", ema), ("sigma", sigma), ("slope", slope)):
+            for (name, _), values in zip(added, new):
                 out = out.append_column(name, pa.array(values[home]))
             yield from out.combine_chunks().to_batches()
 
-    schema = StructType(entries.schema.fields + [StructField(c, DoubleType()) for c in ("ema", "sigma", "slope")])
+    schema = StructType(entries.schema.fields + [StructField(n, t) for n, t in added])
     return rows.mapInArrow(compute, schema)
 
 
 def gated(entries: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
-    """Signals plus what the gates say: `waits` moves the reference along, `open` may decide.
+    """Add what the gates say: `waits` moves the reference along, `open` may decide.
 
-    Needs total_steps and warmup_steps, and learning_rate (may be null).
+    Needs step, total_steps, warmup_steps, min_history and learning_rate (may be null). The
+    highest learning rate so far counts only entries past the warm-up and the exposure floor.
     """
-    s = settings
-    rows = signals(entries, s)
     past = (F.col("step") >= F.col("warmup_steps")) & (
-        F.greatest(F.col("step"), F.lit(0)) / F.col("total_steps") >= s.exposure_floor)
-    rows = running(rows.withColumn("_past", past), "run_id", {
-        "_low": (F.col("ema"), "min", False),
-        "_lr": (F.when(F.col("_past"), F.greatest(F.col("learning_rate"), F.lit(0.0))), "max", True),
-    })
-    lr_ok = F.lit(True) if s.lr_fraction >= 1 else (
-        F.col("learning_rate").isNull() | (F.col("learning_rate") <= F.col("_lr") * s.lr_fraction + _TINY))
+        F.greatest(F.col("step"), F.lit(0)) / F.col("total_steps") >= settings.exposure_floor)
+    rows = entries.withColumn("_past", past)
+    lr_ok = F.lit(True)
+    if settings.lr_fraction < 1:
+        rate = F.col("learning_rate")
+        rows = running(rows, "run_id", {"_lr": (F.when(F.col("_past"), F.greatest(rate, F.lit(0.0))), "max", True)})
+        lr_ok = rate.isNull() | F.coalesce(rate <= F.col("_lr") * settings.lr_fraction + _TINY, F.lit(False))
     enough = F.col("pos") >= F.col("min_history")
-    sigma = F.greatest("sigma", F.lit(s.std_floor))
-    need = F.least(F.lit(s.min_abs), s.min_sigma * (F.col("sigma") + _TINY))
-    rows = (
-        rows.withColumn("lr_ok", lr_ok)
-        .withColumn("open", F.col("_past") & F.col("lr_ok") & enough)
-        .withColumn("waits", ~F.col("_past") | (F.col("lr_ok") & ~enough))
-        .withColumn("sigma", sigma)
-        .withColumn("_key", F.when(F.col("open"), F.col("ema") + need))
-        .withColumn("worsening", F.col("slope") >= s.slope_threshold)
-        .withColumn("flat", (F.abs("slope") <= s.slope_threshold)
-                    & (F.col("sigma") <= max(0.5 * s.std_floor, 0.05)))
-    )
-    return running(rows, "run_id", {"_key_low": (F.col("_key"), "min", False)})
+    return (rows.withColumn("_ok", lr_ok)
+            .withColumn("open", F.col("_past") & F.col("_ok") & enough)
+            .withColumn("waits", ~F.col("_past") | (F.col("_ok") & ~enough))
+            .drop("_past", "_ok", "_lr"))
 
 
-def _fold(settings: MonitorSettings, decide: bool):
-    """Sequential pass over the rows that can change the state; emits each change."""
-    s = settings
+def _fold(s: MonitorSettings, decide: bool):
+    """Sequential pass over the turning rows; emits each change of the state."""
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run = None
-        best, best_pos, ref, stopped = math.inf, 0, math.nan, False
+        run, stopped = None, False
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
                 if r.run_id != run:
-                    run, best, best_pos, ref, stopped = r.run_id, math.inf, 0, r.ema, False
+                    run, stopped, best, best_pos = r.run_id, False, math.inf, 0
+                    ref, ref_pos = r.ema, r.pos  # ref_pos: not reported yet
                 if stopped:
                     continue
-                new_best = r.ema < best - _TINY
-                if new_best:
+                if r.ema < best - _TINY:
                     best, best_pos = r.ema, r.pos
-                reason = None
-                moved = False
-                if decide and r.waits:
-                    ref, moved = r.ema, True
-                elif decide and r.open:
+                    out.append((run, r.pos, r.step, best, None, None))
+                if not decide:
+                    continue
+                if r.waits:
+                    ref, ref_pos = r.ema, r.pos
+                elif r.open:
+                    if ref_pos is not None:
+                        out.append((run, ref_pos, None, None, ref, None))
+                        ref_pos = None
+                    sigma = max(r.sigma, s.std_floor)
                     drop = ref - r.ema
-                    if drop >= s.min_abs or drop / (r.sigma + _TINY) >= s.min_sigma:
-                        ref, moved = r.ema, True
-                    elif r.worsening:
+                    reason = None
+                    if drop >= s.min_abs or drop / (sigma + _TINY) >= s.min_sigma:
+                        ref = r.ema
+                        out.append((run, r.pos, r.step, None, ref, None))
+                    elif r.slope >= s.slope_threshold:
                         reason = "worsening"
-                    elif r.flat and r.pos - best_pos >= s.patience:
+                    elif (r.pos - best_pos >= s.patience and abs(r.slope) <= s.slope_threshold
+                          and sigma <= max(0.5 * s.std_floor, 0.05)):
                         reason = "plateau"
-                stopped = reason is not None
-                if new_best or moved or stopped:
-                    out.append((run, r.pos, best if new_best else None, ref if moved else None, reason))
-            yield pd.DataFrame(out, columns=["run_id", "pos", "best_event", "ref_event", "reason"])
+                    if reason:
+                        stopped = True
+                        out.append((run, r.pos, r.step, None, None, reason))
+            yield pd.DataFrame(out, columns=["run_id", "pos", "step", "best_event", "ref_event", "reason"])
 
     return fold
 
 
 def _events(rows: DataFrame, settings: MonitorSettings, decide: bool) -> DataFrame:
+    """Changes of the best value, of the reference, and the stop; (run_id, pos) may repeat."""
     run_type = rows.schema["run_id"].dataType.simpleString()
     return (
         rows.repartition("run_id").sortWithinPartitions("run_id", "pos")
         .mapInPandas(_fold(settings, decide),
-                     f"run_id {run_type}, pos bigint, best_event double, ref_event double, reason string")
+                     f"run_id {run_type}, pos bigint, step bigint, best_event double, ref_event double, reason string")
     )
 
 
-def _new_low() -> Column:
-    return F.col("_low").isNull() | (F.col("ema") < F.col("_low"))
+def decisions(rows: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
+    turning = rows.where("turning").select("run_id", "pos", "step", "ema", "sigma", "slope", "waits", "open")
+    return _events(turning, settings, True)
 
 
-def decisions(rows: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
-    """Changes of the best value, the reference and the stop decision, from `gated` rows."""
-    lower = F.col("_key_low").isNull() | (F.col("_key") <= F.col("_key_low") + 1e-9)
-    ends = rows.groupBy("run_id").agg(
-        F.max(F.when(F.col("waits"), F.col("pos"))).alias("_last_wait"),
-        F.min(F.when(F.col("open") & F.col("worsening") & ~lower, F.col("pos"))).alias("_sure"),
-    )
-    turning = (
-        (F.col("pos") == 1)
-        | (F.col("pos") == F.col("_last_wait"))
-        | _new_low()
-        | (F.col("open") & (lower | F.col("worsening") | F.col("flat")))
-    )
-    kept = (
-        rows.join(ends, "run_id")
-        .where(turning & (F.col("_sure").isNull() | (F.col("pos") <= F.col("_sure"))))
-        .select("run_id", "pos", "ema", "sigma", "waits", "open", "worsening", "flat")
-    )
-    return _events(kept, settings, True)
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared scratch folder, so that later passes do not repeat it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def best_so_far(rows: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
-    """Best smoothed loss, entries since it, and the cooldown left, for every entry with `ema`."""
-    lows = running(rows, "run_id", {"_low": (F.col("ema"), "min", False)}).where(_new_low())
-    events = _events(
-        lows.select("run_id", "pos", "ema", F.lit(0.0).alias("sigma"),
-                    *[F.lit(False).alias(c) for c in ("waits", "open", "worsening", "flat")]),
-        settings, False,
-    ).select("run_id", "pos", "best_event")
-    return _since_best(rows.join(events, ["run_id", "pos"], "left"), settings).drop("best_event")
-
-
-def _since_best(rows: DataFrame, settings: MonitorSettings) -> DataFrame:
-    out = running(rows, "run_id", {
-        "best_ema": (F.col("best_event"), "min", True),
-        "_best_pos": (F.when(F.col("best_event").isNotNull(), F.col("pos")), "max", True),
+def _with_state(rows: DataFrame, events: DataFrame, settings: MonitorSettings) -> DataFrame:
+    """Best value, entries since it, cooldown, and the reference each entry is compared with."""
+    merged = events.groupBy("run_id", "pos").agg(F.max("best_event").alias("_best"), F.max("ref_event").alias("_ref"))
+    out = running(rows.join(merged, ["run_id", "pos"], "left"), "run_id", {
+        "best_ema": (F.col("_best"), "min", True),
+        "_best_pos": (F.when(F.col("_best").isNotNull(), F.col("pos")), "max", True),
+        # once the gates are open the reference only falls, and only those values are events
+        "reference": (F.col("_ref"), "min", False),
     })
     since = F.col("pos") - F.col("_best_pos")
     return (out.withColumn("since_best", since)
-            .withColumn("cooldown", F.greatest(F.lit(0), settings.cooldown - since)).drop("_best_pos"))
+            .withColumn("cooldown", F.greatest(F.lit(0), settings.cooldown - since))
+            .withColumn("reference", F.coalesce("reference", "ema")).drop("_best", "_ref", "_best_pos"))
+
+
+def best_so_far(rows: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
+    """Best smoothed loss, entries since it and cooldown left, for every row of `signals`."""
+    rows = _staged(rows, "signals")
+    lows = rows.where("low").select("run_id", "pos", "step", "ema")
+    return _with_state(rows, _events(lows, settings, False), settings).drop("reference")
 
 
 def early_stop(log: DataFrame, runs: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
@@ -294,12 +323,11 @@ def early_stop(log: DataFrame, runs: DataFrame, settings: MonitorSettings = Moni
     log: run_id, seq, step, loss, learning_rate. runs: run_id, total_steps, warmup_steps and
     hard_cap_steps (null = none). The cap holds for every log entry, even without a loss.
     """
-    rows = gated(_prepared(log, runs, settings), settings)
-    stops = decisions(rows, settings).where("reason IS NOT NULL").join(
-        rows.select("run_id", "pos", "step"), ["run_id", "pos"]).select("run_id", "step", "reason")
+    rows = signals(_prepared(log, runs, settings), settings)
+    stops = decisions(rows, settings).where("reason IS NOT NULL").select("run_id", "step", "reason")
     capped = log.join(runs.select("run_id", "hard_cap_steps"), "run_id").where(
         F.col("step") >= F.col("hard_cap_steps")).groupBy("run_id").agg(F.min("step").alias("cap_step"))
-    return runs.join(stops, "run_id", "left").join(capped, "run_id", "left").select(
+    return runs.select("run_id").join(stops, "run_id", "left").join(capped, "run_id", "left").select(
         "run_id",
         F.coalesce("step", "cap_step").alias("stop_step"),
         F.when(F.col("step").isNotNull(), F.col("reason"))
@@ -308,35 +336,30 @@ def early_stop(log: DataFrame, runs: DataFrame, settings: MonitorSettings = Moni
 
 
 def _prepared(log: DataFrame, runs: DataFrame, settings: MonitorSettings) -> DataFrame:
-    """Loss entries below the cap with the run's settings on each row."""
+    """Loss entries below the cap with the run's settings and gates on each row."""
     plan = monitor_windows(runs, "total_steps", settings)
-    capped = log.join(plan, "run_id").where(
-        F.col("hard_cap_steps").isNull() | (F.col("step") < F.col("hard_cap_steps")))
-    return loss_entries(capped)
+    below = log.select("run_id", "seq", "step", "loss", "learning_rate").join(
+        plan.select("run_id", "hard_cap_steps"), "run_id").where(
+        F.col("hard_cap_steps").isNull() | (F.col("step") < F.col("hard_cap_steps"))).drop("hard_cap_steps")
+    settings_of_run = plan.select("run_id", "total_steps", "warmup_steps", "window", "slope_window", "min_history")
+    return gated(loss_entries(below).join(settings_of_run, "run_id"), settings)
 
 
 def monitor_trace(log: DataFrame, runs: DataFrame, every: int = 1,
                   settings: MonitorSettings = MonitorSettings()) -> DataFrame:
     """The state at every entry that reached the decision, up to the stop; each `every` steps."""
-    rows = gated(_prepared(log, runs, settings), settings)
-    events = decisions(rows, settings)
+    rows = _staged(signals(_prepared(log, runs, settings), settings), "signals")
+    events = _staged(decisions(rows, settings), "events")
     ends = events.where("reason IS NOT NULL").select("run_id", F.col("pos").alias("_stop"))
-    rows = _since_best(rows.join(events, ["run_id", "pos"], "left"), settings)
-    # The reference never rises once the gates are open, so its running minimum since then is it.
-    opened = rows.groupBy("run_id").agg(
-        F.max(F.when(F.col("waits"), F.col("pos"))).alias("_from"),
-        F.min_by("ema", "pos").alias("_first"))
-    rows = running(rows.join(opened, "run_id"), "run_id", {
-        "_ref": (F.when(F.col("_from").isNull() | (F.col("pos") >= F.col("_from")), F.col("ref_event")), "min", False),
-    })
-    ref = F.coalesce("_ref", "_first")
-    plateau = F.col("flat") & (F.col("since_best") >= settings.patience)
+    sigma = F.greatest("sigma", F.lit(settings.std_floor))
+    drop = F.col("reference") - F.col("ema")
+    plateau = ((F.col("since_best") >= settings.patience) & (F.abs("slope") <= settings.slope_threshold)
+               & (sigma <= max(0.5 * settings.std_floor, 0.05)))
     return (
-        rows.join(ends, "run_id", "left")
+        _with_state(rows, events, settings).join(ends, "run_id", "left")
         .where(F.col("open") & (F.col("_stop").isNull() | (F.col("pos") <= F.col("_stop")))
                & (F.col("step") % every == 0))
-        .select("run_id", "step", "ema", F.col("best_ema").alias("best"),
-                (ref - F.col("ema")).alias("abs_drop"),
-                ((ref - F.col("ema")) / (F.col("sigma") + _TINY)).alias("sigma_drop"),
-                "sigma", "slope", "since_best", plateau.alias("plateau"), "worsening")
+        .select("run_id", "step", "ema", F.col("best_ema").alias("best"), drop.alias("abs_drop"),
+                (drop / (sigma + _TINY)).alias("sigma_drop"), sigma.alias("sigma"), "slope", "since_best",
+                plateau.alias("plateau"), (F.col("slope") >= settings.slope_threshold).alias("worsening"))
     )

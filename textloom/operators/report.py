@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions.numbers import round_exact
 from textloom.operators.scans import index_rows
 
 SPARK_BLOCKS = "▁▂▃▄▅▆▇█"  # fixed value
@@ -54,7 +55,7 @@ def trend_class(delta: Column) -> Column:
 
 def trend_text(delta: Column) -> Column:
     word = F.rpad(trend_class(delta), 11, " ")
-    text = F.concat(word, F.format_string("(%+.4f vs first 20%%)", delta))
+    text = F.concat(word, F.format_string("(%+.4f vs first 20%%)", round_exact(delta, 4)))
     return F.when(delta.isNull(), "n/a").otherwise(text)
 
 
@@ -142,10 +143,10 @@ def run_report(log: DataFrame, epochs_planned: int, dataset_size: int, batch: in
         .join(evals, "run_id", "left")
     )
     loss = F.struct(
-        F.round("first", 6).alias("first"), F.round("final", 6).alias("final"),
-        F.round("best", 6).alias("best"), "best_step", F.round("worst", 6).alias("worst"),
-        F.round("avg_last_10pct", 6).alias("avg_last_10pct"),
-        F.round("delta_first_to_final", 6).alias("delta_first_to_final"),
+        round_exact(F.col("first"), 6).alias("first"), round_exact(F.col("final"), 6).alias("final"),
+        round_exact(F.col("best"), 6).alias("best"), "best_step", round_exact(F.col("worst"), 6).alias("worst"),
+        round_exact(F.col("avg_last_10pct"), 6).alias("avg_last_10pct"),
+        round_exact(F.col("delta_first_to_final"), 6).alias("delta_first_to_final"),
         F.coalesce("trend", F.lit("n/a")).alias("trend"),
     )
     none = F.array().cast("array<struct<step:bigint,eval_loss:double>>")
@@ -153,11 +154,11 @@ def run_report(log: DataFrame, epochs_planned: int, dataset_size: int, batch: in
         e["step"].cast("bigint").alias("step"), e["eval_loss"].cast("double").alias("eval_loss")))
     return runs.select("run_id", F.coalesce("part", F.lit(0)).alias("part"), F.struct(
         "total_steps", F.lit(epochs_planned).alias("epochs_planned"),
-        F.round("epochs_completed", 4).alias("epochs_completed"),
+        round_exact(F.col("epochs_completed"), 4).alias("epochs_completed"),
         F.lit(dataset_size).alias("dataset_size"), F.lit(batch).alias("batch_size"),
         F.lit(grad_accum).alias("grad_accum"), "effective_batch", "samples_seen",
-        F.round("train_runtime", 2).alias("training_time_sec"),
-        F.round("samples_per_sec", 4).alias("samples_per_sec"),
-        F.round("steps_per_sec", 4).alias("steps_per_sec"),
+        round_exact(F.col("train_runtime"), 2).alias("training_time_sec"),
+        round_exact(F.col("samples_per_sec"), 4).alias("samples_per_sec"),
+        round_exact(F.col("steps_per_sec"), 4).alias("steps_per_sec"),
         loss.alias("loss"), F.coalesce(evaluation, none).alias("eval"),
     ).alias("report"))

@@ -24,28 +24,15 @@ _BITS = 18
 def index_rows(df: DataFrame, run: str, order: str, bits: int = _BITS) -> DataFrame:
     """Add `pos` (1, 2, ... within the run by `order`) and `n` (rows of the run).
 
-    `order` is a whole number that is unique within a run. Rows are counted per bucket of
-    2^bits order values, buckets per 2^bits buckets, so no window holds more than 2^bits rows
-    for any run and order values below 2^(3*bits).
+    `order` is a counter: a whole number, unique within a run. Rows are numbered within buckets
+    of 2^bits order values, so no task holds more than that of any run; only the bucket counts
+    are ordered per run.
     """
-    key, top = F.col(order).cast("bigint"), F.shiftright("_b", bits)
-    rows = df.withColumn("_b", F.shiftright(key, bits))
-    counts = rows.groupBy(run, "_b").agg(F.count(F.lit(1)).alias("_c")).withColumn("_t", top)
-    tops = counts.groupBy(run, "_t").agg(F.sum("_c").alias("_tc"))
-    by_top = Window.partitionBy(run).orderBy("_t")
-    tops = tops.select(
-        run,
-        "_t",
-        F.coalesce(F.sum("_tc").over(by_top.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_to"),
-        F.sum("_tc").over(Window.partitionBy(run)).alias("n"),
-    )
-    by_bucket = Window.partitionBy(run, "_t").orderBy("_b")
-    offsets = counts.select(
-        run,
-        "_t",
-        "_b",
-        F.coalesce(F.sum("_c").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_bo"),
-    ).join(tops, [run, "_t"]).select(run, "_b", (F.col("_bo") + F.col("_to")).alias("_off"), "n")
+    rows = df.withColumn("_b", F.shiftright(F.col(order).cast("bigint"), bits))
+    ahead = Window.partitionBy(run).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(run, "_b").agg(F.count(F.lit(1)).alias("_c")).select(
+        run, "_b", F.coalesce(F.sum("_c").over(ahead), F.lit(0)).alias("_off"),
+        F.sum("_c").over(Window.partitionBy(run)).alias("n"))
     inside = F.row_number().over(Window.partitionBy(run, "_b").orderBy(order))
     return (
         rows.withColumn("_rn", inside)
@@ -144,30 +131,30 @@ def exact_median(df: DataFrame, run: str, value: str, out: str = "median") -> Da
     parts, and only the part holding the middle is counted value by value.
     """
     v = F.col("_v")
-    rows = df.select(run, F.col(value).cast("double").alias("_v")).where(v.isNotNull())
-    middle = rows.groupBy(run).agg(F.count(F.lit(1)).alias("_n")).select(
-        run,
-        F.explode(F.array_distinct(F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1))).alias("_want"),
-    )
     level = F.when(v == 0, F.lit(0)).otherwise(
         (F.signum(v) * (1 + F.floor(64 * (F.log2(F.abs(v)) + 1100)))).cast("bigint"))
+    rows = df.select(run, F.col(value).cast("double").alias("_v")).where(v.isNotNull()).withColumn("_b1", level)
 
-    def find(rows: DataFrame, want: DataFrame, keys: list[str], bucket: str) -> DataFrame:
-        counts = rows.groupBy(*keys, bucket).agg(
-            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    def counted(rows: DataFrame, keys: list[str], bucket: str) -> DataFrame:
         ahead = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn("_before", F.coalesce(F.sum("_c").over(ahead), F.lit(0)))
-        return (counts.join(want, keys)
-                .where((F.col("_want") > F.col("_before")) & (F.col("_want") <= F.col("_before") + F.col("_c")))
-                .withColumn("_want", F.col("_want") - F.col("_before")).drop("_c", "_before"))
-
-    rows = rows.withColumn("_b1", level)
-    hit = find(rows, middle, [run], "_b1")
+        return rows.groupBy(*keys, bucket).agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+        ).withColumn("_before", F.coalesce(F.sum("_c").over(ahead), F.lit(0)))
+
+    def hit(counts: DataFrame) -> DataFrame:
+        """Buckets that hold a wanted rank, with the rank counted from the bucket's start."""
+        inside = F.filter("_want", lambda w: (w > F.col("_before")) & (w <= F.col("_before") + F.col("_c")))
+        return (counts.withColumn("_want", inside).where(F.size("_want") > 0)
+                .withColumn("_want", F.transform("_want", lambda w: w - F.col("_before"))).drop("_c", "_before"))
+
+    first = counted(rows, [run], "_b1").withColumn("_n", F.sum("_c").over(Window.partitionBy(run)))
+    middle = F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1)
+    first = hit(first.withColumn("_want", middle)).drop("_n")
     span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
     part = F.least(F.floor((v - F.col("_lo")) / span * 65536), F.lit(65535)).cast("bigint")
-    limits = hit.select(run, "_b1", "_lo", "_hi").distinct()
-    rows = rows.join(limits, [run, "_b1"]).withColumn("_b2", part).drop("_lo", "_hi")
-    hit = find(rows, hit.drop("_lo", "_hi"), [run, "_b1"], "_b2").drop("_lo", "_hi")
-    rows = rows.join(hit.select(run, "_b1", "_b2").distinct(), [run, "_b1", "_b2"])
-    hit = find(rows.withColumn("_x", v), hit, [run, "_b1", "_b2"], "_x")
-    return hit.groupBy(run).agg(F.avg("_x").alias(out))
+    rows = rows.join(first, [run, "_b1"]).withColumn("_b2", part)
+    second = hit(counted(rows, [run, "_b1", "_want"], "_b2")).drop("_lo", "_hi")
+    rows = rows.drop("_lo", "_hi", "_want").join(second, [run, "_b1", "_b2"])
+    last = hit(counted(rows.withColumn("_x", v), [run, "_b1", "_b2", "_want"], "_x"))
+    # of an even number of rows the two middle ones may be in different buckets, or be equal
+    return last.groupBy(run).agg((F.sum(F.col("_x") * F.size("_want")) / F.sum(F.size("_want"))).alias(out))

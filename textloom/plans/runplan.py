@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions.numbers import round_exact
+
 
 def step_estimate(rows: Column, batch: Column | int, grad_accum: Column | int) -> Column:
     return F.floor(rows / (batch * grad_accum)).cast("bigint")
@@ -30,7 +32,7 @@ def min_steps(rows: Column, batch: Column | int, grad_accum: Column | int) -> Co
 
 def hard_cap_fraction(total: Column) -> Column:
     scale = (F.log10(F.greatest(total, F.lit(10))) - 1) / 4
-    return F.round(0.95 - (0.95 - 0.65) * F.least(F.lit(1.0), F.greatest(F.lit(0.0), scale)), 4)
+    return round_exact(0.95 - (0.95 - 0.65) * F.least(F.lit(1.0), F.greatest(F.lit(0.0), scale)), 4)
 
 
 def hard_cap_steps(total: Column) -> Column:

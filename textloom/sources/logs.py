@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.cleaning import strip
+from textloom.functions.numbers import round_exact
 
 # fixed values
 OBJECT = r"\{[^{}]+\}"
@@ -39,22 +40,19 @@ def _object(text: Column) -> Column:
     return F.from_json(text, "map<string,string>", _STRICT)
 
 
-def _with_loss(entry: Column) -> Column:
-    return F.when(F.map_contains_key(entry, F.lit("loss")), entry)
-
-
-def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Lines that hold a loss entry, with `entry`, a map of its fields as text.
+def parse_lines(lines: DataFrame, value: str = "value", field: str = "loss") -> DataFrame:
+    """Lines that hold an entry with a field, with `entry`, a map of its fields as text.
 
     Tried in turn: the line as JSON, the line with single quotes turned, and the first object
     without inner braces anywhere in the line.
     """
     line = strip(F.col(value))
-    has = line.contains("{") & (line.contains("'loss'") | line.contains('"loss"'))
+    has = line.contains("{") & (line.contains(f"'{field}'") | line.contains(f'"{field}"'))
     rows = lines.where(has).withColumn("_line", line)
     turned = F.regexp_replace("_line", r"(?<!\\)'", '"')
     inner = F.replace(F.regexp_extract("_line", OBJECT, 0), F.lit("'"), F.lit('"'))
-    entry = F.coalesce(*[_with_loss(_object(t)) for t in (F.col("_line"), turned, inner)])
+    with_field = lambda e: F.when(F.map_contains_key(e, F.lit(field)), e)
+    entry = F.coalesce(*[with_field(_object(t)) for t in (F.col("_line"), turned, inner)])
     # the generator keeps the filter from repeating the parsing (see prepare.evaluated_once)
     return (rows.select("*", F.explode(F.array(entry)).alias("entry"))
             .where("entry IS NOT NULL").drop("_line"))
@@ -117,7 +115,7 @@ def display_row(step: Column, loss: Column, lr: Column, grad_norm: Column, epoch
     """The line shown for a log entry."""
     rate = F.when(lr > 0, F.format_string("%.2e", lr)).otherwise("0")
     return F.format_string("  step %-6d  loss %-8.4f  lr %-10s  gnorm %-8.3f  ep %.2f",
-                           step, loss, rate, grad_norm, epoch)
+                           step, round_exact(loss, 4), rate, round_exact(grad_norm, 3), round_exact(epoch, 2))
 
 
 def display_rows(entries: DataFrame) -> DataFrame:

@@ -25,9 +25,13 @@ def _run(writer, checkpoint: str, once: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 seconds")).start()
 
 
-def log_stream(lines: DataFrame) -> DataFrame:
-    """Typed entries of a stream of log lines that name their run in the field `run_id`."""
-    parsed = parse_lines(lines)
+def log_stream(lines: DataFrame, field: str = "loss") -> DataFrame:
+    """Typed entries of a stream of log lines that name their run in the field `run_id`.
+
+    Only entries with `field`: the loss for charts, the step for the early stop, whose hard cap
+    also holds for entries without a loss.
+    """
+    parsed = parse_lines(lines, field=field)
     return entry_fields(parsed.withColumn("run_id", F.col("entry")["run_id"].try_cast("bigint"))).drop("value").withColumn(
         "seq", F.col("step"))
 

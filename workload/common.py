@@ -17,11 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def r6(c: Column | str, name: str) -> Column:
     """Rounded for comparison; the small shift keeps exact ties from depending on summation order."""
-    return F.round((F.col(c) if isinstance(c, str) else c) + 1e-9, 6).alias(name)
+    return (F.round((F.col(c) if isinstance(c, str) else c) + 1e-9, 6) + 0.0).alias(name)
 
 
 def r6_sql(x: str, name: str) -> str:
-    return f"round({x} + 1e-9, 6) AS {name}"
+    return f"round({x} + 1e-9, 6) + 0.0::DOUBLE AS {name}"
 
 
 def quoted(s: str) -> str:
@@ -43,22 +43,29 @@ def marked_sql(text: str, pairs: list[tuple[str, str]]) -> str:
 
 # ---- event log: run = user, order = event id, loss = value -----------------------------------
 
+# Values have two decimals; these factors keep them off exact ties, where the last bit of a sum
+# (and so the order of summation) would decide a rounded figure.
+LOSS_SCALE = 1.0001371733
+EPOCHS = 1.7503717
+TOP_RATE = 1.0037173e-4
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = index_rows(table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run_id"), F.col("event_id").alias("seq"), "event_type",
-        F.col("value").alias("loss")), "run_id", "seq")
+        (F.col("value") * LOSS_SCALE).alias("loss")), "run_id", "seq")
     part = F.col("pos") / F.col("n")
     return rows.select(
         "run_id", "seq", "event_type", F.col("pos").alias("step"), "loss",
-        (1e-4 * (1 - (F.col("pos") - 1) / F.col("n"))).alias("learning_rate"),
-        (F.col("loss") / 10).alias("grad_norm"), (part * 1.75).alias("epoch"))
+        (TOP_RATE * (1 - (F.col("pos") - 1) / F.col("n"))).alias("learning_rate"),
+        (F.col("loss") / 10).alias("grad_norm"), (part * EPOCHS).alias("epoch"))
 
 
-EVENT_LOG_SQL = """
+EVENT_LOG_SQL = f"""
 event_log AS (
-  SELECT user_id AS run_id, event_id AS seq, event_type, pos AS step, value AS loss,
-         1e-4::DOUBLE * (1 - (pos - 1)::DOUBLE / n) AS learning_rate, value / 10 AS grad_norm,
-         pos::DOUBLE / n * 1.75::DOUBLE AS epoch, pos, n
+  SELECT user_id AS run_id, event_id AS seq, event_type, pos AS step, value * {LOSS_SCALE}::DOUBLE AS loss,
+         {TOP_RATE}::DOUBLE * (1 - (pos - 1)::DOUBLE / n) AS learning_rate, value * {LOSS_SCALE}::DOUBLE / 10 AS grad_norm,
+         pos::DOUBLE / n * {EPOCHS}::DOUBLE AS epoch, pos, n
   FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS pos,
                count(*) OVER (PARTITION BY user_id) AS n FROM events))
 """
