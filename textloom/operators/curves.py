@@ -121,7 +121,7 @@ def _weighted_slope(df: DataFrame, points: str) -> DataFrame:
     """Add `recent_raw`: slope over `points`, residual weights rising from 0.5 to 1.
 
     The weights apply to residuals, so the squares of them enter the fit. Steps count from the
-    last one to keep the sums small.
+    last one to keep the sums small. Null if all steps are equal.
     """
     p = F.col(points)
     m = F.size(p)
@@ -137,7 +137,7 @@ def _weighted_slope(df: DataFrame, points: str) -> DataFrame:
     df = df.withColumn("_my", _sum(F.transform(wp, lambda r: r["w"] * r["y"])) / F.col("_sw"))
     sxy = _sum(F.transform(wp, lambda r: r["w"] * (r["x"] - F.col("_mx")) * (r["y"] - F.col("_my"))))
     sxx = _sum(F.transform(wp, lambda r: r["w"] * (r["x"] - F.col("_mx")) * (r["x"] - F.col("_mx"))))
-    return df.withColumn("recent_raw", sxy / sxx).drop("_wp", "_sw", "_mx", "_my")
+    return df.withColumn("recent_raw", F.try_divide(sxy, sxx)).drop("_wp", "_sw", "_mx", "_my")
 
 
 def _noise(df: DataFrame, points: str) -> DataFrame:
@@ -207,7 +207,7 @@ def grade(slope: Column, snr: Column, exposure: Column) -> Column:
 
 def trend_label(slope: Column) -> Column:
     return (
-        F.when(slope <= -3.0, "Strong Drop").when(slope <= -1.0, "Moderate Drop")
+        F.when(slope.isNull(), None).when(slope <= -3.0, "Strong Drop").when(slope <= -1.0, "Moderate Drop")
         .when(slope < -0.1, "Weak Drop").when(F.abs(slope) <= 0.1, "Flat")
         .when(slope < 1.0, "Weak Rise").when(slope < 3.0, "Moderate Rise")
         .otherwise("Strong Rise")

@@ -342,7 +342,8 @@ def _prepared(log: DataFrame, runs: DataFrame, settings: MonitorSettings) -> Dat
         plan.select("run_id", "hard_cap_steps"), "run_id").where(
         F.col("hard_cap_steps").isNull() | (F.col("step") < F.col("hard_cap_steps"))).drop("hard_cap_steps")
     settings_of_run = plan.select("run_id", "total_steps", "warmup_steps", "window", "slope_window", "min_history")
-    return gated(loss_entries(below).join(settings_of_run, "run_id"), settings)
+    entries = _staged(loss_entries(below).join(settings_of_run, "run_id"), "entries")
+    return gated(entries, settings)
 
 
 def monitor_trace(log: DataFrame, runs: DataFrame, every: int = 1,

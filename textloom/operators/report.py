@@ -23,9 +23,9 @@ def train_entries(log: DataFrame) -> DataFrame:
     return rows.withColumn("step", F.coalesce("step", "pos"))
 
 
-def loss_summary(entries: DataFrame) -> DataFrame:
+def _summary() -> list[Column]:
     first, last = F.min_by("loss", "pos"), F.max_by("loss", "pos")
-    return entries.groupBy("run_id").agg(
+    return [
         F.count(F.lit(1)).alias("entries"),
         first.alias("first"),
         last.alias("final"),
@@ -33,21 +33,30 @@ def loss_summary(entries: DataFrame) -> DataFrame:
         F.min(F.struct("loss", "pos", "step"))["step"].alias("best_step"),
         F.max("loss").alias("worst"),
         (last - first).alias("delta_first_to_final"),
-    )
+    ]
 
 
-def head_tail(entries: DataFrame) -> DataFrame:
-    """Mean loss of the first fifth and the last tenth, and what their difference says."""
+def _head_tail() -> list[Column]:
     head = F.col("pos") <= F.greatest(F.lit(1), F.floor(F.col("n") / 5))
     tail = F.col("pos") > F.col("n") - F.greatest(F.lit(1), F.floor(F.col("n") / 10))
-    means = entries.groupBy("run_id").agg(
-        F.avg(F.when(head, F.col("loss"))).alias("avg_first_20pct"),
-        F.avg(F.when(tail, F.col("loss"))).alias("avg_last_10pct"),
-    )
+    return [F.avg(F.when(head, F.col("loss"))).alias("avg_first_20pct"),
+            F.avg(F.when(tail, F.col("loss"))).alias("avg_last_10pct")]
+
+
+def loss_summary(entries: DataFrame) -> DataFrame:
+    return entries.groupBy("run_id").agg(*_summary())
+
+
+def _with_trend(means: DataFrame) -> DataFrame:
     delta = F.col("avg_last_10pct") - F.col("avg_first_20pct")
     return means.withColumn("trend_delta", delta).withColumn("trend", trend_text(F.col("trend_delta")))
 
 
+def head_tail(entries: DataFrame) -> DataFrame:
+    """Mean loss of the first fifth and the last tenth, and what their difference says."""
+    return _with_trend(entries.groupBy("run_id").agg(*_head_tail()))
+
+
 def trend_class(delta: Column) -> Column:
     return (F.when(delta < -TREND_MARGIN, "improving").when(delta > TREND_MARGIN, "worsening")
             .otherwise("plateau"))
@@ -59,28 +68,33 @@ def trend_text(delta: Column) -> Column:
     return F.when(delta.isNull(), "n/a").otherwise(text)
 
 
+def _latest(name: str) -> Column:
+    c = F.col(name)
+    return F.coalesce(F.max_by(c, F.when(c.isNotNull(), F.col("seq"))), F.lit(0.0))
+
+
+def _throughput() -> list[Column]:
+    return [_latest("train_runtime").alias("train_runtime"),
+            _latest("train_samples_per_second").alias("samples_per_sec"),
+            _latest("train_steps_per_second").alias("steps_per_sec")]
+
+
+def _exposure(batch: int, grad_accum: int) -> list[Column]:
+    steps = F.coalesce(F.max("step"), F.lit(0))
+    return [steps.cast("bigint").alias("total_steps"),
+            F.lit(batch * grad_accum).cast("bigint").alias("effective_batch"),
+            (steps * batch * grad_accum).cast("bigint").alias("samples_seen"),
+            _latest("epoch").alias("epochs_completed")]
+
+
 def throughput(log: DataFrame) -> DataFrame:
     """The last reported runtime and rates of each run; 0 where never reported."""
-    def latest(name: str) -> Column:
-        c = F.col(name)
-        return F.coalesce(F.max_by(c, F.when(c.isNotNull(), F.col("seq"))), F.lit(0.0))
-
-    return log.groupBy("run_id").agg(
-        latest("train_runtime").alias("train_runtime"),
-        latest("train_samples_per_second").alias("samples_per_sec"),
-        latest("train_steps_per_second").alias("steps_per_sec"),
-    )
+    return log.groupBy("run_id").agg(*_throughput())
 
 
 def exposure_totals(log: DataFrame, batch: int, grad_accum: int) -> DataFrame:
     """Steps, rows seen and epochs completed of each run."""
-    steps = F.coalesce(F.max("step"), F.lit(0))
-    return log.groupBy("run_id").agg(
-        steps.cast("bigint").alias("total_steps"),
-        F.lit(batch * grad_accum).cast("bigint").alias("effective_batch"),
-        (steps * batch * grad_accum).cast("bigint").alias("samples_seen"),
-        F.coalesce(F.max_by("epoch", F.when(F.col("epoch").isNotNull(), F.col("seq"))), F.lit(0.0)).alias("epochs_completed"),
-    )
+    return log.groupBy("run_id").agg(*_exposure(batch, grad_accum))
 
 
 def eval_entries(log: DataFrame) -> DataFrame:
@@ -135,11 +149,10 @@ def run_report(log: DataFrame, epochs_planned: int, dataset_size: int, batch: in
         .groupBy("run_id", "part")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "step", "eval_loss"))).alias("_e"))
     )
+    losses = _with_trend(entries.groupBy("run_id").agg(*_summary(), *_head_tail()))
     runs = (
-        exposure_totals(log, batch, grad_accum)
-        .join(throughput(log), "run_id")
-        .join(loss_summary(entries).drop("entries"), "run_id", "left")
-        .join(head_tail(entries), "run_id", "left")
+        log.groupBy("run_id").agg(*_exposure(batch, grad_accum), *_throughput())
+        .join(losses, "run_id", "left")
         .join(evals, "run_id", "left")
     )
     loss = F.struct(

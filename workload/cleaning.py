@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.functions import cleaning as c
-from workload.common import marked, marked_sql, quoted, table
+from textloom.session import spread
+from workload.common import documents, marked, marked_sql, quoted, table
 
 WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"  # white space for the SQL engine's patterns
 HIDDEN = "\ue000"
@@ -128,7 +129,7 @@ QUERIES, ORACLES = {}, {}
 
 def _step_query(name: str):
     step, pairs = getattr(c, STEP_OF[name]), MARKS[name]
-    return lambda spark, sf: table(spark, sf, "documents").select("doc_id", step(marked(F.col("text"), pairs)).alias("text"))
+    return lambda spark, sf: documents(spark, sf).select("doc_id", step(marked(F.col("text"), pairs)).alias("text"))
 
 
 for _name, _step in STEP_OF.items():
@@ -138,7 +139,7 @@ for _name, _step in STEP_OF.items():
 
 def clean_math_spacing(spark, sf):
     text = marked(F.col("text"), MARKS["clean_math_spacing"])
-    return table(spark, sf, "documents").select("doc_id", c.collapse_spaces(c.collapse_math_spacing(text)).alias("text"))
+    return documents(spark, sf).select("doc_id", c.collapse_spaces(c.collapse_math_spacing(text)).alias("text"))
 
 
 QUERIES["clean_math_spacing"] = clean_math_spacing
@@ -147,7 +148,7 @@ ORACLES["clean_math_spacing"] = "SELECT doc_id, {} AS text FROM documents".forma
 
 
 def clean_html(spark, sf):
-    return table(spark, sf, "pages").select("page_id", c.strip_html(F.col("html")).alias("text"))
+    return spread(table(spark, sf, "pages"), "page_id").select("page_id", c.strip_html(F.col("html")).alias("text"))
 
 
 QUERIES["clean_html"] = clean_html
@@ -176,7 +177,7 @@ for _name, _fn, _sql, _frames in (
     ("clean_answer_marker", c.strip_answer_marker, SQL_STEPS["strip_answer_marker"], MARKER_FRAMES),
     ("clean_header", c.strip_header_lines, SQL_STEPS["strip_header_lines"], HEADER_FRAMES),
 ):
-    QUERIES[_name] = lambda spark, sf, fn=_fn, frames=_frames: table(spark, sf, "documents").select(
+    QUERIES[_name] = lambda spark, sf, fn=_fn, frames=_frames: documents(spark, sf).select(
         "doc_id", fn(_framed(F.col("text"), frames)).alias("text"))
     ORACLES[_name] = f"SELECT doc_id, {_sql(_framed_sql(_frames))} AS text FROM documents"
 
@@ -186,7 +187,7 @@ BAD_MARKS = [(" theou ", " persistent "), (" lail ", " [DUMMY] "), (" edoni ", "
 
 def bad_token_reject(spark, sf):
     text = marked(F.col("text"), BAD_MARKS)
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", c.bad_token(text).alias("reject_token"), c.reject_bad_tokens(text).alias("text"))
 
 
@@ -224,6 +225,6 @@ FROM (SELECT *, {chain_sql('_raw', mode)} AS _x FROM (SELECT *, {text} AS _raw F
 
 
 for _mode, _pairs in MIX.items():
-    QUERIES[f"clean_{_mode}"] = lambda spark, sf, mode=_mode, pairs=_pairs: table(spark, sf, "documents").select(
+    QUERIES[f"clean_{_mode}"] = lambda spark, sf, mode=_mode, pairs=_pairs: documents(spark, sf).select(
         "doc_id", c.clean_text(marked(F.col("text"), pairs), mode).alias("text"))
     ORACLES[f"clean_{_mode}"] = clean_sql(marked_sql("text", _pairs), _mode, "doc_id", "documents")

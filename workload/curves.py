@@ -69,12 +69,12 @@ ORACLES["loss_stats"] = f"WITH {ROWS_SQL}, {STATS_SQL} SELECT run_id, entries, "
 _three = lambda spark, sf: cv.analysis_smooth(_rows(spark, sf).where("n >= 3"))
 QUERIES["global_slope"] = lambda spark, sf: cv.global_slope(_three(spark, sf)).select("run_id", r6("global_slope", "global_slope"))
 SLOPES_SQL = """
-gslope AS (SELECT run_id, regr_slope(smoothed, step) * 100 AS global_slope FROM smoothed WHERE n >= 3 GROUP BY 1),
+gslope AS (SELECT run_id, CASE WHEN max(step) > min(step) THEN regr_slope(smoothed, step) * 100 END AS global_slope FROM smoothed WHERE n >= 3 GROUP BY 1),
 tail AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY pos) - 1 AS j, least(win, n) AS m, max(step) OVER (PARTITION BY run_id) AS x0
          FROM smoothed WHERE pos > n - win AND n >= 3),
 weighted AS (SELECT run_id, pow(0.5::DOUBLE + 0.5::DOUBLE * j / greatest(m - 1, 1), 2) AS w, (step - x0)::DOUBLE AS x, smoothed AS y FROM tail),
 centres AS (SELECT run_id, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM weighted GROUP BY 1),
-rslope AS (SELECT run_id, sum(w * (x - mx) * (y - my)) / sum(w * (x - mx) * (x - mx)) AS raw FROM weighted JOIN centres USING (run_id) GROUP BY 1),
+rslope AS (SELECT run_id, sum(w * (x - mx) * (y - my)) / nullif(sum(w * (x - mx) * (x - mx)), 0) AS raw FROM weighted JOIN centres USING (run_id) GROUP BY 1),
 spread AS (SELECT run_id, median(smoothed) AS med, stddev_pop(smoothed) AS sd FROM tail GROUP BY 1),
 mads AS (SELECT run_id, 1.4826::DOUBLE * median(abs(smoothed - med)) AS mad, any_value(sd) AS sd FROM tail JOIN spread USING (run_id) GROUP BY 1),
 recent AS (SELECT run_id, raw, raw * 100 AS recent_slope, sd, CASE WHEN mad > 1e-8::DOUBLE THEN mad ELSE sd END AS noise,
@@ -111,7 +111,7 @@ def _letter_sql(points):
 
 
 def _label_sql(x):
-    return f"""CASE WHEN {x} <= -3 THEN 'Strong Drop' WHEN {x} <= -1 THEN 'Moderate Drop' WHEN {x} < -0.1::DOUBLE THEN 'Weak Drop'
+    return f"""CASE WHEN {x} IS NULL THEN NULL WHEN {x} <= -3 THEN 'Strong Drop' WHEN {x} <= -1 THEN 'Moderate Drop' WHEN {x} < -0.1::DOUBLE THEN 'Weak Drop'
   WHEN {x} <= 0.1::DOUBLE THEN 'Flat' WHEN {x} < 1 THEN 'Weak Rise' WHEN {x} < 3 THEN 'Moderate Rise' ELSE 'Strong Rise' END"""
 
 

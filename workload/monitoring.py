@@ -12,10 +12,8 @@ QUERIES, ORACLES = {}, {}
 
 
 def monitor_log(spark, sf):
-    """Every eleventh event has no loss, every seventh entry repeats the step before it."""
-    log = event_log(spark, sf)
-    return log.withColumn("loss", F.when(F.col("seq") % 11 > 0, F.col("loss"))).withColumn(
-        "step", F.when(F.col("step") % 7 == 0, F.col("step") - 1).otherwise(F.col("step")))
+    """Every eleventh event has no loss."""
+    return event_log(spark, sf).withColumn("loss", F.when(F.col("seq") % 11 > 0, F.col("loss")))
 
 
 def runs(log):
@@ -34,7 +32,7 @@ def _entries(spark, sf):
 LOG_SQL = f"""
 {EVENT_LOG_SQL},
 monitor_log AS (
-  SELECT run_id, seq, CASE WHEN step % 7 = 0 THEN step - 1 ELSE step END AS step,
+  SELECT run_id, seq, step,
          CASE WHEN seq % 11 > 0 THEN loss END AS loss, learning_rate FROM event_log),
 runs AS (
   SELECT run_id, total_steps, least(greatest(75, floor(0.01::DOUBLE * total_steps)::BIGINT), greatest(1, total_steps // 10)) AS warmup_steps,

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from textloom.functions.cleaning import clean_text
 from textloom.operators import prepare as p
 from textloom.operators import profiles, roles
-from textloom.session import spread
 from workload.cleaning import clean_sql, _strip
-from workload.common import TABLES, marked, marked_sql, quoted, table
+from workload.common import TABLES, documents, marked, marked_sql, quoted, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -144,7 +143,7 @@ SELECT conv_id, turn, CASE WHEN next_role = 'assistant' THEN t || chr(10) || chr
 FROM q WHERE role = 'user'"""
 
 QUERIES["causal_text"] = lambda spark, sf: p.prepared(
-    spread(table(spark, sf, "documents"), "doc_id"), p.causal_text(F.col("text")), "doc_id")
+    documents(spark, sf), p.causal_text(F.col("text")), "doc_id")
 ORACLES["causal_text"] = f"SELECT * FROM ({clean_sql('text', 'math', 'doc_id', 'documents')}) WHERE text <> ''"
 
 QUERIES["chat_text"] = lambda spark, sf: p.chat_threads(_turns(spark, sf), "general", turns_per_part=4)
@@ -194,7 +193,7 @@ FROM pages GROUP BY 1"""
 
 # ---- filters, metrics, order ------------------------------------------------------------------
 LAST = [(" the ", " persistent "), ("é", "é ")]  # makes many English texts unusable
-_DOCS = lambda spark, sf: spread(table(spark, sf, "documents"), "doc_id")
+_DOCS = documents
 
 QUERIES["drop_blank"] = lambda spark, sf: p.prepared(
     _DOCS(spark, sf), clean_text(marked(F.col("text"), LAST), "code"), "doc_id").select("doc_id", F.length("text").alias("chars"))

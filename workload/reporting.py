@@ -91,7 +91,7 @@ def _long(spark, sf):
 
 
 ORACLES["sparkline"] = f"""WITH {EVENT_LOG_SQL},
-runs AS (SELECT run_id, list(loss ORDER BY pos) AS l FROM event_log GROUP BY 1),
+runs AS (SELECT run_id, list(loss ORDER BY seq) AS l FROM event_log GROUP BY 1),
 picked AS (SELECT run_id, len(l) AS entries,
   CASE WHEN len(l) > 48 THEN [l[floor(i * (len(l) / 48::DOUBLE))::INT + 1] for i in range(48)] ELSE l END AS s FROM runs),
 bounds AS (SELECT *, list_min(s) AS lo, CASE WHEN list_max(s) > list_min(s) THEN list_max(s) - list_min(s) ELSE 1 END AS span FROM picked)

@@ -131,14 +131,14 @@ def _log_stream(spark, log, field="loss"):
 
 
 def live_tail(spark, sf):
-    entries = _log_stream(spark, event_log(spark, sf).select("run_id", "step", "loss"))
+    entries = _log_stream(spark, event_log(spark, sf).select("run_id", F.col("seq").alias("step"), "loss"))
     out, checkpoint = scratch_path(spark, "tail"), scratch_path(spark, "tail-state")
     live.live_tail(entries, out, checkpoint, once=True).awaitTermination()
     return live.latest_tail(spark.read.parquet(out)).select("run_id", "step", r6("current", "current"), r6("best", "best"), "entries")
 
 
 QUERIES["live_tail"] = live_tail
-ORACLES["live_tail"] = f"""WITH {EVENT_LOG_SQL} SELECT run_id, max(step) AS step, {r6_sql('last(loss ORDER BY step)', 'current')},
+ORACLES["live_tail"] = f"""WITH {EVENT_LOG_SQL} SELECT run_id, max(seq) AS step, {r6_sql('last(loss ORDER BY seq)', 'current')},
   {r6_sql('min(loss)', 'best')}, count(*) AS entries FROM event_log GROUP BY 1"""
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.operators import tokens as t
-from textloom.session import spread
-from workload.common import quoted, r6, r6_sql, table
+from workload.common import documents, quoted, r6, r6_sql, table
 
 QUERIES, ORACLES = {}, {}
 SIZE = 500
@@ -14,8 +13,7 @@ _TOKEN = r"\p{L}+|\p{N}+|[^\s\x0b\x1c-\x1f\x{85}\p{Z}\p{L}\p{N}]"
 _SPLIT = f"regexp_extract_all(text, {quoted(_TOKEN)})"
 
 
-def _docs(spark, sf):
-    return spread(table(spark, sf, "documents"), "doc_id")
+_docs = documents
 
 
 VOCAB_SQL = f"""
