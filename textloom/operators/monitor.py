@@ -13,6 +13,7 @@ than needed and needs no exchange between chunks.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,7 @@ from textloom.session import scratch_path
 
 MAD_SCALE = 1.4826
 _TINY = 1e-12
+_NARROW = 512  # windows up to this width are computed as rows of a matrix
 
 
 @dataclass(frozen=True)
@@ -46,6 +48,15 @@ class MonitorSettings:
     patience: int = 8
     cooldown: int = 3
 
+    @property
+    def sigma_matters(self) -> bool:
+        """Whether sigma can change a decision.
+
+        Sigma is never below std_floor, so it cannot if a drop that passes the sigma test always
+        passes the absolute test, and if it can never be low enough for a plateau.
+        """
+        return self.min_sigma * self.std_floor < self.min_abs or max(0.5 * self.std_floor, 0.05) >= self.std_floor
+
     @property
     def warm_rows(self) -> int:
         """Rows after which a value weighs less than 1e-18 in the smoothed loss."""
@@ -116,17 +127,63 @@ def _row_medians(values: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.take_along_axis(s, at, axis=1).mean(axis=1)
 
 
+def _kth_gap(s: list[float], m: float, p: int, k: int) -> float:
+    """The k-th smallest distance from m in the sorted list s; p is where m belongs in s."""
+    lo, hi = max(0, k + 1 - (len(s) - p)), min(p, k + 1)
+    while lo < hi:  # how many of the k + 1 nearest lie below m
+        i = (lo + hi) // 2
+        if m - s[p - 1 - i] < s[p + k - i] - m:
+            lo = i + 1
+        else:
+            hi = i
+    below = m - s[p - lo] if lo else -math.inf
+    above = s[p + k - lo] - m if lo <= k else -math.inf
+    return max(below, above)
+
+
+def _sorted_mad(y: list[float], lo: np.ndarray, rows: np.ndarray) -> list[float]:
+    """Median distance from the median of y[lo..row] for each row, for wide windows.
+
+    One sorted window slides along; its middle and the middle distance are found by bisection.
+    """
+    out, window, left, right = [], [], 0, 0
+    for first, row in zip(lo.tolist(), rows.tolist()):
+        if first >= right:
+            window, left, right = sorted(y[first:row + 1]), first, row + 1
+        for v in y[right:row + 1]:
+            insort(window, v)
+        for v in y[left:first]:
+            del window[bisect_left(window, v)]
+        left, right = first, max(right, row + 1)
+        c = len(window)
+        m = (window[(c - 1) // 2] + window[c // 2]) / 2
+        p = bisect_left(window, m)
+        out.append((_kth_gap(window, m, p, (c - 1) // 2) + _kth_gap(window, m, p, c // 2)) / 2)
+    return out
+
+
+def _narrow(start: np.ndarray, width: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Split rows by whether their window is narrow; also the first index of the wide windows."""
+    lo = np.maximum(start[rows], rows - width[rows] + 1)
+    narrow = rows - lo < _NARROW
+    return rows[narrow], rows[~narrow], lo[~narrow]
+
+
 def _sigma(y, start, width, rows) -> np.ndarray:
     out = np.zeros(len(y))
+    rows, wide, lo = _narrow(start, width, rows)
     for block, values, count in _trailing(y, start, width, rows):
         med = _row_medians(values, count)
         mad = _row_medians(np.abs(values - med[:, None]), count)
         out[block] = np.where(count < 3, 0.0, MAD_SCALE * mad)
+    if len(wide):
+        out[wide] = MAD_SCALE * np.array(_sorted_mad(y.tolist(), lo, wide))
     return out
 
 
 def _slope(y, start, width, rows) -> np.ndarray:
     out = np.zeros(len(y))
+    rows, wide, lo = _narrow(start, width, rows)
     for block, values, count in _trailing(y, start, width, rows):
         m = count.astype(float)
         x = np.arange(values.shape[1])[None, :] - ((m - 1) / 2)[:, None]
@@ -134,6 +191,15 @@ def _slope(y, start, width, rows) -> np.ndarray:
         x = np.where(np.isnan(values), 0.0, x)
         slope = (x * centred).sum(axis=1) / np.maximum((x * x).sum(axis=1), 1e-300)
         out[block] = np.where(count < 8, 0.0, slope)
+    if len(wide):  # the wide windows divide by some m^3 / 12, which makes up for the long sums
+        centred = y - y.mean()
+        at = np.arange(len(y)) - len(y) / 2
+        sy = np.concatenate([[0.0], np.cumsum(centred)])
+        sxy = np.concatenate([[0.0], np.cumsum(at * centred)])
+        m = (wide - lo + 1).astype(float)
+        total = sy[wide + 1] - sy[lo]
+        middle = (wide + lo) / 2 - len(y) / 2
+        out[wide] = (sxy[wide + 1] - sxy[lo] - middle * total) / (m * (m * m - 1) / 12)
     return out
 
 
@@ -167,15 +233,18 @@ def _turning(s: MonitorSettings, ema, sigma, slope, low, opened, waits, pos, hom
     return turning
 
 
-def signals(entries: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
+def signals(entries: DataFrame, settings: MonitorSettings = MonitorSettings(),
+            only_decide: bool = False) -> DataFrame:
     """Add ema (smoothed loss), sigma, slope, and `low`: whether ema is a new low of its chunk.
 
     Needs run_id, pos, n, loss, window and slope_window. A chunk starts early enough that the
     smoothed loss has forgotten where it started to beyond double precision. With the columns of
-    `gated`, sigma and slope are computed for open rows only, and `turning` is added.
+    `gated`, sigma and slope are computed for open rows only, and `turning` is added. With
+    `only_decide`, sigma is left at 0 where no decision can depend on it.
     """
     warm, s = settings.warm_rows, settings
-    before = F.greatest("window", "slope_window") + warm
+    with_sigma = s.sigma_matters or not only_decide
+    before = (F.greatest("window", "slope_window") if with_sigma else F.col("slope_window")) + warm
     length = F.greatest(F.lit(CHUNK), before)
     keys = ["run_id", "_chunk"]
     rows = with_halo(entries, before, 0, length).repartition(*keys).sortWithinPartitions(*keys, "pos")
@@ -193,7 +262,7 @@ def signals(entries: DataFrame, settings: MonitorSettings = MonitorSettings()) -
             opened = table["open"].to_numpy().astype(bool) if has_gates else None
             wanted = home[opened[home]] if has_gates else home
             ema = _smooth(table["loss"].cast(pa.float64()).to_numpy(), start, s.beta)
-            sigma = _sigma(ema, start, col["window"], wanted)
+            sigma = _sigma(ema, start, col["window"], wanted) if with_sigma else np.zeros(len(ema))
             slope = _slope(ema, start, col["slope_window"], wanted)
             low = _records(ema, home, start, 0.0)
             new = [ema, sigma, slope, low]
@@ -323,7 +392,7 @@ def early_stop(log: DataFrame, runs: DataFrame, settings: MonitorSettings = Moni
     log: run_id, seq, step, loss, learning_rate. runs: run_id, total_steps, warmup_steps and
     hard_cap_steps (null = none). The cap holds for every log entry, even without a loss.
     """
-    rows = signals(_prepared(log, runs, settings), settings)
+    rows = signals(_prepared(log, runs, settings), settings, only_decide=True)
     stops = decisions(rows, settings).where("reason IS NOT NULL").select("run_id", "step", "reason")
     capped = log.join(runs.select("run_id", "hard_cap_steps"), "run_id").where(
         F.col("step") >= F.col("hard_cap_steps")).groupBy("run_id").agg(F.min("step").alias("cap_step"))
