@@ -42,7 +42,7 @@ CHAIN = [
     ("#### Answer: 4", "code", "4"),
     ("#### Answer: 4", "math", "Answer: 4"),
     ("x\n# comment\ny", "code", "x\n\ny"),
-    ("f(**kw) and **b** c", "code", "f( b** c"),
+    ("f(**kw) and **b** c", "code", "f(b** c"),
     ("click here now", "math", "now"),
     ("SKU 1 Price: $9.99 x", "general", "1  x"),
     # characters
