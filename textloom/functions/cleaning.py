@@ -239,20 +239,27 @@ def ascii_punctuation(c: Column) -> Column:
 strip_emoji = _sub(EMOJI, "", _has_byte(0xE2, 0xEF, 0xF0))
 strip_non_ascii = _sub(NON_ASCII, "", lambda x: ~_ascii_only(x))
 
+
+def strip_junk_and_shop(c: Column) -> Column:
+    """Both word steps behind one look for their words."""
+    words = _has_word("click here", "subscribe", "follow us", "advertisement", "sku", "asin", "msrp", "price")
+    return bound(c, lambda x: F.when(words(x), strip_shop_tags(strip_junk_phrases(x))).otherwise(x))
+
+
 # Tokens that contain no other token: enough to answer whether any token is present.
 _BAD_CORES = [t for t in BAD_TOKENS if not any(o != t and o in t for o in BAD_TOKENS)]
+_BAD_CAMEL = [t for t in _BAD_CORES if re.search("[a-z][A-Z]", t)]
+_BAD_BRACKET = [t for t in _BAD_CORES if t[0] in "[<"]
+_BAD_OTHER = [t for t in _BAD_CORES if not t.isascii()]
+_BAD_PLAIN = [t for t in _BAD_CORES if t not in {*_BAD_CAMEL, *_BAD_BRACKET, *_BAD_OTHER}]
 
 
 def has_bad_token(x: Column) -> Column:
     """Looks for groups of tokens by what the group has in common, so prose is searched little."""
-    camel = [t for t in _BAD_CORES if re.search("[a-z][A-Z]", t)]
-    bracket = [t for t in _BAD_CORES if t[0] in "[<"]
-    other = [t for t in _BAD_CORES if not t.isascii()]
-    plain = [t for t in _BAD_CORES if t not in {*camel, *bracket, *other}]
-    return (_has(*plain)(x)
-            | (_has("[", "<")(x) & _has(*bracket)(x))
-            | (F.rlike(x, F.lit("[a-z][A-Z]")) & _has(*camel)(x))
-            | (~_ascii_only(x) & _has(*other)(x)))
+    return (_has(*_BAD_PLAIN)(x)
+            | (_has("[", "<")(x) & _has(*_BAD_BRACKET)(x))
+            | (F.rlike(x, F.lit("[a-z][A-Z]")) & _has(*_BAD_CAMEL)(x))
+            | (~_ascii_only(x) & _has(*_BAD_OTHER)(x)))
 
 
 def reject_bad_tokens(c: Column) -> Column:
@@ -270,7 +277,7 @@ def steps(mode: str, emoji: bool = False) -> list[Callable[[Column], Column]]:
     """The cleaning steps of a mode, in order."""
     if mode not in MODES:
         raise ValueError(f"cleaning mode must be one of {MODES}, not {mode!r}")
-    out = [to_text, unbox]
+    out = [unbox]
     out += [strip] if mode == "code" else [collapse_newlines, strip_formatting]
     if mode == "math":
         out += [unwrap_math_wrappers, unwrap_dollars, map_math_symbols,
@@ -278,8 +285,8 @@ def steps(mode: str, emoji: bool = False) -> list[Callable[[Column], Column]]:
     if mode in ("code", "general"):
         out += [strip_latex_spans, strip_tex_spans, strip_mathrm]
     out += [strip_environments, strip_html, unwrap_boxed, strip_chat_tags, strip_answer_marker,
-            strip_double_braces, strip_special_tokens, strip_header_lines, strip_junk_phrases,
-            strip_shop_tags, strip_bold, strip_invisible, strip_media_placeholders]
+            strip_double_braces, strip_special_tokens, strip_header_lines, strip_junk_and_shop,
+            strip_bold, strip_invisible, strip_media_placeholders]
     if mode != "latex":
         out.append(strip_trash)
     out.append(ascii_punctuation)
@@ -290,13 +297,9 @@ def steps(mode: str, emoji: bool = False) -> list[Callable[[Column], Column]]:
     return out
 
 
-def before_reject(c: Column, mode: str = "math", emoji: bool = False) -> Column:
-    """The chain up to, but without, the bad-token test."""
-    for step in steps(mode, emoji):
-        c = step(c)
-    return c
-
-
 def clean_text(c: Column, mode: str = "math", emoji: bool = False) -> Column:
     """The whole cleaning chain of a mode; never null."""
-    return strip(reject_bad_tokens(before_reject(c, mode, emoji)))
+    c = to_text(c)
+    for step in steps(mode, emoji):
+        c = step(c)
+    return strip(reject_bad_tokens(c))

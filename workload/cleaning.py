@@ -64,6 +64,7 @@ SQL_STEPS = {
     "strip_header_lines": lambda x: _re(x, rf"(?m)(?-s)^{WS}*#{{1,6}}{WS}.*$"),
     "strip_junk_phrases": lambda x: _re(x, r"(?i)\b(?:Click here|Subscribe|Follow us|Advertisement)\b"),
     "strip_shop_tags": lambda x: _re(x, rf"(?i)\b(?:SKU|ASIN|MSRP|Price:?{WS}*\$?\d[\d,.]*)\b"),
+    "strip_junk_and_shop": lambda x: SQL_STEPS["strip_shop_tags"](SQL_STEPS["strip_junk_phrases"](x)),
     "strip_bold": lambda x: _re(x, r"(?-s)\*\*.*?\*\*"),
     "strip_invisible": lambda x: f"translate({x}, {quoted(''.join(map(chr, [*range(0x200B, 0x2010), *range(0x202A, 0x202F), 0x2060, 0xFEFF])))}, '')",
     "strip_media_placeholders": lambda x: _re(x, r"(?i)\[(?:image|video|audio|figure)[^\]]*\]"),
@@ -212,7 +213,7 @@ MIX = {
 def chain_sql(text: str, mode: str) -> str:
     """Cleaned text of a SQL text expression, without the bad-token test."""
     x = _unbox_sql(f"coalesce({text}, '')")
-    for step in c.steps(mode)[2:]:
+    for step in c.steps(mode)[1:]:
         name = next(k for k in SQL_STEPS if getattr(c, k) is step)
         x = SQL_STEPS[name](x)
     return x
