@@ -64,9 +64,11 @@ def length_profile(df: DataFrame, length: str, *by: str) -> DataFrame:
     Works on the histogram of lengths, which is bounded by the longest text, not by the rows.
     Raises on an empty table.
     """
-    hist = df.where(F.col(length).isNotNull()).groupBy(*by, length).agg(F.count(F.lit(1)).alias("_c"))
+    # no filter on the length: Catalyst would push it down and measure every text once more
+    hist = df.groupBy(*by, length).agg(F.count(F.lit(1)).alias("_c"))
+    measured = F.sum(F.when(F.col(length).isNotNull(), F.col("_c")))
     p = F.percentile(F.col(length), F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)), F.col("_c"))
-    out = hist.groupBy(*by).agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("rows"), p.alias("_p"))
+    out = hist.groupBy(*by).agg(F.coalesce(measured, F.lit(0)).alias("rows"), p.alias("_p"))
     checked = F.when(F.col("rows") == 0, F.raise_error(F.lit("no rows to measure lengths from"))).otherwise(F.col("_p"))
     out = out.withColumn("_p", checked)
     cut = [F.col("_p")[i].cast("int").alias(n) for i, n in enumerate(("p50", "p95", "p99"))]
@@ -100,13 +102,12 @@ def id_lookup(vocab: DataFrame):
 def tokenize(df: DataFrame, text: str, vocab: DataFrame, max_length: int | Column,
              bos: bool = True) -> DataFrame:
     """Add input_ids (cut to max_length), attention_mask, labels and the uncut length."""
-    tokens = split_tokens(F.col(text))
-    if bos:
-        tokens = F.concat(F.array(F.lit(dict(SPECIALS)["bos"])), tokens)
+    start = F.array(F.lit(dict(SPECIALS)["bos"])) if bos else F.array().cast("array<string>")
     limit = F.lit(max_length) if isinstance(max_length, int) else max_length
-    out = df.withColumn("_tokens", F.slice(tokens, F.lit(1), limit))
-    out = out.withColumn("length", token_length(F.col(text), int(bos)))
-    out = out.withColumn("input_ids", id_lookup(vocab)("_tokens")).drop("_tokens")
+    # a generator, so that the split is not repeated for each of the columns made from it
+    out = df.select("*", F.explode(F.array(F.concat(start, split_tokens(F.col(text))))).alias("_tokens"))
+    out = out.select(*df.columns, F.size("_tokens").alias("length"),
+                     id_lookup(vocab)(F.slice("_tokens", F.lit(1), limit)).alias("input_ids"))
     return (out.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1).cast("bigint")))
             .withColumn("labels", F.col("input_ids")))
 

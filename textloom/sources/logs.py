@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.cleaning import strip
+from textloom.functions.cleaning import bound, strip
 from textloom.functions.numbers import round_exact
 
 # fixed values
@@ -40,45 +40,53 @@ def _object(text: Column) -> Column:
     return F.from_json(text, "map<string,string>", _STRICT)
 
 
-def parse_lines(lines: DataFrame, value: str = "value", field: str = "loss") -> DataFrame:
-    """Lines that hold an entry with a field, with `entry`, a map of its fields as text.
+def line_entry(line: Column, field: str = "loss") -> Column:
+    """The entry printed in a line, as a map of its fields as text; null if there is none.
 
     Tried in turn: the line as JSON, the line with single quotes turned, and the first object
-    without inner braces anywhere in the line.
+    without inner braces anywhere in the line. An entry must have the field.
     """
-    line = strip(F.col(value))
-    has = line.contains("{") & (line.contains(f"'{field}'") | line.contains(f'"{field}"'))
-    rows = lines.where(has).withColumn("_line", line)
-    turned = F.regexp_replace("_line", r"(?<!\\)'", '"')
-    inner = F.replace(F.regexp_extract("_line", OBJECT, 0), F.lit("'"), F.lit('"'))
-    with_field = lambda e: F.when(F.map_contains_key(e, F.lit(field)), e)
-    entry = F.coalesce(*[with_field(_object(t)) for t in (F.col("_line"), turned, inner)])
+    def parsed(x: Column) -> Column:
+        turned = F.regexp_replace(x, r"(?<!\\)'", '"')
+        inner = F.replace(F.regexp_extract(x, OBJECT, 0), F.lit("'"), F.lit('"'))
+        with_field = lambda e: F.when(F.map_contains_key(e, F.lit(field)), e)
+        return F.coalesce(*[bound(_object(t), with_field) for t in (x, turned, inner)])
+
+    return bound(strip(line), lambda x: F.when(_may_hold(x, field), parsed(x)))
+
+
+def _may_hold(line: Column, field: str) -> Column:
+    return line.contains("{") & (line.contains(f"'{field}'") | line.contains(f'"{field}"'))
+
+
+def parse_lines(lines: DataFrame, value: str = "value", field: str = "loss") -> DataFrame:
+    """Lines that hold an entry with a field, with `entry` (see `line_entry`)."""
     # the generator keeps the filter from repeating the parsing (see prepare.evaluated_once)
-    return (rows.select("*", F.explode(F.array(entry)).alias("entry"))
-            .where("entry IS NOT NULL").drop("_line"))
+    return (lines.where(_may_hold(F.col(value), field))
+            .select("*", F.explode(F.array(line_entry(F.col(value), field))).alias("entry"))
+            .where("entry IS NOT NULL"))
 
 
-def parse_whole(files: DataFrame, value: str = "value") -> DataFrame:
-    """Loss entries of whole files whose objects may span lines, with `seq`.
+def _spanning_entries(text: Column) -> Column:
+    """Objects of a text in order, which may span lines, up to the first that is not JSON."""
+    objects = F.regexp_extract_all(F.replace(text, F.lit("'"), F.lit('"')), F.lit(OBJECT), 0)
 
-    Reads objects in order and stops at the first that is not JSON, keeping those before it.
-    """
-    objects = F.regexp_extract_all(F.replace(F.col(value), F.lit("'"), F.lit('"')), F.lit(OBJECT), 0)
-    parsed = F.transform(objects, lambda o: F.struct(_object(o).alias("e")))
-    rows = files.select("*", F.explode(F.array(parsed)).alias("_o"))
-    broken = F.array_position(F.transform("_o", lambda o: o["e"].isNull()), True)
-    valid = F.when(broken > 0, F.slice("_o", F.lit(1), (broken - 1).cast("int"))).otherwise(F.col("_o"))
-    return (rows.select(*files.columns, F.posexplode(valid).alias("seq", "_e"))
-            .select(*files.columns, (F.col("seq") + 1).cast("bigint").alias("seq"), F.col("_e.e").alias("entry"))
-            .where(F.map_contains_key("entry", F.lit("loss"))))
-
-
-def parse_files(files: DataFrame, file: str = "file", value: str = "value") -> DataFrame:
-    """Loss entries of whole files: line by line, or whole where no line holds an entry."""
-    lines = files.select(file, F.posexplode(F.split(F.col(value), r"\r\n|\n|\r")).alias("seq", "value"))
-    by_line = parse_lines(lines).select(file, F.col("seq").cast("bigint").alias("seq"), "entry")
-    rest = files.join(by_line.select(file).distinct(), file, "left_anti")
-    return by_line.unionByName(parse_whole(rest, value).select(file, "seq", "entry"))
+    def valid(parsed: Column) -> Column:
+        broken = F.array_position(F.transform(parsed, lambda e: e.isNull()), True)
+        return F.when(broken > 0, F.slice(parsed, F.lit(1), (broken - 1).cast("int"))).otherwise(parsed)
+
+    found = bound(F.transform(objects, _object), valid)
+    return F.filter(found, lambda e: F.map_contains_key(e, F.lit("loss")))
+
+
+def parse_files(files: DataFrame, value: str = "value") -> DataFrame:
+    """Loss entries of whole files, with `seq`: line by line, or, where no line holds an entry,
+    as objects that may span lines. A file is one row, so nothing is joined or moved."""
+    lines = F.split(F.col(value), r"\r\n|\n|\r")
+    by_line = F.filter(F.transform(lines, lambda x: line_entry(x)), lambda e: e.isNotNull())
+    entries = bound(by_line, lambda e: F.when(F.size(e) > 0, e).otherwise(_spanning_entries(F.col(value))))
+    keep = [c for c in files.columns if c != value]
+    return files.select(*keep, F.posexplode(entries).alias("seq", "entry")).withColumn("seq", (F.col("seq") + 1).cast("bigint"))
 
 
 def parse_trainer_states(states: DataFrame, value: str = "value") -> DataFrame:

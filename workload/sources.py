@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 
-from textloom.session import scratch_path
+from textloom.session import scratch_path, spread
 from textloom.sources import logs, tables
 from textloom.streaming import live
 from workload.cleaning import MIX, clean_sql
@@ -30,7 +30,7 @@ LINES = [
 
 
 def _lines(spark, sf):
-    e = table(spark, sf, "events")
+    e = spread(table(spark, sf, "events"), "event_id")
     line = F.element_at(F.array(*[F.lit(x) for x in LINES]), (F.col("event_id") % 8 + 1).cast("int"))
     line = F.replace(F.replace(line, F.lit("<v>"), F.col("value").cast("string")), F.lit("<id>"), F.col("event_id").cast("string"))
     return e.select("event_id", line.alias("value"))
