@@ -88,6 +88,8 @@ STEPS = [
     (c.strip_latex_spans, r"$a\$b$ c $d", " c $d"),
     (c.strip_junk_phrases, "Subscribe subscribed FOLLOW US", " subscribed "),
     (c.strip_junk_phrases, "\u017fubscribe", ""),  # the long s folds to s
+    (c.strip_junk_phrases, "subscribe\u0301 subscribe\u200d xsubscribe subscribe_", "\u0301 \u200d xsubscribe subscribe_"),
+    (c.strip_shop_tags, "Price: $9.99.x price \u0663", "x "),
     (c.strip_shop_tags, "MSRP asin price 5, prices", "  , prices"),
     (c.strip_environments, "\\begin{a}\nx\\end{b} \\begin{} y", " \\begin{} y"),
     (c.strip_emoji, "a\U0001f600b\u2600\ufe0f", "ab"),

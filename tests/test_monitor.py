@@ -142,3 +142,12 @@ def test_best_counts_only_real_drops(spark):
     got = m.best_so_far(m.signals(rows, s), s).orderBy("pos").collect()
     assert [r.since_best for r in got] == [0, 1, 0, 1, 2, 0]
     assert [r.cooldown for r in got] == [3, 2, 3, 2, 1, 3]
+
+
+def test_first_step_at_the_cap(spark, tables):
+    log, runs = tables
+    runs = runs.withColumn("hard_cap_steps", F.when(F.col("run_id") % 4 > 0, F.col("total_steps") * 0.37 + F.col("run_id") * 3))
+    want = {r.run_id: r.c for r in log.join(runs, "run_id").where("step >= hard_cap_steps").groupBy("run_id").agg(F.min("step").alias("c")).collect()}
+    for bits in (2, 5, 18):
+        assert {r.run_id: r.cap_step for r in m._first_capped(log, runs, bits).collect()} == want
+    assert want

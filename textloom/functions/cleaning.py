@@ -61,8 +61,10 @@ ANSWER_MARKER = (
 DOUBLE_BRACE = r"(?d)\{\{.*?\}\}"
 SPECIAL_TOKEN = r"(?d)<\|.*?\|>"
 HEADER_LINE = r"(?dm)^" + WS + r"*#{1,6}" + WS + r".*$"
-JUNK_PHRASE = r"(?iU)\b(?:Click here|Subscribe|Follow us|Advertisement)\b"
-SHOP_TAG = r"(?iU)\b(?:SKU|ASIN|MSRP|Price:?" + WS + r"*\$?\d[\d,.]*)\b"
+# A word boundary where letters, numbers and the underscore make words, but no marks and joiners.
+EDGE = r"(?:(?<=[\p{L}\p{N}_])(?![\p{L}\p{N}_])|(?<![\p{L}\p{N}_])(?=[\p{L}\p{N}_]))"
+JUNK_PHRASE = r"(?iu)" + EDGE + r"(?:Click here|Subscribe|Follow us|Advertisement)" + EDGE
+SHOP_TAG = r"(?iu)" + EDGE + r"(?:SKU|ASIN|MSRP|Price:?" + WS + r"*\$?\p{Nd}[\p{Nd},.]*)" + EDGE
 BOLD_SPAN = r"(?d)\*\*.*?\*\*"
 INVISIBLE = "[\u200B-\u200F\u202A-\u202E\u2060\uFEFF]"
 MEDIA_PLACEHOLDER = r"(?iu)\[(?:image|video|audio|figure)[^\]]*\]"

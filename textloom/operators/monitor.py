@@ -81,12 +81,12 @@ def monitor_windows(runs: DataFrame, total: str, settings: MonitorSettings = Mon
             .withColumn("min_history", F.greatest(F.lit(24), F.floor(F.col("window") / 3)).cast("int")))
 
 
-def loss_entries(log: DataFrame) -> DataFrame:
-    """Entries with a loss, one per step: the first by `seq`. Adds `pos` and `n`."""
+def loss_entries(log: DataFrame, per_run: DataFrame | None = None) -> DataFrame:
+    """Entries with a loss, one per step: the first by `seq`. Adds `pos`, `n` and per-run columns."""
     rest = [c for c in log.columns if c not in ("run_id", "step")]
     first = log.where(F.col("loss").isNotNull()).groupBy("run_id", "step").agg(
         F.min_by(F.struct(*rest), F.col("seq")).alias("_e"))
-    return index_rows(first.select("run_id", "step", "_e.*"), "run_id", "step")
+    return index_rows(first.select("run_id", "step", "_e.*"), "run_id", "step", per_run=per_run)
 
 
 def _group_starts(*keys: np.ndarray) -> np.ndarray:
@@ -365,25 +365,28 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def _with_state(rows: DataFrame, events: DataFrame, settings: MonitorSettings) -> DataFrame:
-    """Best value, entries since it, cooldown, and the reference each entry is compared with."""
-    merged = events.groupBy("run_id", "pos").agg(F.max("best_event").alias("_best"), F.max("ref_event").alias("_ref"))
+    """Best value, entries since it, cooldown, the reference each entry is compared with, and where
+    the run stopped before it."""
+    merged = events.groupBy("run_id", "pos").agg(
+        F.max("best_event").alias("_best"), F.max("ref_event").alias("_ref"), F.max("reason").alias("_reason"))
     out = running(rows.join(merged, ["run_id", "pos"], "left"), "run_id", {
         "best_ema": (F.col("_best"), "min", True),
         "_best_pos": (F.when(F.col("_best").isNotNull(), F.col("pos")), "max", True),
         # once the gates are open the reference only falls, and only those values are events
         "reference": (F.col("_ref"), "min", False),
+        "stopped_at": (F.when(F.col("_reason").isNotNull(), F.col("pos")), "min", False),
     })
     since = F.col("pos") - F.col("_best_pos")
     return (out.withColumn("since_best", since)
             .withColumn("cooldown", F.greatest(F.lit(0), settings.cooldown - since))
-            .withColumn("reference", F.coalesce("reference", "ema")).drop("_best", "_ref", "_best_pos"))
+            .withColumn("reference", F.coalesce("reference", "ema")).drop("_best", "_ref", "_reason", "_best_pos"))
 
 
 def best_so_far(rows: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
     """Best smoothed loss, entries since it and cooldown left, for every row of `signals`."""
     rows = _staged(rows, "signals")
     lows = rows.where("low").select("run_id", "pos", "step", "ema")
-    return _with_state(rows, _events(lows, settings, False), settings).drop("reference")
+    return _with_state(rows, _events(lows, settings, False), settings).drop("reference", "stopped_at")
 
 
 def early_stop(log: DataFrame, runs: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
@@ -394,9 +397,7 @@ def early_stop(log: DataFrame, runs: DataFrame, settings: MonitorSettings = Moni
     """
     rows = signals(_prepared(log, runs, settings), settings, only_decide=True)
     stops = decisions(rows, settings).where("reason IS NOT NULL").select("run_id", "step", "reason")
-    capped = log.join(runs.select("run_id", "hard_cap_steps"), "run_id").where(
-        F.col("step") >= F.col("hard_cap_steps")).groupBy("run_id").agg(F.min("step").alias("cap_step"))
-    return runs.select("run_id").join(stops, "run_id", "left").join(capped, "run_id", "left").select(
+    return runs.select("run_id").join(stops, "run_id", "left").join(_first_capped(log, runs), "run_id", "left").select(
         "run_id",
         F.coalesce("step", "cap_step").alias("stop_step"),
         F.when(F.col("step").isNotNull(), F.col("reason"))
@@ -406,13 +407,27 @@ def early_stop(log: DataFrame, runs: DataFrame, settings: MonitorSettings = Moni
 
 def _prepared(log: DataFrame, runs: DataFrame, settings: MonitorSettings) -> DataFrame:
     """Loss entries below the cap with the run's settings and gates on each row."""
-    plan = monitor_windows(runs, "total_steps", settings)
-    below = log.select("run_id", "seq", "step", "loss", "learning_rate").join(
-        plan.select("run_id", "hard_cap_steps"), "run_id").where(
-        F.col("hard_cap_steps").isNull() | (F.col("step") < F.col("hard_cap_steps"))).drop("hard_cap_steps")
-    settings_of_run = plan.select("run_id", "total_steps", "warmup_steps", "window", "slope_window", "min_history")
-    entries = _staged(loss_entries(below).join(settings_of_run, "run_id"), "entries")
-    return gated(entries, settings)
+    plan = monitor_windows(runs, "total_steps", settings).select(
+        "run_id", "total_steps", "warmup_steps", "hard_cap_steps", "window", "slope_window", "min_history")
+    entries = loss_entries(log.select("run_id", "seq", "step", "loss", "learning_rate"), plan)
+    below = F.col("hard_cap_steps").isNull() | (F.col("step") < F.col("hard_cap_steps"))
+    return gated(_staged(entries.where(below).drop("hard_cap_steps"), "entries"), settings)
+
+
+def _first_capped(log: DataFrame, runs: DataFrame, bits: int = 18) -> DataFrame:
+    """The first step at or above the cap of each run.
+
+    Found among the least steps of later buckets of 2^bits steps, and among the rows of the one
+    bucket the cap lies in, so rows never meet by run alone.
+    """
+    rows = log.select("run_id", "step", F.shiftright(F.col("step").cast("bigint"), bits).alias("_b"))
+    caps = runs.where("hard_cap_steps IS NOT NULL").select(
+        "run_id", "hard_cap_steps", F.shiftright(F.ceil("hard_cap_steps").cast("bigint"), bits).alias("_cb"))
+    later = rows.groupBy("run_id", "_b").agg(F.min("step").alias("step")).join(caps, "run_id").where(
+        F.col("_b") > F.col("_cb")).select("run_id", "step")
+    same = rows.join(caps.withColumnRenamed("_cb", "_b"), ["run_id", "_b"]).where(
+        F.col("step") >= F.col("hard_cap_steps")).select("run_id", "step")
+    return later.unionByName(same).groupBy("run_id").agg(F.min("step").alias("cap_step"))
 
 
 def monitor_trace(log: DataFrame, runs: DataFrame, every: int = 1,
@@ -420,15 +435,13 @@ def monitor_trace(log: DataFrame, runs: DataFrame, every: int = 1,
     """The state at every entry that reached the decision, up to the stop; each `every` steps."""
     rows = _staged(signals(_prepared(log, runs, settings), settings), "signals")
     events = _staged(decisions(rows, settings), "events")
-    ends = events.where("reason IS NOT NULL").select("run_id", F.col("pos").alias("_stop"))
     sigma = F.greatest("sigma", F.lit(settings.std_floor))
     drop = F.col("reference") - F.col("ema")
     plateau = ((F.col("since_best") >= settings.patience) & (F.abs("slope") <= settings.slope_threshold)
                & (sigma <= max(0.5 * settings.std_floor, 0.05)))
     return (
-        _with_state(rows, events, settings).join(ends, "run_id", "left")
-        .where(F.col("open") & (F.col("_stop").isNull() | (F.col("pos") <= F.col("_stop")))
-               & (F.col("step") % every == 0))
+        _with_state(rows, events, settings)
+        .where(F.col("open") & F.col("stopped_at").isNull() & (F.col("step") % every == 0))
         .select("run_id", "step", "ema", F.col("best_ema").alias("best"), drop.alias("abs_drop"),
                 (drop / (sigma + _TINY)).alias("sigma_drop"), sigma.alias("sigma"), "slope", "since_best",
                 plateau.alias("plateau"), (F.col("slope") >= settings.slope_threshold).alias("worsening"))

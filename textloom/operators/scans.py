@@ -21,18 +21,21 @@ CHUNK = 1 << 16
 _BITS = 18
 
 
-def index_rows(df: DataFrame, run: str, order: str, bits: int = _BITS) -> DataFrame:
+def index_rows(df: DataFrame, run: str, order: str, bits: int = _BITS, per_run: DataFrame | None = None) -> DataFrame:
     """Add `pos` (1, 2, ... within the run by `order`) and `n` (rows of the run).
 
     `order` is a counter: a whole number, unique within a run. Rows are numbered within buckets
     of 2^bits order values, so no task holds more than that of any run; only the bucket counts
-    are ordered per run.
+    are ordered per run. The columns of `per_run`, one row per run, come along with the counts:
+    joined to the rows by run alone, a long run would meet in one task.
     """
     rows = df.withColumn("_b", F.shiftright(F.col(order).cast("bigint"), bits))
     ahead = Window.partitionBy(run).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy(run, "_b").agg(F.count(F.lit(1)).alias("_c")).select(
         run, "_b", F.coalesce(F.sum("_c").over(ahead), F.lit(0)).alias("_off"),
         F.sum("_c").over(Window.partitionBy(run)).alias("n"))
+    if per_run is not None:
+        offsets = offsets.join(per_run, run)
     inside = F.row_number().over(Window.partitionBy(run, "_b").orderBy(order))
     return (
         rows.withColumn("_rn", inside)

@@ -26,7 +26,7 @@ def runs(log):
 def _entries(spark, sf):
     log = monitor_log(spark, sf)
     plan = m.monitor_windows(runs(log), "total_steps").select("run_id", "window", "slope_window", "min_history")
-    return m.loss_entries(log).join(plan, "run_id")
+    return m.loss_entries(log, plan)
 
 
 LOG_SQL = f"""
