@@ -78,6 +78,10 @@ def test_chain(spark, mode):
 
 STEPS = [
     (c.strip_special_tokens, "a <|x|> b <| c", "a  b <| c"),
+    (c.strip_html, "a <b> c > d < e", "a  c > d < e"),
+    (c.strip_media_placeholders, "[image a] ] [video", " ] [video"),
+    (c.unwrap_math_wrappers, r"\text{a} } \text{b", r"a } \text{b"),
+    (c.strip_header_lines, "#\n\n## b\n\n\n\n# c\nd", "\n\nd"),
     (c.strip_bold, "a **b** c **d", "a  c **d"),
     (c.strip_header_lines, "  ## t\nx\n###y\n#\nz", "\nx\n###y\n"),  # the line end behind a lone # is white space too
     (c.strip_answer_marker, " ### Final Answer: x ### y", "x ### y"),
@@ -109,7 +113,8 @@ def test_steps(spark):
 
 def test_long_texts_do_not_overflow_the_stack(spark):
     n = 120_000
-    texts = ["$" + "x" * n, "\\(" + "\\a" * n, "\\(" + "x\\)" * n, "[image" + "y" * n, "\n" * 2000 + "#", "{{" + "x" * n]
+    texts = ["$" + "x" * n, "\\(" + "\\a" * n, "\\(" + "x\\)" * n, "[image" + "y" * n, "\n" * n + "x", "{{" + "x" * n,
+             "a> " + "<" * n, "a] " + "[image" * n, "} " + "\\text{" * n, "x" + " " * n + "y"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     for mode in c.MODES:
         assert df.select(F.length(c.clean_text(F.col("t"), mode)).alias("n")).where("n >= 0").count() == len(texts)

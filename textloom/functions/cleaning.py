@@ -60,7 +60,8 @@ ANSWER_MARKER = (
 )
 DOUBLE_BRACE = r"(?d)\{\{.*?\}\}"
 SPECIAL_TOKEN = r"(?d)<\|.*?\|>"
-HEADER_LINE = r"(?dm)^" + WS + r"*#{1,6}" + WS + r".*$"
+# A line start behind two line ends lies in white space that was tried from an earlier line start.
+HEADER_LINE = r"(?dm)^(?<!\n\n)" + WS + r"*#{1,6}" + WS + r".*$"
 # A word boundary where letters, numbers and the underscore make words, but no marks and joiners.
 EDGE = r"(?:(?<=[\p{L}\p{N}_])(?![\p{L}\p{N}_])|(?<![\p{L}\p{N}_])(?=[\p{L}\p{N}_]))"
 JUNK_PHRASE = r"(?iu)" + EDGE + r"(?:Click here|Subscribe|Follow us|Advertisement)" + EDGE
@@ -149,6 +150,19 @@ def _sub(pattern: str, by: str, when: Callable[[Column], Column]) -> Callable[[C
     return lambda c: bound(c, lambda x: F.when(when(x), F.regexp_replace(x, pattern, by)).otherwise(x))
 
 
+def _sub_closed(pattern: str, by: str, closer: str, when: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """As `_sub`, for patterns that end at the next `closer`.
+
+    Only the text up to the last closer can match. Without the rest, an opener that is never
+    closed cannot make the pattern run to the end of the text for each opener.
+    """
+    def replaced(x: Column) -> Column:
+        return bound(F.substring_index(x, closer, -1), lambda rest: F.concat(
+            F.regexp_replace(F.left(x, F.char_length(x) - F.char_length(rest)), pattern, by), rest))
+
+    return lambda c: bound(c, lambda x: F.when(x.contains(closer) & when(x), replaced(x)).otherwise(x))
+
+
 def _ascii_only(x: Column) -> Column:
     return F.octet_length(x) == F.char_length(x)
 
@@ -179,7 +193,7 @@ def collapse_newlines(c: Column) -> Column:
 
 
 strip_formatting = _sub(FORMATTING, "", lambda x: F.rlike(x, F.lit(r"[#*_`!?&]")))
-unwrap_math_wrappers = _sub(MATH_WRAPPER, "$1", _has("\\"))
+unwrap_math_wrappers = _sub_closed(MATH_WRAPPER, "$1", "}", _has("\\"))
 unwrap_dollars = _sub(DOLLAR_SPAN, "$1", _has("$"))
 
 
@@ -208,7 +222,7 @@ strip_latex_spans = _sub(LATEX_SPAN, "$1", _has("$"))
 strip_tex_spans = _sub(TEX_SPAN, "", _has(r"\(", r"\["))
 strip_mathrm = _sub(MATHRM, "", _has(r"\mathrm{"))
 strip_environments = _sub(ENVIRONMENT, "", lambda x: x.contains(r"\begin{") & x.contains(r"\end{"))
-strip_html = _sub(HTML_TAG, "", lambda x: x.contains("<") & x.contains(">"))
+strip_html = _sub_closed(HTML_TAG, "", ">", _has("<"))
 unwrap_boxed = _sub(BOXED, "$1", _has(r"\boxed{"))
 strip_chat_tags = _sub(CHAT_TAG, "", _has("["))
 strip_answer_marker = _sub(ANSWER_MARKER, "", _has("###"))
@@ -219,7 +233,7 @@ strip_junk_phrases = _sub(JUNK_PHRASE, "", _has_word("click here", "subscribe",
 strip_shop_tags = _sub(SHOP_TAG, "", _has_word("sku", "asin", "msrp", "price"))
 strip_bold = _sub(BOLD_SPAN, "", _has("**"))
 strip_invisible = _sub(INVISIBLE, "", lambda x: ~_ascii_only(x) & _has_byte(0xE2, 0xEF)(x))
-strip_media_placeholders = _sub(MEDIA_PLACEHOLDER, "", _has("["))
+strip_media_placeholders = _sub_closed(MEDIA_PLACEHOLDER, "", "]", _has("["))
 
 
 def strip_trash(c: Column) -> Column:
