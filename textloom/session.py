@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -23,6 +25,17 @@ def local_session(cores: str = "8", app: str = "textloom") -> SparkSession:
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, which need not have it on their path. Once per session."""
+    context = spark.sparkContext
+    if getattr(context, "_textloom_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    context.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="textloom-"), "textloom_package"), "zip",
+                                          os.path.dirname(package), os.path.basename(package)))
+    context._textloom_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the session names.
 
