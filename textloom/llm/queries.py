@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import ann, packing, quality, sharding, tokenfiles, urls
+from textloom.llm import ann, ngram_join, packing, quality, sharding, tokenfiles, urls
 from textloom.llm.common import byte_length, words
 from textloom.session import scratch_path
 
@@ -30,6 +30,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
@@ -158,6 +162,7 @@ FROM tested JOIN rates ON tested.source IS NOT DISTINCT FROM rates.source
 """
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op3_neighbours": op3_neighbours,
     "op5_token_files": op5_token_files, "op6_url_filter": op6_url_filter, "op7_shards": op7_shards,
     "op8_packing": op8_packing, "op9_quality": op9_quality,
