@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import ann, ngram_join, packing, quality, sharding, tokenfiles, urls
+from textloom.llm import ann, ngram_join, packing, quality, sharding, suffixes, tokenfiles, urls
 from textloom.llm.common import byte_length, words
 from textloom.session import scratch_path
 
@@ -161,7 +161,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM tested JOIN rates ON tested.source IS NOT DISTINCT FROM rates.source
 """
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op10_suffix_dedup": op10_suffix_dedup,
     "op1_ngram_join": op1_ngram_join,
     "op3_neighbours": op3_neighbours,
     "op5_token_files": op5_token_files, "op6_url_filter": op6_url_filter, "op7_shards": op7_shards,
