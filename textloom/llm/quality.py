@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import SPACE, stored, words
 
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
+
 #: Base rules: fewer words than this fail, and more than this share of repeated words, in percent.
 MIN_WORDS = 50
 MAX_REPEATED = 50
@@ -56,7 +58,11 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
                  | F.coalesce(a["x"] == F.get(p, j + 1)["x"], F.lit(False))), lambda a: a["i"]))).drop("_p")
     i = F.col("_i")
     covered = F.transform(i, lambda a, j: F.least(F.lit(3), F.coalesce(F.get(i, j + 1) - a, F.lit(3))))
-    return out.withColumn("n_repeat_words", F.aggregate(covered, F.lit(0).cast("bigint"), lambda s, x: s + x)).drop("_i")
+    out = out.withColumn("n_repeat_words", F.aggregate(covered, F.lit(0).cast("bigint"), lambda s, x: s + x)).drop("_i")
+    # A filter on a measure would be pushed below all this, and each step computed in it many times over;
+    # it does not pass a generator.
+    out = out.withColumn("_m", F.explode(F.array(F.struct(*MEASURES)))).drop(*MEASURES)
+    return out.withColumns({c: F.col(f"_m.{c}") for c in MEASURES}).drop("_m")
 
 
 def base_failed() -> Column:
