@@ -1,16 +1,66 @@
-"""Corpus pipeline: quality rules, near duplicates, repeated passages, packing."""
+"""Corpus pipeline: quality rules, near duplicates, repeated passages, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on what the stage before kept; all but the last
+return the columns of documents. Null ids, null texts and repeated rows are handled as the
+operators define; the result of an empty table is empty.
+"""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import packing, quality
-from textloom.llm.common import words
+from textloom.llm import ngram_join, packing, quality, suffixes
+from textloom.llm.common import first_of, stored, words
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a base rule, or whose host is rejected, go."""
+    return quality.judge(docs).where("kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the least id stays, with one row. Rows of a null id all stay."""
+    found = ngram_join.similar(docs.select("doc_id", "text"))
+    staying = stored(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")), "staying")
+    kept = docs.join(staying, "doc_id", "left")
+    once = kept.where("doc_id IS NULL OR _rows = 1")
+    several = first_of(kept.where("_rows > 1"), ["doc_id"], [F.xxhash64(*docs.columns)])
+    return once.unionByName(several).select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages are cut out; a document of which nothing is left goes. Characters that a cut
+    divides go too, and n_chars follows the text."""
+    decode = F.pandas_udf(_decoded, "string")
+    out = suffixes.dedup(docs).where("n_removed = 0 OR n_removed < n_bytes")
+    out = out.withColumn("text", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(decode("kept")))
+    return out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(
+        F.length("text").cast("bigint"))).select(*docs.columns)
+
+
+def _decoded(kept: pd.Series) -> pd.Series:
+    return kept.map(lambda b: None if b is None else b.decode("utf-8", "ignore"))
+
+
+def length_buckets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents, or pieces of long ones, in batches; lengths in words and one end token each."""
+    return packing.pack(docs.withColumn("n_tokens", F.size(words(F.col("text"))) + 1), "n_tokens")
+
+
+STAGES = [
+    ("quality_rules", quality_rules), ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages), ("length_buckets", length_buckets),
+]
 
-STAGES = []
+#: SQL cannot express the packing; the pipeline is tested against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over the documents of `sf_dir`, each written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
