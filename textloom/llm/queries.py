@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import ann, ngram_join, packing, quality, sharding, suffixes, tokenfiles, urls
+from textloom.llm import ann, lm, ngram_join, packing, quality, sharding, suffixes, tokenfiles, urls
 from textloom.llm.common import byte_length, words
 from textloom.session import scratch_path
 
@@ -34,6 +34,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
@@ -169,6 +173,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op1_ngram_join": op1_ngram_join,
+    "op2_lm_scores": op2_lm_scores,
     "op3_neighbours": op3_neighbours,
     "op5_token_files": op5_token_files, "op6_url_filter": op6_url_filter, "op7_shards": op7_shards,
     "op8_packing": op8_packing, "op9_quality": op9_quality,

@@ -43,14 +43,20 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and the number of words of each text. Words do not cross texts.
+    """Hashes of all words, and the number of words of each text. Words do not cross texts."""
+    hashes, starts, _ = word_spans(data, offsets)
+    return hashes, np.diff(np.searchsorted(starts, offsets))
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and length of every word.
 
     A word's hash is a polynomial in its bytes, taken from running sums over segments; a word that
     goes on behind a segment is put together from its parts.
     """
     begins = np.zeros(len(data) + 1, bool)
     begins[offsets] = True
-    found, starts = [], []
+    found, starts, lengths = [], [], []
     open_hash, open_length, open_start = 0, 0, 0
     for at in range(0, len(data), SEGMENT):
         b = data[at:at + SEGMENT]
@@ -68,16 +74,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         if carried and not (goes_on and not len(first)):
             found.append(np.array([open_hash], np.uint64) + np.uint64(open_length))
             starts.append(np.array([open_start]))
+            lengths.append(np.array([open_length]))
         hashes = (sums[last] - sums[first]) * _INVERSE[first]
         if goes_on and len(first):
             open_hash, open_length, open_start = int(hashes[-1]), int(last[-1] - first[-1]), at + int(first[-1])
             hashes, first, last = hashes[:-1], first[:-1], last[:-1]
         found.append(hashes + (last - first).astype(np.uint64))
         starts.append(first + at)
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
-    starts = np.concatenate(starts)
-    return mixed(np.concatenate(found)), np.diff(np.searchsorted(starts, offsets))
+        lengths.append(last - first)
+    none = np.zeros(0, np.int64)
+    return (mixed(np.concatenate([none.astype(np.uint64), *found])), np.concatenate([none, *starts]),
+            np.concatenate([none, *lengths]))
 
 
 def shingle_sets(column: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
