@@ -10,12 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import ann, lm, ngram_join, packing, quality, sharding, suffixes, tokenfiles, urls
+from textloom.llm import ann, lm, ngram_join, packing, pieces, quality, sharding, suffixes, tokenfiles, urls
 from textloom.llm.common import byte_length, words
 from textloom.session import scratch_path
 
 #: The public tokenizers that the queries use, and the id that closes a document.
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 BYTE_BPE_SIZE = 50_257
 END_ID = 2
 SHARDS = 24
@@ -43,6 +44,25 @@ def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids, and of the text that decoding them gives."""
+    path = tokenizer_path(PIECE_BPE)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs, path), path)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, ends = b.column(1).flatten().to_numpy().astype("<u4"), b.column(1).offsets.to_numpy()
+            ends = ends - ends[0]
+            crc = [zlib.crc32(ids[x:y].tobytes()) for x, y in zip(ends, ends[1:], strict=False)]
+            yield pa.record_batch([b.column(0), pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64()), b.column(2),
+                                   b.column(3)], ["doc_id", "n_tokens", "ids_crc32", "decoded_crc32", "same_text"])
+
+    return coded.select("doc_id", "ids", F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text")).mapInArrow(
+        digest, "doc_id bigint, n_tokens bigint, ids_crc32 bigint, decoded_crc32 bigint, same_text boolean")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path(BYTE_BPE)
     parts = tokenfiles.write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"),
@@ -175,7 +195,7 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_lm_scores": op2_lm_scores,
     "op3_neighbours": op3_neighbours,
-    "op5_token_files": op5_token_files, "op6_url_filter": op6_url_filter, "op7_shards": op7_shards,
+    "op4_pieces": op4_pieces, "op5_token_files": op5_token_files, "op6_url_filter": op6_url_filter, "op7_shards": op7_shards,
     "op8_packing": op8_packing, "op9_quality": op9_quality,
 }
 ORACLES = {"op6_url_filter": OP6_SQL, "op9_quality": OP9_SQL}
