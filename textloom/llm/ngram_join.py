@@ -274,7 +274,7 @@ def _ordered(texts: DataFrame, width: int, parts: int) -> DataFrame:
         of, tokens, uses = of[by], tokens[by], uses[by]
         first = np.flatnonzero(np.concatenate([[True], (docs[of[1:]] != docs[of[:-1]]) | (key[of[1:]] != key[of[:-1]])])
                                ) if len(of) else np.zeros(0, np.int64)
-        last = np.append(first[1:], len(of))
+        last = np.append(first[1:], len(of))[:len(first)]
         rows = []
         for a, z in zip(first, last, strict=True):
             size = int(n[of[a]])
