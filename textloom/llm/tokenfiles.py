@@ -15,13 +15,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.shingles import text_slices
+
 #: Entries of a worker's cache of encoded pieces; a full cache is emptied.
-CACHE = 400_000
+CACHE = 300_000
+#: New pieces that go to the tokenizer together, and bytes of text that are cut together.
+TOGETHER = 10_000
+SLICE = 2 << 20
 #: Ids of one row on reading; a longer document is read in several rows.
 READ_IDS = 1 << 20
 
@@ -38,12 +44,24 @@ def _write(filesystem: pafs.FileSystem, path: str, chunks: Iterator[bytes]) -> N
     filesystem.move(trial, path)
 
 
+_MARK = "\x01"
+_LINE_END = 198
+_SIGNS = ".,;:!?"
+#: White space in a row, or other than the space and the line end, and the mark itself.
+_WHOLE = ("[ \n][ \n]|[\\x{01}\\t\\r\\x{0b}\\x{0c}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
+          "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
+#: A sign before a space that does not stand behind a letter or digit, and so may belong to a longer piece.
+_SIGN_APART = f"(^|[^\\pL\\pN])[{_SIGNS}] "
+
+
 class Encoder:
     """Encodes texts with a tokenizer file of byte-level BPE, piece by piece through a cache.
 
-    The pattern of these tokenizers never joins a single space to what stands before it, if
-    no white space follows: the space opens the next word. So a text may be cut there, and
-    each distinct piece is encoded once. Texts with other runs of white space at a cut are
+    The pattern of these tokenizers takes a single space as the beginning of the next word, a
+    single line end as a piece of its own, and a sign behind a letter or digit apart from both
+    that and the space behind it. So a text may be cut there, and each distinct piece is
+    encoded once: Arrow cuts a column and finds its distinct pieces, and new ones go to the
+    tokenizer together, a line each. Texts with other white space, or white space in a row, are
     encoded whole.
     """
 
@@ -56,45 +74,65 @@ class Encoder:
 
     def _empty(self) -> None:
         self.place: dict[str, int] = {}
-        self.ids = np.zeros(1 << 20, np.uint32)
-        self.start = np.zeros(CACHE * 2, np.int64)
-        self.end = np.zeros(CACHE * 2, np.int64)
-        self.used = 0
-
-    def _learn(self, keys: list[str], texts: list[str]) -> None:
-        for key, e in zip(keys, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids, n = e.ids, len(self.place)
-            if n >= len(self.start):
-                self.start, self.end = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.end))
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.start[n], self.end[n] = self.used, self.used + len(ids)
-            self.used += len(ids)
-            self.place[key] = n
-
-    def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        words = text.split(" ")
-        if any(not w or w[0].isspace() for w in words[1:]):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        # A key is the word behind its space; only the first piece has none, and its key begins with one.
-        words[0] = " " + words[0]
+        self.ids = np.zeros(0, np.uint32)
+        self.ends = np.zeros(0, np.int64)
+
+    def _plain(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _put(self, pieces: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
+        n, base = len(self.place), len(self.ids)
+        self.place.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        self.ids = np.concatenate([self.ids, flat])
+        self.ends = np.concatenate([self.ends, base + np.cumsum(lengths)])
+
+    def _learn(self, pieces: list[str]) -> None:
+        if len(self.place) > CACHE:
+            self._empty()
+        texts = {p: p[1:] if p[:1] == _MARK else " " + p for p in pieces}
+        for piece in [p for p, t in texts.items() if t in ("", " ", "\n")]:
+            ids = self._plain(texts.pop(piece))
+            self._put([piece], ids, np.array([len(ids)]))
+        keys = list(texts)
+        for own in (keys[k:k + TOGETHER] for k in range(0, len(keys), TOGETHER)):
+            # The line ends between the pieces are tokens of their own.
+            ids = np.append(self._plain("\n".join([texts[p] for p in own])), np.uint32(_LINE_END))
+            breaks = np.flatnonzero(ids == _LINE_END)
+            self._put(own, np.delete(ids, breaks), np.diff(breaks, prepend=-1) - 1)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column without nulls, one after the other, and their number in each text."""
+        texts = texts.cast(pa.string())
+        whole = pc.match_substring_regex(texts, _WHOLE)
+        cut = pc.binary_join_element_wise(pa.scalar(_MARK), pc.if_else(whole, "", texts), "")
+        cut = pc.replace_substring(cut, "\n", f" {_MARK}\n {_MARK}")
+        apart, signed = pc.match_substring_regex(pc.utf8_slice_codeunits(cut, 1), _SIGN_APART), cut
+        for sign in _SIGNS:
+            signed = pc.replace_substring(signed, f"{sign} ", f" {_MARK}{sign} ")
+        pieces = pc.split_pattern(pc.if_else(apart, cut, signed), " ")
+        coded = pieces.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
         get = self.place.get
-        at = [get(w, -1) for w in words]
-        if -1 in at:
+        place = np.array([get(w, -1) for w in words], np.int64)
+        if (place < 0).any():
+            new = [words[k] for k in np.flatnonzero(place < 0)]
             if len(self.place) > CACHE:
-                self._empty()
-            get, first = self.place.get, words[0]
-            new = [w for w in dict.fromkeys(words) if w not in self.place]
-            self._learn(new, [w[1:] if w is first else " " + w for w in new])
-            at = [get(w) for w in words]
-        place = np.array(at, np.int64)
-        start = self.start[place]
-        lengths = self.end[place] - start
-        ends = np.cumsum(lengths)
-        return self.ids[np.arange(ends[-1]) + np.repeat(start - ends + lengths, lengths)]
+                new = words
+            self._learn(new)
+            get = self.place.get
+            place = np.array([get(w) for w in words], np.int64)
+        stop = self.ends[place]
+        start = np.where(place > 0, self.ends[place - 1], 0)
+        at = coded.indices.to_numpy()
+        start, length = start[at], (stop - start)[at]
+        ends = np.cumsum(length)
+        flat = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + length, length)]
+        counts = np.diff(np.append(0, ends)[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()])
+        for k in np.flatnonzero(whole.to_numpy(zero_copy_only=False)):
+            own = self._plain(texts[int(k)].as_py())
+            flat = np.insert(flat, counts[:k].sum(), own)
+            counts[k] += len(own)
+        return flat, counts
 
 
 _encoders: dict[str, Encoder] = {}
@@ -107,12 +145,12 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def write_tokens(docs: DataFrame, folder: str, encode: Callable[[], Callable[[str], np.ndarray]], end_id: int,
+def write_tokens(docs: DataFrame, folder: str, encode: Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]], end_id: int,
                  vocabulary: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write the ids of all documents, in ascending order of id, and return the list of parts:
     part, n_docs, n_ids, first_doc, first_id, folder, width (bytes of an id).
 
-    `encode` gives, in a worker, the function from a text to its ids; `end_id` closes each
+    `encode` gives, in a worker, the function from texts to ids and counts; `end_id` closes each
     document. Null and empty texts have only the end id. Null ids come first and are written as
     the least 64-bit number; rows of one id are ordered by the hash of their text. An empty
     table gives an empty list. Other columns are not read.
@@ -125,18 +163,17 @@ def write_tokens(docs: DataFrame, folder: str, encode: Callable[[], Callable[[st
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, run, total = TaskContext.get().partitionId(), None, 0
-        ends, ids, stop = [], [], np.array([end_id], kind)
+        ends, ids = [], []
 
         def chunks() -> Iterator[bytes]:
             nonlocal run, total
-            for b in batches:
-                if b.num_rows:
-                    run = run or encode()
-                    found = [run(t) for t in b.column(1).to_pylist()]
-                    ids.append(b.column(0).to_numpy())
-                    ends.append(total + np.cumsum([len(f) + 1 for f in found]))
-                    total = int(ends[-1][-1])
-                    yield np.concatenate([x.astype(kind) for f in found for x in (f, stop)]).tobytes()
+            for b in (part for whole in batches if whole.num_rows for part in text_slices(whole, 1, SLICE)):
+                run = run or encode()
+                flat, counts = run(b.column(1))
+                ids.append(b.column(0).to_numpy())
+                ends.append(total + np.cumsum(counts + 1))
+                total = int(ends[-1][-1])
+                yield np.insert(flat, np.cumsum(counts), end_id).astype(kind).tobytes()
 
         filesystem, root = open_folder(folder)
         base = f"{root}/{part:06d}"
