@@ -105,39 +105,39 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
 
 
 class _Best:
-    """The best `k` candidates of each query of a block."""
+    """The best `k` candidates of each query of a block, and those that rounding could put among them."""
 
-    def __init__(self, queries: int, k: int) -> None:
-        self.k, self.bar = k, np.full(queries, -np.inf)
+    def __init__(self, queries: int, rows: int, k: int) -> None:
+        self.k, self.rows, self.bar = k, rows, np.full(queries, -np.inf)
         self.found: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
-    def add(self, queries: np.ndarray, rows: np.ndarray, scores: np.ndarray, score) -> None:  # noqa: ANN001
-        """scores: rows x queries. A little below the bar still counts: rounding must not decide."""
-        bar = self.bar[queries]
-        bar = np.where(np.isfinite(bar), bar - 1e-9 * (1 + np.abs(bar)), bar)
-        r, q = np.nonzero((scores >= bar) & (scores > -np.inf))
-        self.found.append((queries[q], rows[r]))
+    def add(self, queries: np.ndarray, rows: np.ndarray, scores: np.ndarray) -> None:
+        """scores: rows x queries, from a matrix product."""
+        r, q = np.nonzero(scores > self.bar[queries])
+        self.found.append((queries[q] * self.rows + rows[r], scores[r, q]))
         self.size += len(q)
-        if self.size > 400_000:
-            self.settle(score)
+        if self.size > 1_000_000:
+            self.settle()
 
-    def settle(self, score) -> tuple[np.ndarray, np.ndarray, np.ndarray]:  # noqa: ANN001
+    def settle(self) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) of all kept pairs, each once."""
         if not self.found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        pairs = np.unique(np.concatenate([np.stack(f) for f in self.found], axis=1), axis=1)
-        q, r = pairs
-        s, ids = score(q, r)
-        order = np.lexsort((ids, -s, q))
-        q, r, s = q[order], r[order], s[order]
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        pair, first = np.unique(np.concatenate([f[0] for f in self.found]), return_index=True)
+        s = np.concatenate([f[1] for f in self.found])[first]
+        q = pair // self.rows
+        order = np.lexsort((-s, q))
+        pair, s, q = pair[order], s[order], q[order]
         begin = np.searchsorted(q, q, "left")
-        nth = np.arange(len(q)) - begin
-        keep = nth < self.k
-        q, r, s, nth = q[keep], r[keep], s[keep], nth[keep]
-        full = nth == self.k - 1
-        self.bar[q[full]] = s[full]
-        self.found, self.size = [(q, r)], len(q)
-        return q, r, s
+        last = begin + self.k - 1
+        enough = np.searchsorted(q, q, "right") > last
+        bar = np.where(enough, s[np.minimum(last, len(s) - 1)], -np.inf)
+        bar = np.where(enough, bar - 1e-9 * (1 + np.abs(bar)), bar)
+        self.bar[q] = bar
+        keep = s > bar
+        self.found, self.size = [(pair[keep], s[keep])], int(keep.sum())
+        return q[keep], pair[keep] % self.rows
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, id: str = "vec_id", vector: str = "embedding",
@@ -197,43 +197,41 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id: str = "vec_id",
     for r in located.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect():
         counts[r["leaf"]] = r["count"]
     # Leaves in order, a large one in several pieces, are dealt to tasks of about `task_rows` rows.
-    pieces = [max(1, -(-n // piece_rows)) for n in counts]
+    pieces = np.maximum(1, -(-np.array(counts) // piece_rows))
     base = np.concatenate([[0], np.cumsum(pieces)])
-    load = np.repeat(np.array(counts) / np.array(pieces), pieces)
+    load = np.repeat(np.array(counts) / pieces, pieces)
     task_of = ((np.cumsum(load) - load) // task_rows).astype(np.int64)
     tasks = int(task_of[-1]) + 1
 
     want = max(share * total, LEAST * k * trees)
 
-    def dealt(task: int, kind: int, ids: list, vs: list, leaves: list) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(task, pa.int32()), pa.array([kind] * len(ids), pa.int32()), pa.array(ids, pa.int64()),
-                                pa.array(vs, pa.list_(pa.float64())), pa.array(leaves, pa.list_(pa.int32()))], _DEALT)
+    def dealt(b: pa.RecordBatch, kind: int, row: np.ndarray, piece: np.ndarray) -> pa.RecordBatch:
+        """Each row once for each task that owns one of its pieces, with these."""
+        task = task_of[piece]
+        order = np.lexsort((piece, row, task))
+        row, piece, task = row[order], piece[order], task[order]
+        fresh = np.ones(len(row), bool)
+        fresh[1:] = (task[1:] != task[:-1]) | (row[1:] != row[:-1])
+        first = np.flatnonzero(fresh)
+        take = pa.array(row[first])
+        return pa.record_batch([
+            pa.array(task[first].astype(np.int32)), pa.array(np.full(len(first), kind, np.int32)), b.column(0).take(take),
+            b.column(1).take(take), pa.ListArray.from_arrays(pa.array(np.append(first, len(row)).astype(np.int32)),
+                                                             pa.array(piece.astype(np.int32)))], _DEALT)
 
     def send_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list = [[], [], [], []]
-            for i, vec, leaves in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                here: dict[int, list[int]] = {}
-                for leaf_no in leaves:
-                    piece = int(base[leaf_no]) + hash(i) % pieces[leaf_no]
-                    here.setdefault(int(task_of[piece]), []).append(piece)
-                for task, own in here.items():
-                    for o, x in zip(out, (task, i, vec, own), strict=True):
-                        o.append(x)
-            yield dealt(out[0], 0, *out[1:])
+            own = b.column(2).flatten().to_numpy()
+            row = np.repeat(np.arange(b.num_rows), trees)
+            yield dealt(b, 0, row, base[own] + b.column(0).to_numpy()[row] % pieces[own])
 
     def send_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list = [[], [], [], []]
-            for i, vec in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                here: dict[int, list[int]] = {}
-                for leaf_no in search(forest, first, counts, np.array([*vec, 0.0]), want):
-                    for piece in range(int(base[leaf_no]), int(base[leaf_no + 1])):
-                        here.setdefault(int(task_of[piece]), []).append(piece)
-                for task, own in here.items():
-                    for o, x in zip(out, (task, i, vec, own), strict=True):
-                        o.append(x)
-            yield dealt(out[0], 1, *out[1:])
+            m = np.column_stack([_matrix(b.column(1), dims), np.zeros(b.num_rows)])
+            opened = [np.array(search(forest, first, counts, x, want), np.int64) for x in m]
+            row, own = np.repeat(np.arange(len(m)), [len(o) for o in opened]), np.concatenate([*opened, np.zeros(0, np.int64)])
+            every = np.arange(pieces[own].sum()) - np.repeat(np.cumsum(pieces[own]) - pieces[own], pieces[own])
+            yield dealt(b, 1, np.repeat(row, pieces[own]), np.repeat(base[own], pieces[own]) + every)
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list = []
@@ -261,29 +259,31 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id: str = "vec_id",
                     continue
                 held = held or hold()
                 own_ids, own, piece, row = held
-                best = _Best(len(ids), k)
-
-                def score(q: np.ndarray, r: np.ndarray, m=m, own=own, own_ids=own_ids) -> tuple:  # noqa: ANN001
-                    s = np.concatenate([np.sum(own[r[a:a + 65536]] * m[q[a:a + 65536]], axis=1) for a in range(0, len(q), 65536)]
-                                       or [np.zeros(0)])
-                    return s, own_ids[r]
-
+                best = _Best(len(ids), len(own_ids), k)
                 q_of = np.repeat(np.arange(len(ids)), lengths)
                 order = np.argsort(of, kind="stable")
                 of, q_of = of[order], q_of[order]
                 opened, at = np.unique(of, return_index=True)
+                place = {i: n for n, i in enumerate(own_ids.tolist())}
+                self_row = np.array([place.get(i, -1) for i in ids.tolist()])
                 for p, a, z in zip(opened, at, [*at[1:], len(of)], strict=True):
                     r = row[np.searchsorted(piece, p):np.searchsorted(piece, p, "right")]
-                    if len(r):
-                        q = q_of[a:z]
-                        s = own[r] @ m[q].T
-                        s[own_ids[r][:, None] == ids[q][None, :]] = -np.inf
-                        for x in range(0, len(r), 2048):
-                            best.add(q, r[x:x + 2048], s[x:x + 2048], score)
-                q, r, s = best.settle(score)
+                    for x in range(0, len(r), 2048):
+                        for y in range(a, z, 2048):
+                            q, rows_here = q_of[y:min(y + 2048, z)], r[x:x + 2048]
+                            s = own[rows_here] @ m[q].T
+                            at_row = np.searchsorted(rows_here, self_row[q]).clip(max=len(rows_here) - 1)
+                            mine = np.flatnonzero(rows_here[at_row] == self_row[q])
+                            s[at_row[mine], mine] = -np.inf
+                            if len(place) < len(own_ids):  # several vectors of one id
+                                s[own_ids[rows_here][:, None] == ids[q][None, :]] = -np.inf
+                            best.add(q, rows_here, s)
+                q, r = best.settle()
+                s = np.concatenate([np.sum(own[r[x:x + 65536]] * m[q[x:x + 65536]], axis=1) for x in range(0, len(q), 65536)]
+                                   or [np.zeros(0)])
                 other = own_ids[r] != ids[q]
-                q, r, s = q[other], r[other], s[other]
-                yield pa.record_batch([pa.array(ids[q]), pa.array(own_ids[r]), pa.array(s)], ["query_id", "vec_id", "score"])
+                yield pa.record_batch([pa.array(ids[q][other]), pa.array(own_ids[r][other]), pa.array(s[other])],
+                                      ["query_id", "vec_id", "score"])
 
     fields = "task int, kind int, id bigint, v array<double>, leaves array<int>"
     both = located.mapInArrow(send_rows, fields).unionByName(asked.mapInArrow(send_queries, fields))
