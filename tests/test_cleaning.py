@@ -1,5 +1,7 @@
 """Cleaning steps and chains on literals: input, mode, expected text."""
 
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -155,3 +157,21 @@ def test_round_exact(spark):
     for digits in (0, 2, 3, 4, 6):
         got = [r[0] for r in df.select(round_exact(F.col("v"), digits)).collect()]
         assert got == [round(v, digits) for v in values]
+
+
+@pytest.mark.parametrize("step,head,opener", [
+    ("strip_environments", r"\end{a}", r"\begin{a}"), ("strip_double_braces", "}}", "{{ "), ("strip_tex_spans", "", r"\( a "),
+    ("strip_mathrm", "}", r"\mathrm{a "), ("unwrap_boxed", "}", r"\boxed{a "), ("strip_special_tokens", "|>", "<| a")])
+def test_unclosed_openers_cost_one_pass(spark, step, head, opener):
+    text = head + opener * (400_000 // len(opener))
+    start = time.time()
+    assert spark.createDataFrame([(text,)], "t string").select(getattr(c, step)(F.col("t"))).first()[0] == text
+    assert time.time() - start < 10
+
+
+def test_openers_beside_closed_ones(spark):
+    cases = [("strip_double_braces", "a {{b}} {{c\n{{d}} e", "a  {{c\n e"), ("strip_special_tokens", "<|a|> <|b\n<|c|>", " <|b\n"),
+             ("strip_environments", r"\begin{a}x\end{a} \begin{b}", r" \begin{b}"), ("unwrap_boxed", r"$\boxed{4}$ \boxed{5", r"4 \boxed{5"),
+             ("strip_mathrm", "\\mathrm{a} \\mathrm{b", " \\mathrm{b"), ("strip_tex_spans", r"\(a\) \[b\] \(c", r" ".join(["", "", r"\(c"]))]
+    for step, text, want in cases:
+        assert spark.createDataFrame([(text,)], "t string").select(getattr(c, step)(F.col("t"))).first()[0] == want, step

@@ -52,7 +52,7 @@ TEX_SPAN = (
 MATHRM = r"(?d)\\mathrm\{.*?\}"
 ENVIRONMENT = r"(?s)\\begin\{[^}]+\}.*?\\end\{[^}]+\}"
 HTML_TAG = r"<[^>]+>"
-BOXED = r"\$*\\boxed\{([^}]*)\}\$*"
+BOXED = r"(?:(?<!\$)\$++)?\\boxed\{([^}]*+)\}\$*"
 CHAT_TAG = r"\[/?(?:INST|SYS|USER|ASSISTANT)\]"
 ANSWER_MARKER = (
     r"(?iu)^" + WS + r"*#{3,6}" + WS + r"*(?:final" + WS + r"*answer" + WS + r"*:)?"
@@ -150,17 +150,32 @@ def _sub(pattern: str, by: str, when: Callable[[Column], Column]) -> Callable[[C
     return lambda c: bound(c, lambda x: F.when(when(x), F.regexp_replace(x, pattern, by)).otherwise(x))
 
 
-def _sub_closed(pattern: str, by: str, closer: str, when: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    """As `_sub`, for patterns that end at the next `closer`.
+def _sub_closed(pattern: str, by: str, closers: str | tuple[str, ...], when: Callable[[Column], Column]
+                ) -> Callable[[Column], Column]:
+    """As `_sub`, for patterns that end at one of the `closers`.
 
     Only the text up to the last closer can match. Without the rest, an opener that is never
     closed cannot make the pattern run to the end of the text for each opener.
     """
+    closers = (closers,) if isinstance(closers, str) else closers
+
     def replaced(x: Column) -> Column:
-        return bound(F.substring_index(x, closer, -1), lambda rest: F.concat(
+        rest = x
+        for closer in closers:
+            rest = F.substring_index(rest, closer, -1)
+        return bound(rest, lambda rest: F.concat(
             F.regexp_replace(F.left(x, F.char_length(x) - F.char_length(rest)), pattern, by), rest))
 
-    return lambda c: bound(c, lambda x: F.when(x.contains(closer) & when(x), replaced(x)).otherwise(x))
+    return lambda c: bound(c, lambda x: F.when(_has(*closers)(x) & when(x), replaced(x)).otherwise(x))
+
+
+def _or_rest(pattern: str, opener: str) -> tuple[str, str]:
+    """The pattern, or else an opener with all that follows on its line, which is put back.
+
+    Where the first opener of a line finds no closer, no later one of the line does. Taken together
+    with the rest, they are not tried one by one.
+    """
+    return f"{pattern}|({opener}.*+)", "$1"
 
 
 def _ascii_only(x: Column) -> Column:
@@ -219,15 +234,17 @@ def collapse_spaces(c: Column) -> Column:
 
 
 strip_latex_spans = _sub(LATEX_SPAN, "$1", _has("$"))
-strip_tex_spans = _sub(TEX_SPAN, "", _has(r"\(", r"\["))
-strip_mathrm = _sub(MATHRM, "", _has(r"\mathrm{"))
-strip_environments = _sub(ENVIRONMENT, "", lambda x: x.contains(r"\begin{") & x.contains(r"\end{"))
+strip_tex_spans = _sub_closed(TEX_SPAN, "", (r"\)", r"\]"), _has(r"\(", r"\["))
+strip_mathrm = _sub(*_or_rest(MATHRM, r"\\mathrm\{"), _has(r"\mathrm{"))
+strip_environments = _sub_closed(*_or_rest(ENVIRONMENT, r"\\begin\{[^}]++\}"), "}",
+                                 lambda x: x.contains(r"\begin{") & x.contains(r"\end{"))
 strip_html = _sub_closed(HTML_TAG, "", ">", _has("<"))
-unwrap_boxed = _sub(BOXED, "$1", _has(r"\boxed{"))
+# An opener without a closer takes the rest of the text, which is put back.
+unwrap_boxed = _sub(BOXED + r"|(\\boxed\{[^}]*+)", "$1$2", _has(r"\boxed{"))
 strip_chat_tags = _sub(CHAT_TAG, "", _has("["))
 strip_answer_marker = _sub(ANSWER_MARKER, "", _has("###"))
-strip_double_braces = _sub(DOUBLE_BRACE, "", lambda x: x.contains("{{") & x.contains("}}"))
-strip_special_tokens = _sub(SPECIAL_TOKEN, "", lambda x: x.contains("<|") & x.contains("|>"))
+strip_double_braces = _sub(*_or_rest(DOUBLE_BRACE, r"\{\{"), lambda x: x.contains("{{") & x.contains("}}"))
+strip_special_tokens = _sub(*_or_rest(SPECIAL_TOKEN, r"<\|"), lambda x: x.contains("<|") & x.contains("|>"))
 strip_header_lines = _sub(HEADER_LINE, "", _has("#"))
 strip_junk_phrases = _sub(JUNK_PHRASE, "", _has_word("click here", "subscribe", "follow us", "advertisement"))
 strip_shop_tags = _sub(SHOP_TAG, "", _has_word("sku", "asin", "msrp", "price"))
