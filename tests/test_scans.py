@@ -101,13 +101,13 @@ def test_sparkline(spark):
         assert got[run] == "".join("▁▂▃▄▅▆▇█"[int((v - min(x)) / span * 7)] for v in x)
 
 
-def test_report_parts_hold_all_evaluations(spark):
+def test_report_holds_all_evaluations(spark):
     rows = [(1, i, i, None, 0.5 * i, 1.0, None, None, None) for i in range(10)] + [(2, 1, 1, 3.0, None, 0.5, 9.0, 2.0, 1.0)]
     log = spark.createDataFrame(rows, "run_id int, seq bigint, step bigint, loss double, eval_loss double, epoch double, "
                                       "train_runtime double, train_samples_per_second double, train_steps_per_second double")
-    got = report.run_report(log, 1, 10, 1, 4, evals_per_part=4).collect()
-    assert sorted(len(r.report.eval) for r in got if r.run_id == 1) == [2, 4, 4]
-    assert [e.eval_loss for r in sorted((r for r in got if r.run_id == 1), key=lambda r: r.part) for e in r.report.eval] == [0.5 * i for i in range(10)]
+    got = report.run_report(log, 1, 10, 1, 4).collect()
+    assert sorted(r.run_id for r in got) == [1, 2]
+    assert [e.eval_loss for r in got if r.run_id == 1 for e in r.report.eval] == [0.5 * i for i in range(10)]
     two = next(r for r in got if r.run_id == 2).report
     assert two.eval == [] and two.loss.trend == "plateau    (+0.0000 vs first 20%)" and two.training_time_sec == 9.0
     assert next(r for r in got if r.run_id == 1).report.loss.trend == "n/a"

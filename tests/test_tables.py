@@ -106,8 +106,6 @@ def test_tokens(spark):
     assert {r.id: r.input_ids for r in bare.collect()}[2] == []
     plain = tokens.vocabulary(df, "text", 3, specials=[("eos", "<|endoftext|>")])
     assert tokens.special_ids(plain).first().pad_id == 0
-    with pytest.raises(ValueError):
-        tokens.vocabulary(df, "text", 1 << 20)
 
 
 def test_length_profile(spark):
@@ -194,3 +192,33 @@ def test_duration_and_display(spark):
     assert [r[0] for r in df.select(duration_text(F.col("s"))).collect()] == ["0s", "59s", "1m 00s", "59m 59s", "1h 00m 00s", "25h 01m 01s"]
     row = spark.range(1).select(logs.display_row(F.lit(12), F.lit(1.23456), F.lit(0.0), F.lit(0.5), F.lit(0.256))).first()[0]
     assert row == f"  step {12:<6}  loss {1.23456:<8.4f}  lr {'0':<10}  gnorm {0.5:<8.3f}  ep {0.256:.2f}"
+
+
+def test_large_vocabulary_is_joined(spark, monkeypatch):
+    """A vocabulary beyond the lookup's size keeps every id."""
+    df = spark.createDataFrame([(1, "a b c d e f g h"), (2, "a a zz"), (3, ""), (4, "h g f")], "id int, text string")
+    vocab = tokens.vocabulary(df.where("id <> 2"), "text", 100)
+    want = {r.id: r.input_ids for r in tokens.tokenize(df, "text", vocab, 6).collect()}
+    monkeypatch.setattr(tokens, "LOOKUP_ROWS", 4)
+    got = {r.id: r.input_ids for r in tokens.tokenize(df, "text", vocab, 6).collect()}
+    assert got == want and len(set(want[1])) == 6 and want[2][-1] == 3
+
+
+def test_images_of_all_kinds(spark):
+    png = bytes.fromhex("89504E470D0A1A0A00")
+    rows = [(1, (png, None), "a.PNG", png, 1), (2, (b"xx", "a.png"), "a.txt", b"xx", 0), (3, (None, "a.jpeg"), None, None, 2),
+            (4, (b"", "b"), "x/b.tiff", b"", 3), (5, None, "", png, 4)]
+    df = spark.createDataFrame(rows, "id int, s struct<bytes:binary,path:string>, p string, b binary, label int")
+    for image, want in (("s", {1, 3}), ("p", {1, 4}), ("b", {1, 5})):
+        assert {r.id for r in prepare.drop_unreadable(df, image).collect()} == want
+    out = prepare.prepare(df.select("id", F.col("b").alias("photo"), "label"), "id", clean_mode="code").collect()
+    assert {(r.id, r.text) for r in out} == {(1, "1"), (5, "4")}
+    zero = prepare.prepare(df.select("id", F.col("s").alias("img"), F.lit(0.0).alias("label"), F.lit("what").alias("question")), "id").collect()
+    assert {(r.id, r.text) for r in zero} == {(1, "what"), (3, "what")}
+
+
+def test_message_arrays(spark):
+    rows = [(1, [("user", "hello  there"), ("assistant", "hi <b>you</b>")], None), (2, [("user", "")], None), (3, None, "x")]
+    df = spark.createDataFrame(rows, "id int, messages array<struct<role:string,content:string>>, extra string")
+    for forced in (None, "chat"):
+        assert {(r.id, r.text) for r in prepare.prepare(df, "id", "code", forced).collect()} == {(1, "hello  there\n\nhi you")}

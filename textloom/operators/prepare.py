@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions.cleaning import clean_text, strip
 from textloom.operators.roles import table_roles
@@ -13,12 +14,18 @@ IMAGE_PROMPT = ("<|user|>\n<|image_1|>\n", "<|end|>\n<|assistant|>")  # fixed va
 # First bytes of the image formats that are accepted: PNG, JPEG, GIF, BMP, WEBP (RIFF), TIFF.
 IMAGE_SIGNATURES = ["89504E470D0A1A0A", "FFD8FF", "474946383761", "474946383961", "424D",
                     "52494646", "49492A00", "4D4D002A"]
+IMAGE_NAMES = r"\.(png|jpe?g|gif|bmp|webp|tiff?)$"
 
 
 def _joined(parts: list[Column]) -> Column:
     return F.concat_ws(JOINT, *parts)  # skips nulls, keeps empty texts
 
 
+def _is_messages(df: DataFrame, name: str | None) -> bool:
+    kind = None if name is None else df.schema[name].dataType
+    return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) and "content" in kind.elementType.names
+
+
 def sft_text(question: Column | None, chosen: Column | None, mode: str = "math") -> Column:
     """Cleaned question and answer. A part is left out if null, not if cleaned to nothing."""
     parts = [F.when(c.isNotNull(), clean_text(c, mode)) for c in (question, chosen) if c is not None]
@@ -41,12 +48,21 @@ def multimodal_text(question: Column | None, chosen: Column | None, mode: str =
     return _joined(parts)
 
 
+def counting(df: DataFrame, name: str | None) -> Column | None:
+    """A column for `multimodal_text`: numbers that are zero and false count as no answer."""
+    if name is None:
+        return None
+    kind, c = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.BooleanType):
+        return F.when(c, c.cast("string"))
+    return F.when(c != 0, c.cast("string")) if isinstance(kind, T.NumericType) else c
+
+
 def multimodal_rows(df: DataFrame, question: str | None, chosen: str | None, image: str,
                     mode: str = "math") -> DataFrame:
     """text and image only, blank texts dropped."""
-    col = lambda name: None if name is None else F.col(name)
-    rows = df.select(multimodal_text(col(question), col(chosen), mode).alias("text"),
-                     F.col(image).alias("image"))
+    text = multimodal_text(counting(df, question), counting(df, chosen), mode)
+    rows = df.select(text.alias("text"), F.col(image).alias("image"))
     return drop_blank(rows, "text", "image")
 
 
@@ -63,8 +79,28 @@ def readable_image(image: Column) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def _image_path(path: Column) -> Column:
+    return F.coalesce(F.rlike(F.lower(path), F.lit(IMAGE_NAMES)), F.lit(False))
+
+
+def image_ok(df: DataFrame, image: str) -> Column:
+    """Whether an image column can be read: binary payloads and the bytes of (bytes, path) structs by their
+    first bytes; paths, alone or in a struct without bytes, by their ending. Files are not opened."""
+    kind, c = df.schema[image].dataType, F.col(image)
+    if isinstance(kind, T.StructType):
+        payload = c["bytes"] if "bytes" in kind.names else F.lit(None).cast("binary")
+        path = c["path"] if "path" in kind.names else F.lit(None).cast("string")
+        return F.when(F.coalesce(F.octet_length(payload), F.lit(0)) > 0, readable_image(payload)).otherwise(_image_path(path))
+    return _image_path(c) if isinstance(kind, T.StringType) else readable_image(c)
+
+
+def drop_unreadable(df: DataFrame, image: str = "image") -> DataFrame:
+    """Rows whose image can be read."""
+    return df.where(image_ok(df, image))
+
+
 def image_drop_counts(df: DataFrame, image: str, *by: str) -> DataFrame:
-    ok = readable_image(F.col(image))
+    ok = image_ok(df, image)
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(ok).alias("kept"),
                                F.count_if(~ok).alias("dropped"))
 
@@ -133,38 +169,43 @@ def conversation_pairs(turns: DataFrame) -> DataFrame:
         answers, ["conv_id", "turn"], "left")
 
 
-def chat_threads(turns: DataFrame, mode: str = "math", turns_per_part: int = 1024) -> DataFrame:
-    """Cleaned turns of each conversation in order, as one text.
-
-    Longer conversations continue in further parts, so no row holds an unbounded group.
-    """
-    part = F.floor(F.col("turn") / turns_per_part).cast("bigint")
-    rows = evaluated_once(turns.withColumn("part", part), clean_text(F.col("text"), mode), "_t",
-                          "conv_id", "part", "turn")
-    return rows.groupBy("conv_id", "part").agg(
+def chat_threads(turns: DataFrame, mode: str = "math") -> DataFrame:
+    """Cleaned turns of each conversation in order, as one text."""
+    rows = evaluated_once(turns, clean_text(F.col("text"), mode), "_t", "conv_id", "turn")
+    return rows.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", "_t"))).alias("_ts")
-    ).select("conv_id", "part", F.array_join(F.col("_ts._t"), JOINT).alias("text"))
+    ).select("conv_id", F.array_join(F.col("_ts._t"), JOINT).alias("text"))
 
 
 def prepare(df: DataFrame, key: str, clean_mode: str = "math", forced_mode: str | None = None,
             seed: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The whole preparation of one table: detect, map, build the text, drop blanks, shuffle.
+    """The whole preparation of one table: detect, map, build the text, drop blanks and rows with
+    unreadable images, shuffle.
 
-    Shuffles last when a seed is given: rows are dropped before they are moved.
+    A question or answer column of message arrays gives one part per message. Shuffles last when
+    a seed is given: rows are dropped before they are moved.
     """
     roles = table_roles(df.columns, forced_mode)
     col = lambda role: None if roles[role] is None else F.col(roles[role])
     mode = roles["mode"]
     kept = [key, *keep]
+
+    def part(role: str) -> Column | None:
+        if roles[role] is None:
+            return None
+        if _is_messages(df, roles[role]):
+            return chat_text(col(role), clean_mode)
+        return F.when(col(role).isNotNull(), clean_text(col(role), clean_mode))
+
     if mode == "causal":
         text = causal_text(col("chosen"), clean_mode)
     elif mode == "chat":
-        text = _joined([F.when(col("question").isNotNull(), clean_text(col("question"), clean_mode))])
+        text = _joined([part("question")])
     elif mode == "multimodal":
-        text = multimodal_text(col("question"), col("chosen"), clean_mode)
-        df = df.withColumnRenamed(roles["image"], "image")
+        text = multimodal_text(counting(df, roles["question"]), counting(df, roles["chosen"]), clean_mode)
+        df = drop_unreadable(df.withColumnRenamed(roles["image"], "image"))
         kept.append("image")
     else:
-        text = sft_text(col("question"), col("chosen"), clean_mode)
+        text = _joined([p for p in (part("question"), part("chosen")) if p is not None])
     out = prepared(df, text, *kept)
     return out if seed is None else seeded_shuffle(out, key, seed)

@@ -134,21 +134,15 @@ def duration_text(seconds: Column) -> Column:
     )
 
 
-def run_report(log: DataFrame, epochs_planned: int, dataset_size: int, batch: int, grad_accum: int,
-               evals_per_part: int = 4096) -> DataFrame:
+def run_report(log: DataFrame, epochs_planned: int, dataset_size: int, batch: int, grad_accum: int) -> DataFrame:
     """One row per run with a `report` struct, ready for JSON.
 
-    The evaluation entries of a run are one array of its report. A run with more than
-    `evals_per_part` of them continues in further rows (`part` 1, 2, ...), so no row grows with
-    the run.
+    The evaluation entries of a run, with all their eval_* fields, are one array of its report.
     """
     entries = train_entries(log)
-    evals = (
-        index_rows(eval_entries(log), "run_id", "seq")
-        .withColumn("part", F.floor((F.col("pos") - 1) / evals_per_part).cast("int"))
-        .groupBy("run_id", "part")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "step", "eval_loss"))).alias("_e"))
-    )
+    fields = [c for c in log.columns if c.startswith("eval_")]
+    evals = eval_entries(log).groupBy("run_id").agg(
+        F.array_sort(F.collect_list(F.struct("seq", "step", *fields))).alias("_e"))
     losses = _with_trend(entries.groupBy("run_id").agg(*_summary(), *_head_tail()))
     runs = (
         log.groupBy("run_id").agg(*_exposure(batch, grad_accum), *_throughput())
@@ -162,10 +156,10 @@ def run_report(log: DataFrame, epochs_planned: int, dataset_size: int, batch: in
         round_exact(F.col("delta_first_to_final"), 6).alias("delta_first_to_final"),
         F.coalesce("trend", F.lit("n/a")).alias("trend"),
     )
-    none = F.array().cast("array<struct<step:bigint,eval_loss:double>>")
+    none = F.array().cast(f"array<struct<step:bigint,{','.join(f'{c}:double' for c in fields)}>>")
     evaluation = F.transform("_e", lambda e: F.struct(
-        e["step"].cast("bigint").alias("step"), e["eval_loss"].cast("double").alias("eval_loss")))
-    return runs.select("run_id", F.coalesce("part", F.lit(0)).alias("part"), F.struct(
+        e["step"].cast("bigint").alias("step"), *[e[c].cast("double").alias(c) for c in fields]))
+    return runs.select("run_id", F.struct(
         "total_steps", F.lit(epochs_planned).alias("epochs_planned"),
         round_exact(F.col("epochs_completed"), 4).alias("epochs_completed"),
         F.lit(dataset_size).alias("dataset_size"), F.lit(batch).alias("batch_size"),

@@ -1,7 +1,7 @@
 """Token operators: vocabulary, tokenising, lengths, label masks, batches, perplexity.
 
 The splitter is a regular expression (letters, digits, single symbols) and ids come from a
-vocabulary table of bounded size.
+vocabulary table.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ TOKEN = r"\p{L}+|\p{N}+|[^\s\x1c-\x1f\x85\p{Z}\p{L}\p{N}]"
 IGNORE = -100
 SPECIALS = [("pad", "<|pad|>"), ("bos", "<|startoftext|>"), ("eos", "<|endoftext|>"), ("unk", "<|unk|>")]
 MIN_LENGTH, MAX_LENGTH = 128, 1024
-MAX_VOCABULARY = 1 << 18
+#: A vocabulary of at most this many rows travels with the lookup; a larger one is joined.
+LOOKUP_ROWS = 1 << 18
 
 
 def split_tokens(text: Column) -> Column:
@@ -35,8 +36,6 @@ def vocabulary(df: DataFrame, text: str, size: int = 32768,
     id, token, uses, role. Counting aggregates before the shuffle; the ranked part holds `size`
     rows whatever the data.
     """
-    if size > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} tokens")
     names = [token for _, token in specials]
     counts = df.select(F.explode(split_tokens(F.col(text))).alias("token")).groupBy("token").agg(
         F.count(F.lit(1)).alias("uses")).where(~F.col("token").isin(names))
@@ -79,10 +78,10 @@ def length_profile(df: DataFrame, length: str, *by: str) -> DataFrame:
 def id_lookup(vocab: DataFrame):
     """Column function: array of tokens -> array of ids.
 
-    The vocabulary has a bounded size (see `vocabulary`), so it travels with the function. One
-    hash lookup over the flattened tokens of a batch; rows stay where they are, nothing shuffles.
+    For a vocabulary of checked size (see `tokenize`): it travels with the function. One hash
+    lookup over the flattened tokens of a batch; rows stay where they are, nothing shuffles.
     """
-    table = vocab.limit(MAX_VOCABULARY + len(SPECIALS)).select("id", "token", "role").toArrow()
+    table = vocab.select("id", "token", "role").toArrow()
     tokens, ids = table["token"].combine_chunks(), table["id"].combine_chunks()
     unknown = pc.filter(ids, pc.equal(table["role"].combine_chunks(), "unk"))
     unk = unknown[0].as_py() if len(unknown) else None
@@ -99,6 +98,21 @@ def id_lookup(vocab: DataFrame):
     return lookup
 
 
+def joined_ids(df: DataFrame, tokens: str, vocab: DataFrame, name: str) -> DataFrame:
+    """As `id_lookup`, by a join, for a vocabulary of any size: adds the array `name` of ids.
+
+    Only (row, position, token) goes through the join; the rows themselves meet their ids again by number.
+    """
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    unk = vocab.where("role = 'unk'").select(F.max("id").alias("_unk"))
+    found = rows.select("_row", F.posexplode(tokens).alias("_pos", "token")).join(
+        vocab.select("id", "token"), "token", "left").join(F.broadcast(unk))
+    ids = found.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
+        "_pos", F.coalesce("id", "_unk").alias("id")))).alias("_ids")).select("_row", F.col("_ids.id").alias(name))
+    return rows.join(ids, "_row", "left").withColumn(
+        name, F.coalesce(name, F.array().cast("array<bigint>"))).drop("_row")
+
+
 def tokenize(df: DataFrame, text: str, vocab: DataFrame, max_length: int | Column,
              bos: bool = True) -> DataFrame:
     """Add input_ids (cut to max_length), attention_mask, labels and the uncut length."""
@@ -106,8 +120,11 @@ def tokenize(df: DataFrame, text: str, vocab: DataFrame, max_length: int | Colum
     limit = F.lit(max_length) if isinstance(max_length, int) else max_length
     # a generator, so that the split is not repeated for each of the columns made from it
     out = df.select("*", F.explode(F.array(F.concat(start, split_tokens(F.col(text))))).alias("_tokens"))
-    out = out.select(*df.columns, F.size("_tokens").alias("length"),
-                     id_lookup(vocab)(F.slice("_tokens", F.lit(1), limit)).alias("input_ids"))
+    out = out.select(*df.columns, F.size("_tokens").alias("length"), F.slice("_tokens", F.lit(1), limit).alias("_tokens"))
+    if vocab.count() <= LOOKUP_ROWS:
+        out = out.withColumn("input_ids", id_lookup(vocab)("_tokens")).drop("_tokens")
+    else:
+        out = joined_ids(out, "_tokens", vocab, "input_ids").drop("_tokens")
     return (out.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1).cast("bigint")))
             .withColumn("labels", F.col("input_ids")))
 

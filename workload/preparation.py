@@ -146,10 +146,26 @@ QUERIES["causal_text"] = lambda spark, sf: p.prepared(
     documents(spark, sf), p.causal_text(F.col("text")), "doc_id")
 ORACLES["causal_text"] = f"SELECT * FROM ({clean_sql('text', 'math', 'doc_id', 'documents')}) WHERE text <> ''"
 
-QUERIES["chat_text"] = lambda spark, sf: p.chat_threads(_turns(spark, sf), "general", turns_per_part=4)
+QUERIES["chat_text"] = lambda spark, sf: p.chat_threads(_turns(spark, sf), "general")
 ORACLES["chat_text"] = f"""
 WITH turns AS ({_turn_sql('general')})
-SELECT conv_id, turn // 4 AS part, string_agg(t, chr(10) || chr(10) ORDER BY turn) AS text FROM turns GROUP BY ALL"""
+SELECT conv_id, string_agg(t, chr(10) || chr(10) ORDER BY turn) AS text FROM turns GROUP BY ALL"""
+
+
+def message_arrays(spark, sf):
+    """Conversations as arrays of messages, prepared in both modes."""
+    arrays = _turns(spark, sf).groupBy("conv_id").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))),
+        lambda m: F.struct(m["role"].alias("role"), m["text"].alias("content"))).alias("messages"))
+    return p.prepare(arrays, "conv_id", "general").withColumn("mode", F.lit("sft")).unionByName(
+        p.prepare(arrays, "conv_id", "general", "chat").withColumn("mode", F.lit("chat")))
+
+
+QUERIES["message_arrays"] = message_arrays
+ORACLES["message_arrays"] = f"""
+WITH turns AS ({_turn_sql('general')}),
+texts AS (SELECT conv_id, string_agg(t, chr(10) || chr(10) ORDER BY turn) AS text FROM turns GROUP BY 1)
+SELECT conv_id, text, mode FROM texts, (VALUES ('sft'), ('chat')) m(mode) WHERE {_strip('text')} <> ''"""
 
 
 def _with_images(spark, sf):
@@ -191,6 +207,25 @@ SELECT split_part(url, '/', 3) AS host, count(*) AS rows,
        count(*) FILTER (page_id % 7 = 0 OR page_id % 5 = 3) AS dropped
 FROM pages GROUP BY 1"""
 
+
+
+def image_kinds(spark, sf):
+    """The image rows once as (bytes, path) structs and once as paths, unreadable ones dropped."""
+    rows = _with_images(spark, sf)
+    path = F.concat("url", F.element_at(F.array(F.lit(".png"), F.lit(".JPG"), F.lit(".txt")), (F.col("page_id") % 3 + 1).cast("int")))
+    rows = rows.select("page_id", F.struct(F.col("photo").alias("bytes"), path.alias("path")).alias("boxed"), path.alias("path"))
+    return p.drop_unreadable(rows, "boxed").select("page_id", F.lit("struct").alias("kind")).unionByName(
+        p.drop_unreadable(rows, "path").select("page_id", F.lit("path").alias("kind")))
+
+
+QUERIES["image_kinds"] = image_kinds
+ORACLES["image_kinds"] = f"""
+WITH p AS ({_PAGES.replace("SELECT page_id,", "SELECT page_id, url || (['.png', '.JPG', '.txt'])[page_id % 3 + 1] AS path,", 1)}),
+h AS (SELECT page_id, regexp_matches(path, '[.](png|jpe?g|gif|bmp|webp|tiff?)$', 'i') AS named, hex(photo) AS x FROM p)
+SELECT page_id, 'struct' AS kind FROM h WHERE CASE WHEN x IS NULL THEN named
+  ELSE regexp_matches(x, '^(89504E470D0A1A0A|FFD8FF|474946383761|474946383961|424D|52494646|49492A00|4D4D002A)') END
+UNION ALL SELECT page_id, 'path' FROM h WHERE named"""
+
 # ---- filters, metrics, order ------------------------------------------------------------------
 LAST = [(" the ", " persistent "), ("é", "é ")]  # makes many English texts unusable
 _DOCS = documents

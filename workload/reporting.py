@@ -19,6 +19,8 @@ def report_log(spark, sf):
         "run_id", "seq", F.when(F.col("seq") % 5 > 0, F.col("step")).alias("step"),
         F.when(~kind.isin("view", "purchase"), value).alias("loss"),
         F.when(kind == "view", value).alias("eval_loss"),
+        F.when((kind == "view") & (F.col("run_id") % 3 > 0), value * 3).alias("eval_runtime"),
+        F.when(kind == "view", value * 2 + 1).alias("eval_perplexity"),
         F.when(kind == "purchase", value * 10).alias("train_runtime"),
         F.when((kind == "purchase") & (F.col("run_id") % 2 == 0), value * 2).alias("train_samples_per_second"),
         F.when(kind == "purchase", value / 4).alias("train_steps_per_second"), "epoch")
@@ -29,6 +31,7 @@ LOG_SQL = f"""
 report_log AS (
   SELECT run_id, seq, CASE WHEN seq % 5 > 0 THEN step END AS step,
     CASE WHEN event_type NOT IN ('view', 'purchase') THEN loss END AS loss, CASE WHEN event_type = 'view' THEN loss END AS eval_loss,
+    CASE WHEN event_type = 'view' AND run_id % 3 > 0 THEN loss * 3 END AS eval_runtime, CASE WHEN event_type = 'view' THEN loss * 2 + 1 END AS eval_perplexity,
     CASE WHEN event_type = 'purchase' THEN loss * 10 END AS train_runtime,
     CASE WHEN event_type = 'purchase' AND run_id % 2 = 0 THEN loss * 2 END AS sps,
     CASE WHEN event_type = 'purchase' THEN loss / 4 END AS stps, epoch FROM event_log),
@@ -81,7 +84,7 @@ exposure AS (SELECT run_id, coalesce(max(step), 0)::BIGINT AS total_steps, 16::B
 ORACLES["exposure_totals"] = f"WITH {LOG_SQL}, {EXPOSURE_SQL} SELECT * FROM exposure"
 
 QUERIES["eval_list"] = lambda spark, sf: rep.eval_entries(report_log(spark, sf))
-ORACLES["eval_list"] = f"WITH {LOG_SQL} SELECT run_id, seq, step, eval_loss FROM report_log WHERE eval_loss IS NOT NULL"
+ORACLES["eval_list"] = f"WITH {LOG_SQL} SELECT run_id, seq, step, eval_loss, eval_runtime, eval_perplexity FROM report_log WHERE eval_loss IS NOT NULL"
 
 QUERIES["sparkline"] = lambda spark, sf: rep.sparkline(_long(spark, sf))
 
@@ -105,24 +108,28 @@ SELECT run_id, seq, CASE WHEN s < 60 THEN s || 's' WHEN s < 3600 THEN (s // 60)
   ELSE (s // 3600) || 'h ' || lpad((s % 3600 // 60)::VARCHAR, 2, '0') || 'm ' || lpad((s % 60)::VARCHAR, 2, '0') || 's' END AS duration FROM s"""
 
 
-def run_report(spark, sf, parts=4):
-    return rep.run_report(report_log(spark, sf), 2, 1000, 2, 8, evals_per_part=parts)
+def run_report(spark, sf):
+    return rep.run_report(report_log(spark, sf), 2, 1000, 2, 8)
 
 
 def _flat_report(df):
     r, loss = F.col("report"), F.col("report.loss")
     return df.select(
-        "run_id", "part", *[r[c].alias(c) for c in ("total_steps", "epochs_planned", "dataset_size", "effective_batch", "samples_seen",
+        "run_id", *[r[c].alias(c) for c in ("total_steps", "epochs_planned", "dataset_size", "effective_batch", "samples_seen",
                                                     "training_time_sec", "samples_per_sec")],
         *[loss[c].alias(f"loss_{c}") for c in ("first", "final", "best", "best_step", "worst", "trend")],
         r6(r["epochs_completed"], "epochs"), r6(loss["avg_last_10pct"], "avg_last"), r6(loss["delta_first_to_final"], "delta"),
-        F.array_join(F.transform(r["eval"], lambda e: F.concat(F.coalesce(e["step"].cast("string"), F.lit("-")), F.lit("="), F.round(e["eval_loss"] * 1000).cast("bigint"))), ",").alias("evals"))
+        F.array_join(F.transform(r["eval"], lambda e: F.concat(
+            F.coalesce(e["step"].cast("string"), F.lit("-")), F.lit("="), F.round(e["eval_loss"] * 1000).cast("bigint"), F.lit("/"),
+            F.coalesce(F.round(e["eval_runtime"] * 1000).cast("bigint").cast("string"), F.lit("-")), F.lit("/"),
+            F.round(e["eval_perplexity"] * 1000).cast("bigint"))), ",").alias("evals"))
 
 
 REPORT_SQL = f"""WITH {LOG_SQL}, {SUMMARY_SQL}, {HEAD_SQL}, {THROUGHPUT_SQL}, {EXPOSURE_SQL},
-e AS (SELECT run_id, step, eval_loss, row_number() OVER (PARTITION BY run_id ORDER BY seq) - 1 AS p FROM report_log WHERE eval_loss IS NOT NULL),
-parts AS (SELECT run_id, (p // 4)::INT AS part, string_agg(coalesce(step::VARCHAR, '-') || '=' || round(eval_loss * 1000)::BIGINT, ',' ORDER BY p) AS evals FROM e GROUP BY 1, 2)
-SELECT run_id, coalesce(part, 0) AS part, total_steps, 2 AS epochs_planned, 1000 AS dataset_size, effective_batch, samples_seen,
+parts AS (SELECT run_id, string_agg(coalesce(step::VARCHAR, '-') || '=' || round(eval_loss * 1000)::BIGINT || '/' ||
+    coalesce(round(eval_runtime * 1000)::BIGINT::VARCHAR, '-') || '/' || round(eval_perplexity * 1000)::BIGINT, ',' ORDER BY seq) AS evals
+  FROM report_log WHERE eval_loss IS NOT NULL GROUP BY 1)
+SELECT run_id, total_steps, 2 AS epochs_planned, 1000 AS dataset_size, effective_batch, samples_seen,
   round(train_runtime, 2) AS training_time_sec, round(samples_per_sec, 4) AS samples_per_sec,
   round("first", 6) AS loss_first, round(final, 6) AS loss_final, round(best, 6) AS loss_best, best_step AS loss_best_step,
   round(worst, 6) AS loss_worst, coalesce(trend, 'n/a') AS loss_trend, {r6_sql('round(epochs_completed, 4)', 'epochs')},
