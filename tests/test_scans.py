@@ -111,3 +111,24 @@ def test_report_holds_all_evaluations(spark):
     two = next(r for r in got if r.run_id == 2).report
     assert two.eval == [] and two.loss.trend == "plateau    (+0.0000 vs first 20%)" and two.training_time_sec == 9.0
     assert next(r for r in got if r.run_id == 1).report.loss.trend == "n/a"
+
+
+def test_median_with_values_that_are_not_finite(spark):
+    inf, nan = float("inf"), float("nan")
+    runs = {1: [1.0, 2.0, nan], 2: [inf, 1.0, 3.0], 3: [inf, inf, 1.0], 4: [-inf, 2.0, 5.0, inf], 5: [-inf], 6: [4.0, 8.0], 7: [nan] * 4}
+    rows = [(r, i, float(v)) for r, vs in runs.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "run_id int, seq int, loss double")
+    got = {r.run_id: r["median"] for r in scans.exact_median(df, "run_id", "loss").collect()}
+    want = {r: float(np.median(vs)) for r, vs in runs.items()}
+    assert {r: repr(v) for r, v in got.items()} == {r: repr(v) for r, v in want.items()}
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf")])
+def test_one_diverged_run_leaves_the_others(spark, bad):
+    rows = [(r, i, i, bad if r == 1 and i == 40 else 3.0 / (1 + i) + r, 0.01 * i) for r in (1, 2) for i in range(1, 90)]
+    df = spark.createDataFrame(rows, "run_id int, seq bigint, step bigint, loss double, epoch double")
+    alone = df.where("run_id = 2")
+    for name in ("loss_stats", "analysis"):
+        run = getattr(curves, name)
+        assert [str(r) for r in run(df).where("run_id = 2").collect()] == [str(r) for r in run(alone).collect()]
+        assert run(df).where("run_id = 1").count() == 1

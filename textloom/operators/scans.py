@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 CHUNK = 1 << 16
 _BITS = 18
+_NAN_LEVEL = 1 << 40
 
 
 def index_rows(df: DataFrame, run: str, order: str, bits: int = _BITS, per_run: DataFrame | None = None) -> DataFrame:
@@ -131,11 +132,15 @@ def exact_median(df: DataFrame, run: str, value: str, out: str = "median") -> Da
     """Exact median of `value` per run, without a run's values meeting in one task.
 
     Rows are counted in logarithmic buckets, the bucket holding the middle is cut into 2^16 equal
-    parts, and only the part holding the middle is counted value by value.
+    parts, and only the part holding the middle is counted value by value. A run with a NaN has a
+    median of NaN.
     """
     v = F.col("_v")
-    level = F.when(v == 0, F.lit(0)).otherwise(
+    finite = F.when(v == 0, F.lit(0)).otherwise(
         (F.signum(v) * (1 + F.floor(64 * (F.log2(F.abs(v)) + 1100)))).cast("bigint"))
+    # infinite values lie at the ends, and NaN behind them
+    level = (F.when(F.isnan(v), F.lit(_NAN_LEVEL)).when(v == float("inf"), F.lit(_NAN_LEVEL - 1))
+             .when(v == float("-inf"), F.lit(1 - _NAN_LEVEL)).otherwise(finite))
     rows = df.select(run, F.col(value).cast("double").alias("_v")).where(v.isNotNull()).withColumn("_b1", level)
 
     def counted(rows: DataFrame, keys: list[str], bucket: str) -> DataFrame:
@@ -151,10 +156,12 @@ def exact_median(df: DataFrame, run: str, value: str, out: str = "median") -> Da
                 .withColumn("_want", F.transform("_want", lambda w: w - F.col("_before"))).drop("_c", "_before"))
 
     first = counted(rows, [run], "_b1").withColumn("_n", F.sum("_c").over(Window.partitionBy(run)))
-    middle = F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1)
+    unknown = F.max("_b1").over(Window.partitionBy(run)) == _NAN_LEVEL
+    middle = F.when(unknown, F.array("_n", "_n")).otherwise(F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1))
     first = hit(first.withColumn("_want", middle)).drop("_n")
     span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
-    part = F.least(F.floor((v - F.col("_lo")) / span * 65536), F.lit(65535)).cast("bigint")
+    part = F.when(F.col("_lo") == F.col("_hi"), F.lit(0).cast("bigint")).otherwise(
+        F.least(F.floor((v - F.col("_lo")) / span * 65536), F.lit(65535)).cast("bigint"))
     rows = rows.join(first, [run, "_b1"]).withColumn("_b2", part)
     second = hit(counted(rows, [run, "_b1", "_want"], "_b2")).drop("_lo", "_hi")
     rows = rows.drop("_lo", "_hi", "_want").join(second, [run, "_b1", "_b2"])
