@@ -64,7 +64,7 @@ def tables(spark):
 
 def row_by_row(spark, log, runs, settings):
     plan = m.monitor_windows(runs, "total_steps", settings).toPandas().set_index("run_id")
-    pdf = log.toPandas()
+    pdf = log.withColumn("no_loss", F.col("loss").isNull()).toPandas()
     out = {}
     for run, rows in pdf.groupby("run_id"):
         rows = rows.assign(**{c: plan.loc[run, c] for c in plan.columns})
@@ -89,6 +89,41 @@ def test_parallel_equals_row_by_row(spark, tables, settings, chunk, monkeypatch)
     assert got == row_by_row(spark, log, runs, settings)
 
 
+@pytest.fixture(scope="module")
+def odd_tables(spark, tables):
+    """Losses that are not finite, early, in the middle and late, of all kinds."""
+    log, runs = tables
+    bad = F.element_at(F.array(*[F.lit(float(x)) for x in ("nan", "inf", "-inf")]), (F.col("run_id") % 3 + 1).cast("int"))
+    at = F.element_at(F.array(F.lit(2), F.lit(10), F.lit(70), F.lit(150)), (F.col("run_id") % 4 + 1).cast("int"))
+    second = F.when((F.col("run_id") % 2 == 0) & (F.col("step") == at + 30), F.lit(float("-inf")))
+    loss = F.when((F.col("step") == at) & (F.col("run_id") % 5 > 0), bad).otherwise(F.coalesce(second, "loss"))
+    return log.withColumn("loss", F.when(F.col("loss").isNotNull(), loss)), runs
+
+
+@pytest.mark.filterwarnings("ignore")
+@pytest.mark.parametrize("chunk", [64, 600, 1 << 16])
+def test_losses_that_are_not_finite(spark, odd_tables, chunk, monkeypatch):
+    monkeypatch.setattr(m, "CHUNK", chunk)
+    log, runs = odd_tables
+    settings = SETTINGS[2]
+    got = {r.run_id: (r.stop_step, r.reason) for r in m.early_stop(log, runs, settings).collect()}
+    assert got == row_by_row(spark, log, runs, settings)
+
+
+def test_smoothing_keeps_what_is_not_finite(spark, monkeypatch):
+    y = np.linspace(3, 1, 4000)
+    y[10], y[2000] = np.nan, np.inf
+    rows = [(r, i + 1, float(v)) for r, s in ((1, y), (2, np.where(np.isnan(y), 1.0, y))) for i, v in enumerate(s)]
+    log = spark.createDataFrame(rows, "run_id bigint, pos bigint, loss double").withColumn("n", F.lit(4000))
+    log = log.withColumn("window", F.lit(128)).withColumn("slope_window", F.lit(96))
+    for chunk in (64, 600, 65_536):
+        monkeypatch.setattr(m, "CHUNK", chunk)
+        got = m.signals(log).orderBy("run_id", "pos").toPandas()
+        one, two = got[got.run_id == 1].ema.to_numpy(), got[got.run_id == 2].ema.to_numpy()
+        assert np.isfinite(one[:10]).all() and np.isnan(one[10:]).all()
+        assert np.isfinite(two[:2000]).all() and np.isposinf(two[2000:]).all()
+
+
 def test_every_reason_occurs(spark, tables):
     log, runs = tables
     reasons = {r.reason for s in SETTINGS for r in m.early_stop(log, runs, s).collect()}

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
@@ -29,6 +30,7 @@ from textloom.session import scratch_path
 
 MAD_SCALE = 1.4826
 _TINY = 1e-12
+_NEVER = 1 << 62
 _NARROW = 512  # windows up to this width are computed as rows of a matrix
 
 
@@ -162,6 +164,23 @@ def _sorted_mad(y: list[float], lo: np.ndarray, rows: np.ndarray) -> list[float]
     return out
 
 
+def sigma_of(values: np.ndarray) -> float:
+    """Robust spread of one window."""
+    if len(values) < 3:
+        return 0.0
+    with np.errstate(invalid="ignore"):
+        return MAD_SCALE * float(np.median(np.abs(values - np.median(values))))
+
+
+def slope_of(values: np.ndarray) -> float:
+    """Least-squares slope of one window on the position."""
+    if len(values) < 8:
+        return 0.0
+    x = np.arange(len(values)) - (len(values) - 1) / 2
+    with np.errstate(invalid="ignore"):
+        return float((x * (values - values[0])).sum() / (x * x).sum())
+
+
 def _narrow(start: np.ndarray, width: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Split rows by whether their window is narrow; also the first index of the wide windows."""
     lo = np.maximum(start[rows], rows - width[rows] + 1)
@@ -192,6 +211,7 @@ def _slope(y, start, width, rows) -> np.ndarray:
         slope = (x * centred).sum(axis=1) / np.maximum((x * x).sum(axis=1), 1e-300)
         out[block] = np.where(count < 8, 0.0, slope)
     if len(wide):  # the wide windows divide by some m^3 / 12, which makes up for the long sums
+        y = np.where(np.isfinite(y), y, 0.0)  # no window reaches the others
         centred = y - y.mean()
         at = np.arange(len(y)) - len(y) / 2
         sy = np.concatenate([[0.0], np.cumsum(centred)])
@@ -247,8 +267,14 @@ def signals(entries: DataFrame, settings: MonitorSettings = MonitorSettings(),
     before = (F.greatest("window", "slope_window") if with_sigma else F.col("slope_window")) + warm
     length = F.greatest(F.lit(CHUNK), before)
     keys = ["run_id", "_chunk"]
-    rows = with_halo(entries, before, 0, length).repartition(*keys).sortWithinPartitions(*keys, "pos")
     names = entries.columns
+    # A chunk forgets where it started, but never a loss that is not finite: those are told to all chunks.
+    first = lambda test: F.coalesce(F.min(F.when(test, F.col("pos"))), F.lit(_NEVER))
+    loss = F.col("loss").cast("double")
+    odd = entries.where(F.isnan(loss) | (F.abs(loss) == math.inf)).groupBy("run_id").agg(
+        first(F.isnan(loss)).alias("_nan"), first(loss == math.inf).alias("_high"), first(loss == -math.inf).alias("_low"))
+    rows = with_halo(entries.join(odd, "run_id", "left"), before, 0, length)
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "pos")
     has_gates = "open" in names
     added = [("ema", DoubleType()), ("sigma", DoubleType()), ("slope", DoubleType()), ("low", BooleanType())]
     if has_gates:
@@ -262,8 +288,19 @@ def signals(entries: DataFrame, settings: MonitorSettings = MonitorSettings(),
             opened = table["open"].to_numpy().astype(bool) if has_gates else None
             wanted = home[opened[home]] if has_gates else home
             ema = _smooth(table["loss"].cast(pa.float64()).to_numpy(), start, s.beta)
-            sigma = _sigma(ema, start, col["window"], wanted) if with_sigma else np.zeros(len(ema))
-            slope = _slope(ema, start, col["slope_window"], wanted)
+            nan, high, down = (pc.fill_null(table[c], _NEVER).to_numpy() for c in ("_nan", "_high", "_low"))
+            pos, since = col["pos"], np.minimum(np.minimum(nan, high), down)
+            lost = since <= pos
+            ema[lost] = np.where((nan <= pos) | ((high <= pos) & (down <= pos)), np.nan, np.where(high <= pos, np.inf, -np.inf))[lost]
+            sound = wanted[~lost[wanted]]
+            sigma = _sigma(ema, start, col["window"], sound) if with_sigma else np.zeros(len(ema))
+            slope = _slope(ema, start, col["slope_window"], sound)
+            sigma[lost & (np.minimum(pos, col["window"]) >= 3)] = np.nan
+            slope[lost & (np.minimum(pos, col["slope_window"]) >= 8)] = np.nan
+            reach = np.maximum(col["window"], col["slope_window"])
+            for i in wanted[lost[wanted] & (pos - since < reach)[wanted]]:  # windows that still hold finite values
+                sigma[i] = sigma_of(ema[max(start[i], i - col["window"][i] + 1):i + 1]) if with_sigma else 0.0
+                slope[i] = slope_of(ema[max(start[i], i - col["slope_window"][i] + 1):i + 1])
             low = _records(ema, home, start, 0.0)
             new = [ema, sigma, slope, low]
             if has_gates:

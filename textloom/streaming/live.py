@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from textloom.operators.curves import live_summary
-from textloom.operators.monitor import MAD_SCALE, MonitorSettings, monitor_windows
+from textloom.operators.monitor import MonitorSettings, monitor_windows, sigma_of, slope_of
 from textloom.operators.prepare import prepared
 from textloom.functions.cleaning import clean_text
 from textloom.sources.logs import entry_fields, parse_lines
@@ -70,19 +70,6 @@ _STATE = ("ema double, best double, best_count bigint, ref double, max_lr double
           "last_step bigint, recent array<double>, stopped boolean")
 
 
-def _mad_sigma(values: np.ndarray) -> float:
-    if len(values) < 3:
-        return 0.0
-    return MAD_SCALE * float(np.median(np.abs(values - np.median(values))))
-
-
-def _trend(values: np.ndarray) -> float:
-    if len(values) < 8:
-        return 0.0
-    x = np.arange(len(values)) - (len(values) - 1) / 2
-    return float((x * (values - values[0])).sum() / (x * x).sum())
-
-
 def _live_fold(settings: MonitorSettings, run_type: str):
     s = settings
 
@@ -102,7 +89,7 @@ def _live_fold(settings: MonitorSettings, run_type: str):
             if not math.isnan(r.hard_cap_steps) and r.step >= r.hard_cap_steps:
                 found, stopped = (r.step, "hard_cap"), True
                 break
-            if math.isnan(r.loss) or r.step <= last_step:
+            if r.no_loss or r.step <= last_step:
                 continue
             last_step, count = r.step, count + 1
             ema = r.loss if count == 1 else s.beta * ema + (1.0 - s.beta) * r.loss
@@ -122,8 +109,8 @@ def _live_fold(settings: MonitorSettings, run_type: str):
             if count < r.min_history:
                 ref = ema
                 continue
-            sigma = max(_mad_sigma(np.asarray(recent[-r.window:])), s.std_floor)
-            slope = _trend(np.asarray(recent[-r.slope_window:]))
+            sigma = max(sigma_of(np.asarray(recent[-r.window:])), s.std_floor)
+            slope = slope_of(np.asarray(recent[-r.slope_window:]))
             drop = ref - ema
             if drop >= s.min_abs or drop / (sigma + 1e-12) >= s.min_sigma:
                 ref = ema
@@ -148,7 +135,7 @@ def early_stops(entries: DataFrame, runs: DataFrame, settings: MonitorSettings =
     run within one batch are bounded by the admission limit of the source (maxFilesPerTrigger).
     """
     plan = monitor_windows(runs, "total_steps", settings).withColumn("hard_cap_steps", F.col("hard_cap_steps").cast("double"))
-    rows = entries.select("run_id", "step", "seq", "loss", "learning_rate").join(plan.select(
+    rows = entries.select("run_id", "step", "seq", "loss", F.col("loss").isNull().alias("no_loss"), "learning_rate").join(plan.select(
         "run_id", "total_steps", "warmup_steps", "hard_cap_steps", "window", "slope_window", "min_history"), "run_id")
     run_type = entries.schema["run_id"].dataType.simpleString()
     return rows.groupBy("run_id").applyInPandasWithState(
