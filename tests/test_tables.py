@@ -222,3 +222,11 @@ def test_message_arrays(spark):
     df = spark.createDataFrame(rows, "id int, messages array<struct<role:string,content:string>>, extra string")
     for forced in (None, "chat"):
         assert {(r.id, r.text) for r in prepare.prepare(df, "id", "code", forced).collect()} == {(1, "hello  there\n\nhi you")}
+
+
+def test_lines_with_text_behind_an_object(spark):
+    lines = ['{"loss": 1, "m": {"k": 2}} 5%|', '{"loss": 2, "m": {"k": 2}}', '{"loss": NaN, "step": 3}', '{"loss": -Infinity, "eval_runtime": 2.5}',
+             "5%| {'loss': 4} it", '{"loss": 5} tail', "{'loss': 6, 'm': {'k': 2}} tail"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "id int, value string")
+    got = {r.id: (repr(r.loss), r.eval_runtime) for r in logs.entry_fields(logs.parse_lines(df)).collect()}
+    assert got == {1: ("2.0", None), 2: ("nan", None), 3: ("-inf", 2.5), 4: ("4.0", None), 5: ("5.0", None)}

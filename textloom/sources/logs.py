@@ -16,8 +16,9 @@ NOISE = [
     "Use `processing_class` instead.",
 ]
 FIELDS = {"loss": "double", "learning_rate": "double", "grad_norm": "double", "epoch": "double",
-          "step": "bigint", "eval_loss": "double", "train_runtime": "double",
-          "train_samples_per_second": "double", "train_steps_per_second": "double"}
+          "step": "bigint", "eval_loss": "double", "eval_runtime": "double",
+          "eval_samples_per_second": "double", "eval_steps_per_second": "double", "eval_perplexity": "double",
+          "train_runtime": "double", "train_samples_per_second": "double", "train_steps_per_second": "double"}
 _STRICT = {"allowSingleQuotes": "false"}
 
 
@@ -43,14 +44,16 @@ def _object(text: Column) -> Column:
 def line_entry(line: Column, field: str = "loss") -> Column:
     """The entry printed in a line, as a map of its fields as text; null if there is none.
 
-    Tried in turn: the line as JSON, the line with single quotes turned, and the first object
+    Tried in turn: the whole line as JSON, the line with single quotes turned, and the first object
     without inner braces anywhere in the line. An entry must have the field.
     """
     def parsed(x: Column) -> Column:
         turned = F.regexp_replace(x, r"(?<!\\)'", '"')
         inner = F.replace(F.regexp_extract(x, OBJECT, 0), F.lit("'"), F.lit('"'))
         with_field = lambda e: F.when(F.map_contains_key(e, F.lit(field)), e)
-        return F.coalesce(*[bound(_object(t), with_field) for t in (x, turned, inner)])
+        # the parser reads one object and ignores what follows, so the line must end with it
+        alone = lambda t: F.when(x.startswith("{") & x.endswith("}"), t)
+        return F.coalesce(*[bound(_object(t), with_field) for t in (alone(x), alone(turned), inner)])
 
     return bound(strip(line), lambda x: F.when(_may_hold(x, field), parsed(x)))
 
@@ -109,7 +112,9 @@ def read_trainer_states(spark: SparkSession, path: str) -> DataFrame:
 def entry_fields(entries: DataFrame, entry: str = "entry") -> DataFrame:
     """Typed columns of the known fields instead of the map."""
     rest = [c for c in entries.columns if c != entry and c not in FIELDS]
-    return entries.select(*rest, *[F.col(entry)[k].try_cast(t).alias(k) for k, t in FIELDS.items()])
+    # numbers that are not finite come out of the parser with quotes
+    value = lambda k: F.regexp_replace(F.col(entry)[k], '^"(NaN|-?Infinity)"$', "$1")
+    return entries.select(*rest, *[value(k).try_cast(t).alias(k) for k, t in FIELDS.items()])
 
 
 def without_noise(lines: DataFrame, value: str = "value") -> DataFrame:
