@@ -99,6 +99,7 @@ STEPS = [
     (c.strip_shop_tags, "MSRP asin price 5, prices", "  , prices"),
     (c.strip_environments, "\\begin{a}\nx\\end{b} \\begin{} y", " \\begin{} y"),
     (c.strip_emoji, "a\U0001f600b\u2600\ufe0f", "ab"),
+    (c.strip_emoji, "★ ✓ ♪ ♔ | ⏰ ⌚ 🅰 🈁 © 1️⃣ 12 # 👩‍💻🏴\U000e0067\U000e007f|", "★ ✓ ♪ ♔ |       12 # |"),
     (c.ascii_punctuation, "\u2190\u2192\u2018", "<-->'"),
     (c.bad_token, "x printrawdownload", "printrawdownload"),
     (c.bad_token, "guiActiveUnfocused", "guiActive"),

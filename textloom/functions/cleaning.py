@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,12 +72,6 @@ INVISIBLE = "[\u200B-\u200F\u202A-\u202E\u2060\uFEFF]"
 MEDIA_PLACEHOLDER = r"(?iu)\[(?:image|video|audio|figure)[^\]]*\]"
 TRASH_PLACEHOLDER = "[TRASH]"
 NON_ASCII = r"[^\x00-\x7F]+"
-EMOJI = (
-    r"[\x{1F1E6}-\x{1F1FF}\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F680}-\x{1F6FF}"
-    r"\x{1F700}-\x{1F77F}\x{1F7E0}-\x{1F7EB}\x{1F900}-\x{1F9FF}\x{1FA70}-\x{1FAFF}"
-    r"\x{2600}-\x{26FF}\x{2700}-\x{27BF}\x{2B50}\x{2B55}\x{FE0F}\x{20E3}]+"
-)
-
 MATH_SYMBOLS = {
     r"\cdot": "*",
     r"\times": "*",
@@ -114,6 +109,20 @@ BAD_TOKENS = [
 # ---- end of fixed values --------------------------------------------------------------------
 
 
+def _emoji_pattern() -> str:
+    """Emoji as published: the characters of the Unicode property Emoji beyond ASCII, with variation sign, skin
+    tone and tags, joined ones as one, and keycaps."""
+    points = [c for c in range(0x80, 0x20000) if regex.match(r"\p{Emoji}", chr(c))]
+    first = [c for c, before in zip(points, [0, *points], strict=False) if c != before + 1]
+    last = [c for c, after in zip(points, [*points[1:], 0], strict=True) if c != after - 1]
+    one = "[" + "".join(rf"\x{{{a:X}}}-\x{{{z:X}}}" for a, z in zip(first, last, strict=True)) + "]"
+    one += r"[\x{FE0E}\x{FE0F}]?+[\x{1F3FB}-\x{1F3FF}]?+[\x{E0020}-\x{E007F}]*+"
+    return rf"[0-9#*]\x{{FE0F}}?\x{{20E3}}|{one}(?:\x{{200D}}{one})*+"
+
+
+EMOJI = _emoji_pattern()
+
+
 
 def bound(c: Column, body: Callable[[Column], Column]) -> Column:
     """body(c), with c evaluated once however often the body uses it."""
@@ -269,7 +278,7 @@ def ascii_punctuation(c: Column) -> Column:
     return bound(c, lambda x: F.when(_has_byte(0xE2)(x), mapped(x)).otherwise(x))
 
 
-strip_emoji = _sub(EMOJI, "", _has_byte(0xE2, 0xEF, 0xF0))
+strip_emoji = _sub(EMOJI, "", _has_byte(0xC2, 0xE2, 0xE3, 0xF0))
 strip_non_ascii = _sub(NON_ASCII, "", lambda x: ~_ascii_only(x))
 
 
