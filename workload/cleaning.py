@@ -209,11 +209,24 @@ MIX = {
 }
 
 
+# The order of each chain, written out apart from the code it checks.
+_TAIL = ["strip_environments", "strip_html", "unwrap_boxed", "strip_chat_tags", "strip_answer_marker", "strip_double_braces",
+         "strip_special_tokens", "strip_header_lines", "strip_junk_phrases", "strip_shop_tags", "strip_bold", "strip_invisible",
+         "strip_media_placeholders"]
+_SPANS = ["strip_latex_spans", "strip_tex_spans", "strip_mathrm"]
+CHAINS = {
+    "math": ["collapse_newlines", "strip_formatting", "unwrap_math_wrappers", "unwrap_dollars", "map_math_symbols",
+             "collapse_math_spacing", "collapse_spaces", *_TAIL, "strip_trash", "ascii_punctuation", "strip_non_ascii"],
+    "latex": ["collapse_newlines", "strip_formatting", *_TAIL, "ascii_punctuation"],
+    "code": ["strip", *_SPANS, *_TAIL, "strip_trash", "ascii_punctuation"],
+    "general": ["collapse_newlines", "strip_formatting", *_SPANS, *_TAIL, "strip_trash", "ascii_punctuation", "strip_non_ascii"],
+}
+
+
 def chain_sql(text: str, mode: str) -> str:
     """Cleaned text of a SQL text expression, without the bad-token test."""
     x = _unbox_sql(f"coalesce({text}, '')")
-    for step in c.steps(mode)[1:]:
-        name = next(k for k in SQL_STEPS if getattr(c, k) is step)
+    for name in CHAINS[mode]:
         x = SQL_STEPS[name](x)
     return x
 
