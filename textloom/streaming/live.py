@@ -29,11 +29,11 @@ def log_stream(lines: DataFrame, field: str = "loss") -> DataFrame:
     """Typed entries of a stream of log lines that name their run in the field `run_id`.
 
     Only entries with `field`: the loss for charts, the step for the early stop, whose hard cap
-    also holds for entries without a loss.
+    also holds for entries without a loss. The order within a run is the field `seq`, or the step.
     """
-    parsed = parse_lines(lines, field=field)
-    return entry_fields(parsed.withColumn("run_id", F.col("entry")["run_id"].try_cast("bigint"))).drop("value").withColumn(
-        "seq", F.col("step"))
+    number = lambda k: F.col("entry")[k].try_cast("bigint")
+    parsed = parse_lines(lines, field=field).withColumns({"run_id": number("run_id"), "seq": F.coalesce(number("seq"), number("step"))})
+    return entry_fields(parsed).drop("value")
 
 
 def live_tail(entries: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:

@@ -124,7 +124,7 @@ ORACLES["ledger"] = "SELECT source || '.' || lang AS dataset_name, max(n_chars)
 def _log_stream(spark, log, field="loss"):
     """The log printed as lines to files, and those files as a stream of typed entries."""
     path = scratch_path(spark, "lines")
-    fields = [F.concat(F.lit(f", '{c}': "), F.col(c).cast("string")) for c in ("loss", "learning_rate") if c in log.columns]
+    fields = [F.concat(F.lit(f", '{c}': "), F.col(c).cast("string")) for c in ("seq", "loss", "learning_rate") if c in log.columns]
     line = F.concat(F.lit("{'run_id': "), "run_id", F.lit(", 'step': "), "step", *[F.coalesce(f, F.lit("")) for f in fields], F.lit("}"))
     log.select(line.alias("value")).write.text(path)
     return live.log_stream(spark.readStream.schema("value string").text(path), field)
@@ -147,9 +147,7 @@ def live_early_stop(spark, sf):
     log = monitor_log(spark, sf)
     plan = runs(log)
     out, checkpoint = scratch_path(spark, "stops"), scratch_path(spark, "stops-state")
-    entries = _log_stream(spark, log.groupBy("run_id", "step").agg(  # the stream has no seq: keep the first of a step
-        F.min_by("loss", F.when(F.col("loss").isNotNull(), F.col("seq"))).alias("loss"),
-        F.min_by("learning_rate", F.when(F.col("loss").isNotNull(), F.col("seq"))).alias("learning_rate")), "step")
+    entries = _log_stream(spark, log, "step")  # with repeated steps, as they come
     live.live_early_stop(entries, plan, out, checkpoint, once=True).awaitTermination()
     stops = spark.read.schema("run_id bigint, stop_step bigint, reason string").parquet(out)
     return plan.select("run_id").join(stops, "run_id", "left")
