@@ -28,6 +28,9 @@ from textloom.llm.shingles import text_slices
 #: A document of more bytes than this is giant, and is cut into chunks of this many characters.
 GIANT = 64 << 10
 CHUNK = 16 << 10
+#: Bytes of text that the library encodes together, and entries of a worker's caches.
+SLICE = 1 << 20
+CACHE = 100_000
 SPACE = "▁"
 
 
@@ -50,8 +53,8 @@ class Pieces:
                 self.scores[piece], self.ids[piece] = p.get_score(i), i
                 self.surface.append(piece.replace(SPACE, " ").encode())
         self.longest = max(map(len, self.ids))
-        self.fits = lru_cache(maxsize=500_000)(self._fits)
-        self.own = lru_cache(maxsize=500_000)(lambda piece: self.merged(piece) == (piece,))
+        self.fits = lru_cache(maxsize=CACHE)(self._fits)
+        self.own = lru_cache(maxsize=CACHE)(lambda piece: self.merged(piece) == (piece,))
 
     def merged(self, text: str) -> tuple[str, ...]:
         """The byte-pair encoding of a short string: the best-scored pair is merged first, the leftmost of equals."""
@@ -202,7 +205,9 @@ def _giants(texts: DataFrame, path: str, chunk: int, parts: int) -> DataFrame:
     chunks = stored(chunks.repartition(parts, "a", "z", "chunk"), "pieces-chunks")
     matrices = chunks.mapInArrow(transfer, "a bigint, z bigint, chunk bigint, rows bigint, matrix binary")
     states = matrices.groupBy("a", "z").applyInPandas(scan, "a bigint, z bigint, chunk bigint, entry bigint, leave bigint")
-    traced = chunks.join(states, ["a", "z", "chunk"]).select(*_CHUNK, "entry", "leave").mapInArrow(
+    # The chunks are small in bytes and long to trace: they stay spread.
+    placed = chunks.join(states, ["a", "z", "chunk"]).select(*_CHUNK, "entry", "leave").repartition(parts, "a", "z", "chunk")
+    traced = placed.mapInArrow(
         trace, "a bigint, z bigint, chunk bigint, ids array<int>")
     return traced.groupBy("a", "z").agg(F.flatten(F.transform(
         F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids"))
@@ -223,7 +228,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", giant: int = GIANT, c
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = model(path).library
         for big in batches:
-            for b in text_slices(big, position) if big.num_rows else []:
+            for b in text_slices(big, position, SLICE) if big.num_rows else []:
                 ids = p.encode([t or "" for t in b.column(position).to_pylist()], num_threads=1)
                 yield pa.record_batch([*b.columns, pa.array(ids, pa.list_(pa.int32()))], [*b.schema.names, "ids"])
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,19 +47,11 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids, and of the text that decoding them gives."""
     path = tokenizer_path(PIECE_BPE)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = pieces.decode(pieces.encode(docs, path), path)
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, ends = b.column(1).flatten().to_numpy().astype("<u4"), b.column(1).offsets.to_numpy()
-            ends = ends - ends[0]
-            crc = [zlib.crc32(ids[x:y].tobytes()) for x, y in zip(ends, ends[1:], strict=False)]
-            yield pa.record_batch([b.column(0), pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64()), b.column(2),
-                                   b.column(3)], ["doc_id", "n_tokens", "ids_crc32", "decoded_crc32", "same_text"])
-
-    return coded.select("doc_id", "ids", F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
-                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text")).mapInArrow(
-        digest, "doc_id bigint, n_tokens bigint, ids_crc32 bigint, decoded_crc32 bigint, same_text boolean")
+    crc = F.pandas_udf(lambda ids: ids.map(lambda x: zlib.crc32(x.astype("<u4").tobytes())), "bigint")
+    coded = pieces.encode(docs, path).withColumn("ids_crc32", crc("ids"))
+    return pieces.decode(coded, path).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_crc32", F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"))
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
