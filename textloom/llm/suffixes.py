@@ -33,8 +33,8 @@ from textloom.llm.shingles import _BASE, _powers, mixed, text_slices, utf8
 
 LENGTH = 100
 #: Bytes of segments in one part, and of the longest piece of a segment.
-PART_BYTES = 2 << 20
-PIECE = 1 << 20
+PART_BYTES = 1 << 20
+PIECE = 1 << 19
 #: Copied texts are listed in every task up to this many; beyond it they are joined by hash.
 BROADCAST_COPIES = 1_000_000
 
@@ -365,6 +365,8 @@ def repeated(texts: DataFrame, length: int, part_bytes: int = PART_BYTES) -> Dat
     parts = default_parallelism(texts.sparkSession)
     stretches = stored(_candidates(texts, length, parts), "suffix-stretches")
     table = stored(_parts(texts, stretches, length, part_bytes), "suffix-parts")
+    # About as many keys are sorted in a task as a part sends.
+    parts = max(parts, table.count())
     for keys_of in (_first_keys, _second_keys):
         names = _asked(table, keys_of, _rank_names, parts)
         table = table.join(names.withColumnRenamed("names", f"names{len(table.columns)}"), "part", "left")
