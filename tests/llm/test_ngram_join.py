@@ -46,6 +46,20 @@ def test_repeated_and_null_ids(llm):
     assert [r["component_id"] for r in got if r["doc_id"] is None] == [None]
 
 
+def test_repeated_rows_and_a_neighbour_below_the_threshold(llm):
+    """Repeated rows of one id count once: sets of Jaccard 0.5 to 0.74 stay apart, closer ones are linked."""
+    base = [f"w{i}" for i in range(104)]
+    rows = [(1, " ".join(base))] * 2
+    for d, cut in ((2, 87), (3, 80), (4, 99), (5, 92)):
+        rows.append((d, " ".join([*base[:cut], *(f"own{d}x{i}" for i in range(104 - cut))])))
+    rows += [(6, rows[-1][1] + " more")] * 3
+    found = joined(rows)
+    assert found[1] == found[4] and found[2] != 1 and found[3] != 1
+    got = ngram_join.similar(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(
+        (d, len(shingles(x)), found[d]) for d, x in rows)
+
+
 def test_empty(none):
     assert ngram_join.similar(none).collect() == []
 

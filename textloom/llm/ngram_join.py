@@ -259,6 +259,13 @@ def _ordered(texts: DataFrame, width: int, parts: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, key, n, counts, tokens = blocks.gathered(batches, kinds)
+        # A repeated row has the same n-grams here as the first of its id and set, which stands for it.
+        by = np.lexsort((n, key, docs))
+        again = np.zeros(len(docs), bool)
+        again[by[1:]] = (docs[by[1:]] == docs[by[:-1]]) & (key[by[1:]] == key[by[:-1]]) & (n[by[1:]] == n[by[:-1]])
+        if again.any():
+            tokens = tokens[~np.repeat(again, counts)]
+            docs, key, n, counts = docs[~again], key[~again], n[~again], counts[~again]
         _, inverse, uses = np.unique(tokens, return_inverse=True, return_counts=True)
         uses = uses[inverse]
         of = np.repeat(np.arange(len(docs)), counts)
