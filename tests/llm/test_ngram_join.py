@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from brute import joined, shingles
 
@@ -33,6 +34,32 @@ def test_near_copies_across_blocks(llm, block):
     assert got == {d: (len(shingles(x)), found[d]) for d, x in docs}
 
 
+def test_visitors_go_where_they_share_a_prefix(llm, monkeypatch):
+    """Sets of one cluster that are hardly alike: results are whole, and nobody visits a block without a shared prefix n-gram."""
+    docs = []
+    for d in range(24):  # rings of sets that overlap their neighbours by two thirds
+        docs.append((d, " ".join(f"w{(d * 10 + i) % 240}" for i in range(34))))
+    docs += [(100 + d, x.replace("w5 ", "new5 ")) for d, x in docs[:3]]
+    sent, join = [], ngram_join._join
+    monkeypatch.setattr(ngram_join, "_join", lambda rows, parts: (sent.append(rows), join(rows, parts))[1])
+    got = pairs(ngram_join.similar(llm.createDataFrame(docs, "doc_id bigint, text string"), block=60).collect())
+    found = joined(docs)
+    assert got == {d: (len(shingles(x)), found[d]) for d, x in docs}
+    rows = sent[-1].select("cluster", "block", "doc", "home").collect()
+    home, away = [r for r in rows if r["home"]], [r for r in rows if not r["home"]]
+    blocks = len({(r["cluster"], r["block"]) for r in home})
+    assert away and len(away) < len({r["doc"] for r in away}) * blocks / 2
+
+
+def test_a_task_holds_only_its_block():
+    """Visitors are linked one at a time, with n-grams that the block has not left out."""
+    sets = [np.arange(k, k + 20, dtype=np.uint64) for k in (0, 1, 100)]
+    home = ngram_join.Home(np.array([1, 2, 3]), np.full(3, 20), [(t, np.full(20, 2, np.uint32)) for t in sets], np.array([1, 1, 3]))
+    assert list(home.visit(7, 20, 7, np.arange(500, 520, dtype=np.uint64))) == []
+    assert [a for a, _ in home.visit(8, 20, 8, np.append(np.arange(19), 900).astype(np.uint64))] == [8]
+    assert list(home.visit(9, 20, 3, np.arange(100, 120, dtype=np.uint64))) == []
+
+
 def test_odd_rows(llm, odd, odd_rows):
     found = joined(odd_rows)
     assert pairs(ngram_join.similar(odd).collect()) == {d: (len(shingles(x)), found[d]) for d, x in odd_rows}

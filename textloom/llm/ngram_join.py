@@ -121,65 +121,95 @@ class Tree:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def join_block(docs: np.ndarray, sizes: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]], home: np.ndarray,
-               labels: np.ndarray) -> list[tuple[int, int]]:
-    """Links (a, b) that join the components of a block: documents at home lie in the tree, and the
-    others walk down it; if all are at home, all do. Pairs already joined are not looked for."""
-    tokens = np.concatenate([t for t, _ in sets])
-    uses = np.concatenate([f for _, f in sets])
-    distinct, first, inverse = np.unique(tokens, return_index=True, return_inverse=True)
-    rank = np.empty(len(distinct), np.int64)
-    rank[np.lexsort((distinct, uses[first]))] = np.arange(len(distinct))
-    ends = np.cumsum([len(t) for t, _ in sets])
-    codes = [np.sort(c) for c in np.split(rank[inverse], ends[:-1])]
-    _, group = np.unique(labels, return_inverse=True)
-    up = np.arange(group.max() + 1)
-
-    def find(x: int) -> int:
+class Home:
+    """The documents of a block in a tree, past which others walk one at a time, and the components so far."""
+
+    def __init__(self, docs: np.ndarray, sizes: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> None:
+        tokens = np.concatenate([t for t, _ in sets])
+        uses = np.concatenate([f for _, f in sets])
+        self.distinct, first, inverse = np.unique(tokens, return_index=True, return_inverse=True)
+        self.rank = np.empty(len(self.distinct), np.int64)
+        self.rank[np.lexsort((self.distinct, uses[first]))] = np.arange(len(self.distinct))
+        ends = np.cumsum([len(t) for t, _ in sets])
+        self.codes = [np.sort(c) for c in np.split(self.rank[inverse], ends[:-1])]
+        self.docs, self.sizes, self.labels = docs, sizes, labels
+        self.tree = Tree(self.codes, sizes)
+        self.flag = np.zeros(len(self.distinct), bool)
+        self.up: dict[int, int] = {}
+        self.open = len({self._find(x) for x in labels.tolist()})
+
+    def _find(self, x: int) -> int:
+        up = self.up
+        up.setdefault(x, x)
         while up[x] != x:
             up[x] = up[up[x]]
-            x = int(up[x])
+            x = up[x]
         return x
 
-    inside = np.flatnonzero(home)
-    if not len(inside):
-        return []
-    tree = Tree([codes[i] for i in inside], sizes[inside])
-    flag, links, open_groups = np.zeros(len(distinct), bool), [], len(up)
-    for i in np.flatnonzero(~home) if not home.all() else range(len(docs)):
-        if open_groups == 1:
-            break
-        for j in inside[tree.like(codes[i], int(sizes[i]), flag)]:
-            a, b = find(group[i]), find(group[j])
+    def _link(self, doc: int, size: int, label: int, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+        for j in self.tree.like(codes, size, self.flag):
+            a, b = self._find(label), self._find(int(self.labels[j]))
             if a != b:
-                up[a] = b
-                open_groups -= 1
-                links.append((int(docs[i]), int(docs[j])))
-    return links
+                self.up[a] = b
+                yield doc, int(self.docs[j])
+
+    def inside(self) -> Iterator[tuple[int, int]]:
+        """Links (a, b) that join the components of the block. Pairs already joined are not looked for."""
+        for i, codes in enumerate(self.codes):
+            if self.open == 1:
+                break
+            for link in self._link(int(self.docs[i]), int(self.sizes[i]), int(self.labels[i]), codes):
+                self.open -= 1
+                yield link
+
+    def visit(self, doc: int, size: int, label: int, tokens: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Links of a document that is not in the block; n-grams that the block has not are left out."""
+        if self.open == 1 and self._find(label) == self._find(int(self.labels[0])):
+            return  # all of the block are joined with it already
+        at = np.searchsorted(self.distinct, tokens).clip(max=len(self.distinct) - 1)
+        codes = np.sort(self.rank[at[self.distinct[at] == tokens]])
+        yield from self._link(doc, size, label, codes)
 
 
 def _join(rows: DataFrame, parts: int) -> DataFrame:
-    """Links within each (cluster, block) of rows (cluster, block, doc, n, tokens, uses, home, label)."""
+    """Links within each (cluster, block) of rows (cluster, block, doc, n, tokens, uses, home, label).
+
+    If all are at home, all walk down the tree; else only the others do, one after the other: a task
+    holds the documents at home of one block, however many visit it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
+        key, home, visited = None, None, False
+
+        def build() -> Home:
+            return Home(np.array([r["doc"] for r in held]), np.array([r["n"] for r in held]),
+                        [(np.frombuffer(r["tokens"], np.uint64), np.frombuffer(r["uses"], np.uint32)) for r in held],
+                        np.array([r["label"] for r in held]))
 
-        def settle() -> pa.RecordBatch:
-            links = [] if len(held) < 2 else join_block(
-                np.array([r["doc"] for r in held]), np.array([r["n"] for r in held]),
-                [(np.frombuffer(r["tokens"], np.uint64), np.frombuffer(r["uses"], np.uint32)) for r in held],
-                np.array([r["home"] for r in held]), np.array([r["label"] for r in held]))
-            held.clear()
-            return pa.record_batch([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+        def links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.record_batch([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for b in batches:
             for a in range(0, b.num_rows, 256):
+                found: list[tuple[int, int]] = []
                 for r in b.slice(a, 256).to_pylist():
-                    if held and (held[-1]["cluster"], held[-1]["block"]) != (r["cluster"], r["block"]):
-                        yield settle()
-                    held.append(r)
-        yield settle()
-
-    return rows.repartition(parts, "cluster", "block").sortWithinPartitions("cluster", "block", "doc").mapInArrow(
+                    if key != (r["cluster"], r["block"]):
+                        if not visited and len(held) > 1:
+                            found += build().inside()
+                        held.clear()
+                        key, home, visited = (r["cluster"], r["block"]), None, False
+                    if r["home"]:
+                        held.append(r)
+                        continue
+                    visited = True
+                    if held:
+                        home = build()
+                        held.clear()
+                    if home:
+                        found += home.visit(r["doc"], r["n"], r["label"], np.frombuffer(r["tokens"], np.uint64))
+                yield links(found)
+        yield links([*build().inside()] if not visited and len(held) > 1 else [])
+
+    return rows.repartition(parts, "cluster", "block").sortWithinPartitions("cluster", "block", F.desc("home"), "doc").mapInArrow(
         run, "a bigint, b bigint")
 
 
@@ -323,7 +353,7 @@ def _prefix_edges(ordered: DataFrame, parts: int) -> DataFrame:
 def _links(ordered: DataFrame, clusters: DataFrame, parts: int, block: int) -> DataFrame:
     """Links that span the components of every cluster."""
     rows = ordered.join(clusters.withColumnRenamed("node", "doc"), "doc").select(
-        F.col("component").alias("cluster"), "doc", "n", "tokens", "uses")
+        F.col("component").alias("cluster"), "doc", "n", "tokens", "uses", "prefix")
     weight = F.octet_length("tokens") / 8
     counts = rows.groupBy("cluster").agg(F.ceil(F.sum(weight) / block).cast("int").alias("blocks"))
     rows = stored(rows.join(counts, "cluster").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")),
@@ -344,19 +374,38 @@ def _links(ordered: DataFrame, clusters: DataFrame, parts: int, block: int) -> D
     ones = ones.join(need, "cluster").withColumn("block", F.pmod(F.xxhash64("doc", F.lit(1)), F.col("_need")).cast("int"))
     links = stored(links.unionByName(_join(ones.select(*base, F.lit(True).alias("home"), "label"), parts)), "ngram-links")
 
-    # Whoever is outside the largest component of the cluster goes to all of its blocks.
+    # Whoever is outside the largest component of the cluster goes to the blocks that share an n-gram of its prefix.
     now = stored(labelled(links), "ngram-labels")
     largest = first_of(now.groupBy("cluster", "label").count(), ["cluster"], [F.desc("count"), F.col("label")]).select(
         "cluster", F.col("label").alias("_largest"))
     away = now.join(largest, "cluster").where("label <> _largest")
     if away.isEmpty():
         return links
-    away = away.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        *base, F.lit(False).alias("home"), "label")
-    at_home = now.join(away.select("cluster").distinct(), "cluster", "left_semi").select(*base, F.lit(True).alias("home"), "label")
+    at_home = now.join(away.select("cluster").distinct(), "cluster", "left_semi")
+    away = away.drop("block").join(_visits(at_home, away), ["cluster", "doc"]).select(*base, F.lit(False).alias("home"), "label")
+    at_home = at_home.select(*base, F.lit(True).alias("home"), "label")
     return stored(links.unionByName(_join(at_home.unionByName(away), parts)), "ngram-links")
 
 
+def _visits(at_home: DataFrame, away: DataFrame) -> DataFrame:
+    """(cluster, doc, block): the blocks in which a document at home shares an n-gram of its prefix with the visitor's."""
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            prefix = b.column(3).to_numpy()
+            tokens = [np.frombuffer(t, np.int64)[:p] for t, p in zip(b.column(2).to_pylist(), prefix, strict=True)]
+            of = pa.array(np.repeat(np.arange(len(prefix)), prefix))
+            yield pa.record_batch([b.column(0).take(of), b.column(1).take(of), pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)]))],
+                                  ["cluster", "at", "token"])
+
+    def spelt(df: DataFrame, at: str) -> DataFrame:
+        return df.select("cluster", F.col(at).cast("bigint"), "tokens", "prefix").mapInArrow(
+            spell, "cluster bigint, at bigint, token bigint").distinct()
+
+    held = spelt(at_home, "block").withColumnRenamed("at", "block")
+    return spelt(away, "doc").withColumnRenamed("at", "doc").join(held, ["cluster", "token"]).select(
+        "cluster", "doc", F.col("block").cast("int").alias("block")).distinct()
+
+
 def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH, block: int = BLOCK) -> DataFrame:
     """Per row of `docs`: id, n_shingles and component_id, the least id reachable by links.
 
