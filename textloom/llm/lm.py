@@ -2,12 +2,16 @@
 
 Documents are coded once: blocks hold each text as numbers into the block's list of distinct words.
 Word counts of the training documents are summed over all blocks, so every word of every block
-knows its count in the corpus. The most frequent words are inputs and outputs of the model by
-themselves; all others stand in a class by their form (length, last character, other than
-ASCII) and share it by their counts, with one part for words not seen.
-
-The output is factored: a softmax over classes (32 words of like frequency, a form, the end), and one
-over the words of the class. Every task trains on its blocks by back-propagation through windows of
+knows its count in the corpus. All words that occur at least twice in the training documents are inputs
+and outputs of the model, whatever their number; words seen once or never stand in a class by their
+form (length, last character, other than ASCII) and share it by their counts, with one part for words
+not seen.
+
+The output is factored: a softmax over classes (words of like frequency, as many as the square root of
+the vocabulary; a form; the end), and one over the words of the class. Words share vectors by class and
+by place in the class, on the way in and out, so the model grows with the square root of the vocabulary;
+the `FREQUENT` words have inputs of their own, the first class has outputs of its own, and every word
+begins at its count within its class. Every task trains on its blocks by back-propagation through windows of
 `WINDOW` words, with the state carried into the next window; the weights of a round are averaged,
 by words seen, and go into the next. Scoring walks through whole documents, window by window, with
 the state carried along.
@@ -27,9 +31,10 @@ from textloom.llm import blocks
 from textloom.llm.common import default_parallelism, stored
 from textloom.llm.shingles import mixed, text_slices, utf8, word_spans
 
-#: Frequent words, words in a class, units of the state, lanes of a training step, words of a window, rounds.
+#: Words with an input of their own, uses from which a word is in the vocabulary.
 FREQUENT = 512
-IN_CLASS = 32
+LEAST = 2
+#: Units of the state, lanes of a training step, words of a window, rounds.
 UNITS = 16
 LANES = 256
 WINDOW = 16
@@ -38,8 +43,7 @@ RATE = 0.02
 #: Bytes of text in a block.
 BLOCK = 4 << 20
 FORMS = 32
-CLASSES = FREQUENT // IN_CLASS + FORMS + 1
-END_CLASS = CLASSES - 1
+#: The end's number where the vocabulary has `FREQUENT` words.
 END_INPUT = FREQUENT + FORMS
 
 
@@ -91,8 +95,8 @@ def _cells(b: pa.RecordBatch, row: int) -> dict[str, np.ndarray]:
 
 
 def counted(table: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
-    """(block, uses): corpus counts of each block's words; and per task the most frequent words and the
-    words and their number in each form: (hash, n, form, form_n, form_distinct)."""
+    """(block, uses): corpus counts of each block's words; and per task, as cells, its words with at least
+    `LEAST` uses, their counts and forms, and the tokens and distinct words of each form."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
@@ -111,16 +115,13 @@ def counted(table: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
         if len(of):
             back = blocks.deal(home[of], [block], of, [place, uses[number]])
             nothing = pa.nulls(back.num_rows)
-            yield pa.record_batch([*back.columns, *(nothing.cast(t) for t in _TOP_TYPES)], _BACK)
+            yield pa.record_batch([*back.columns, *[nothing.cast(pa.binary())] * 5], _BACK)
         known = uses > 0
         each, uses, form = each[known], uses[known].astype(np.int64), forms[first][known]
-        top = np.lexsort((each, -uses))[:FREQUENT]
-        forms_n, forms_d = np.bincount(form, uses, FORMS).astype(np.int64), np.bincount(form, minlength=FORMS)
-        rows = len(top) + FORMS
-        blank = [pa.nulls(rows, t) for t in (pa.int32(), *[pa.binary()] * 4)]
-        yield pa.record_batch([*blank, pa.array([*each[top].view(np.int64), *[None] * FORMS], pa.int64()),
-                               pa.array([*uses[top], *forms_n], pa.int64()), pa.array([*form[top], *range(FORMS)], pa.int32()),
-                               pa.array([*[0] * len(top), *forms_d], pa.int64())], _BACK)
+        cells = [uses >= LEAST, np.bincount(form, uses, FORMS).astype(np.int64), np.bincount(form, minlength=FORMS).astype(np.int64)]
+        cells = [each[cells[0]], uses[cells[0]], form[cells[0]], *cells[1:]]
+        blank = [pa.nulls(1, t) for t in (pa.int32(), *[pa.binary()] * 4)]
+        yield pa.record_batch([*blank, *(pa.array([c.tobytes()], pa.binary()) for c in cells)], _BACK)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list] = {}
@@ -137,57 +138,53 @@ def counted(table: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
             out[place] = uses
             yield pa.record_batch([pa.array([block]), pa.array([out.tobytes()], pa.binary())], ["block", "uses"])
 
-    schema = blocks.schema(1, 2) + ", hash bigint, n bigint, form int, form_distinct bigint"
+    schema = blocks.schema(1, 2) + "".join(f", {c} binary" for c in _SUMS)
     sent = blocks.together(table.select("block", "words", "trained", "forms").mapInArrow(send, blocks.schema(1, 4)), parts)
     sums = stored(sent.mapInArrow(add, schema), "lm-counts")
     uses = blocks.together(sums.where("part IS NOT NULL").select("part", "g0", "counts", "v0", "v1"), parts)
-    return uses.mapInArrow(gather, "block bigint, uses binary"), sums.where("part IS NULL").select("hash", "n", "form", "form_distinct")
+    return uses.mapInArrow(gather, "block bigint, uses binary"), sums.where("part IS NULL").select(*_SUMS)
 
 
-_TOP_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-_BACK = ["part", "g0", "counts", "v0", "v1", "hash", "n", "form", "form_distinct"]
+_SUMS = ["words", "n", "forms", "form_n", "form_d"]
+_BACK = ["part", "g0", "counts", "v0", "v1", *_SUMS]
 
 
 class Vocabulary:
-    """The frequent words by rank, and what the forms hold besides them."""
+    """The words with at least `LEAST` uses by rank, and what the forms hold besides them."""
 
     def __init__(self, sums: DataFrame, train_docs: int) -> None:
-        top = sums.where("hash IS NOT NULL").orderBy(F.desc("n"), "hash").limit(FREQUENT).collect()
-        forms = sums.where("hash IS NULL").groupBy("form").agg(F.sum("n").alias("n"), F.sum("form_distinct").alias("d")).collect()
-        self.hashes = np.array([r["hash"] for r in top], np.int64).view(np.uint64)
-        self.top_n = np.array([r["n"] for r in top], np.int64)
-        self.form_n, self.form_d = np.zeros(FORMS, np.int64), np.zeros(FORMS, np.int64)
-        for r in forms:
-            self.form_n[r["form"]], self.form_d[r["form"]] = r["n"], r["d"]
+        rows = sums.toArrow()
+        words, n, forms, form_n, form_d = (
+            np.frombuffer(b"".join(rows.column(c).to_pylist()), k)
+            for c, k in zip(_SUMS, [np.uint64, np.int64, np.uint8, np.int64, np.int64], strict=True))
+        by = np.lexsort((words.view(np.int64), -n))
+        hashes, self.top_n = words[by], n[by]
+        self.form_n, self.form_d = form_n.reshape(-1, FORMS).sum(axis=0), form_d.reshape(-1, FORMS).sum(axis=0)
         self.tokens = int(self.form_n.sum()) + train_docs
         self.distinct = int(self.form_d.sum()) + (train_docs > 0)
-        for r in top:
-            self.form_n[r["form"]] -= r["n"]
-            self.form_d[r["form"]] -= 1
+        self.form_n -= np.bincount(forms, n, FORMS).astype(np.int64)
+        self.form_d -= np.bincount(forms, minlength=FORMS)
         self.train_docs = train_docs
-        self.order = np.argsort(self.hashes)
+        order = np.argsort(hashes)
+        self.sorted, self.rank = hashes[order], order.astype(np.uint32)
 
     def inputs(self, words: np.ndarray, forms: np.ndarray) -> np.ndarray:
         """The input of each word: its rank, or its form."""
-        out = FREQUENT + forms.astype(np.int64)
-        if len(self.hashes):
-            at = np.searchsorted(self.hashes[self.order], words).clip(max=len(self.order) - 1)
-            hit = self.hashes[self.order[at]] == words
-            out[hit] = self.order[at[hit]]
+        out = len(self.top_n) + forms.astype(np.int64)
+        if len(self.sorted):
+            at = np.searchsorted(self.sorted, words).clip(max=len(self.sorted) - 1)
+            hit = self.sorted[at] == words
+            out[hit] = self.rank[at[hit]]
         return out
 
     def shares(self, inputs: np.ndarray, uses: np.ndarray) -> np.ndarray:
-        """Natural logarithm of each word's share of its form; 0 for frequent words."""
-        rare = inputs >= FREQUENT
-        form = np.where(rare, inputs - FREQUENT, 0)
+        """Natural logarithm of each word's share of its form; 0 for words of the vocabulary."""
+        rare = inputs >= len(self.top_n)
+        form = np.where(rare, inputs - len(self.top_n), 0)
         share = (uses + 1.0) / (self.form_n[form] + self.form_d[form] + 1.0)
         return np.where(rare, np.log(share), 0.0)
 
 
-def class_of(inputs: np.ndarray) -> np.ndarray:
-    return np.where(inputs < FREQUENT, inputs // IN_CLASS, inputs - FREQUENT + FREQUENT // IN_CLASS)
-
-
 def _soft(x: np.ndarray) -> np.ndarray:
     """Log of the softmax of each row."""
     x = x - x.max(axis=1, keepdims=True)
@@ -195,33 +192,51 @@ def _soft(x: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Weights: table (input x 3 units), hidden (units x 3 units), the outputs over classes and within them."""
-
-    SHAPES = [(END_INPUT + 1, 3 * UNITS), (UNITS, 3 * UNITS), (UNITS, CLASSES), (1, CLASSES),
-              (FREQUENT // IN_CLASS * UNITS, IN_CLASS), (FREQUENT // IN_CLASS, IN_CLASS)]
-
-    def __init__(self, weights: list[np.ndarray]) -> None:
-        self.w = weights
+    """Weights: own (words, classes, forms and the end x 3 units) and placed (places x 3 units) tables of the
+    inputs, hidden (units x 3 units), outputs over classes, and within them: of the first class, of the
+    others by place, and a factor of each unit by class."""
+
+    def __init__(self, v: Vocabulary, weights: list[np.ndarray] | None = None) -> None:
+        self.n = n = len(v.top_n)
+        self.size = size = max(1, int(np.ceil(np.sqrt(n))))
+        self.classes = classes = max(1, -(-n // size))
+        self.end = n + FORMS
+        self.shapes = [(FREQUENT + classes + FORMS + 1, 3 * UNITS), (UNITS, 3 * UNITS), (UNITS, classes + FORMS + 1),
+                       (1, classes + FORMS + 1), (size + 1, 3 * UNITS), (UNITS, size), (UNITS, size), (classes, UNITS)]
+        # Where each word of a class begins: its count. Places that no word has are out of reach.
+        self.counts = np.full(classes * size, -1e4, np.float32)
+        self.counts[:n] = np.log(np.asarray(v.top_n) + 1)
+        self.counts = self.counts.reshape(classes, size)
+        self.w = weights or []
 
     @classmethod
     def fresh(cls, v: Vocabulary) -> Model:
         """Small random weights; the outputs begin at the words' frequencies."""
-        rng = np.random.default_rng(11)
-        w = [rng.normal(0, 0.1, s).astype(np.float32) for s in cls.SHAPES]
-        n = np.zeros(FREQUENT)
-        n[:len(v.top_n)] = v.top_n
-        per_class = np.concatenate([n.reshape(-1, IN_CLASS).sum(axis=1), v.form_n, [v.train_docs]]) + 1
-        w[3][0] = np.log(per_class / per_class.sum())
-        w[5][:] = np.log(n.reshape(-1, IN_CLASS) + 1)
-        return cls(w)
+        rng, m = np.random.default_rng(11), cls(v)
+        m.w = [rng.normal(0, 0.1, s).astype(np.float32) for s in m.shapes]
+        n = np.zeros(m.classes * m.size)
+        n[:m.n] = v.top_n
+        per_class = np.concatenate([n.reshape(m.classes, m.size).sum(axis=1), v.form_n, [v.train_docs]]) + 1
+        m.w[3][0] = np.log(per_class / per_class.sum())
+        m.w[7] += 1
+        return m
 
     @classmethod
-    def load(cls, cell: bytes) -> Model:
-        flat, out, at = np.frombuffer(cell, np.float64), [], 0
-        for s in cls.SHAPES:
-            out.append(flat[at:at + s[0] * s[1]].reshape(s).astype(np.float32))
+    def load(cls, cell: bytes, v: Vocabulary) -> Model:
+        flat, m, at = np.frombuffer(cell, np.float64), cls(v), 0
+        for s in m.shapes:
+            m.w.append(flat[at:at + s[0] * s[1]].reshape(s).astype(np.float32))
             at += s[0] * s[1]
-        return cls(out)
+        return m
+
+    def class_of(self, inputs: np.ndarray) -> np.ndarray:
+        return np.where(inputs < self.n, inputs // self.size, inputs - self.n + self.classes)
+
+    def read(self, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of both tables that an input reads; the last place is for those with a row of their own."""
+        common = (inputs >= FREQUENT) & (inputs < self.n)
+        own = np.where(inputs < min(FREQUENT, self.n), inputs, FREQUENT + self.class_of(inputs))
+        return own, np.where(common, inputs % self.size, self.size)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in self.w]).astype(np.float64)
@@ -232,7 +247,8 @@ class Model:
 
         `active`: lanes, from the first, that still go on; `fresh`: where a text begins, with an empty state.
         """
-        table, hidden = self.w[0], self.w[1]
+        table, hidden, placed = self.w[0], self.w[1], self.w[4]
+        own, place = self.read(inputs)
         states, saved, u = np.empty((*inputs.shape, UNITS), np.float32), [], UNITS
         for t in range(len(inputs)):
             a = active[t] if active else inputs.shape[1]
@@ -240,7 +256,7 @@ class Model:
                 h[fresh[t]] = 0
             states[t] = h
             prev = h[:a]
-            x, y = table[inputs[t, :a]], prev @ hidden
+            x, y = table[own[t, :a]] + placed[place[t, :a]], prev @ hidden
             zr = 1 / (1 + np.exp(-(x[:, :2 * u] + y[:, :2 * u])))
             z, r = zr[:, :u], zr[:, u:]
             n = np.tanh(x[:, 2 * u:] + r * y[:, 2 * u:])
@@ -252,41 +268,40 @@ class Model:
     def log_p(self, states: np.ndarray, targets: np.ndarray, back: bool = False) -> tuple[np.ndarray, list | None]:
         """Natural logarithm of each target's probability given the state before it (for rare words, of the
         form), and the gradients of the mean loss if asked."""
-        k = class_of(targets)
+        k = self.class_of(targets)
         lc = _soft(states @ self.w[2] + self.w[3][0])
         rows = np.arange(len(targets))
         out = lc[rows, k].astype(np.float64)
-        order = np.argsort(k, kind="stable")
-        at = np.searchsorted(k[order], np.arange(FREQUENT // IN_CLASS + 1))
         grads = None
         if back:
             dl = np.exp(lc)
             dl[rows, k] -= 1
             dl /= len(targets)
-            grads = [states.T @ dl, dl.sum(axis=0, keepdims=True), np.zeros(self.SHAPES[4], np.float32),
-                     np.zeros(self.SHAPES[5], np.float32), dl @ self.w[2].T]
-        for c in range(FREQUENT // IN_CLASS):
-            own = order[at[c]:at[c + 1]]
-            if len(own):
-                w = self.w[4][c * UNITS:(c + 1) * UNITS]
-                s = states[own]
-                lw = _soft(s @ w + self.w[5][c])
-                place = targets[own] - c * IN_CLASS
-                out[own] += lw[np.arange(len(own)), place]
+            grads = [states.T @ dl, dl.sum(axis=0, keepdims=True), *(np.zeros_like(w) for w in self.w[5:8]), dl @ self.w[2].T]
+        del lc
+        for which, own in enumerate((np.flatnonzero(k == 0), np.flatnonzero((k > 0) & (k < self.classes)))):
+            # A few words at a time: a class has thousands in a large vocabulary.
+            for at in (own[i:i + 4096] for i in range(0, len(own), 4096)):
+                c, w, factor = k[at], self.w[5 + which], self.w[7][k[at]]
+                s, n = states[at], np.arange(len(at))
+                lw = _soft((s * factor) @ w + self.counts[c])
+                place = targets[at] - c * self.size
+                out[at] += lw[n, place]
                 if back:
                     d = np.exp(lw)
-                    d[np.arange(len(own)), place] -= 1
+                    d[n, place] -= 1
                     d /= len(targets)
-                    grads[2][c * UNITS:(c + 1) * UNITS] = s.T @ d
-                    grads[3][c] = d.sum(axis=0)
-                    grads[4][own] += d @ w.T
+                    grads[2 + which] += (s * factor).T @ d
+                    d = d @ w.T
+                    grads[5][at] += d * factor
+                    np.add.at(grads[4], c, s * d)
         return out, grads
 
     def gradients(self, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
         """Of one window (time, lanes): the state before a word predicts it, then reads it."""
         states, saved = self.steps(inputs, h, keep=True, fresh=fresh)
         _, g = self.log_p(states.reshape(-1, UNITS), inputs.ravel(), back=True)
-        d_states, u = g[4].reshape(states.shape), UNITS
+        d_states, u = g[5].reshape(states.shape), UNITS
         d_x = np.empty((*inputs.shape, 3 * u), np.float32)
         d_hidden, d_h = np.zeros_like(self.w[1]), np.zeros_like(h)
         for t in range(len(inputs) - 1, -1, -1):
@@ -299,12 +314,13 @@ class Model:
             d_hidden += prev.T @ d_y
             d_h = d_h * z + d_y @ self.w[1].T + d_states[t]
             d_h[fresh[t]] = 0
-        flat = inputs.ravel()
-        order = np.argsort(flat, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], np.diff(flat[order]) > 0]))
-        d_table = np.zeros_like(self.w[0])
-        d_table[flat[order[first]]] = np.add.reduceat(d_x.reshape(-1, 3 * u)[order], first, axis=0)
-        return [d_table, d_hidden, *g[:4]]
+        d_tables = []
+        for table, rows in zip((self.w[0], self.w[4]), self.read(inputs.ravel()), strict=True):
+            order = np.argsort(rows, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], np.diff(rows[order]) > 0]))
+            d_tables.append(np.zeros_like(table))
+            d_tables[-1][rows[order[first]]] = np.add.reduceat(d_x.reshape(-1, 3 * u)[order], first, axis=0)
+        return [d_tables[0], d_hidden, g[0], g[1], d_tables[1], *g[2:5]]
 
 
 class Adam:
@@ -331,7 +347,7 @@ def _stream(x: dict, v: Vocabulary, chosen: np.ndarray) -> tuple[np.ndarray, np.
     counts = x["counts"].astype(np.int64)
     pick = np.repeat(chosen, counts)
     ends = np.cumsum(counts[chosen])
-    flat = np.insert(inputs[pick], ends, END_INPUT)
+    flat = np.insert(inputs[pick], ends, len(v.top_n) + FORMS)
     starts = np.zeros(len(flat), bool)
     starts[np.append(0, (ends + np.arange(1, len(ends) + 1))[:-1])[:len(ends)]] = True
     return flat, starts
@@ -343,7 +359,7 @@ def train(table: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
 
     def round_of(k: int, weights: bytes) -> Model | None:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = Model.load(weights)
+            own = Model.load(weights, v)
             adam, seen = Adam(own), 0
             for b in batches:
                 for r in range(b.num_rows):
@@ -352,7 +368,7 @@ def train(table: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
                     lanes = min(LANES, max(1, len(flat) // WINDOW))
                     steps = -(-len(flat) // lanes)
                     pad = lanes * steps - len(flat)
-                    flat, starts = np.append(flat, np.full(pad, END_INPUT)), np.append(starts, np.ones(pad, bool))
+                    flat, starts = np.append(flat, np.full(pad, own.end)), np.append(starts, np.ones(pad, bool))
                     flat, starts = flat.reshape(lanes, steps).T, starts.reshape(lanes, steps).T
                     h = np.zeros((lanes, UNITS), np.float32)
                     for t in range(0, steps, WINDOW):
@@ -377,7 +393,7 @@ def train(table: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
         for n in (256, 16, 1):
             done = done.repartition(n).mapInArrow(total, schema) if n < 256 or default_parallelism(table.sparkSession) > 1024 else done
         last = done.collect()
-        return Model.load((np.frombuffer(last[0]["w"], np.float64) / last[0]["seen"]).tobytes()) if last else None
+        return Model.load((np.frombuffer(last[0]["w"], np.float64) / last[0]["seen"]).tobytes(), v) if last else None
 
     for k in range(rounds):
         model = round_of(k, model.flat().tobytes()) or model
@@ -406,7 +422,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", fold: int = 2
     weights = train(table, v, rounds).flat().tobytes() if train_docs else Model.fresh(v).flat().tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model.load(weights)
+        model = Model.load(weights, v)
         for b in batches:
             for r in range(b.num_rows):
                 x = _cells(b, r)
@@ -447,7 +463,7 @@ def _walk(model: Model, inputs: np.ndarray, counts: np.ndarray, lanes: int = 512
             width = active[0]
             at = begins[own[:width], None] + np.arange(t, t + steps)
             end = np.arange(t, t + steps) >= size[:width, None] - 1
-            tokens = np.where(end, END_INPUT, inputs[np.where(end, 0, at)] if len(inputs) else END_INPUT).T
+            tokens = np.where(end, model.end, inputs[np.where(end, 0, at)] if len(inputs) else model.end).T
             h = h[:width]
             states, _ = model.steps(tokens, h, active)
             live = np.arange(width) < np.array(active)[:, None]
