@@ -1,17 +1,17 @@
-"""Removal of repeated passages with a distributed difference-cover suffix sort.
+"""Removal of repeated passages by difference-cover names of equal strings.
 
 A byte goes if some string of `length` bytes that covers it also starts earlier in the corpus.
 Whole copies are settled first, by a 128-bit hash. Then strings that occur once are put aside:
 every string of `length` bytes contains the least hash of its K-byte substrings, and a string can
-only repeat if that substring does. What remains, segments of texts, is sorted.
+only repeat if that substring does. What remains, segments of texts, is named.
 
-The sort follows the difference cover {1, 2} modulo 3. The sample is the positions whose offset in
-their segment is 1 or 2 modulo 3. Their triples of 9-byte words are sorted and named, then triples of
+The names follow the difference cover {1, 2} modulo 3. The sample is the positions whose offset in
+their segment is 1 or 2 modulo 3. Their triples of 9-byte words are dealt by hash and named, then triples of
 those names, so that a sample position has a name for its next 81 bytes. Any two positions, whatever
 their offsets, reach sample positions together after 0, 1 or 2 steps; there, two overlapping
-names and at most four single bytes stand for the whole string. So all positions, the remaining ones
-included, are merged by sorting these keys, and neighbours with equal keys are equal strings, of
-which all but the earliest are marked.
+names and at most four single bytes stand for the whole string. So these keys of all positions, the
+remaining ones included, are grouped; equal keys are equal strings, of which all but the earliest are
+marked. Names tell equal from unequal only: no global suffix order is built, as removal needs none.
 
 A part of the segments sends each distinct key once, with its earliest position, so a passage
 that is everywhere costs no more than one row of each part in the task that sorts its key.
