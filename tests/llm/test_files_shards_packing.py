@@ -18,7 +18,6 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(BYTE_BPE)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -28,7 +27,7 @@ def test_encoder(library, monkeypatch):
              "\t", "\xa0", "̈", "你好", "<|endoftext|>", " the", "\r\n", "²", "…", "\x01", "​", "٣", "\x1c", "\x85"]
     rng = random.Random(2)
     encoder = tokenfiles.Encoder(BYTE_BPE)
-    for cache in (300, 10**6):
+    for cache in (30_000, 10**8):
         monkeypatch.setattr(tokenfiles, "CACHE", cache)
         for _ in range(6):
             texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(500)]
@@ -36,6 +35,13 @@ def test_encoder(library, monkeypatch):
             assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [library(t) for t in texts]
 
 
+def test_added_token(library):
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b c", "plain words."]
+    flat, counts = tokenfiles.Encoder(BYTE_BPE).encode(pa.array(texts))
+    assert flat[:counts[0]].tolist() == [31373, 220, 50256, 995]
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [library(t) for t in texts]
+
+
 def read_back(df, spark, read_ids=tokenfiles.READ_IDS):
     parts = tokenfiles.write_tokens(df, scratch_path(spark, "tokens"), lambda: tokenfiles.encoder(BYTE_BPE).encode, 2, 50_257)
     found = defaultdict(list)

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from textloom.llm.shingles import text_slices
 
-#: Entries of a worker's cache of encoded pieces; a full cache is emptied.
-CACHE = 300_000
+#: Bytes of pieces in a worker's cache of encoded pieces, some 100 for the entry of each included; a full cache is emptied.
+CACHE = 24 << 20
+_ENTRY = 100
 #: New pieces that go to the tokenizer together, and bytes of text that are cut together.
 TOGETHER = 10_000
 SLICE = 2 << 20
@@ -61,33 +62,41 @@ class Encoder:
     single line end as a piece of its own, and a sign behind a letter or digit apart from both
     that and the space behind it. So a text may be cut there, and each distinct piece is
     encoded once: Arrow cuts a column and finds its distinct pieces, and new ones go to the
-    tokenizer together, a line each. Texts with other white space, or white space in a row, are
-    encoded whole.
+    tokenizer together, a line each. Texts with other white space, white space in a row, or an
+    added token of the tokenizer are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Texts that hold an added token, like one for the end of a text, are encoded whole.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._empty()
 
     def _empty(self) -> None:
         self.place: dict[str, int] = {}
-        self.ids = np.zeros(0, np.uint32)
-        self.ends = np.zeros(0, np.int64)
+        self.bytes, self.filled = 0, 0
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.ends = np.zeros(1 << 16, np.int64)
 
     def _plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _put(self, pieces: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
-        n, base = len(self.place), len(self.ids)
+        n, base = len(self.place), self.filled
         self.place.update(zip(pieces, range(n, n + len(pieces)), strict=True))
-        self.ids = np.concatenate([self.ids, flat])
-        self.ends = np.concatenate([self.ends, base + np.cumsum(lengths)])
+        self.bytes += sum(map(len, pieces)) + _ENTRY * len(pieces)
+        self.filled += len(flat)
+        while self.filled > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+        while n + len(pieces) > len(self.ends):
+            self.ends = np.append(self.ends, np.zeros_like(self.ends))
+        self.ids[base:self.filled] = flat
+        self.ends[n:n + len(pieces)] = base + np.cumsum(lengths)
 
     def _learn(self, pieces: list[str]) -> None:
-        if len(self.place) > CACHE:
+        if self.bytes > CACHE:
             self._empty()
         texts = {p: p[1:] if p[:1] == _MARK else " " + p for p in pieces}
         for piece in [p for p, t in texts.items() if t in ("", " ", "\n")]:
@@ -104,6 +113,8 @@ class Encoder:
         """The ids of all texts of a column without nulls, one after the other, and their number in each text."""
         texts = texts.cast(pa.string())
         whole = pc.match_substring_regex(texts, _WHOLE)
+        for token in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
         cut = pc.binary_join_element_wise(pa.scalar(_MARK), pc.if_else(whole, "", texts), "")
         cut = pc.replace_substring(cut, "\n", f" {_MARK}\n {_MARK}")
         apart, signed = pc.match_substring_regex(pc.utf8_slice_codeunits(cut, 1), _SIGN_APART), cut
@@ -116,7 +127,7 @@ class Encoder:
         place = np.array([get(w, -1) for w in words], np.int64)
         if (place < 0).any():
             new = [words[k] for k in np.flatnonzero(place < 0)]
-            if len(self.place) > CACHE:
+            if self.bytes > CACHE:
                 new = words
             self._learn(new)
             get = self.place.get
