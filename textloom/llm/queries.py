@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import ann, lm, ngram_join, packing, pieces, quality, sharding, suffixes, tokenfiles, urls
+from textloom.llm import ann, fim, lm, ngram_join, packing, pieces, quality, sharding, suffixes, tokenfiles, urls
 from textloom.llm.common import byte_length, words
 from textloom.session import scratch_path
 
@@ -181,7 +181,38 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+OP12_SQL = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents
+), numbers AS (
+  SELECT *, len(units)::BIGINT AS n, ('0x' || substr(d, 1, 8))::BIGINT AS h1, ('0x' || substr(d, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(d, 17, 8))::BIGINT AS h3, ('0x' || substr(d, 25, 8))::BIGINT AS h4 FROM drawn
+), cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS z,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers
+), parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:z], '') AS middle, array_to_string(units[z + 1:], '') AS suffix
+  FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 QUERIES = {
+    "op12_fill_in_middle": op12_fill_in_middle,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op1_ngram_join": op1_ngram_join,
     "op2_lm_scores": op2_lm_scores,
@@ -189,4 +220,4 @@ QUERIES = {
     "op4_pieces": op4_pieces, "op5_token_files": op5_token_files, "op6_url_filter": op6_url_filter, "op7_shards": op7_shards,
     "op8_packing": op8_packing, "op9_quality": op9_quality,
 }
-ORACLES = {"op6_url_filter": OP6_SQL, "op9_quality": OP9_SQL}
+ORACLES = {"op6_url_filter": OP6_SQL, "op9_quality": OP9_SQL, "op12_fill_in_middle": OP12_SQL}
