@@ -17,7 +17,9 @@ FIRST = {
     "op7_shards": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op8_packing": ["doc_id", "length", "piece", "start", "n_tokens", "bucket", "batch", "slot"],
     "op9_quality": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    "op11_simhash": ["doc_id", "fingerprint", "component_id"],
     "op12_fill_in_middle": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
+    "op13_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
     "op10_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
 }
 

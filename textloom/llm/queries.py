@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import ann, fim, lm, ngram_join, packing, pieces, quality, sharding, suffixes, tokenfiles, urls
+from textloom.llm import ann, fim, lm, ngram_join, packing, pieces, quality, sharding, simhash, suffixes, tokenfiles, urls, whitening
 from textloom.llm.common import byte_length, words
 from textloom.session import scratch_path
 
@@ -181,6 +181,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.similar(table(spark, sf_dir, "documents"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -211,7 +215,16 @@ FROM parts
 """
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return white.select("vec_id", "n", "deviation", "identity_error", "explained", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened", F.col("explained")[F.col("at")].alias("explained"),
+        "identity_error")
+
+
 QUERIES = {
+    "op11_simhash": op11_simhash,
+    "op13_whitening": op13_whitening,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op1_ngram_join": op1_ngram_join,
