@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from textloom.llm.shingles import text_slices
 
-#: Bytes of pieces in a worker's cache of encoded pieces, some 100 for the entry of each included; a full cache is emptied.
-CACHE = 24 << 20
+#: Bytes of pieces in a worker's cache of encoded pieces, some 100 for the entry of each included. Once half of it is
+#: new, the other half goes, except for what was met again.
+CACHE = 64 << 20
 _ENTRY = 100
 #: New pieces that go to the tokenizer together, and bytes of text that are cut together.
 TOGETHER = 10_000
@@ -73,6 +74,7 @@ class Encoder:
         # Texts that hold an added token, like one for the end of a text, are encoded whole.
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._empty()
+        self._renew()
 
     def _empty(self) -> None:
         self.place: dict[str, int] = {}
@@ -80,8 +82,19 @@ class Encoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 16, np.int64)
 
+    def _renew(self) -> None:
+        """What is cached becomes the old half."""
+        self.old = self.place, self.ids, self.ends
+        self._empty()
+
+    def _spans(self, place: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each piece begin, and how many they are."""
+        start = np.where(place > 0, ends[place - 1], 0)
+        return start, ends[place] - start
+
     def _plain(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        # The call that gives ids without the places of tokens in the text.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _put(self, pieces: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         n, base = len(self.place), self.filled
@@ -96,9 +109,11 @@ class Encoder:
         self.ends[n:n + len(pieces)] = base + np.cumsum(lengths)
 
     def _learn(self, pieces: list[str]) -> None:
-        if self.bytes > CACHE:
-            self._empty()
-        texts = {p: p[1:] if p[:1] == _MARK else " " + p for p in pieces}
+        known, ids, ends = self.old
+        again = [p for p in pieces if p in known]
+        start, length = self._spans(np.array([known[p] for p in again], np.int64), ends)
+        self._put(again, _ranges(ids, start, length), length)
+        texts = {p: p[1:] if p[:1] == _MARK else " " + p for p in pieces if p not in known}
         for piece in [p for p, t in texts.items() if t in ("", " ", "\n")]:
             ids = self._plain(texts.pop(piece))
             self._put([piece], ids, np.array([len(ids)]))
@@ -123,21 +138,19 @@ class Encoder:
         pieces = pc.split_pattern(pc.if_else(apart, cut, signed), " ")
         coded = pieces.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
+        if self.bytes > CACHE // 2:
+            self._renew()
         get = self.place.get
         place = np.array([get(w, -1) for w in words], np.int64)
-        if (place < 0).any():
-            new = [words[k] for k in np.flatnonzero(place < 0)]
-            if self.bytes > CACHE:
-                new = words
-            self._learn(new)
-            get = self.place.get
-            place = np.array([get(w) for w in words], np.int64)
-        stop = self.ends[place]
-        start = np.where(place > 0, self.ends[place - 1], 0)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            self._learn([words[k] for k in new])
+            place[new] = [get(words[k]) for k in new]
+        start, length = self._spans(place, self.ends)
         at = coded.indices.to_numpy()
-        start, length = start[at], (stop - start)[at]
+        start, length = start[at], length[at]
         ends = np.cumsum(length)
-        flat = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + length, length)]
+        flat = _ranges(self.ids, start, length)
         counts = np.diff(np.append(0, ends)[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()])
         for k in np.flatnonzero(whole.to_numpy(zero_copy_only=False)):
             own = self._plain(texts[int(k)].as_py())
@@ -146,6 +159,12 @@ class Encoder:
         return flat, counts
 
 
+def _ranges(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The values of all ranges, one after the other."""
+    ends = np.cumsum(length)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + length, length)]
+
+
 _encoders: dict[str, Encoder] = {}
 
 
