@@ -1,5 +1,6 @@
-"""The parallel early stop against the row-by-row one, on many kinds of runs."""
+"""The parallel early stop against the rule row by row, on many kinds of runs."""
 
+import math
 from dataclasses import replace
 
 import numpy as np
@@ -8,22 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators import monitor as m
+from textloom.operators.falls import Falls, leave
 from textloom.streaming import live
 
 
-class State:
-    """Stands for the state a stream keeps."""
-
-    def __init__(self):
-        self.value = None
-
-    exists = property(lambda self: self.value is not None)
-    get = property(lambda self: self.value)
-
-    def update(self, value):
-        self.value = value
-
-
 def make_log(seed=5, runs=40):
     rng = np.random.default_rng(seed)
     rows = []
@@ -62,22 +51,71 @@ def tables(spark):
     return log, runs
 
 
-def row_by_row(spark, log, runs, settings):
+def plain_rule(rows, s):
+    """The rule for the entries of one run, one after the other."""
+    best, best_count, max_lr, count, last_step, emas = math.inf, 0, 0.0, 0, -1, []
+    for r in rows.itertuples(index=False):
+        if not math.isnan(r.hard_cap_steps) and r.step >= r.hard_cap_steps:
+            return r.step, "hard_cap"
+        if r.no_loss or r.step <= last_step:
+            continue
+        last_step, count = r.step, count + 1
+        ema = r.loss if count == 1 else s.beta * ema + (1.0 - s.beta) * r.loss
+        emas.append(ema)
+        if count == 1:
+            ref = ema
+        if ema < best - 1e-12:
+            best, best_count = ema, count
+        if r.step < r.warmup_steps or max(r.step, 0) / r.total_steps < s.exposure_floor:
+            ref = ema
+            continue
+        if s.lr_fraction < 1 and not math.isnan(r.learning_rate):
+            max_lr = max(max_lr, r.learning_rate)
+            if r.learning_rate > max_lr * s.lr_fraction + 1e-12:
+                continue
+        if count < r.min_history:
+            ref = ema
+            continue
+        sigma = max(m.sigma_of(np.asarray(emas[-r.window:])), s.std_floor)
+        slope = m.slope_of(np.asarray(emas[-r.slope_window:]))
+        drop = ref - ema
+        if drop >= s.min_abs or drop / (sigma + 1e-12) >= s.min_sigma:
+            ref = ema
+        elif slope >= s.slope_threshold:
+            return r.step, "worsening"
+        elif count - best_count >= s.patience and abs(slope) <= s.slope_threshold and sigma <= max(0.5 * s.std_floor, 0.05):
+            return r.step, "plateau"
+    return None, None
+
+
+def entries_of(log, runs, settings):
+    """Sorted entries of each run, with the run's plan."""
     plan = m.monitor_windows(runs, "total_steps", settings).toPandas().set_index("run_id")
     pdf = log.withColumn("no_loss", F.col("loss").isNull()).toPandas()
-    out = {}
     for run, rows in pdf.groupby("run_id"):
-        rows = rows.assign(**{c: plan.loc[run, c] for c in plan.columns})
-        # a repeated step counts once: the first entry with a loss, as the batch form does
-        rows = rows.sort_values(["step", "seq"])
+        rows = rows.assign(**{c: plan.loc[run, c] for c in plan.columns}).sort_values(["step", "seq"])
         rows["hard_cap_steps"] = rows["hard_cap_steps"].astype(float)
-        state, stop = State(), (None, None)
-        for part in np.array_split(rows, 3):
-            if len(part):
-                for found in live._live_fold(settings, "bigint")((run,), iter([part]), state):
-                    stop = (int(found.stop_step[0]), found.reason[0])
-        out[run] = stop
-    return out
+        yield run, rows
+
+
+def row_by_row(spark, log, runs, settings):
+    return {run: plain_rule(rows, settings) for run, rows in entries_of(log, runs, settings)}
+
+
+@pytest.mark.filterwarnings("ignore")
+@pytest.mark.parametrize("odd", [False, True])
+@pytest.mark.parametrize("settings", SETTINGS)
+def test_stream_state_in_parts(spark, tables, odd_tables, settings, odd):
+    """Entries taken into the state of a stream in parts, each in any order."""
+    log, runs = odd_tables if odd else tables
+    for run, rows in entries_of(log, runs, settings):
+        state, stop = live.RunState(), (None, None)
+        plan = {c: float(rows[c].iloc[0]) for c in live._PLAN}
+        edges = sorted({0, len(rows), *(i for i in (len(rows) // 3, len(rows) // 2, len(rows) - 1) if rows.step.iloc[i] > rows.step.iloc[i - 1])})
+        for a, z in zip(edges, edges[1:]):
+            found = live.advance(settings, state, plan, rows.iloc[a:z].sample(frac=1, random_state=1))
+            stop = found or stop
+        assert stop == plain_rule(rows, settings)
 
 
 @pytest.mark.parametrize("chunk", [64, 1 << 16])
@@ -186,3 +224,52 @@ def test_first_step_at_the_cap(spark, tables):
     for bits in (2, 5, 18):
         assert {r.run_id: r.cap_step for r in m._first_capped(log, runs, bits).collect()} == want
     assert want
+
+
+def falling(n, drop, noise=0.0):
+    rng = np.random.default_rng(3)
+    return 5 - drop * np.arange(n) + noise * rng.normal(size=n)
+
+
+@pytest.mark.parametrize("key_over,noise", [(0.04, 0.0), (0.04, 0.3), (1e-12, 0.0), (0.5, 0.05), (0.0, 0.1)])
+def test_falls(key_over, noise):
+    """Chains and summaries against a plain loop, for every value on entry."""
+    value = falling(400, 0.003, noise)
+    value[[50, 51, 200]] = np.nan
+    value = np.round(value, 3) if key_over else value
+    key = value + key_over
+    f = Falls(key, value)
+    for start in [*np.linspace(3, 6, 60), *key[~np.isnan(key)][::7], *value[~np.isnan(value)][::11], math.inf, math.nan]:
+        v, rows = start, []
+        for i in range(len(key)):
+            if v >= key[i]:
+                v = value[i]
+                rows.append(i)
+        assert f.chain(start).tolist() == rows
+        for low, high in ((-1e9, 1e9), (start - 0.01, start + 0.01), (start, start)):
+            keys, values, last = f.summary(low, high)
+            at = leave(keys, start)
+            assert (None, None) == (at, rows[-1] if rows else None) or (values[at], last[at]) == (v, rows[-1])
+
+
+def test_long_falling_run(spark, monkeypatch):
+    """A loss that falls at every step: one row per chunk is put in order, whatever the number of its improvements."""
+    n = 1_000_000
+    monkeypatch.setattr(m, "CHUNK", 1 << 16)
+    log = spark.range(1, n + 1).select(F.lit(1).cast("bigint").alias("run_id"), F.col("id").alias("seq"), F.col("id").alias("step"),
+                                       (9 - F.col("id") * 8e-6).alias("loss"), F.lit(None).cast("double").alias("learning_rate"))
+    runs = spark.createDataFrame([(1, n, 100, None)], "run_id bigint, total_steps bigint, warmup_steps bigint, hard_cap_steps bigint")
+    s = m.MonitorSettings(slope_window=96)
+    packed = m._staged(m._packed(m._prepared(log, runs, s), s, True), "chunks")
+    ordered = []
+    entered = m._entered
+    monkeypatch.setattr(m, "_entered", lambda totals, summed: entered(totals, lambda several: ordered.append(summed(several)) or ordered[-1]))
+    walked = m._walked(packed, s)
+    chunks = packed.count()
+    assert ordered[0].count() == chunks - 1 <= n // (1 << 16) + 1
+    # A summary holds the values that the reference can have when the chunk is entered, not all its rows.
+    assert max(len(r["ref_key"]) // 8 for r in ordered[0].collect()) < 8000
+    assert m.decisions(walked, s).collect() == []
+    ends = walked.orderBy(F.desc("chunk")).first()
+    ema = [float(x) for x in ends["ema"]]
+    assert ends["best"] == pytest.approx(ema[0] + 8e-6, abs=1e-9) and ema[0] <= ends["ref"] < ema[0] + 0.0401

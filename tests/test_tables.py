@@ -1,11 +1,14 @@
 """Roles, profiles, synthesis, tokens, plans, logs and the ledger on small tables."""
 
+import itertools
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators import prepare, profiles, roles, tokens
 from textloom.plans import runplan
-from textloom.sources import logs, tables
+from textloom.sources import logfiles, logs, tables
 
 CATALOG = {
     "sft": ["ID", "Prompt", "RESPONSE", "output"],
@@ -165,6 +168,30 @@ def test_log_lines_from_files(spark, tmp_path):
     files = spark.read.text(str(tmp_path), wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
     rows = logs.entry_fields(logs.parse_files(files)).select("file", "loss").collect()
     assert sorted((r.file, r.loss) for r in rows) == [("a.log", 1.5), ("a.log", 2.5), ("b.log", 3.5), ("b.log", 4.5)]
+    for split in (20, 1 << 20):
+        found = logs.entry_fields(logs.read_entries(spark, str(tmp_path), split)).collect()
+        assert sorted((r.file[-5:], r.loss) for r in found) == [("a.log", 1.5), ("a.log", 2.5), ("b.log", 3.5), ("b.log", 4.5)]
+    assert "Exchange" not in logs.parse_lines(lines)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("block", [1, 5, 1 << 20])
+def test_log_ranges(tmp_path, monkeypatch, block):
+    """Ranges of any size give the lines and objects of the whole file, each once, with their place."""
+    monkeypatch.setattr(logfiles, "BLOCK", block)
+    text = "a\nbb\r\n\rc é\r\r\n{'loss':\n1} {x{y: 2}z} {} {open\n{\n'k': 3\n\n} }} last {never closed\nend"
+    for name, body in (("x.log", text), ("y.log", "\n" + text + "\n"), ("z.log", "{" * 3), ("w.log", "}{\r"), ("v.log", "")):
+        raw = body.encode()
+        (tmp_path / name).write_bytes(raw)
+        ends = [(m.start(), m.end()) for m in re.finditer(rb"\r\n|\n|\r", raw)]
+        begins = [0, *(e for _, e in ends)]
+        want = {"line": [(b, raw[b:e]) for b, e in zip(begins, [*(s for s, _ in ends), len(raw)]) if b < len(raw)],
+                "object": [(m.start(), m.group()) for m in re.finditer(rb"\{[^{}]+\}", raw)]}
+        for unit, split in itertools.product(want, (1, 2, 3, 7, 1000)):
+            reader = logfiles.LogReader(str(tmp_path / name), unit, split)
+            parts = reader.partitions()
+            assert block > 1 or len(parts) == max(1, -(-len(raw) // split))
+            rows = [(r["seq"], r["value"].encode()) for p in parts for b in reader.read(p) for r in b.to_pylist()]
+            assert rows == want[unit], (name, unit, split)
 
 
 def test_trainer_states(spark, tmp_path):

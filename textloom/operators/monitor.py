@@ -1,36 +1,36 @@
 """Early-stop monitor over the loss logs of many runs.
 
-The rule itself is sequential: it compares the smoothed loss with a reference that moves when the
-loss has improved. Everything it looks at is computed in parallel over chunks of runs (smoothed
-loss, robust sigma, slope, gates). What is left for the sequential pass are the few rows that can
-change its state. A row changes the reference only if its threshold (smoothed loss plus required
-drop) is a new low of the run, and the best value only if the smoothed loss is. All other rows
-either do nothing or, if their slope is too steep, stop the run for certain, so nothing after the
-first such row matters. Lows and certain stops are found per chunk, which keeps a few rows more
-than needed and needs no exchange between chunks.
+The rule itself is sequential: it compares the smoothed loss with a reference that moves when the loss
+has improved. Everything it looks at is computed in parallel over chunks of runs (smoothed loss, robust
+sigma, slope, gates). The state is two values that only fall, the reference and the best value (see `falls`): a row
+of a chunk has a least reference from which it counts as an improvement, so what a chunk does to either is
+known without what comes before. One summary per chunk is put in order; then all chunks walk through their
+rows at once, each from the state it is entered with.
 """
 
 from __future__ import annotations
 
 import math
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from textloom.operators.scans import CHUNK, index_rows, running, whole_groups, with_halo
+from textloom.operators.falls import Falls, least_where, leave
+from textloom.operators.scans import CHUNK, chunk_of, index_rows, running, whole_groups, with_halo
 from textloom.session import scratch_path
 
 MAD_SCALE = 1.4826
 _TINY = 1e-12
 _NEVER = 1 << 62
+#: Chunks of which a row of numbers is sent to every task; those of more are joined.
+BROADCAST_CHUNKS = 200_000
 _NARROW = 512  # windows up to this width are computed as rows of a matrix
 
 
@@ -223,51 +223,48 @@ def _slope(y, start, width, rows) -> np.ndarray:
     return out
 
 
-def _records(values: np.ndarray, at: np.ndarray, group: np.ndarray, slack: float) -> np.ndarray:
-    """Rows (of those at `at`) whose value is not above the lowest before it in the group."""
-    out = np.zeros(len(values), dtype=bool)
-    for part in np.split(at, np.flatnonzero(np.diff(group[at])) + 1):
-        if len(part):
-            lowest = np.minimum.accumulate(values[part])
-            out[part[0]] = True
-            out[part[1:]] = values[part[1:]] <= lowest[:-1] + slack
-    return out
-
-
-def _turning(s: MonitorSettings, ema, sigma, slope, low, opened, waits, pos, home, start) -> np.ndarray:
-    """Rows that can change the state of the monitor, within each chunk (see the module text)."""
-    sigma = np.maximum(sigma, s.std_floor)
-    key = ema + np.minimum(s.min_abs, s.min_sigma * (sigma + _TINY))
-    at = home[opened[home]]
-    lower = _records(key, at, start, 1e-9)
-    worsening = opened & (slope >= s.slope_threshold)
-    flat = opened & (np.abs(slope) <= s.slope_threshold) & (sigma <= max(0.5 * s.std_floor, 0.05))
-    turning = (pos == 1) | low | lower | worsening | flat
-    next_waits = np.zeros(len(pos), dtype=bool)
-    next_waits[:-1] = waits[1:] & (start[1:] == start[:-1])
-    turning |= waits & ~next_waits  # the last waiting row sets the reference
-    sure = np.flatnonzero(worsening & ~lower)
-    for group in np.unique(start[sure]):
-        first = sure[np.searchsorted(start[sure], group)]
-        turning[first + 1:][start[first + 1:] == group] = False
-    return turning
+def window_signals(ema: np.ndarray, rows: np.ndarray, window: int, slope_window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sigma and slope of the windows that end at `rows` of one series of smoothed losses; 0 elsewhere."""
+    start, n = np.zeros(len(ema), np.int64), len(ema)
+    odd = np.concatenate([[0], np.cumsum(~np.isfinite(ema))])
+    reach = max(window, slope_window)
+    clean = odd[rows + 1] == odd[np.maximum(0, rows + 1 - reach)]
+    sigma = _sigma(ema, start, np.full(n, window), rows[clean])
+    slope = _slope(ema, start, np.full(n, slope_window), rows[clean])
+    for i in rows[~clean]:
+        sigma[i] = sigma_of(ema[max(0, i - window + 1):i + 1])
+        slope[i] = slope_of(ema[max(0, i - slope_window + 1):i + 1])
+    return sigma, slope
 
 
 def signals(entries: DataFrame, settings: MonitorSettings = MonitorSettings(),
             only_decide: bool = False) -> DataFrame:
-    """Add ema (smoothed loss), sigma, slope, and `low`: whether ema is a new low of its chunk.
+    """Add ema (smoothed loss), sigma and slope.
 
     Needs run_id, pos, n, loss, window and slope_window. A chunk starts early enough that the
     smoothed loss has forgotten where it started to beyond double precision. With the columns of
-    `gated`, sigma and slope are computed for open rows only, and `turning` is added. With
-    `only_decide`, sigma is left at 0 where no decision can depend on it.
+    `gated`, sigma and slope are computed for open rows only. With `only_decide`, sigma is left at 0
+    where no decision can depend on it.
     """
+    names = entries.columns
+
+    def rows(table: pa.Table, home: np.ndarray, found: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        out = table.select(names).take(pa.array(home))
+        for name, values in found.items():
+            out = out.append_column(name, pa.array(values[home]))
+        yield from out.combine_chunks().to_batches()
+
+    schema = StructType(entries.schema.fields + [StructField(c, DoubleType()) for c in ("ema", "sigma", "slope")])
+    return _over_chunks(entries, settings, only_decide, rows, schema)
+
+
+def _over_chunks(entries: DataFrame, settings: MonitorSettings, only_decide: bool, give: Callable, schema: StructType | str) -> DataFrame:
+    """What `give(table, home, signals)` makes of some whole chunks: all their rows, which of these are their own, and the signals of each."""
     warm, s = settings.warm_rows, settings
     with_sigma = s.sigma_matters or not only_decide
     before = (F.greatest("window", "slope_window") if with_sigma else F.col("slope_window")) + warm
     length = F.greatest(F.lit(CHUNK), before)
     keys = ["run_id", "_chunk"]
-    names = entries.columns
     # A chunk forgets where it started, but never a loss that is not finite: those are told to all chunks.
     first = lambda test: F.coalesce(F.min(F.when(test, F.col("pos"))), F.lit(_NEVER))
     loss = F.col("loss").cast("double")
@@ -275,10 +272,7 @@ def signals(entries: DataFrame, settings: MonitorSettings = MonitorSettings(),
         first(F.isnan(loss)).alias("_nan"), first(loss == math.inf).alias("_high"), first(loss == -math.inf).alias("_low"))
     rows = with_halo(entries.join(odd, "run_id", "left"), before, 0, length)
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "pos")
-    has_gates = "open" in names
-    added = [("ema", DoubleType()), ("sigma", DoubleType()), ("slope", DoubleType()), ("low", BooleanType())]
-    if has_gates:
-        added.append(("turning", BooleanType()))
+    has_gates = "open" in entries.columns
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, keys):
@@ -301,17 +295,8 @@ def signals(entries: DataFrame, settings: MonitorSettings = MonitorSettings(),
             for i in wanted[lost[wanted] & (pos - since < reach)[wanted]]:  # windows that still hold finite values
                 sigma[i] = sigma_of(ema[max(start[i], i - col["window"][i] + 1):i + 1]) if with_sigma else 0.0
                 slope[i] = slope_of(ema[max(start[i], i - col["slope_window"][i] + 1):i + 1])
-            low = _records(ema, home, start, 0.0)
-            new = [ema, sigma, slope, low]
-            if has_gates:
-                waits = table["waits"].to_numpy().astype(bool)
-                new.append(_turning(s, ema, sigma, slope, low, opened, waits, col["pos"], home, start))
-            out = table.select(names).take(pa.array(home))
-            for (name, _), values in zip(added, new):
-                out = out.append_column(name, pa.array(values[home]))
-            yield from out.combine_chunks().to_batches()
-
-    schema = StructType(entries.schema.fields + [StructField(n, t) for n, t in added])
+            yield from give(table, home, {"ema": ema, "sigma": sigma, "slope": slope})
+
     return rows.mapInArrow(compute, schema)
 
 
@@ -336,62 +321,227 @@ def gated(entries: DataFrame, settings: MonitorSettings = MonitorSettings()) ->
             .drop("_past", "_ok", "_lr"))
 
 
-def _fold(s: MonitorSettings, decide: bool):
-    """Sequential pass over the turning rows; emits each change of the state."""
+def _drop_key(s: MonitorSettings, ema: np.ndarray, sigma: np.ndarray) -> np.ndarray:
+    """The least reference from which the drop to each smoothed loss counts as an improvement; NaN for none."""
+    def improved(ref: np.ndarray) -> np.ndarray:
+        with np.errstate(invalid="ignore"):
+            return (ref - ema >= s.min_abs) | ((ref - ema) / (sigma + _TINY) >= s.min_sigma)
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, stopped = None, False
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                if r.run_id != run:
-                    run, stopped, best, best_pos = r.run_id, False, math.inf, 0
-                    ref, ref_pos = r.ema, r.pos  # ref_pos: not reported yet
-                if stopped:
-                    continue
-                if r.ema < best - _TINY:
-                    best, best_pos = r.ema, r.pos
-                    out.append((run, r.pos, r.step, best, None, None))
-                if not decide:
+    need = np.where(np.isfinite(sigma), np.minimum(s.min_abs, s.min_sigma * (sigma + _TINY)), s.min_abs)
+    return _reached(improved, ema, ema + need, np.abs(ema) + np.abs(need))
+
+
+def _best_key(ema: np.ndarray) -> np.ndarray:
+    """The least best value that each smoothed loss is better than; NaN for none."""
+    return _reached(lambda best: ema < best - _TINY, ema, ema + _TINY, np.abs(ema) + _TINY)
+
+
+def _reached(holds, ema: np.ndarray, near: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    sound = np.isfinite(ema)
+    key = least_where(holds, np.where(sound, near, 0.0), np.where(sound, scale, 0.0))
+    return np.where(sound, key, np.where(np.isneginf(ema), -np.finfo(float).max, np.nan))
+
+
+@dataclass
+class Walk:
+    """What the rule does on consecutive rows of a run, from the state before them."""
+
+    falls: np.ndarray  #: rows at which the reference falls
+    before: np.ndarray  #: the reference that each row is compared with
+    best: np.ndarray  #: the best value so far, with the row itself
+    since: np.ndarray  #: rows since the best value
+    plateau: np.ndarray
+    worsening: np.ndarray
+    stop: int | None  #: the row that stops the run
+
+    @property
+    def reason(self) -> str:
+        return "worsening" if self.worsening[self.stop] else "plateau"
+
+
+def walk(s: MonitorSettings, ref: float, best: float, best_pos: int, pos: np.ndarray, ema: np.ndarray, sigma: np.ndarray,
+         slope: np.ndarray, opened: np.ndarray) -> Walk:
+    """The early-stop rule. `opened`: rows that may decide; `ref`, `best` and the position of the best are as before the first row."""
+    sigma = _floored(sigma, s.std_floor)
+    at = np.flatnonzero(opened)
+    falls = at[Falls(_drop_key(s, ema[at], sigma[at]), ema[at]).chain(ref)]
+    better = Falls(_best_key(ema), ema).chain(best)
+    held = np.concatenate([[ref], ema[falls]])
+    before = held[np.searchsorted(falls, np.arange(len(pos)), "left")]
+    step = np.searchsorted(better, np.arange(len(pos)), "right")
+    best_now = np.concatenate([[best], ema[better]])[step]
+    since = pos - np.concatenate([[best_pos], pos[better]])[step]
+    with np.errstate(invalid="ignore"):
+        worsening = slope >= s.slope_threshold
+        plateau = (since >= s.patience) & (np.abs(slope) <= s.slope_threshold) & (sigma <= max(0.5 * s.std_floor, 0.05))
+    ends = opened & (worsening | plateau)
+    ends[falls] = False
+    stop = np.flatnonzero(ends)
+    return Walk(falls, before, best_now, since, plateau, worsening, int(stop[0]) if len(stop) else None)
+
+
+def _floored(sigma: np.ndarray, floor: float) -> np.ndarray:
+    return np.where(sigma < floor, floor, sigma)
+
+
+def _low(values: np.ndarray) -> float:
+    values = values[~np.isnan(values)]
+    return float(values.min()) if len(values) else math.inf
+
+
+_LISTS = {"pos": "bigint", "step": "bigint", "ema": "double", "sigma": "double", "slope": "double", "open": "boolean"}
+#: Per chunk: the first smoothed loss, that of the last waiting row, and the least key and value of the falls of
+#: the reference and of the best value.
+_TOTALS = {"first": "double", "wait": "double", "wait_pos": "bigint", "key": "double", "value": "double",
+           "best_key": "double", "best_value": "double"}
+
+
+def _packed(entries: DataFrame, settings: MonitorSettings, only_decide: bool) -> DataFrame:
+    """The signals of gated entries, one row per chunk: its rows as lists, and its totals."""
+    s = settings
+    names = ["run_id", "chunk", *_LISTS, *_TOTALS]
+
+    def pack(table: pa.Table, home: np.ndarray, found: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        runs, chunk = table["run_id"].take(pa.array(home)), table["_chunk"].to_numpy()[home]
+        own = {c: table[c].to_numpy()[home] for c in ("pos", "step", "waits", "open")} | {c: found[c][home] for c in ("ema", "sigma", "slope")}
+        edges = np.append(np.flatnonzero(np.concatenate([[True], (own["pos"][1:] != own["pos"][:-1] + 1) | (chunk[1:] != chunk[:-1])])), len(home))
+        rows = []
+        for a, z in zip(edges, edges[1:], strict=False):
+            x = {c: v[a:z] for c, v in own.items()}
+            waits, opened = np.flatnonzero(x["waits"]), np.flatnonzero(x["open"])
+            key = _drop_key(s, x["ema"][opened], _floored(x["sigma"][opened], s.std_floor))
+            rows.append((runs[int(a)].as_py(), int(chunk[a]), *(x[c] for c in _LISTS), float(x["ema"][0]),
+                         float(x["ema"][waits[-1]]) if len(waits) else None, int(x["pos"][waits[-1]]) if len(waits) else None,
+                         _low(key), _low(x["ema"][opened]), _low(_best_key(x["ema"])), _low(x["ema"])))
+        types = [table["run_id"].type, pa.int64(), *(pa.list_(_ARROW[t]) for t in _LISTS.values()), *(_ARROW[t] for t in _TOTALS.values())]
+        columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    run_type = entries.schema["run_id"].dataType.simpleString()
+    schema = f"run_id {run_type}, chunk bigint, " + ", ".join(
+        [*(f"{c} array<{t}>" for c, t in _LISTS.items()), *(f"{c} {t}" for c, t in _TOTALS.items())])
+    return _over_chunks(entries, settings, only_decide, pack, schema)
+
+
+_ARROW = {"bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
+
+
+def _numbers(b: pa.RecordBatch, name: str, row: int) -> np.ndarray:
+    return b.column(b.schema.get_field_index(name))[row].values.to_numpy(zero_copy_only=False)
+
+
+def _joined(chunks: DataFrame, small: DataFrame) -> DataFrame:
+    """Chunks with what is known of each, a row of some numbers; many of these are not sent to every task."""
+    return chunks.join(F.broadcast(small) if small.count() <= BROADCAST_CHUNKS else small, ["run_id", "chunk"])
+
+
+def _entered(totals: DataFrame, summed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(run_id, chunk, ref, best, best_pos): the state with which every chunk is entered.
+
+    The reference starts at the last waiting row, as no row decides before it. Between what the totals of
+    the chunks before allow lies all that a chunk can be entered with. `summed` gives the summaries for these; one row per
+    chunk is put in order, in one task per run.
+    """
+    ahead = Window.partitionBy("run_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("run_id")
+    start = F.coalesce(F.max_by("wait", "wait_pos").over(whole), F.min_by("first", "chunk").over(whole))
+    bands = totals.select("run_id", "chunk", start.alias("start"), F.max("chunk").over(whole).alias("last"), *[
+        F.min(c).over(ahead).alias(f"low_{c}") for c in ("key", "value", "best_key", "best_value")])
+    bands = _staged(bands.select("run_id", "chunk", "start", "last", *[F.least("start", f"low_{c}").alias(f"low_{c}") for c in ("key", "value")], *[
+        F.coalesce(f"low_{c}", F.lit(math.inf)).alias(f"low_{c}") for c in ("best_key", "best_value")]), "bands")
+    # Only what another chunk follows is summed up.
+    several = bands.where("chunk < last")
+    if several.isEmpty():
+        return bands.select("run_id", "chunk", F.col("start").alias("ref"), F.lit(math.inf).alias("best"), F.lit(0).cast("bigint").alias("best_pos"))
+    run_type = totals.schema["run_id"].dataType.simpleString()
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, rows, state = None, [], []
+        for b in batches:
+            for r in range(b.num_rows):
+                own = b.column(0)[r].as_py()
+                if own != run or not state:
+                    run, state = own, [b.column(2)[r].as_py(), math.inf, 0]
+                rows.append((own, b.column(1)[r].as_py(), *state))
+                if not b.column(3)[r].is_valid:
                     continue
-                if r.waits:
-                    ref, ref_pos = r.ema, r.pos
-                elif r.open:
-                    if ref_pos is not None:
-                        out.append((run, ref_pos, None, None, ref, None))
-                        ref_pos = None
-                    sigma = max(r.sigma, s.std_floor)
-                    drop = ref - r.ema
-                    reason = None
-                    if drop >= s.min_abs or drop / (sigma + _TINY) >= s.min_sigma:
-                        ref = r.ema
-                        out.append((run, r.pos, r.step, None, ref, None))
-                    elif r.slope >= s.slope_threshold:
-                        reason = "worsening"
-                    elif (r.pos - best_pos >= s.patience and abs(r.slope) <= s.slope_threshold
-                          and sigma <= max(0.5 * s.std_floor, 0.05)):
-                        reason = "plateau"
-                    if reason:
-                        stopped = True
-                        out.append((run, r.pos, r.step, None, None, reason))
-            yield pd.DataFrame(out, columns=["run_id", "pos", "step", "best_event", "ref_event", "reason"])
-
-    return fold
-
-
-def _events(rows: DataFrame, settings: MonitorSettings, decide: bool) -> DataFrame:
-    """Changes of the best value, of the reference, and the stop; (run_id, pos) may repeat."""
-    run_type = rows.schema["run_id"].dataType.simpleString()
-    return (
-        rows.repartition("run_id").sortWithinPartitions("run_id", "pos")
-        .mapInPandas(_fold(settings, decide),
-                     f"run_id {run_type}, pos bigint, step bigint, best_event double, ref_event double, reason string")
-    )
+                key, value, best_key, best_value, best_pos = (
+                    np.frombuffer(b.column(k)[r].as_py(), np.int64 if k == 7 else np.float64) for k in range(3, 8))
+                if (at := leave(key, state[0])) is not None:
+                    state[0] = float(value[at])
+                if (at := leave(best_key, state[1])) is not None:
+                    state[1:] = [float(best_value[at]), int(best_pos[at])]
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, [
+                b.column(0).type, pa.int64(), pa.float64(), pa.float64(), pa.int64()], strict=True)], ["run_id", "chunk", "ref", "best", "best_pos"])
+            rows = []
+
+    steps = summed(several)
+    ordered = bands.select("run_id", "chunk", "start").join(steps, ["run_id", "chunk"], "left").select("run_id", "chunk", "start", *_STEPS)
+    return _staged(ordered.repartition("run_id").sortWithinPartitions("run_id", "chunk").mapInArrow(
+        carry, f"run_id {run_type}, chunk bigint, ref double, best double, best_pos bigint"), "entered")
+
+
+_STEPS = ["ref_key", "ref_value", "best_key", "best_value", "best_pos"]
+
+
+def _summary(s: MonitorSettings, pos: np.ndarray, ema: np.ndarray, sigma: np.ndarray, opened: np.ndarray, low: float, high: float,
+             best_low: float, best_high: float) -> list[bytes]:
+    at = np.flatnonzero(opened)
+    key, value, _ = Falls(_drop_key(s, ema[at], _floored(sigma[at], s.std_floor)), ema[at]).summary(low, high)
+    best_key, best_value, row = Falls(_best_key(ema), ema).summary(best_low, best_high)
+    return [x.tobytes() for x in (key, value, best_key, best_value, pos[row].astype(np.int64))]
+
 
+def _summed(packed: DataFrame, settings: MonitorSettings) -> Callable[[DataFrame], DataFrame]:
+    run_type = packed.schema["run_id"].dataType.simpleString()
 
-def decisions(rows: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
-    turning = rows.where("turning").select("run_id", "pos", "step", "ema", "sigma", "slope", "waits", "open")
-    return _events(turning, settings, True)
+    def summed(several: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                rows = []
+                for r in range(b.num_rows):
+                    bands = [b.column(k)[r].as_py() for k in range(6, 10)]
+                    rows.append(_summary(settings, *(_numbers(b, c, r) for c in ("pos", "ema", "sigma", "open")),
+                                         bands[1], bands[0], bands[3], bands[2]))
+                columns = list(zip(*rows, strict=True)) or [[]] * 5
+                yield pa.record_batch([b.column(0), b.column(1), *(pa.array(c, pa.binary()) for c in columns)], ["run_id", "chunk", *_STEPS])
+
+        lists = packed.select("run_id", "chunk", "pos", "ema", "sigma", "open")
+        bands = several.select("run_id", "chunk", "low_key", "low_value", "low_best_key", "low_best_value")
+        return _joined(lists, bands).mapInArrow(run, f"run_id {run_type}, chunk bigint, " + ", ".join(f"{c} binary" for c in _STEPS))
+
+    return summed
+
+
+def _walked(packed: DataFrame, settings: MonitorSettings) -> DataFrame:
+    """Chunks with the state they are entered with: the totals are put in order, the rows stay where they are."""
+    totals = packed.select("run_id", "chunk", *_TOTALS)
+    return _joined(packed.select("run_id", "chunk", *_LISTS), _entered(totals, _summed(packed, settings)))
+
+
+def decisions(walked: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
+    """(run_id, pos, step, reason): where the rule stops a run."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for r, x, w in _walks(b, settings):
+                if w.stop is not None:
+                    rows.append((b.column(0)[r].as_py(), int(x["pos"][w.stop]), int(x["step"][w.stop]), w.reason))
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, [b.column(0).type, pa.int64(), pa.int64(), pa.string()], strict=True)],
+                                  ["run_id", "pos", "step", "reason"])
+
+    run_type = walked.schema["run_id"].dataType.simpleString()
+    stops = walked.mapInArrow(run, f"run_id {run_type}, pos bigint, step bigint, reason string")
+    return stops.groupBy("run_id").agg(F.min_by(F.struct("pos", "step", "reason"), "pos").alias("s")).select("run_id", "s.*")
+
+
+def _walks(b: pa.RecordBatch, settings: MonitorSettings) -> Iterator[tuple[int, dict[str, np.ndarray], Walk]]:
+    for r in range(b.num_rows):
+        x = {c: _numbers(b, c, r) for c in _LISTS}
+        state = [b.column(b.schema.get_field_index(c))[r].as_py() for c in ("ref", "best", "best_pos")]
+        yield r, x, walk(settings, *state, x["pos"], x["ema"], x["sigma"], x["slope"], x["open"].astype(bool))
 
 
 def _staged(df: DataFrame, name: str) -> DataFrame:
@@ -401,29 +551,50 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _with_state(rows: DataFrame, events: DataFrame, settings: MonitorSettings) -> DataFrame:
-    """Best value, entries since it, cooldown, the reference each entry is compared with, and where
-    the run stopped before it."""
-    merged = events.groupBy("run_id", "pos").agg(
-        F.max("best_event").alias("_best"), F.max("ref_event").alias("_ref"), F.max("reason").alias("_reason"))
-    out = running(rows.join(merged, ["run_id", "pos"], "left"), "run_id", {
-        "best_ema": (F.col("_best"), "min", True),
-        "_best_pos": (F.when(F.col("_best").isNotNull(), F.col("pos")), "max", True),
-        # once the gates are open the reference only falls, and only those values are events
-        "reference": (F.col("_ref"), "min", False),
-        "stopped_at": (F.when(F.col("_reason").isNotNull(), F.col("pos")), "min", False),
-    })
-    since = F.col("pos") - F.col("_best_pos")
-    return (out.withColumn("since_best", since)
-            .withColumn("cooldown", F.greatest(F.lit(0), settings.cooldown - since))
-            .withColumn("reference", F.coalesce("reference", "ema")).drop("_best", "_ref", "_reason", "_best_pos"))
-
-
 def best_so_far(rows: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
     """Best smoothed loss, entries since it and cooldown left, for every row of `signals`."""
-    rows = _staged(rows, "signals")
-    lows = rows.where("low").select("run_id", "pos", "step", "ema")
-    return _with_state(rows, _events(lows, settings, False), settings).drop("reference", "stopped_at")
+    rows = _staged(rows.withColumn("chunk", chunk_of(CHUNK)), "signals")
+    totals = rows.groupBy("run_id", "chunk").agg(F.min("ema").alias("best_value"))
+    # A few roundings more than the key of the least: the band need only hold what is possible.
+    key = F.col("best_value") + 2 * _TINY + F.abs("best_value") * 1e-14
+    totals = totals.select("run_id", "chunk", *[F.lit(None).cast(t).alias(c) for c, t in _TOTALS.items() if not c.startswith("best")],
+                           key.alias("best_key"), "best_value")
+    keys, names = ["run_id", "chunk"], rows.columns
+    run_type = rows.schema["run_id"].dataType.simpleString()
+
+    def chunks(df: DataFrame) -> DataFrame:
+        return df.repartition(*keys).sortWithinPartitions(*keys, "pos")
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for table in whole_groups(batches, keys):
+            start = _group_starts(*(table[c].to_numpy() for c in keys))
+            edges = np.append(np.flatnonzero(start == np.arange(len(start))), len(start))
+            yield from (table.slice(a, z - a).combine_chunks() for a, z in zip(edges, edges[1:], strict=False))
+
+    def summed(several: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for t in groups(batches):
+                pos, ema = t["pos"].to_numpy(), t["ema"].to_numpy()
+                none = np.zeros(len(pos))
+                cells = _summary(settings, pos, ema, none, none, 0.0, 0.0, t["low_best_value"][0].as_py(), t["low_best_key"][0].as_py())
+                yield pa.record_batch([t["run_id"].combine_chunks()[:1], t["chunk"].combine_chunks()[:1], *(pa.array([c], pa.binary()) for c in cells)],
+                                      [*keys, *_STEPS])
+
+        bands = several.select(*keys, "low_best_key", "low_best_value")
+        return chunks(_joined(rows.select(*keys, "pos", "ema"), bands)).mapInArrow(
+            run, f"run_id {run_type}, chunk bigint, " + ", ".join(f"{c} binary" for c in _STEPS))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in groups(batches):
+            pos, ema = t["pos"].to_numpy(), t["ema"].to_numpy()
+            none = np.zeros(len(pos))
+            w = walk(settings, math.nan, t["best"][0].as_py(), t["best_pos"][0].as_py(), pos, ema, none, none, none.astype(bool))
+            out = t.select(names).append_column("best_ema", pa.array(w.best)).append_column("since_best", pa.array(w.since))
+            yield from out.append_column("cooldown", pa.array(np.maximum(0, settings.cooldown - w.since))).combine_chunks().to_batches()
+
+    entered = _entered(totals, summed).select(*keys, "best", "best_pos")
+    schema = StructType([*rows.schema.fields]).add("best_ema", "double").add("since_best", "long").add("cooldown", "long")
+    return chunks(_joined(rows, entered)).mapInArrow(finish, schema).drop("chunk")
 
 
 def early_stop(log: DataFrame, runs: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
@@ -432,8 +603,8 @@ def early_stop(log: DataFrame, runs: DataFrame, settings: MonitorSettings = Moni
     log: run_id, seq, step, loss, learning_rate. runs: run_id, total_steps, warmup_steps and
     hard_cap_steps (null = none). The cap holds for every log entry, even without a loss.
     """
-    rows = signals(_prepared(log, runs, settings), settings, only_decide=True)
-    stops = decisions(rows, settings).where("reason IS NOT NULL").select("run_id", "step", "reason")
+    packed = _staged(_packed(_prepared(log, runs, settings), settings, only_decide=True), "chunks")
+    stops = decisions(_walked(packed, settings), settings).select("run_id", "step", "reason")
     return runs.select("run_id").join(stops, "run_id", "left").join(_first_capped(log, runs), "run_id", "left").select(
         "run_id",
         F.coalesce("step", "cap_step").alias("stop_step"),
@@ -470,16 +641,21 @@ def _first_capped(log: DataFrame, runs: DataFrame, bits: int = 18) -> DataFrame:
 def monitor_trace(log: DataFrame, runs: DataFrame, every: int = 1,
                   settings: MonitorSettings = MonitorSettings()) -> DataFrame:
     """The state at every entry that reached the decision, up to the stop; each `every` steps."""
-    rows = _staged(signals(_prepared(log, runs, settings), settings), "signals")
-    events = _staged(decisions(rows, settings), "events")
-    sigma = F.greatest("sigma", F.lit(settings.std_floor))
-    drop = F.col("reference") - F.col("ema")
-    plateau = ((F.col("since_best") >= settings.patience) & (F.abs("slope") <= settings.slope_threshold)
-               & (sigma <= max(0.5 * settings.std_floor, 0.05)))
-    return (
-        _with_state(rows, events, settings)
-        .where(F.col("open") & F.col("stopped_at").isNull() & (F.col("step") % every == 0))
-        .select("run_id", "step", "ema", F.col("best_ema").alias("best"), drop.alias("abs_drop"),
-                (drop / (sigma + _TINY)).alias("sigma_drop"), sigma.alias("sigma"), "slope", "since_best",
-                plateau.alias("plateau"), (F.col("slope") >= settings.slope_threshold).alias("worsening"))
-    )
+    walked = _staged(_walked(_staged(_packed(_prepared(log, runs, settings), settings, only_decide=False), "chunks"), settings), "walked")
+    stops = decisions(walked, settings).select("run_id", F.col("pos").alias("stop"))
+    chunks = walked.select("run_id", F.col("pos")[0].alias("from"), F.struct(*[c for c in walked.columns if c != "run_id"]).alias("x"))
+    rows = chunks.join(stops, "run_id", "left").where("stop IS NULL OR from <= stop").select("run_id", "x.*", "stop")
+    names = {"run_id": walked.schema["run_id"].dataType.simpleString(), "step": "bigint", "ema": "double", "best": "double", "abs_drop": "double",
+             "sigma_drop": "double", "sigma": "double", "slope": "double", "since_best": "bigint", "plateau": "boolean", "worsening": "boolean"}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r, x, w in _walks(b, settings):
+                stop = b.column(b.schema.get_field_index("stop"))[r].as_py()
+                at = np.flatnonzero(x["open"].astype(bool) & (x["step"] % every == 0) & (x["pos"] <= (_NEVER if stop is None else stop)))
+                sigma, drop = _floored(x["sigma"], settings.std_floor)[at], (w.before - x["ema"])[at]
+                found = [x["step"][at], x["ema"][at], w.best[at], drop, drop / (sigma + _TINY), sigma, x["slope"][at], w.since[at],
+                         w.plateau[at], w.worsening[at]]
+                yield pa.record_batch([b.column(0).take(pa.array(np.full(len(at), r))), *map(pa.array, found)], list(names))
+
+    return rows.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in names.items()))

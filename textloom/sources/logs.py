@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.cleaning import bound, strip
 from textloom.functions.numbers import round_exact
+from textloom.sources.logfiles import SPLIT_BYTES, read_units
 
 # fixed values
 OBJECT = r"\{[^{}]+\}"
@@ -22,18 +23,25 @@ FIELDS = {"loss": "double", "learning_rate": "double", "grad_norm": "double", "e
 _STRICT = {"allowSingleQuotes": "false"}
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Log lines with their file and `seq`, their order in the file.
+def read_lines(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Log lines with their file and `seq`, their order in the file."""
+    return read_units(spark, path, "line", split_bytes)
 
-    The file block a line came from and its place there give the order; a line is at least a
-    byte, so block start plus place never runs into the next block.
+
+def read_entries(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Loss entries of log files with file and `seq`: line by line, or, in files of which no line holds an entry, from
+    objects that may span lines, up to the first that is not JSON.
+
+    Files are read in ranges; only the names of files, and the place of their first broken object, are moved.
     """
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"))
-    place = F.row_number().over(Window.partitionBy("file", "_start").orderBy("_id"))
-    return lines.select("file", (F.col("_start") + place).alias("seq"), "value")
+    by_line = parse_lines(read_lines(spark, path, split_bytes)).select("file", "seq", "entry")
+    turned = F.replace(F.col("value"), F.lit("'"), F.lit('"'))
+    spanning = read_units(spark, path, "object", split_bytes).join(by_line.select("file").distinct(), "file", "left_anti")
+    # the generator keeps the filters from repeating the parsing (see prepare.evaluated_once)
+    spanning = spanning.select("file", "seq", F.explode(F.array(_object(turned))).alias("entry"))
+    broken = spanning.where("entry IS NULL").groupBy("file").agg(F.min("seq").alias("_broken"))
+    spanning = spanning.join(broken, "file", "left").where(F.col("_broken").isNull() | (F.col("seq") < F.col("_broken")))
+    return by_line.unionByName(spanning.where(F.map_contains_key("entry", F.lit("loss"))).drop("_broken"))
 
 
 def _object(text: Column) -> Column:

@@ -36,8 +36,15 @@ def _lines(spark, sf):
     return e.select("event_id", line.alias("value"))
 
 
-QUERIES["parse_log"] = lambda spark, sf: logs.entry_fields(logs.parse_lines(_lines(spark, sf))).select(
-    "event_id", "loss", "step", "learning_rate")
+def parse_log(spark, sf):
+    """The lines printed to files, and read from these; every shape that is an entry holds its number."""
+    path = scratch_path(spark, "log-lines")
+    _lines(spark, sf).select("value").write.text(path)
+    return logs.entry_fields(logs.parse_lines(logs.read_lines(spark, path))).select(
+        F.col("step").alias("event_id"), "loss", "step", "learning_rate")
+
+
+QUERIES["parse_log"] = parse_log
 ORACLES["parse_log"] = """SELECT event_id, value AS loss, event_id AS step, CASE WHEN event_id % 8 = 0 THEN 1e-5::DOUBLE END AS learning_rate
 FROM events WHERE event_id % 8 IN (0, 1, 2, 4, 6)"""
 
@@ -62,7 +69,19 @@ def _log_files(spark, sf):
     return table(spark, sf, "documents").select(F.col("doc_id").alias("file"), F.concat(spanning, tail, plain).alias("value"))
 
 
-QUERIES["parse_log_multiline"] = lambda spark, sf: logs.entry_fields(logs.parse_files(_log_files(spark, sf))).select("file", "step", "loss")
+def _printed(rows, key, name):
+    """A folder with one file for each value of `key`, and the column of a file's name that gives it back."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.select(key, "value").write.partitionBy(key).text(path)
+    return path, F.regexp_extract("file", f"{key}=(-?[0-9]+)", 1).cast("bigint")
+
+
+def parse_log_multiline(spark, sf):
+    path, number = _printed(_log_files(spark, sf), "file", "log-files")
+    return logs.entry_fields(logs.read_entries(spark, path)).select(number.alias("file"), "step", "loss")
+
+
+QUERIES["parse_log_multiline"] = parse_log_multiline
 ORACLES["parse_log_multiline"] = """
 SELECT doc_id AS file, 9::BIGINT AS step, n_chars / 8.0 AS loss FROM documents WHERE doc_id % 3 = 0
 UNION ALL SELECT doc_id, 1, n_chars / 8.0 FROM documents WHERE doc_id % 3 > 0
@@ -76,8 +95,8 @@ def trainer_state(spark, sf):
     history = F.transform(F.col("embedding").cast("array<double>"), lambda x, i: F.struct(
         F.when(i % 4 < 3, x).alias("loss"), F.when(i % 4 == 3, x).alias("eval_loss"), (i * 10).alias("step")))
     state = F.when(F.col("vec_id") % 50 == 49, "{not json").otherwise(F.to_json(F.struct(F.lit(1.0).alias("epoch"), history.alias("log_history"))))
-    states = table(spark, sf, "embeddings").select("vec_id", state.alias("value"))
-    return logs.entry_fields(logs.parse_trainer_states(states)).select("vec_id", "seq", "step", "loss")
+    path, number = _printed(table(spark, sf, "embeddings").select("vec_id", state.alias("value")), "vec_id", "states")
+    return logs.entry_fields(logs.read_trainer_states(spark, path)).select(number.alias("vec_id"), "seq", "step", "loss")
 
 
 QUERIES["trainer_state"] = trainer_state
