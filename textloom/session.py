@@ -6,7 +6,10 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
@@ -36,6 +39,20 @@ def ship(spark: SparkSession) -> None:
     context._textloom_shipped = True
 
 
+@contextmanager
+def by_value() -> Iterator[None]:
+    """Within it, functions and classes of the package are pickled whole.
+
+    The process that sets up the state of a stream is not given what `ship` sends.
+    """
+    import textloom
+    cloudpickle.register_pickle_by_value(textloom)
+    try:
+        yield
+    finally:
+        cloudpickle.unregister_pickle_by_value(textloom)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the session names.
 

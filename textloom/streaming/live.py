@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from textloom.functions.cleaning import clean_text
 from textloom.operators.monitor import MonitorSettings, monitor_windows, walk, window_signals
 from textloom.operators.prepare import prepared
+from textloom.session import by_value
 from textloom.sources.logs import entry_fields, parse_lines
 from textloom.sources.tables import append_ledger, empty_ledger
 
@@ -23,8 +24,21 @@ IDLE_SECONDS = 7 * 86_400
 
 
 def _run(writer, checkpoint: str, once: bool) -> StreamingQuery:
+    """Start a query, for what is there now (`once`) or to go on. State that may end would keep a query without new
+    entries busy for ever, so one that takes what is there does no rounds without any."""
     writer = writer.option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 seconds")).start()
+    if not once:
+        return writer.trigger(processingTime="10 seconds").start()
+    conf = SparkSession.active().conf
+    before = conf.get(_IDLE_ROUNDS)
+    conf.set(_IDLE_ROUNDS, "false")  # a query keeps the settings it starts with
+    try:
+        return writer.trigger(availableNow=True).start()
+    finally:
+        conf.set(_IDLE_ROUNDS, before)
+
+
+_IDLE_ROUNDS = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def log_stream(lines: DataFrame, field: str = "loss") -> DataFrame:
@@ -38,8 +52,8 @@ def log_stream(lines: DataFrame, field: str = "loss") -> DataFrame:
     return entry_fields(parsed).drop("value")
 
 
-def log_files(spark: SparkSession, path: str, max_bytes: str = "256m") -> DataFrame:
-    """A stream of the lines of log files in a folder, at most so much of them at once."""
+def log_files(spark: SparkSession, path: str, max_bytes: int = 256 << 20) -> DataFrame:
+    """A stream of the lines of log files in a folder, at most so many bytes of them at once, or one file."""
     return spark.readStream.schema("value string").option("maxBytesPerTrigger", max_bytes).text(path)
 
 
@@ -102,8 +116,10 @@ def live_tail(entries: DataFrame, out: str, checkpoint: str, once: bool = False,
 
     _stateful(entries.sparkSession)
     run_type = entries.schema["run_id"].dataType.simpleString()
-    tails = entries.where("loss IS NOT NULL AND seq IS NOT NULL").select("run_id", "seq", "step", "loss").groupBy("run_id").transformWithStateInPandas(
-        TailProcessor(idle_seconds), f"run_id {run_type}, step bigint, current double, best double, entries bigint", "update", "ProcessingTime")
+    rows = entries.where("loss IS NOT NULL AND seq IS NOT NULL").select("run_id", "seq", "step", "loss")
+    with by_value():
+        tails = rows.groupBy("run_id").transformWithStateInPandas(
+            TailProcessor(idle_seconds), f"run_id {run_type}, step bigint, current double, best double, entries bigint", "update", "ProcessingTime")
     return _run(tails.writeStream.outputMode("update").foreachBatch(save), checkpoint, once)
 
 
@@ -265,8 +281,9 @@ def early_stops(entries: DataFrame, runs: DataFrame, settings: MonitorSettings =
     rows = entries.select("run_id", "step", "seq", "loss", F.col("loss").isNull().alias("no_loss"), "learning_rate").join(
         plan.select("run_id", *_PLAN), "run_id")
     run_type = entries.schema["run_id"].dataType.simpleString()
-    return rows.groupBy("run_id").transformWithStateInPandas(
-        StopProcessor(settings, idle_seconds), f"run_id {run_type}, stop_step bigint, reason string", "append", "ProcessingTime")
+    with by_value():
+        return rows.groupBy("run_id").transformWithStateInPandas(
+            StopProcessor(settings, idle_seconds), f"run_id {run_type}, stop_step bigint, reason string", "append", "ProcessingTime")
 
 
 def live_early_stop(entries: DataFrame, runs: DataFrame, out: str, checkpoint: str, settings: MonitorSettings = MonitorSettings(),

@@ -146,7 +146,7 @@ def _log_stream(spark, log, field="loss"):
     fields = [F.concat(F.lit(f", '{c}': "), F.col(c).cast("string")) for c in ("seq", "loss", "learning_rate") if c in log.columns]
     line = F.concat(F.lit("{'run_id': "), "run_id", F.lit(", 'step': "), "step", *[F.coalesce(f, F.lit("")) for f in fields], F.lit("}"))
     log.select(line.alias("value")).write.text(path)
-    return live.log_stream(spark.readStream.schema("value string").text(path), field)
+    return live.log_stream(live.log_files(spark, path), field)
 
 
 def live_tail(spark, sf):
