@@ -1,5 +1,6 @@
 """Cleaning steps and chains on literals: input, mode, expected text."""
 
+import random
 import time
 
 import pytest
@@ -176,3 +177,20 @@ def test_openers_beside_closed_ones(spark):
              ("strip_mathrm", "\\mathrm{a} \\mathrm{b", " \\mathrm{b"), ("strip_tex_spans", r"\(a\) \[b\] \(c", r" ".join(["", "", r"\(c"]))]
     for step, text, want in cases:
         assert spark.createDataFrame([(text,)], "t string").select(getattr(c, step)(F.col("t"))).first()[0] == want, step
+
+
+@pytest.mark.parametrize("opener,end", [(r"\( a ", r"\]"), (r"\[ a ", r"\)"), (r"\( a \b ", r"\[ b \]")])
+def test_openers_of_one_kind_and_a_closer_of_the_other(spark, opener, end):
+    text = opener * 20_000 + end
+    start = time.time()
+    got = spark.createDataFrame([(text,)], "t string").select(c.strip_tex_spans(F.col("t"))).first()[0]
+    assert got == (opener * 20_000 if end.startswith(r"\[") else text) and time.time() - start < 2
+
+
+def test_tex_spans_as_their_pattern(spark):
+    """Taking what cannot match in one piece changes nothing."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(["\\(", "\\)", "\\[", "\\]", "\\", "a", "(", "[", ")", "\n"]) for _ in range(rng.randrange(1, 14))) for _ in range(4000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", c.strip_tex_spans(F.col("t")).alias("got"), F.regexp_replace("t", c.TEX_SPAN, "").alias("want")).collect()
+    assert [(r.t, r.got) for r in rows] == [(r.t, r.want) for r in rows]

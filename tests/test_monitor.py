@@ -260,7 +260,7 @@ def test_long_falling_run(spark, monkeypatch):
                                        (9 - F.col("id") * 8e-6).alias("loss"), F.lit(None).cast("double").alias("learning_rate"))
     runs = spark.createDataFrame([(1, n, 100, None)], "run_id bigint, total_steps bigint, warmup_steps bigint, hard_cap_steps bigint")
     s = m.MonitorSettings(slope_window=96)
-    packed = m._staged(m._packed(m._prepared(log, runs, s), s, True), "chunks")
+    packed = m.staged(m._packed(m._prepared(log, runs, s), s, True), "chunks")
     ordered = []
     entered = m._entered
     monkeypatch.setattr(m, "_entered", lambda totals, summed: entered(totals, lambda several: ordered.append(summed(several)) or ordered[-1]))

@@ -243,7 +243,10 @@ def collapse_spaces(c: Column) -> Column:
 
 
 strip_latex_spans = _sub(LATEX_SPAN, "$1", _has("$"))
-strip_tex_spans = _sub_closed(TEX_SPAN, "", (r"\)", r"\]"), _has(r"\(", r"\["))
+# Where an opener of one kind finds no closer, no later one of its kind does: what follows, up to an opener of the
+# other kind, is taken with it and put back.
+strip_tex_spans = _sub_closed(TEX_SPAN + r"|(\\\((?:[^\\]++|\\(?!\[))*+)|(\\\[(?:[^\\]++|\\(?!\())*+)", "$1$2", (r"\)", r"\]"),
+                              _has(r"\(", r"\["))
 strip_mathrm = _sub(*_or_rest(MATHRM, r"\\mathrm\{"), _has(r"\mathrm{"))
 strip_environments = _sub_closed(*_or_rest(ENVIRONMENT, r"\\begin\{[^}]++\}"), "}",
                                  lambda x: x.contains(r"\begin{") & x.contains(r"\end{"))

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.numbers import round_exact
-from textloom.operators.scans import CHUNK, exact_median, index_rows, neighbours, with_halo
+from textloom.operators.scans import BROADCAST_RUNS, CHUNK, exact_median, index_rows, median_bracket, neighbours, with_halo
+from textloom.session import staged
 
 MAX_RECENT = 200
 MAX_LIVE_WIDTH = 51
@@ -79,15 +80,17 @@ def live_summary(log: DataFrame) -> DataFrame:
 
 def loss_stats(log: DataFrame) -> DataFrame:
     rows = log.where(F.col("loss").isNotNull())
-    out = rows.groupBy("run_id").agg(
+    out = staged(rows.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("entries"),
         F.avg("loss").alias("mean"),
         F.stddev_pop("loss").alias("std"),
         F.max("loss").alias("max"),
         (F.max("loss") - F.min("loss")).alias("drop_abs"),
-    )
-    out = out.withColumn("drop_pct", 100 * F.col("drop_abs") / F.greatest("max", F.lit(1e-8)))
-    return out.join(exact_median(rows, "run_id", "loss"), "run_id")
+        median_bracket(F.col("loss").cast("double")).alias("_bracket"),
+    ), "loss-stats")
+    median = exact_median(rows, "run_id", "loss", brackets=out.select("run_id", "_bracket"))
+    out = out.withColumn("drop_pct", 100 * F.col("drop_abs") / F.greatest("max", F.lit(1e-8))).drop("_bracket")
+    return out.join(median, "run_id")
 
 
 def global_slope(smoothed: DataFrame) -> DataFrame:
@@ -216,8 +219,9 @@ def trend_label(slope: Column) -> Column:
 
 def outliers(smoothed: DataFrame) -> DataFrame:
     """Recent entries further than 1.5 recent standard deviations from the smoothed loss."""
-    spread = recent(smoothed).select("run_id", "recent_std")
-    return smoothed.join(spread, "run_id").where(
+    spread = staged(recent(smoothed).select("run_id", "recent_std"), "spread")
+    few = F.broadcast(spread) if spread.count() <= BROADCAST_RUNS else spread
+    return smoothed.join(few, "run_id").where(
         (F.col("pos") > F.col("n") - recent_width(F.col("n"))) & (F.col("pos") > 1)
         & (F.col("n") > 1) & (F.col("recent_std") > 0)
         & (F.abs(F.col("loss") - F.col("smoothed")) > F.col("recent_std") * 1.5))
@@ -233,7 +237,8 @@ def epoch_ticks(rows: DataFrame) -> DataFrame:
 def analysis(log: DataFrame) -> DataFrame:
     """One row per run with at least three entries: statistics, slopes, grade, forecast."""
     rows = indexed(log).where(F.col("n") >= 3)
-    runs = analysis_smooth(rows).groupBy("run_id").agg(
+    runs = staged(analysis_smooth(rows).groupBy("run_id").agg(
+        median_bracket(F.col("loss").cast("double")).alias("_bracket"),
         F.count(F.lit(1)).alias("entries"),
         F.avg("loss").alias("mean"),
         F.stddev_pop("loss").alias("std"),
@@ -242,13 +247,14 @@ def analysis(log: DataFrame) -> DataFrame:
         F.max_by(F.struct("step", "loss", "epoch"), "pos").alias("_last"),
         (F.regr_slope("smoothed", "step") * 100).alias("global_slope"),
         _recent_rows().alias("_points"),
-    )
+    ), "analysis")
+    median = exact_median(log, "run_id", "loss", brackets=runs.select("run_id", "_bracket"))
     runs = _with_recent(runs)
     best, last = F.col("_best.loss"), F.col("_last.loss")
     drop = F.col("max") - best
     more = steps_to_target(last, best, F.col("recent_raw"))
     runs = runs.withColumn("exposure", exposure_pct(F.coalesce("_last.epoch", F.lit(0.0))))
-    return runs.join(exact_median(log, "run_id", "loss"), "run_id").select(
+    return runs.join(median, "run_id").select(
         "run_id", "entries", "mean", "median", "std", "max",
         best.alias("best"), F.col("_best.step").alias("best_step"),
         (F.col("entries") - F.col("_best.pos")).alias("since_best"),

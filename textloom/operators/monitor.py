@@ -24,7 +24,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from textloom.operators.falls import Falls, least_where, leave
 from textloom.operators.scans import CHUNK, chunk_of, index_rows, running, whole_groups, with_halo
-from textloom.session import scratch_path
+from textloom.session import staged
 
 MAD_SCALE = 1.4826
 _TINY = 1e-12
@@ -447,7 +447,7 @@ def _entered(totals: DataFrame, summed: Callable[[DataFrame], DataFrame]) -> Dat
     start = F.coalesce(F.max_by("wait", "wait_pos").over(whole), F.min_by("first", "chunk").over(whole))
     bands = totals.select("run_id", "chunk", start.alias("start"), F.max("chunk").over(whole).alias("last"), *[
         F.min(c).over(ahead).alias(f"low_{c}") for c in ("key", "value", "best_key", "best_value")])
-    bands = _staged(bands.select("run_id", "chunk", "start", "last", *[F.least("start", f"low_{c}").alias(f"low_{c}") for c in ("key", "value")], *[
+    bands = staged(bands.select("run_id", "chunk", "start", "last", *[F.least("start", f"low_{c}").alias(f"low_{c}") for c in ("key", "value")], *[
         F.coalesce(f"low_{c}", F.lit(math.inf)).alias(f"low_{c}") for c in ("best_key", "best_value")]), "bands")
     # Only what another chunk follows is summed up.
     several = bands.where("chunk < last")
@@ -478,7 +478,7 @@ def _entered(totals: DataFrame, summed: Callable[[DataFrame], DataFrame]) -> Dat
 
     steps = summed(several)
     ordered = bands.select("run_id", "chunk", "start").join(steps, ["run_id", "chunk"], "left").select("run_id", "chunk", "start", *_STEPS)
-    return _staged(ordered.repartition("run_id").sortWithinPartitions("run_id", "chunk").mapInArrow(
+    return staged(ordered.repartition("run_id").sortWithinPartitions("run_id", "chunk").mapInArrow(
         carry, f"run_id {run_type}, chunk bigint, ref double, best double, best_pos bigint"), "entered")
 
 
@@ -544,16 +544,9 @@ def _walks(b: pa.RecordBatch, settings: MonitorSettings) -> Iterator[tuple[int,
         yield r, x, walk(settings, *state, x["pos"], x["ema"], x["sigma"], x["slope"], x["open"].astype(bool))
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """The table written to the shared scratch folder, so that later passes do not repeat it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def best_so_far(rows: DataFrame, settings: MonitorSettings = MonitorSettings()) -> DataFrame:
     """Best smoothed loss, entries since it and cooldown left, for every row of `signals`."""
-    rows = _staged(rows.withColumn("chunk", chunk_of(CHUNK)), "signals")
+    rows = staged(rows.withColumn("chunk", chunk_of(CHUNK)), "signals")
     totals = rows.groupBy("run_id", "chunk").agg(F.min("ema").alias("best_value"))
     # A few roundings more than the key of the least: the band need only hold what is possible.
     key = F.col("best_value") + 2 * _TINY + F.abs("best_value") * 1e-14
@@ -603,7 +596,7 @@ def early_stop(log: DataFrame, runs: DataFrame, settings: MonitorSettings = Moni
     log: run_id, seq, step, loss, learning_rate. runs: run_id, total_steps, warmup_steps and
     hard_cap_steps (null = none). The cap holds for every log entry, even without a loss.
     """
-    packed = _staged(_packed(_prepared(log, runs, settings), settings, only_decide=True), "chunks")
+    packed = staged(_packed(_prepared(log, runs, settings), settings, only_decide=True), "chunks")
     stops = decisions(_walked(packed, settings), settings).select("run_id", "step", "reason")
     return runs.select("run_id").join(stops, "run_id", "left").join(_first_capped(log, runs), "run_id", "left").select(
         "run_id",
@@ -619,7 +612,7 @@ def _prepared(log: DataFrame, runs: DataFrame, settings: MonitorSettings) -> Dat
         "run_id", "total_steps", "warmup_steps", "hard_cap_steps", "window", "slope_window", "min_history")
     entries = loss_entries(log.select("run_id", "seq", "step", "loss", "learning_rate"), plan)
     below = F.col("hard_cap_steps").isNull() | (F.col("step") < F.col("hard_cap_steps"))
-    return gated(_staged(entries.where(below).drop("hard_cap_steps"), "entries"), settings)
+    return gated(staged(entries.where(below).drop("hard_cap_steps"), "entries"), settings)
 
 
 def _first_capped(log: DataFrame, runs: DataFrame, bits: int = 18) -> DataFrame:
@@ -641,7 +634,7 @@ def _first_capped(log: DataFrame, runs: DataFrame, bits: int = 18) -> DataFrame:
 def monitor_trace(log: DataFrame, runs: DataFrame, every: int = 1,
                   settings: MonitorSettings = MonitorSettings()) -> DataFrame:
     """The state at every entry that reached the decision, up to the stop; each `every` steps."""
-    walked = _staged(_walked(_staged(_packed(_prepared(log, runs, settings), settings, only_decide=False), "chunks"), settings), "walked")
+    walked = staged(_walked(staged(_packed(_prepared(log, runs, settings), settings, only_decide=False), "chunks"), settings), "walked")
     stops = decisions(walked, settings).select("run_id", F.col("pos").alias("stop"))
     chunks = walked.select("run_id", F.col("pos")[0].alias("from"), F.struct(*[c for c in walked.columns if c != "run_id"]).alias("x"))
     rows = chunks.join(stops, "run_id", "left").where("stop IS NULL OR from <= stop").select("run_id", "x.*", "stop")

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 CHUNK = 1 << 16
 _BITS = 18
-_NAN_LEVEL = 1 << 40
+#: Runs whose brackets of a median are sent to every task; those of more are joined.
+BROADCAST_RUNS = 200_000
 
 
 def index_rows(df: DataFrame, run: str, order: str, bits: int = _BITS, per_run: DataFrame | None = None) -> DataFrame:
@@ -128,43 +129,40 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield pa.concat_tables(held)
 
 
-def exact_median(df: DataFrame, run: str, value: str, out: str = "median") -> DataFrame:
+#: Ranks of the sketch that brackets a median, and how many of its errors the bracket is wide.
+SKETCH = 2000
+_SAFE = 4
+
+
+def median_bracket(value: Column) -> Column:
+    """An aggregate: two values between which the median lies, from a sketch that merges, and whether a value is NaN.
+
+    The sketch's ranks are off by a share of 1 / `SKETCH` at most, which says nothing for few values: these are all between.
+    """
+    ranks = F.array(F.lit(0.5 - _SAFE / SKETCH), F.lit(0.5 + _SAFE / SKETCH))
+    ends = F.when(F.count(value) <= SKETCH, F.array(F.min(value), F.max(value))).otherwise(F.percentile_approx(value, ranks, SKETCH))
+    return F.struct(ends.alias("ends"), F.coalesce(F.max(F.isnan(value)), F.lit(False)).alias("odd"), F.count(value).alias("n"))
+
+
+def exact_median(df: DataFrame, run: str, value: str, out: str = "median", brackets: DataFrame | None = None) -> DataFrame:
     """Exact median of `value` per run, without a run's values meeting in one task.
 
-    Rows are counted in logarithmic buckets, the bucket holding the middle is cut into 2^16 equal
-    parts, and only the part holding the middle is counted value by value. A run with a NaN has a
-    median of NaN.
+    One pass brackets the middle (`brackets`: run and `_bracket`, where it was made along with other aggregates), one
+    counts what lies below the bracket and every distinct value within it. A run with a NaN has a median of NaN.
     """
     v = F.col("_v")
-    finite = F.when(v == 0, F.lit(0)).otherwise(
-        (F.signum(v) * (1 + F.floor(64 * (F.log2(F.abs(v)) + 1100)))).cast("bigint"))
-    # infinite values lie at the ends, and NaN behind them
-    level = (F.when(F.isnan(v), F.lit(_NAN_LEVEL)).when(v == float("inf"), F.lit(_NAN_LEVEL - 1))
-             .when(v == float("-inf"), F.lit(1 - _NAN_LEVEL)).otherwise(finite))
-    rows = df.select(run, F.col(value).cast("double").alias("_v")).where(v.isNotNull()).withColumn("_b1", level)
-
-    def counted(rows: DataFrame, keys: list[str], bucket: str) -> DataFrame:
-        ahead = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-        return rows.groupBy(*keys, bucket).agg(
-            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-        ).withColumn("_before", F.coalesce(F.sum("_c").over(ahead), F.lit(0)))
-
-    def hit(counts: DataFrame) -> DataFrame:
-        """Buckets that hold a wanted rank, with the rank counted from the bucket's start."""
-        inside = F.filter("_want", lambda w: (w > F.col("_before")) & (w <= F.col("_before") + F.col("_c")))
-        return (counts.withColumn("_want", inside).where(F.size("_want") > 0)
-                .withColumn("_want", F.transform("_want", lambda w: w - F.col("_before"))).drop("_c", "_before"))
-
-    first = counted(rows, [run], "_b1").withColumn("_n", F.sum("_c").over(Window.partitionBy(run)))
-    unknown = F.max("_b1").over(Window.partitionBy(run)) == _NAN_LEVEL
-    middle = F.when(unknown, F.array("_n", "_n")).otherwise(F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1))
-    first = hit(first.withColumn("_want", middle)).drop("_n")
-    span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
-    part = F.when(F.col("_lo") == F.col("_hi"), F.lit(0).cast("bigint")).otherwise(
-        F.least(F.floor((v - F.col("_lo")) / span * 65536), F.lit(65535)).cast("bigint"))
-    rows = rows.join(first, [run, "_b1"]).withColumn("_b2", part)
-    second = hit(counted(rows, [run, "_b1", "_want"], "_b2")).drop("_lo", "_hi")
-    rows = rows.drop("_lo", "_hi", "_want").join(second, [run, "_b1", "_b2"])
-    last = hit(counted(rows.withColumn("_x", v), [run, "_b1", "_b2", "_want"], "_x"))
-    # of an even number of rows the two middle ones may be in different buckets, or be equal
-    return last.groupBy(run).agg((F.sum(F.col("_x") * F.size("_want")) / F.sum(F.size("_want"))).alias(out))
+    rows = df.select(run, F.col(value).cast("double").alias("_v")).where(v.isNotNull())
+    if brackets is None:
+        brackets = rows.groupBy(run).agg(median_bracket(v).alias("_bracket"))
+    few = F.broadcast(brackets) if brackets.count() <= BROADCAST_RUNS else brackets
+    ends = F.col("_bracket.ends")
+    low, high = ends[0], ends[1]
+    place = F.when(v < low, F.lit(None)).otherwise(v)  # null: below the bracket
+    counts = rows.join(few, run).where((v <= high) & ~F.col("_bracket.odd")).groupBy(run, place.alias("_x")).agg(
+        F.count(F.lit(1)).alias("_c"), F.first("_bracket.n").alias("_n"))
+    after = F.sum("_c").over(Window.partitionBy(run).orderBy(F.col("_x").asc_nulls_first()))
+    counts = counts.withColumn("_to", after)
+    middle = lambda k: F.min(F.when(F.col("_to") >= k, F.struct("_to", "_x")))["_x"]
+    found = counts.groupBy(run).agg(((middle(F.floor((F.col("_n") + 1) / 2)) + middle(F.floor(F.col("_n") / 2) + 1)) / 2).alias(out))
+    return brackets.select(run, "_bracket").join(found, run, "left").select(
+        run, F.when(F.col("_bracket.odd"), F.lit(float("nan"))).otherwise(F.col(out)).alias(out))

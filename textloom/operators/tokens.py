@@ -6,10 +6,15 @@ vocabulary table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+
+from textloom.session import staged
 
 TOKEN = r"\p{L}+|\p{N}+|[^\s\x1c-\x1f\x85\p{Z}\p{L}\p{N}]"
 # fixed values
@@ -33,17 +38,33 @@ def vocabulary(df: DataFrame, text: str, size: int = 32768,
                specials: list[tuple[str, str]] = SPECIALS) -> DataFrame:
     """The `size` most frequent tokens with ids behind the special tokens.
 
-    id, token, uses, role. Counting aggregates before the shuffle; the ranked part holds `size`
-    rows whatever the data.
+    id, token, uses, role. Counting aggregates before the shuffle. What is kept is known from the histogram of
+    uses; ranks come from ranges in their order, and the numbers of rows before each.
     """
     names = [token for _, token in specials]
     counts = df.select(F.explode(split_tokens(F.col(text))).alias("token")).groupBy("token").agg(
         F.count(F.lit(1)).alias("uses")).where(~F.col("token").isin(names))
-    top = counts.orderBy(F.desc("uses"), "token").limit(size)
-    ranked = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("uses")).alias("o"), "token"))).alias("t"))
-    ranked = ranked.select(F.posexplode("t")).select(
-        (F.col("pos") + len(specials)).cast("bigint").alias("id"), "col.token",
-        (-F.col("col.o")).alias("uses"), F.lit(None).cast("string").alias("role"))
+    counts = staged(counts, "token-counts")
+    # The fewest uses of a token that is kept, from how many tokens have so many uses.
+    more = Window.orderBy(F.desc("uses"))
+    steps = counts.groupBy("uses").agg(F.count(F.lit(1)).alias("n")).withColumn("above", F.sum("n").over(more) - F.col("n"))
+    least = steps.where(F.col("above") < size).agg(F.min("uses")).first()[0] or 0
+    order = [F.desc("uses"), F.asc("token")]
+    top = counts.where(F.col("uses") >= least).repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        part, n = TaskContext.get().partitionId(), 0
+        for b in batches:
+            yield pa.record_batch([*b.columns, pa.array([part] * b.num_rows, pa.int32()), pa.array(range(n, n + b.num_rows), pa.int64())],
+                                  ["token", "uses", "part", "n"])
+            n += b.num_rows
+
+    top = staged(top.select("token", "uses").mapInArrow(number, "token string, uses bigint, part int, n bigint"), "token-ranks")
+    # One row per task: where its ranks begin.
+    before = top.groupBy("part").count().select("part", (F.sum("count").over(Window.orderBy("part")) - F.col("count")).alias("before"))
+    ranked = top.join(F.broadcast(before), "part").withColumn("rank", F.col("before") + F.col("n")).where(F.col("rank") < size).select(
+        (F.col("rank") + len(specials)).alias("id"), "token", "uses", F.lit(None).cast("string").alias("role"))
     fixed = df.sparkSession.createDataFrame(
         [(i, token, None, role) for i, (role, token) in enumerate(specials)],
         "id bigint, token string, uses bigint, role string")
@@ -101,16 +122,35 @@ def id_lookup(vocab: DataFrame):
 def joined_ids(df: DataFrame, tokens: str, vocab: DataFrame, name: str) -> DataFrame:
     """As `id_lookup`, by a join, for a vocabulary of any size: adds the array `name` of ids.
 
-    Only (row, position, token) goes through the join; the rows themselves meet their ids again by number.
+    Rows are written in numbered groups of some thousand, so that nothing depends on how the input is computed
+    again. Of a group each distinct token is asked for once, and the answers meet the group by its number.
     """
-    rows = df.withColumn("_row", F.monotonically_increasing_id())
-    unk = vocab.where("role = 'unk'").select(F.max("id").alias("_unk"))
-    found = rows.select("_row", F.posexplode(tokens).alias("_pos", "token")).join(
-        vocab.select("id", "token"), "token", "left").join(F.broadcast(unk))
-    ids = found.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
-        "_pos", F.coalesce("id", "_unk").alias("id")))).alias("_ids")).select("_row", F.col("_ids.id").alias(name))
-    return rows.join(ids, "_row", "left").withColumn(
-        name, F.coalesce(name, F.array().cast("array<bigint>"))).drop("_row")
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        n = TaskContext.get().partitionId() << 32
+        for b in batches:
+            yield b.append_column("_group", pa.array([n] * b.num_rows, pa.int64()))
+            n += 1
+
+    schema = StructType([*df.schema.fields, StructField("_group", LongType())])
+    rows = staged(df.mapInArrow(number, schema), "token-groups")
+    unknown = vocab.where("role = 'unk'").agg(F.max("id")).first()[0]
+    asked = rows.select(F.col("_group").alias("_of"), F.explode(tokens).alias("token")).distinct()
+    found = asked.join(vocab.select("id", "token"), "token").select("_of", "token", "id")
+
+    def answer(own: pa.Table, table: pa.Table) -> pa.Table:
+        column = own[tokens].combine_chunks()
+        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+        known = table["token"].combine_chunks()
+        known = known.cast(column.type.value_type)
+        ids = table["id"].combine_chunks().take(pc.index_in(column.flatten(), value_set=known))
+        ids = ids if unknown is None else pc.fill_null(ids, unknown)
+        lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array([0, *lengths.cumsum().tolist()], pa.int32())
+        return own.drop_columns(["_group"]).append_column(name, pa.ListArray.from_arrays(offsets, ids))
+
+    return rows.groupBy("_group").cogroup(found.groupBy("_of")).applyInArrow(
+        answer, StructType([*df.schema.fields, StructField(name, ArrayType(LongType()))]))
 
 
 def tokenize(df: DataFrame, text: str, vocab: DataFrame, max_length: int | Column,
