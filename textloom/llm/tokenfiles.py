@@ -21,11 +21,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import small_batches
 from textloom.llm.shingles import text_slices
 
 #: Bytes of pieces in a worker's cache of encoded pieces, some 100 for the entry of each included. Once half of it is
 #: new, the other half goes, except for what was met again.
-CACHE = 64 << 20
+CACHE = 48 << 20
 _ENTRY = 100
 #: New pieces that go to the tokenizer together, and bytes of text that are cut together.
 TOGETHER = 10_000
@@ -217,7 +218,8 @@ def write_tokens(docs: DataFrame, folder: str, encode: Callable[[], Callable[[pa
     filesystem, root = open_folder(folder)
     filesystem.create_dir(root, recursive=True)
     # One row per part: its totals. The prefix sums need no more than these.
-    parts = sorted(rows.mapInArrow(write, "part int, n_docs bigint, n_ids bigint").collect())
+    with small_batches(docs.sparkSession, 2 * SLICE):
+        parts = sorted(rows.mapInArrow(write, "part int, n_docs bigint, n_ids bigint").collect())
     listed, doc, first = [], 0, 0
     for p in parts:
         listed.append((p["part"], p["n_docs"], p["n_ids"], doc, first, folder, width))
