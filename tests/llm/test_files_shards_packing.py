@@ -95,6 +95,20 @@ def test_shards(llm, documents):
     assert set(by) <= set(range(24)) and sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in documents.collect())
     texts = {r["doc_id"]: r["text"] for r in documents.collect()}
     assert all(r["size"] == len(texts[r["doc_id"]].encode()) + 8 and r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode()) for r in rows)
+    sizes = [sum(r["size"] for r in by.get(s, [])) for s in range(24)]
+    # A boundary is off by half the row that it falls on at most, or by the tolerance.
+    assert max(sizes) - min(sizes) <= max(r["size"] for r in rows) + 2 * 0.001 * sum(sizes) / 24
+
+
+@pytest.mark.parametrize("ids", [range(0, 6000), [i * i for i in range(6000)]])
+def test_ranges_within_a_hot_group(llm, ids):
+    """Equal texts are divided into ranges like any others."""
+    rows = [(d, 7 if k % 10 < 6 else k * 10**15, 100) for k, d in enumerate(ids)]
+    keys = llm.createDataFrame([(h, d, s) for d, h, s in rows], "_hash bigint, _id bigint, _size bigint")
+    bounds, starts, shard_of = sharding.splitters(keys, 3, range_bytes=20_000)
+    sizes = np.diff([*starts, len(rows)])
+    assert len(bounds) + 1 == len(starts) == len(shard_of) and sizes.sum() == len(rows)
+    assert sizes.max() <= 200 and len(sizes) < 3 * len(rows) / 200
 
 
 @pytest.mark.parametrize("range_bytes", [40_000, 1 << 26])

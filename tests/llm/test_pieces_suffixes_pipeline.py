@@ -6,7 +6,7 @@ import pytest
 from brute import joined, measures, without_repeats
 
 import corpus_pipeline
-from textloom.llm import pieces, queries, suffixes
+from textloom.llm import packing, pieces, quality, queries, sharding, suffixes, urls
 
 MODEL = public_tokenizers.path(queries.PIECE_BPE)
 
@@ -87,6 +87,30 @@ def cut_null(df):
     return sorted(rows, key=lambda r: (r[0] is not None, r[1]))
 
 
+def test_texts_of_one_id(llm):
+    """Unrelated texts under one id all stay; equal and similar ones do not."""
+    words_of = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(1, words_of(1)), (1, words_of(2)), (1, words_of(2)), (2, words_of(2)), (3, words_of(3)), (4, words_of(1) + " more"), (5, None), (5, "")]
+    df = llm.createDataFrame([(d, x, 0) for d, x in rows], "doc_id bigint, text string, _key int")
+    got = corpus_pipeline.near_duplicates(llm, df, "")
+    assert got.columns == ["doc_id", "text", "_key"]
+    assert sorted((r[0], (r[1] or "")[:3]) for r in got.collect()) == [(1, "w1x"), (1, "w2x"), (3, "w3x"), (5, "")]
+
+
+def test_columns_named_like_internal_ones(llm):
+    """Columns of the caller come back whatever their names, as themselves."""
+    text = " ".join(f"w{i}" for i in range(80))
+    names = ["_a", "_z", "_doc", "_body", "_w", "_h", "_n", "_id", "_hash", "_size", "_rows", "_range", "_order", "own0_a"]
+    df = llm.createDataFrame([(1, text, "s", "http://a.b/c", *range(len(names))), (2, text, "s", "http://a.b/d", *range(len(names)))],
+                             "doc_id bigint, text string, source string, url string, " + ", ".join(f"{n} int" for n in names))
+    df = df.withColumn("_len", F.lit(5))
+    ways = [suffixes.dedup(df), quality.judge(df), urls.judge(df, df.limit(1)), packing.pack(df, "_len"),
+            sharding.shard(df, "_len", 2), pieces.encode(df, public_tokenizers.path(queries.PIECE_BPE))]
+    for out in ways:
+        assert set(df.columns) <= set(out.columns)
+        assert [tuple(r[n] for n in names) for r in out.collect()] == [tuple(range(len(names)))] * 2
+
+
 def test_pipeline(llm, documents):
     """All stages against their plain versions."""
     docs = {r["doc_id"]: r for r in documents.collect()}

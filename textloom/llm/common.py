@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,6 +33,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def apart(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that name their own columns with a leading underscore: columns of the caller that are
+    named so go under another name meanwhile, wherever the arguments name them too."""
+    @functools.wraps(operator)
+    def run(df: DataFrame, *args, **named) -> DataFrame:  # noqa: ANN002, ANN003
+        away: dict[str, str] = {}
+        for c in df.columns:
+            if c.startswith("_"):
+                k = len(away)
+                while f"own{k}{c}" in df.columns or f"own{k}{c}" in away.values():
+                    k += 1
+                away[c] = f"own{k}{c}"
+        if not away:
+            return operator(df, *args, **named)
+        known = lambda x: away.get(x, x) if isinstance(x, str) else x
+        out = operator(df.withColumnsRenamed(away), *map(known, args), **{k: known(v) for k, v in named.items()})
+        return out.withColumnsRenamed({new: old for old, new in away.items()})
+
+    return run
+
+
 @contextmanager
 def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
     """Jobs that run within it hand rows to Python in batches of about so many bytes."""

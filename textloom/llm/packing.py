@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.llm.common import apart
+
 #: Number of buckets, longest sequence, tokens of a batch, and what bucket lengths are multiples of.
 BUCKETS = 16
 MAX_LENGTH = 4096
@@ -53,6 +55,7 @@ def best_lengths(counts: dict[int, int], buckets: int) -> list[int]:
     return sorted(found)
 
 
+@apart
 def pack(df: DataFrame, length: str, id: str = "doc_id", buckets: int = BUCKETS, max_length: int = MAX_LENGTH,
          budget: int = BUDGET, align: int = ALIGN, cell: int = CELL) -> DataFrame:
     """One row per sequence of at most `max_length` tokens: the columns of `df` and piece, start,

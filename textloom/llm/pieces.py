@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import byte_length, default_parallelism, stored
+from textloom.llm.common import apart, byte_length, default_parallelism, stored
 from textloom.llm.shingles import text_slices
 
 #: A document of more bytes than this is giant, and is cut into chunks of this many characters.
@@ -216,6 +216,7 @@ def _giants(texts: DataFrame, path: str, chunk: int, parts: int) -> DataFrame:
 _CHUNK = ["a", "z", "chunk", "at", "to", "body"]
 
 
+@apart
 def encode(docs: DataFrame, path: str, text: str = "text", giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
     """All rows of `docs` with `ids` (array<int>), the encoding of `text` by the model file at `path`.
 
@@ -244,6 +245,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", giant: int = GIANT, c
     return small.unionByName(keyed.join(coded, ["_a", "_z"], "left").drop("_a", "_z"))
 
 
+@apart
 def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """All rows of `docs` with the text of their ids: pieces joined, bytes put together, the first space
     taken off. Null ids give null, no ids an empty text; bytes that are not UTF-8 become U+FFFD. Encoding and

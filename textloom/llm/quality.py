@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import SPACE, stored, words
+from textloom.llm.common import SPACE, apart, stored, words
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
@@ -27,6 +27,7 @@ MAX_HOST_RATE = 0.5
 BROADCAST_HOSTS = 100_000
 
 
+@apart
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_lines (all long).
 
@@ -96,6 +97,7 @@ def host_verdicts(docs: DataFrame, host: str = "source", text: str = "text") ->
     return counts.withColumn("host_rate", drawn).withColumn("host_rejected", F.col("host_rate") > MAX_HOST_RATE)
 
 
+@apart
 def judge(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
     """All rows of `docs` with their measures, base_failed, host_rate and kept.
 

@@ -17,15 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import stored
+from textloom.llm.common import apart, stored
 
 #: Candidate keys per open boundary and round.
 PROBES = 64
 #: A boundary may be off by this share of a shard's bytes, or else lies next to a single key.
 TOLERANCE = 0.001
-#: Bytes of a range that one task sorts, and the most ranges there can be.
-RANGE_BYTES = 64 << 20
-MAX_RANGES = 1 << 16
+#: Bytes of a range that one task sorts.
+RANGE_BYTES = 256 << 20
 
 _HALF = 1 << 63
 
@@ -67,8 +66,9 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, range_
               ) -> tuple[list[tuple[int, int]], list[int], list[int]]:
     """Range boundaries of a (hash, id, size) table, the first rank in each range, and the shard of each range.
 
-    The boundaries of the shards are among those of the ranges. The driver holds the candidate
-    keys with their counts: `PROBES` times the shards and rounds, and at most `MAX_RANGES` ranges.
+    The boundaries of the shards are among those of the ranges. A range is of at most `range_bytes`, or a single key.
+    The driver holds the candidate keys with their counts: `PROBES` times the shards and rounds, and some for each
+    `range_bytes` of the table.
     """
     total, low_id, high_id = keys.agg(F.sum("_size"), F.min("_id"), F.max("_id")).first()
     if total is None:
@@ -81,7 +81,7 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, range_
     below: dict[int, tuple[int, int]] = {0: (0, 0), (1 << 64) * span: (total, 0)}
     targets = [total * k // shards for k in range(1, shards)]
     cuts: dict[int, int] = {}
-    ranges = min(MAX_RANGES, max(shards, shards * -(-total // (shards * range_bytes))))
+    ranges = max(shards, -(-total // range_bytes))
     probes = [n * (1 << 64) // (4 * ranges) * span for n in range(1, 4 * ranges)]
     while probes:
         probes = sorted(set(probes) - set(below))
@@ -101,18 +101,31 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, range_
             cuts[t] = near
             if abs(below[near][0] - t) > tolerance * total / shards and hi - lo > 1:
                 probes += [lo + (hi - lo) * k // (PROBES + 1) for k in range(1, PROBES + 1)]
+        for lo, hi in zip(known, known[1:], strict=False):
+            # Neighbours with more between them than a task should sort, as in a large group of equal texts.
+            inside = below[hi][0] - below[lo][0]
+            if inside > range_bytes and hi - lo > 1:
+                k = min(PROBES, 2 * -(-inside // range_bytes))
+                probes += [lo + (hi - lo) * j // (k + 1) for j in range(1, k + 1)]
         probes = [n for n in set(probes) if n not in below]
-    chosen, last = [], 0
-    edges = sorted(set(cuts.values()) - {0, (1 << 64) * span})
-    for n in sorted(n for n in below if 0 < n < (1 << 64) * span):
-        if n in edges or below[n][0] - last >= range_bytes:
+    chosen, last, before = [], 0, None
+    edges = set(cuts.values()) - {0, (1 << 64) * span}
+    for n in sorted(n for n in below if 0 < n):
+        if before is not None and below[n][0] - last > range_bytes and below[before][0] > last:
+            chosen.append(before)
+            last = below[before][0]
+        if n in edges:
             chosen.append(n)
-            last = below[n][0]
+            last, before = below[n][0], None
+        else:
+            before = n
+    chosen = [n for n in chosen if n < (1 << 64) * span]
     cut_list = [cuts[t] for t in targets]
     starts = [0, *(below[n][1] for n in chosen)]
     return [key(n) for n in chosen], starts, [bisect.bisect_right(cut_list, n) for n in [0, *chosen]]
 
 
+@apart
 def shard(df: DataFrame, size: str, shards: int, id: str = "doc_id", group: str = "text",
           tolerance: float = TOLERANCE, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """All rows of `df` with `shard` (0 to shards - 1) and `slot` (gapless from 0 in each shard).

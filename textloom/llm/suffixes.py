@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import blocks
-from textloom.llm.common import default_parallelism, stored
+from textloom.llm.common import apart, default_parallelism, stored
 from textloom.llm.shingles import _BASE, _powers, mixed, text_slices, utf8
 
 LENGTH = 100
@@ -380,6 +380,7 @@ def _hashes(text: Column) -> dict[str, Column]:
     return {"a": F.xxhash64(text), "z": F.xxhash64(text, F.lit(1))}
 
 
+@apart
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH,
           part_bytes: int = PART_BYTES) -> DataFrame:
     """All rows of `docs` with kept (binary), n_bytes, n_removed and n_spans.

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import apart
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = 8
 #: Blocks per filter: bits for each listed URL, and at most 2^17 blocks (32 bytes each, 4 MB of bits).
@@ -87,6 +89,7 @@ def build_filter(listed: DataFrame, url: str = "url") -> tuple[DataFrame, int]:
     return words.groupBy("block").agg(*(F.bit_or(c).alias(c) for c in bits)), blocks
 
 
+@apart
 def judge(pages: DataFrame, listed: DataFrame, url: str = "url", listed_url: str = "url",
           rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
     """All rows of `pages` with host, path, rule, canonical, listed and verdict.
