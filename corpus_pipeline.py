@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import ngram_join, packing, quality, suffixes
-from textloom.llm.common import first_of, stored, words
+from textloom.llm.common import apart, first_of, stored, words
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,14 +20,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(docs).where("kept").select(*docs.columns)
 
 
+@apart
+def _one_of_each(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # Different texts of one id are documents of their own: they get ids made of both.
+    texts = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.xxhash64(text)).alias("a"), F.max(F.xxhash64(text)).alias("z"))
+    several = stored(texts.where("a <> z").select("doc_id", F.lit(True).alias("_several")), "several-texts")
+    keyed = docs.join(several, "doc_id", "left").withColumn(
+        "_key", F.when(F.col("_several"), F.xxhash64("doc_id", text)).otherwise(F.col("doc_id").cast("bigint"))).drop("_several")
+    found = ngram_join.similar(keyed.select("_key", "text"), id="_key").where("_key IS NOT NULL")
+    ids = keyed.where("_key IS NOT NULL").groupBy("_key").agg(F.min("doc_id").alias("_doc"), F.count(F.lit(1)).alias("_rows"))
+    groups = found.select("_key", "component_id").distinct().join(ids, "_key")
+    staying = groups.groupBy("component_id").agg(F.min(F.struct("_doc", "_key", "_rows")).alias("_s")).select("_s._key", "_s._rows")
+    kept = keyed.join(stored(staying, "staying"), "_key", "left")
+    once = kept.where("_key IS NULL OR _rows = 1")
+    several_rows = first_of(kept.where("_rows > 1"), ["_key"], [F.xxhash64(*docs.columns)])
+    return once.unionByName(several_rows).select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id stays, with one row. Rows of a null id all stay."""
-    found = ngram_join.similar(docs.select("doc_id", "text"))
-    staying = stored(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")), "staying")
-    kept = docs.join(staying, "doc_id", "left")
-    once = kept.where("doc_id IS NULL OR _rows = 1")
-    several = first_of(kept.where("_rows > 1"), ["doc_id"], [F.xxhash64(*docs.columns)])
-    return once.unionByName(several).select(*docs.columns)
+    """Of each group of documents linked by similarity the one with the least id stays, with one row. Rows of a null
+    id all stay; different texts of one id go only if they are linked with what stays."""
+    return _one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
