@@ -95,6 +95,10 @@ def test_shuffle_does_not_depend_on_partitions(spark):
     assert orders[0] == orders[1] == orders[2] != list(range(500))
     assert sorted(orders[0]) == list(range(500))
     assert [r.id for r in prepare.seeded_shuffle(df, "id", 10).collect()] != orders[0]
+    assert prepare.table_bytes(df) == 500 * 16
+    for size, n in ((1000, 8), (4000, 2), (1 << 20, 1)):  # ranges from the bytes of the table
+        out = prepare.seeded_shuffle(df, "id", 9, range_bytes=size)
+        assert out.rdd.getNumPartitions() == n and [r.id for r in out.collect()] == orders[0]
 
 
 def test_tokens(spark):

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.functions.cleaning import clean_text, strip
 from textloom.operators.roles import table_roles
+from textloom.session import staged
 
+#: Bytes of a range of a shuffled table, and of one that is not worth a core.
+RANGE_BYTES, SMALL_BYTES = 128 << 20, 1 << 20
 JOINT = "\n\n"
 IMAGE_PROMPT = ("<|user|>\n<|image_1|>\n", "<|end|>\n<|assistant|>")  # fixed values
 # First bytes of the image formats that are accepted: PNG, JPEG, GIF, BMP, WEBP (RIFF), TIFF.
@@ -134,13 +139,33 @@ def shuffle_key(key: Column, seed: int) -> Column:
     return F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed))))
 
 
-def seeded_shuffle(df: DataFrame, key: str, seed: int, partitions: int | None = None) -> DataFrame:
+def table_bytes(df: DataFrame) -> int:
+    """About the bytes of a table's rows: texts and binaries as they are, numbers as eight, the rest as JSON."""
+    def size(field: T.StructField) -> Column:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.octet_length(c)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.octet_length(F.to_json(F.struct(c)))
+        return F.lit(8)
+
+    each = [F.coalesce(size(f), F.lit(0)).cast("bigint") for f in df.schema.fields]
+    return df.select(functools.reduce(Column.__add__, each).alias("b")).agg(F.sum("b")).first()[0] or 0
+
+
+def seeded_shuffle(df: DataFrame, key: str, seed: int, partitions: int | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """A random order that depends on the key and the seed only, not on the partitioning.
 
-    The sort keys are uniform, so the ranges of the partitions are known beforehand: the table is
-    moved once, and not computed a second time to sample the ranges as a global sort would.
+    The sort keys are uniform, so the ranges of the partitions are known beforehand: the table is moved once,
+    and not computed a second time to sample the ranges as a global sort would. Unless their number is given, the rows
+    are written first and their bytes counted, so that ranges are of about `range_bytes` whatever the table.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions
+    if n is None:
+        df = staged(df, "shuffle-rows")
+        total = table_bytes(df)
+        # A small table still uses the cores there are.
+        n = max(1, -(-total // range_bytes), min(df.sparkSession.sparkContext.defaultParallelism, -(-total // SMALL_BYTES)))
     rank = shuffle_key(F.col(key), seed)
     slot = F.conv(F.substring(rank, 1, 8), 16, 10).cast("bigint")
     return df.repartitionById(n, F.shiftright(slot * n, 32).cast("int")).sortWithinPartitions(rank, key)
