@@ -47,7 +47,7 @@ def test_vocabulary_holds_every_repeated_word(llm):
     """Beyond the frequent words too: only words seen once or never stand for their form, and all probabilities sum to one."""
     docs = [(d, " ".join(f"w{i}" for i in range(2000)) + f" once{d}") for d in (1, 2, 3)]
     c = Counter(w for d, x in docs if zlib.crc32(str(d).encode()) % 7 != 2 for w in words(x))
-    table = lm.coded(llm.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", 2, 7).localCheckpoint()
+    table = lm.stored(lm.coded(llm.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", 2, 7), "lm-test")
     _, sums = lm.counted(table, 4)
     v = lm.Vocabulary(sums, 3)
     assert len(v.top_n) == sum(n > 1 for n in c.values()) == 2000
@@ -60,7 +60,7 @@ def test_vocabulary_holds_every_repeated_word(llm):
             ranks |= set(got[got < 2000].tolist())
     assert ranks == set(range(2000))
     m = lm.Model.fresh(v)
-    assert m.size == 45 and m.classes == 45
+    assert (m.side, m.groups, m.classes) == (13, 154, 12)
     state = np.random.default_rng(3).normal(size=(1, lm.UNITS)).astype(np.float32)
     every = np.arange(m.end + 1)
     p, _ = m.log_p(np.repeat(state, len(every), axis=0), every)

@@ -7,11 +7,10 @@ and outputs of the model, whatever their number; words seen once or never stand
 form (length, last character, other than ASCII) and share it by their counts, with one part for words
 not seen.
 
-The output is factored: a softmax over classes (words of like frequency, as many as the square root of
-the vocabulary; a form; the end), and one over the words of the class. Words share vectors by class and
-by place in the class, on the way in and out, so the model grows with the square root of the vocabulary;
-the `FREQUENT` words have inputs of their own, the first class has outputs of its own, and every word
-begins at its count within its class. Every task trains on its blocks by back-propagation through windows of
+The output is factored: a softmax over classes (of words of like frequency; a form; the end), one over the groups
+of the class, and one over the words of the group, each of about the third root of the vocabulary. Words share vectors
+by class, by group and by place, on the way in and out; the `FREQUENT` words have inputs and outputs of their own, and every
+group and word begins at its count within its class and group. Every task trains on its blocks by back-propagation through windows of
 `WINDOW` words, with the state carried into the next window; the weights of a round are averaged,
 by words seen, and go into the next. Scoring walks through whole documents, window by window, with
 the state carried along.
@@ -185,28 +184,58 @@ class Vocabulary:
         return np.where(rare, np.log(share), 0.0)
 
 
-def _soft(x: np.ndarray) -> np.ndarray:
-    """Log of the softmax of each row."""
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _choose(x: np.ndarray, w: np.ndarray, bias: np.ndarray, target: np.ndarray, scale: float | None = None
+            ) -> tuple[np.ndarray, tuple | None]:
+    """Log of the softmax of x w + bias at each row's target; with `scale`, the gradients by w, x and bias of the
+    negative sum of these times `scale`."""
+    rows, y = np.arange(len(target)), x @ w
+    y += bias
+    y -= y.max(axis=1, keepdims=True)
+    out = y[rows, target].astype(np.float64)
+    np.exp(y, out=y)
+    total = y.sum(axis=1)
+    out -= np.log(total)
+    if scale is None:
+        return out, None
+    y *= (scale / total)[:, None]
+    y[rows, target] -= scale
+    return out, (x.T @ y, y @ w.T, y.sum(axis=0))
+
+
+def _gathered(shape: tuple[int, int], at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """A table with the sums of the rows that go to each place."""
+    out = np.zeros(shape, np.float32)
+    if len(at):
+        order = np.argsort(at, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(at[order]) > 0]))
+        out[at[order[first]]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
 
 
 class Model:
-    """Weights: own (words, classes, forms and the end x 3 units) and placed (places x 3 units) tables of the
-    inputs, hidden (units x 3 units), outputs over classes, and within them: of the first class, of the
-    others by place, and a factor of each unit by class."""
+    """Weights: own (words, classes, forms and the end x 3 units) and placed (places of both levels, and none, x 3
+    units) tables of the inputs, hidden (units x 3 units), outputs over classes; over the groups of the first class, of the
+    others, and a factor of each unit by class; over the words of each of the first groups, of the others, and a factor of
+    each unit by group."""
 
     def __init__(self, v: Vocabulary, weights: list[np.ndarray] | None = None) -> None:
         self.n = n = len(v.top_n)
-        self.size = size = max(1, int(np.ceil(np.sqrt(n))))
-        self.classes = classes = max(1, -(-n // size))
+        self.side = side = next(k for k in range(max(1, int(n ** (1 / 3)) - 1), n + 2) if k ** 3 >= n)
+        self.groups = groups = max(1, -(-n // side))
+        self.classes = classes = max(1, -(-groups // side))
+        self.own = own = min(groups, -(-FREQUENT // side))
         self.end = n + FORMS
-        self.shapes = [(FREQUENT + classes + FORMS + 1, 3 * UNITS), (UNITS, 3 * UNITS), (UNITS, classes + FORMS + 1),
-                       (1, classes + FORMS + 1), (size + 1, 3 * UNITS), (UNITS, size), (UNITS, size), (classes, UNITS)]
-        # Where each word of a class begins: its count. Places that no word has are out of reach.
-        self.counts = np.full(classes * size, -1e4, np.float32)
-        self.counts[:n] = np.log(np.asarray(v.top_n) + 1)
-        self.counts = self.counts.reshape(classes, size)
+        u = UNITS
+        self.shapes = [(FREQUENT + classes + FORMS + 1, 3 * u), (u, 3 * u), (u, classes + FORMS + 1),
+                       (1, classes + FORMS + 1), (2 * side + 1, 3 * u), (u, side), (u, side), (classes, u),
+                       (u, own * side), (u, side), (groups, u)]
+        # Where each group of a class and each word of a group begins: its count. Places that none has are out of reach.
+        uses = np.zeros(classes * side * side)
+        uses[:n] = np.asarray(v.top_n)
+        counted = uses.reshape(-1, side)
+        self.words = np.where(np.arange(counted.size).reshape(counted.shape) < n, np.log(counted + 1), -1e4).astype(np.float32)
+        per_group = counted.sum(axis=1).reshape(classes, side)
+        self.grouped = np.where(np.arange(per_group.size).reshape(per_group.shape) < groups, np.log(per_group + 1), -1e4).astype(np.float32)
         self.w = weights or []
 
     @classmethod
@@ -214,11 +243,12 @@ class Model:
         """Small random weights; the outputs begin at the words' frequencies."""
         rng, m = np.random.default_rng(11), cls(v)
         m.w = [rng.normal(0, 0.1, s).astype(np.float32) for s in m.shapes]
-        n = np.zeros(m.classes * m.size)
+        n = np.zeros(m.classes * m.side * m.side)
         n[:m.n] = v.top_n
-        per_class = np.concatenate([n.reshape(m.classes, m.size).sum(axis=1), v.form_n, [v.train_docs]]) + 1
+        per_class = np.concatenate([n.reshape(m.classes, -1).sum(axis=1), v.form_n, [v.train_docs]]) + 1
         m.w[3][0] = np.log(per_class / per_class.sum())
         m.w[7] += 1
+        m.w[10] += 1
         return m
 
     @classmethod
@@ -230,13 +260,15 @@ class Model:
         return m
 
     def class_of(self, inputs: np.ndarray) -> np.ndarray:
-        return np.where(inputs < self.n, inputs // self.size, inputs - self.n + self.classes)
+        return np.where(inputs < self.n, inputs // self.side ** 2, inputs - self.n + self.classes)
 
-    def read(self, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The rows of both tables that an input reads; the last place is for those with a row of their own."""
+    def read(self, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The row of the own table and the two of the placed one that an input reads; the last place is for those
+        with a row of their own."""
         common = (inputs >= FREQUENT) & (inputs < self.n)
         own = np.where(inputs < min(FREQUENT, self.n), inputs, FREQUENT + self.class_of(inputs))
-        return own, np.where(common, inputs % self.size, self.size)
+        none = 2 * self.side
+        return own, np.where(common, inputs // self.side % self.side, none), np.where(common, self.side + inputs % self.side, none)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in self.w]).astype(np.float64)
@@ -248,7 +280,7 @@ class Model:
         `active`: lanes, from the first, that still go on; `fresh`: where a text begins, with an empty state.
         """
         table, hidden, placed = self.w[0], self.w[1], self.w[4]
-        own, place = self.read(inputs)
+        own, group, place = self.read(inputs)
         states, saved, u = np.empty((*inputs.shape, UNITS), np.float32), [], UNITS
         for t in range(len(inputs)):
             a = active[t] if active else inputs.shape[1]
@@ -256,7 +288,7 @@ class Model:
                 h[fresh[t]] = 0
             states[t] = h
             prev = h[:a]
-            x, y = table[own[t, :a]] + placed[place[t, :a]], prev @ hidden
+            x, y = table[own[t, :a]] + placed[group[t, :a]] + placed[place[t, :a]], prev @ hidden
             zr = 1 / (1 + np.exp(-(x[:, :2 * u] + y[:, :2 * u])))
             z, r = zr[:, :u], zr[:, u:]
             n = np.tanh(x[:, 2 * u:] + r * y[:, 2 * u:])
@@ -267,41 +299,46 @@ class Model:
 
     def log_p(self, states: np.ndarray, targets: np.ndarray, back: bool = False) -> tuple[np.ndarray, list | None]:
         """Natural logarithm of each target's probability given the state before it (for rare words, of the
-        form), and the gradients of the mean loss if asked."""
-        k = self.class_of(targets)
-        lc = _soft(states @ self.w[2] + self.w[3][0])
-        rows = np.arange(len(targets))
-        out = lc[rows, k].astype(np.float64)
+        form), and the gradients of the mean loss by the weights from the third on and by the states, if asked."""
+        w, side, scale = self.w, self.side, 1 / len(targets) if back else None
+        out, g = _choose(states, w[2], w[3][0], self.class_of(targets), scale)
         grads = None
         if back:
-            dl = np.exp(lc)
-            dl[rows, k] -= 1
-            dl /= len(targets)
-            grads = [states.T @ dl, dl.sum(axis=0, keepdims=True), *(np.zeros_like(w) for w in self.w[5:8]), dl @ self.w[2].T]
-        del lc
-        for which, own in enumerate((np.flatnonzero(k == 0), np.flatnonzero((k > 0) & (k < self.classes)))):
-            # A few words at a time: a class has thousands in a large vocabulary.
-            for at in (own[i:i + 4096] for i in range(0, len(own), 4096)):
-                c, w, factor = k[at], self.w[5 + which], self.w[7][k[at]]
-                s, n = states[at], np.arange(len(at))
-                lw = _soft((s * factor) @ w + self.counts[c])
-                place = targets[at] - c * self.size
-                out[at] += lw[n, place]
-                if back:
-                    d = np.exp(lw)
-                    d[n, place] -= 1
-                    d /= len(targets)
-                    grads[2 + which] += (s * factor).T @ d
-                    d = d @ w.T
-                    grads[5][at] += d * factor
-                    np.add.at(grads[4], c, s * d)
+            grads = [g[0], g[2][None, :], None, *(np.zeros_like(x) for x in w[5:]), g[1]]
+        # Words in order of their groups, so that each group's words are neighbours.
+        word = np.flatnonzero(targets < self.n)
+        word = word[np.argsort(targets[word], kind="stable")]
+        group = targets[word] // side
+        kind = group // side
+        first, own = int(np.searchsorted(kind, 1)), int(np.searchsorted(group, self.own))
+        edges = np.searchsorted(group[:own], np.arange(self.own + 1))
+        # (words, weights, their columns, bias rows, targets, and the factors with their rows, if any)
+        steps = [(word[a:z], at, slice(0, side), self.grouped[kind[a:z]], group[a:z] % side, 7, kind[a:z])
+                 for at, a, z in ((5, 0, first), (6, first, len(word)))]
+        steps += [(word[a:z], 8, slice(k * side, (k + 1) * side), self.words[k], targets[word[a:z]] % side, None, None)
+                  for k, (a, z) in enumerate(zip(edges, edges[1:], strict=False))]
+        steps.append((word[own:], 9, slice(0, side), self.words[group[own:]], targets[word[own:]] % side, 10, group[own:]))
+        for rows, at, columns, bias, target, factors, by in steps:
+            if not len(rows):
+                continue
+            s = states[rows]
+            factor = w[factors][by] if factors else None
+            p, g = _choose(s if factor is None else s * factor, w[at][:, columns], bias, target, scale)
+            out[rows] += p
+            if back:
+                grads[at - 2][:, columns] += g[0]
+                d = g[1]
+                if factor is not None:
+                    grads[factors - 2] += _gathered(self.shapes[factors], by, s * d)
+                    d = d * factor
+                grads[-1][rows] += d
         return out, grads
 
     def gradients(self, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
         """Of one window (time, lanes): the state before a word predicts it, then reads it."""
         states, saved = self.steps(inputs, h, keep=True, fresh=fresh)
         _, g = self.log_p(states.reshape(-1, UNITS), inputs.ravel(), back=True)
-        d_states, u = g[5].reshape(states.shape), UNITS
+        d_states, u = g[-1].reshape(states.shape), UNITS
         d_x = np.empty((*inputs.shape, 3 * u), np.float32)
         d_hidden, d_h = np.zeros_like(self.w[1]), np.zeros_like(h)
         for t in range(len(inputs) - 1, -1, -1):
@@ -314,13 +351,10 @@ class Model:
             d_hidden += prev.T @ d_y
             d_h = d_h * z + d_y @ self.w[1].T + d_states[t]
             d_h[fresh[t]] = 0
-        d_tables = []
-        for table, rows in zip((self.w[0], self.w[4]), self.read(inputs.ravel()), strict=True):
-            order = np.argsort(rows, kind="stable")
-            first = np.flatnonzero(np.concatenate([[True], np.diff(rows[order]) > 0]))
-            d_tables.append(np.zeros_like(table))
-            d_tables[-1][rows[order[first]]] = np.add.reduceat(d_x.reshape(-1, 3 * u)[order], first, axis=0)
-        return [d_tables[0], d_hidden, g[0], g[1], d_tables[1], *g[2:5]]
+        own, group, place = self.read(inputs.ravel())
+        flat = d_x.reshape(-1, 3 * u)
+        placed = _gathered(self.shapes[4], group, flat) + _gathered(self.shapes[4], place, flat)
+        return [_gathered(self.shapes[0], own, flat), d_hidden, g[0], g[1], placed, *g[3:-1]]
 
 
 class Adam:

@@ -79,7 +79,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         columns = list(zip(*found, strict=True)) or [[]] * 4
         return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return tokenfiles.read_tokens(parts).mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return tokenfiles.read_tokens(parts, use=digest, schema="doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

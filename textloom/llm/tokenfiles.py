@@ -234,14 +234,19 @@ def _loaded(filesystem: pafs.FileSystem, path: str, kind: str) -> np.ndarray:
     return np.frombuffer(filesystem.open_input_file(path).read(), kind)
 
 
-def read_tokens(parts: DataFrame, read_ids: int = READ_IDS) -> DataFrame:
+READ = "doc_id bigint, position bigint, start bigint, offset bigint, ids array<int>"
+
+
+def read_tokens(parts: DataFrame, read_ids: int = READ_IDS, use: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None,
+                schema: str = READ) -> DataFrame:
     """The documents of the files: doc_id, position (rank among all documents), start (ids of all
     documents before it), offset (ids of the document before this row) and ids.
 
     Files in a local or mounted folder are memory-mapped. A document of more than `read_ids` ids
-    comes in several rows. One task reads one part.
+    comes in several rows. One task reads one part. `use` makes other rows, of `schema`, of these in the same process.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _encoders.clear()  # a worker that has encoded needs its cache no more
         for part in (r for b in batches for r in b.to_pylist()):
             filesystem, root = open_folder(part["folder"])
             base = f"{root}/{part['part']:06d}"
@@ -265,5 +270,4 @@ def read_tokens(parts: DataFrame, read_ids: int = READ_IDS) -> DataFrame:
                 ], ["doc_id", "position", "start", "offset", "ids"])
                 at = to
 
-    schema = "doc_id bigint, position bigint, start bigint, offset bigint, ids array<int>"
-    return parts.repartition(max(1, parts.count()), "part").mapInArrow(read, schema)
+    return parts.repartition(max(1, parts.count()), "part").mapInArrow((lambda batches: use(read(batches))) if use else read, schema)
