@@ -213,7 +213,15 @@ def test_dataset_names_and_ledger(spark, tmp_path):
     tables.empty_ledger(spark, ledger)
     for _ in range(2):
         tables.append_ledger(df, "path", ledger)
-    assert sorted(r.dataset_name for r in spark.read.parquet(ledger).collect()) == sorted(["a.b", "c", ".hidden", "..", "plain", "e"])
+    names = sorted(["a.b", "c", ".hidden", "..", "plain", "e"])
+    assert sorted(r.dataset_name for r in spark.read.parquet(ledger).collect()) == names
+    # Two writers that both saw an empty ledger: each name is one writer's.
+    both = str(tmp_path / "both")
+    tables.empty_ledger(spark, both)
+    new = tables.ledger_check(df, "path", tables.read_ledger(spark, both)).where("is_new").select("dataset_name").collect()
+    claims = {tables.claim(spark.createDataFrame(new), both) for _ in range(2)}
+    rows = tables.read_ledger(spark, both).collect()
+    assert sorted(r.dataset_name for r in rows) == names and len({r.claim for r in rows}) == 1 and {r.claim for r in rows} < claims
 
 
 def test_duration_and_display(spark):

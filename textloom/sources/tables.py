@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,15 +43,30 @@ def ledger_check(paths: DataFrame, path: str, ledger: DataFrame) -> DataFrame:
     return names.join(listed, "dataset_name", "left").select("dataset_name", F.col("_listed").isNull().alias("is_new"))
 
 
-LEDGER_SCHEMA = "dataset_name string, logged_at timestamp"
+LEDGER_SCHEMA = "dataset_name string, logged_at timestamp, claim string"
+
+
+def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """Each listed name once: of several claims, as two writers at once leave them, the earliest counts."""
+    rows = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
+    first = F.min(F.struct("logged_at", F.coalesce("claim", F.lit("")).alias("claim"))).alias("c")
+    return rows.groupBy("dataset_name").agg(first).select("dataset_name", "c.*")
 
 
-def append_ledger(paths: DataFrame, path: str, ledger_path: str) -> None:
-    """Log the names that are not listed yet. Running it again adds nothing."""
+def append_ledger(paths: DataFrame, path: str, ledger_path: str) -> str:
+    """Log the names that are not listed yet. Running it again adds nothing.
+
+    The names are claimed: those that `read_ledger` gives with the returned claim are this call's, whoever else
+    logged them meanwhile.
+    """
     spark = paths.sparkSession
-    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
-    new = ledger_check(paths, path, ledger).where("is_new")
-    new.select("dataset_name", F.current_timestamp().alias("logged_at")).write.mode("append").parquet(ledger_path)
+    return claim(ledger_check(paths, path, read_ledger(spark, ledger_path)).where("is_new"), ledger_path)
+
+
+def claim(names: DataFrame, ledger_path: str) -> str:
+    own = uuid.uuid4().hex
+    names.select("dataset_name", F.current_timestamp().alias("logged_at"), F.lit(own).alias("claim")).write.mode("append").parquet(ledger_path)
+    return own
 
 
 def empty_ledger(spark: SparkSession, ledger_path: str) -> None:

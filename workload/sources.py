@@ -196,7 +196,7 @@ def live_ledger(spark, sf):
     ledger_path = scratch_path(spark, "ledger")
     for run in ("first", "second"):  # a second pass over the same files logs nothing new
         live.live_ledger(paths, "path", ledger_path, scratch_path(spark, f"ledger-{run}"), once=True).awaitTermination()
-    return spark.read.parquet(ledger_path).select("dataset_name")
+    return tables.read_ledger(spark, ledger_path).select("dataset_name")
 
 
 QUERIES["live_ledger"] = live_ledger
