@@ -176,6 +176,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget() -> None:
+    """Drop the worker's encoders and their caches."""
+    _encoders.clear()
+
+
 def write_tokens(docs: DataFrame, folder: str, encode: Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]], end_id: int,
                  vocabulary: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write the ids of all documents, in ascending order of id, and return the list of parts:
@@ -246,7 +251,7 @@ def read_tokens(parts: DataFrame, read_ids: int = READ_IDS, use: Callable[[Itera
     comes in several rows. One task reads one part. `use` makes other rows, of `schema`, of these in the same process.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _encoders.clear()  # a worker that has encoded needs its cache no more
+        forget()
         for part in (r for b in batches for r in b.to_pylist()):
             filesystem, root = open_folder(part["folder"])
             base = f"{root}/{part['part']:06d}"
