@@ -85,7 +85,7 @@ def coded(docs: DataFrame, id: str, text: str, fold: int, folds: int) -> DataFra
 
 _CODED = ["block", "docs", "null", "held", "counts", "words", "forms", "trained", "codes"]
 _KINDS = {"docs": np.int64, "null": np.uint8, "held": np.uint8, "counts": np.uint32, "words": np.uint64, "forms": np.uint8,
-          "trained": np.uint32, "codes": np.uint32, "uses": np.uint64}
+          "trained": np.uint32, "codes": np.uint32, "rare": np.uint32, "uses": np.uint64}
 
 
 def _cells(b: pa.RecordBatch, row: int) -> dict[str, np.ndarray]:
@@ -94,8 +94,9 @@ def _cells(b: pa.RecordBatch, row: int) -> dict[str, np.ndarray]:
 
 
 def counted(table: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
-    """(block, uses): corpus counts of each block's words; and per task, as cells, its words with at least
-    `LEAST` uses, their counts and forms, and the tokens and distinct words of each form."""
+    """(block, rare, uses): places and corpus counts of the words of a block that its own texts and the vocabulary do not
+    tell; and per task, as cells, its words with at least `LEAST` uses, their counts and forms, and the tokens and
+    distinct words of each form."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
@@ -109,10 +110,12 @@ def counted(table: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
             batches, [np.int64, np.uint32, np.uint32, np.uint64, np.uint32, np.uint8])
         each, first, number = np.unique(words, return_index=True, return_inverse=True)
         uses = np.bincount(number, trained, len(each)).astype(np.uint64)
-        of = np.repeat(np.arange(len(block)), counts)
+        # A word that is not in the vocabulary, and used elsewhere too, or only elsewhere.
+        untold = np.flatnonzero((uses[number] < LEAST) & (uses[number] != trained))
+        of = np.repeat(np.arange(len(block)), counts)[untold]
         home = (mixed(block.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
         if len(of):
-            back = blocks.deal(home[of], [block], of, [place, uses[number]])
+            back = blocks.deal(home[of], [block], of, [place[untold], uses[number[untold]]])
             nothing = pa.nulls(back.num_rows)
             yield pa.record_batch([*back.columns, *[nothing.cast(pa.binary())] * 5], _BACK)
         known = uses > 0
@@ -133,15 +136,14 @@ def counted(table: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
                     found.setdefault(o, []).append((p, u))
         for block, cells in found.items():
             place, uses = (np.concatenate(c) for c in zip(*cells, strict=True))
-            out = np.zeros(len(place), np.uint64)
-            out[place] = uses
-            yield pa.record_batch([pa.array([block]), pa.array([out.tobytes()], pa.binary())], ["block", "uses"])
+            yield pa.record_batch([pa.array([block]), pa.array([place.tobytes()], pa.binary()), pa.array([uses.tobytes()], pa.binary())],
+                                  ["block", "rare", "uses"])
 
     schema = blocks.schema(1, 2) + "".join(f", {c} binary" for c in _SUMS)
     sent = blocks.together(table.select("block", "words", "trained", "forms").mapInArrow(send, blocks.schema(1, 4)), parts)
     sums = stored(sent.mapInArrow(add, schema), "lm-counts")
     uses = blocks.together(sums.where("part IS NOT NULL").select("part", "g0", "counts", "v0", "v1"), parts)
-    return uses.mapInArrow(gather, "block bigint, uses binary"), sums.where("part IS NULL").select(*_SUMS)
+    return uses.mapInArrow(gather, "block bigint, rare binary, uses binary"), sums.where("part IS NULL").select(*_SUMS)
 
 
 _SUMS = ["words", "n", "forms", "form_n", "form_d"]
@@ -460,10 +462,12 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", fold: int = 2
         for b in batches:
             for r in range(b.num_rows):
                 x = _cells(b, r)
-                used = x["uses"].astype(np.float64) if len(x["uses"]) else np.zeros(0)
                 counts = x["counts"].astype(np.int64)
                 of = np.repeat(np.arange(len(counts)), counts)
                 inputs = v.inputs(x["words"], x["forms"])
+                used = x["trained"].astype(np.float64)
+                used[inputs < len(v.top_n)] = v.top_n[inputs[inputs < len(v.top_n)]]
+                used[x["rare"]] = x["uses"]
                 share = np.bincount(of, v.shares(inputs, used)[x["codes"]], len(counts))
                 known = np.bincount(of, (used > 0)[x["codes"]], len(counts)).astype(np.int64)
                 norm = np.log10(v.tokens + 1.0 * (v.distinct + 1))
@@ -474,7 +478,9 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", fold: int = 2
                     ids, pa.array(x["held"].astype(bool)), pa.array(counts + 1), pa.array(known + (v.train_docs > 0)),
                     pa.array(np.full(len(counts), v.tokens)), pa.array(base), pa.array(total / np.log(10))], _SCORED)
 
-    joined = table.select("block", "docs", "null", "held", "counts", "words", "forms", "codes").join(uses, "block", "left").drop("block")
+    # Few words are told about, so this side is small, and Spark sends it to the blocks where it is small enough.
+    uses = stored(uses, "lm-rare")
+    joined = table.select("block", "docs", "null", "held", "counts", "words", "forms", "trained", "codes").join(uses, "block", "left").drop("block")
     return joined.mapInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                                   "base_score double, score double").withColumnRenamed("doc_id", id)
 
