@@ -70,6 +70,18 @@ def test_smooth(log, runs, width):
         np.testing.assert_allclose([got[r, i + 1] for i in range(len(x))], want, atol=1e-12)
 
 
+@pytest.mark.parametrize("most", [1, 3, 8])
+def test_window_sums(most):
+    rng = np.random.default_rng(most)
+    x = rng.normal(size=60) * 10.0 ** rng.integers(-3, 4, 60)
+    x[[5, 30, 31]] = np.nan, np.inf, -np.inf
+    first = np.arange(60)
+    last = np.minimum(first + rng.integers(0, most, 60), 59)
+    with np.errstate(invalid="ignore"):
+        want = [x[a:z + 1].sum() for a, z in zip(first, last)]
+    np.testing.assert_allclose(curves._window_sums(x, first, last, most), want, rtol=1e-9, atol=1e-10)
+
+
 def test_exact_median(spark, log, runs):
     got = {r.run_id: r.median for r in scans.exact_median(log, "run_id", "loss").collect()}
     assert got == pytest.approx({r: float(np.median([x for _, x in v])) for r, v in by_run(runs).items()})

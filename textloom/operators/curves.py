@@ -7,11 +7,16 @@ stretch of a run, 200 rows at most, is gathered per run.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from textloom.functions.numbers import round_exact
-from textloom.operators.scans import BROADCAST_RUNS, CHUNK, exact_median, index_rows, median_bracket, neighbours, with_halo
+from textloom.operators.scans import BROADCAST_RUNS, CHUNK, exact_median, index_rows, median_bracket, neighbours, whole_groups, with_halo
 from textloom.session import staged
 
 MAX_RECENT = 200
@@ -39,29 +44,55 @@ def recent_width(n: Column) -> Column:
     return F.least(F.greatest(F.lit(10), F.floor(n / 10)), F.lit(MAX_RECENT)).cast("int")
 
 
+def _window_sums(x: np.ndarray, first: np.ndarray, last: np.ndarray, most: int) -> np.ndarray:
+    """Sums of x[first] to x[last], windows of at most `most` values.
+
+    Running sums begin anew with every block of `most`, so a window lies in two of them at most and no sum is
+    long enough to lose digits. What is not finite is counted apart.
+    """
+    finite = np.isfinite(x)
+    y = np.zeros(-(-len(x) // most) * most)
+    y[:len(x)] = np.where(finite, x, 0.0)
+    upto = np.cumsum(y.reshape(-1, most), axis=1)
+    before = (upto - y.reshape(-1, most)).ravel()
+    whole, upto = upto[:, -1], upto.ravel()
+    total = upto[last] - before[first] + np.where(first // most == last // most, 0.0, whole[first // most])
+    if finite.all():
+        return total
+    seen = lambda test: (lambda c: c[last + 1] - c[first] > 0)(np.concatenate([[0], np.cumsum(test)]))
+    high, low, none = seen(x == np.inf), seen(x == -np.inf), seen(np.isnan(x))
+    total = np.where(high, np.inf, np.where(low, -np.inf, total))
+    return np.where(none | (high & low), np.nan, total)
+
+
 def smooth(rows: DataFrame, width: Column, max_width: int, length: int = CHUNK) -> DataFrame:
     """Add `smoothed`: centred moving mean, end values repeated beyond both ends.
 
     `width` may differ between runs and is at most `max_width`; null leaves the loss as it is.
     """
-    half = max_width // 2
-    near = Window.partitionBy("run_id", "_chunk").orderBy("pos").rowsBetween(-half, half)
-    k, n, pos = F.col("_k"), F.col("n"), F.col("pos")
-    ahead, behind = F.floor(k / 2).cast("int"), (k - 1 - F.floor(k / 2)).cast("int")
-    first = F.greatest(pos - ahead, F.lit(1))
-    last = F.least(pos + behind, n)
-    offset = F.greatest(pos - half, F.lit(1))  # position of the first value in the frame
-    part = F.slice("_near", (first - offset + 1).cast("int"), (last - first + 1).cast("int"))
-    total = F.aggregate(part, F.lit(0.0), lambda a, x: a + x)
-    total = total + (first - (pos - ahead)) * F.element_at("_near", 1)
-    total = total + (pos + behind - last) * F.element_at("_near", -1)
-    return (
-        with_halo(rows.withColumn("_k", width), half, half, length)
-        .withColumn("_near", F.collect_list(F.col("loss").cast("double")).over(near))
-        .where("_home")
-        .withColumn("smoothed", F.when(k.isNull(), F.col("loss")).otherwise(total / k))
-        .drop("_k", "_near", "_chunk", "_home")
-    )
+    half, names, keys = max_width // 2, rows.columns, ["run_id", "_chunk"]
+    near = with_halo(rows.withColumn("_k", width.cast("int")), half, half, length)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, keys):
+            home = np.flatnonzero(table["_home"].to_numpy())
+            x = table["loss"].cast(pa.float64()).to_numpy(zero_copy_only=False)
+            k = table["_k"].to_numpy(zero_copy_only=False)[home].astype(np.float64)
+            pos, n = table["pos"].to_numpy()[home], table["n"].to_numpy()[home]
+            kept = np.isnan(k)
+            k = np.where(kept, 1, k).astype(np.int64)
+            ahead, behind = k // 2, k - 1 - k // 2
+            first, last = np.maximum(pos - ahead, 1), np.minimum(pos + behind, n)
+            a, z = home + first - pos, home + last - pos  # positions of a chunk follow one another
+            total = _window_sums(x, a, z, max_width)
+            with np.errstate(invalid="ignore"):
+                left, right = first - (pos - ahead), pos + behind - last
+                total += np.where(left > 0, left * x[a], 0.0) + np.where(right > 0, right * x[z], 0.0)
+            out = table.select(names).take(pa.array(home)).append_column("smoothed", pa.array(np.where(kept, x[home], total / k)))
+            yield from out.combine_chunks().to_batches()
+
+    schema = StructType([*rows.schema.fields, StructField("smoothed", DoubleType())])
+    return near.repartition(*keys).sortWithinPartitions(*keys, "pos").mapInArrow(run, schema)
 
 
 def analysis_smooth(rows: DataFrame) -> DataFrame:

@@ -28,8 +28,20 @@ vocab AS (
 QUERIES["vocab"] = lambda spark, sf: t.vocabulary(_docs(spark, sf), "text", SIZE)
 ORACLES["vocab"] = f"WITH {VOCAB_SQL} SELECT * FROM vocab"
 
-QUERIES["special_ids"] = lambda spark, sf: t.special_ids(t.vocabulary(_docs(spark, sf), "text", SIZE, t.SPECIALS[2:]))
-ORACLES["special_ids"] = "SELECT 0 AS pad_id, CAST(NULL AS BIGINT) AS bos_id, 0 AS eos_id, 1 AS unk_id WHERE (SELECT count(*) FROM documents) > 0"
+def special_ids(spark, sf):
+    """Ids of a vocabulary without a pad token, and the tokens of each language that its id for unknown ones stands for."""
+    docs = _docs(spark, sf)
+    vocab = t.vocabulary(docs, "text", SIZE, t.SPECIALS[2:])
+    ids = t.special_ids(vocab).first()
+    unknown = F.size(F.filter("input_ids", lambda x: x == ids["unk_id"]))
+    found = t.tokenize(docs.select("lang", "text"), "text", vocab, 1 << 30, bos=False).groupBy("lang").agg(F.sum(unknown).alias("unknown"))
+    return found.select("lang", "unknown", *[F.lit(ids[c]).cast("bigint").alias(c) for c in ("pad_id", "bos_id", "eos_id", "unk_id")])
+
+
+QUERIES["special_ids"] = special_ids
+ORACLES["special_ids"] = f"""WITH {VOCAB_SQL}
+SELECT lang, sum((id IS NULL)::INT)::BIGINT AS unknown, 0::BIGINT AS pad_id, NULL::BIGINT AS bos_id, 0::BIGINT AS eos_id, 1::BIGINT AS unk_id
+FROM (SELECT lang, unnest({_SPLIT}) AS token FROM documents) LEFT JOIN vocab USING (token) GROUP BY 1"""
 
 QUERIES["token_length"] = lambda spark, sf: _docs(spark, sf).select("doc_id", t.token_length(F.col("text")).alias("length"))
 ORACLES["token_length"] = f"SELECT doc_id, 1 + len({_SPLIT}) AS length FROM documents"
