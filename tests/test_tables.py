@@ -205,6 +205,23 @@ def test_trainer_states(spark, tmp_path):
     assert [(r.seq, r.step, r.loss) for r in rows] == [(1, 1, 2.0), (3, 2, 1.0)]
 
 
+def test_small_files(spark, tmp_path):
+    """A file for each key, written and read many at a time: a batch holds the rows of several, and a task reads them all."""
+    rows = [(k, f"{{'loss': {k}.5}}\n {{'step': 1}} \x85\r") for k in range(300)] + [(7, "{'loss': 8}"), (7, None), (None, "é")]
+    df = spark.createDataFrame(rows, "k bigint, value string").coalesce(1)
+    logfiles.write_files(df, "k", str(tmp_path / "logs"))
+    files = {f.name: f.read_bytes().decode() for f in tmp_path.glob("logs/*/*")}
+    assert len(files) == 301 and files["k=7-000000.txt"] == rows[7][1] + "\n{'loss': 8}\n\n" and files["k=__HIVE_DEFAULT_PARTITION__-000000.txt"] == "é\n"
+    assert not [f for f in tmp_path.glob("logs/*") if f.name != "part=000000"]
+    for unit in ("line", "object"):
+        reader = logfiles.LogReader(str(tmp_path / "logs"), unit, 1 << 20)
+        parts = reader.partitions()
+        batches = [b for p in parts for b in reader.read(p)]
+        assert len(parts) == len(batches) == 1 and len(set(batches[0].column(0).to_pylist())) == (301 if unit == "line" else 300)
+        found = logfiles.read_units(spark, str(tmp_path / "logs"), unit)
+        assert found.count() == batches[0].num_rows
+
+
 def test_dataset_names_and_ledger(spark, tmp_path):
     paths = ["/d/a.b.parquet", "c.parquet", "/x/.hidden", "/x/..", "plain", "/y/c.csv", "e."]
     df = spark.createDataFrame([(p,) for p in paths], "path string")
