@@ -1,5 +1,6 @@
 """Roles, profiles, synthesis, tokens, plans, logs and the ledger on small tables."""
 
+import gzip
 import itertools
 import re
 
@@ -222,6 +223,26 @@ def test_small_files(spark, tmp_path):
         assert found.count() == batches[0].num_rows
 
 
+def test_trainer_states_as_spark_reads_them(spark, tmp_path):
+    """The files that Spark's reader finds, with the same names, but not in a task for each 32 of them."""
+    state = '{"log_history": [{"loss": %d, "step": 1}, {"eval_loss": 2}, {"loss": "NaN"}]}'
+    for k, name in enumerate(["a b#%é.json", "_hidden", ".hidden", "_k=1.txt", "below/x.json"]):
+        (tmp_path / "flat" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "flat" / name).write_text(state % k)
+    with gzip.open(tmp_path / "flat" / "c.json.gz", "wt") as f:
+        f.write(state % 9 + "\n" + state % 10)
+    for k in range(200):
+        (tmp_path / "parts" / f"k={k % 3}").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "parts" / f"k={k % 3}" / f"{k}.json").write_text(state % k)
+    for name in ("flat", "parts", "parts/k=1/1.json"):
+        path = str(tmp_path / name)
+        files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+        want = sorted(map(str, logs.entry_fields(logs.parse_trainer_states(files)).collect()))
+        for own in (path, "file:" + path, "file://" + path, path + "*"):
+            assert sorted(map(str, logs.entry_fields(logs.read_trainer_states(spark, own)).collect())) == want, own
+    assert logs.read_trainer_states(spark, str(tmp_path / "parts")).rdd.getNumPartitions() == 1
+
+
 def test_dataset_names_and_ledger(spark, tmp_path):
     paths = ["/d/a.b.parquet", "c.parquet", "/x/.hidden", "/x/..", "plain", "/y/c.csv", "e."]
     df = spark.createDataFrame([(p,) for p in paths], "path string")

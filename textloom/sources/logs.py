@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.cleaning import bound, strip
 from textloom.functions.numbers import round_exact
-from textloom.sources.logfiles import SPLIT_BYTES, read_units
+from textloom.sources.logfiles import SPLIT_BYTES, local, read_units
 
 # fixed values
 OBJECT = r"\{[^{}]+\}"
@@ -113,7 +113,12 @@ def parse_trainer_states(states: DataFrame, value: str = "value") -> DataFrame:
 
 
 def read_trainer_states(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    """As `parse_trainer_states`, with the file. Local and mounted folders are read as logs are, some thousand files to a
+    task, of which Spark's reader takes 32; it reads what only it opens, and patterns."""
+    if local(path):
+        files = read_units(spark, path, "file").select("value", "file")
+    else:
+        files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     return parse_trainer_states(files)
 
 
