@@ -83,6 +83,32 @@ def test_repeats_odd_rows(llm, odd, odd_rows, none):
     assert got == [(None, 0), (None, 0), (1, len(text)), (1, len(text))]
 
 
+@pytest.mark.parametrize("length", [20, 64, 131])
+def test_repeats_of_other_lengths(llm, length):
+    """Strings of any length, also short ones, and bytes of zero."""
+    rng = random.Random(length)
+    shared = ["".join(rng.choice("ab\x00é") for _ in range(n)) for n in (length - 1, length, 3 * length)]
+    docs = [(d, "".join(rng.choice([*shared, "x" * rng.randrange(200), str(d) * 9]) for _ in range(6))) for d in range(30)]
+    df = llm.createDataFrame(docs, "doc_id bigint, text string")
+    assert cut(df, length=length, part_bytes=2000) == without_repeats(docs, length)
+
+
+def test_sampled_suffixes():
+    """Every string has one record, by the first of its least substrings, and records are few."""
+    rng = np.random.default_rng(5)
+    body = rng.integers(97, 123, 600_000).astype(np.uint8)
+    body[5000:6000], body[300_000:301_000] = 97, body[1000:2000]
+    sizes = np.array([100, 400, 4500, 1000, 294_000, 300_000])
+    at, low, high = suffixes.samples(body, sizes, 100)
+    starts = np.concatenate([np.arange(p - h, p - x + 1) for p, x, h in zip(at.tolist(), low.tolist(), high.tolist(), strict=True)])
+    ends = np.cumsum(sizes)
+    assert np.array_equal(np.sort(starts), np.concatenate([np.arange(e - n, e - 99) for e, n in zip(ends, sizes, strict=True)]))
+    assert len(at) < 0.045 * len(body) + 1000
+    # The copy has the anchors of its original, inside.
+    inner = lambda a: set((at[(at >= a + 60) & (at < a + 940)] - a).tolist())
+    assert inner(1000) == inner(300_000) and inner(1000)
+
+
 def cut_null(df):
     rows = [(r["doc_id"], r["n_removed"]) for r in suffixes.dedup(df).collect()]
     return sorted(rows, key=lambda r: (r[0] is not None, r[1]))

@@ -1,25 +1,28 @@
-"""Removal of repeated passages by difference-cover names of equal strings.
+"""Removal of repeated passages by a sorted order of sampled suffixes.
 
 A byte goes if some string of `length` bytes that covers it also starts earlier in the corpus.
 Whole copies are settled first, by a 128-bit hash. Then strings that occur once are put aside:
-every string of `length` bytes contains the least hash of its K-byte substrings, and a string can
-only repeat if that substring does. What remains, segments of texts, is named.
-
-The names follow the difference cover {1, 2} modulo 3. The sample is the positions whose offset in
-their segment is 1 or 2 modulo 3. Their triples of 9-byte words are dealt by hash and named, then triples of
-those names, so that a sample position has a name for its next 81 bytes. Any two positions, whatever
-their offsets, reach sample positions together after 0, 1 or 2 steps; there, two overlapping
-names and at most four single bytes stand for the whole string. So these keys of all positions, the
-remaining ones included, are grouped; equal keys are equal strings, of which all but the earliest are
-marked. Names tell equal from unequal only: no global suffix order is built, as removal needs none.
-
-A part of the segments sends each distinct key once, with its earliest position, so a passage
-that is everywhere costs no more than one row of each part in the task that sorts its key.
+every string of `length` bytes contains the least hash of its K-byte substrings, its anchor, and a string can
+only repeat if that substring does. What remains, segments of texts, is sorted.
+
+The sample is the anchors of the segments. The least substring depends on nothing but the string, so two equal strings
+reach a sample position after the same number of steps, as they do on a difference cover, which needs more positions
+for it. Neighbouring strings share an anchor, so one record stands for them all: the bytes from the anchor on, the bytes before
+it from right to left, and which steps lead to it. Records go to tasks by ranges of their suffixes, so the tasks
+follow one another in suffix order, and suffixes that begin with the same anchor are in one task.
+
+The remaining strings follow from the sample. Neighbours in the order are compared, which tells at once how far any two
+suffixes agree; neighbours in the order of the bytes before them likewise. A string `s` bytes before its anchor is in the class of the
+suffixes that agree in `length` - s bytes and in that of the records that agree in s bytes before; all but the earliest
+in both classes are marked. Bytes decide throughout: hashes choose positions, they do not stand for strings.
+
+A part of the segments sends each distinct record once, with its earliest position, so a passage
+that is everywhere costs, but for its ends, no more than one row of each part in the task that sorts it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,8 +36,12 @@ from textloom.llm.shingles import _BASE, _powers, mixed, text_slices, utf8
 
 LENGTH = 100
 #: Bytes of segments in one part, and of the longest piece of a segment.
-PART_BYTES = 1 << 20
+PART_BYTES = 4 << 20
 PIECE = 1 << 19
+#: Bytes of a part, and anchors of all parts, from which the ranges of the suffixes are taken; records compared at once.
+SAMPLE_BYTES = 1 << 16
+SAMPLE = 200_000
+CHUNK = 1 << 17
 #: Copied texts are listed in every task up to this many; beyond it they are joined by hash.
 BROADCAST_COPIES = 1_000_000
 
@@ -53,6 +60,12 @@ def _slide(x: np.ndarray, width: int, least: bool) -> np.ndarray:
     return pick(after[:len(x) - width + 1], before[width - 1:len(x)])
 
 
+def _grams(a: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all K-byte substrings of a span."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[a] * _POWERS[:len(a)], dtype=np.uint64)])
+    return mixed((sums[k:] - sums[:-k]) * _INVERSE[:len(a) - k + 1])
+
+
 def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the K-byte substrings that are the least of some string of `length` bytes."""
     k = _anchor_bytes(length)
@@ -60,8 +73,7 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     while len(data) - at >= length:
         # Spans overlap so that all strings lie in one of them with the strings next to them.
         a = data[at:at + _SPAN]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[a] * _POWERS[:len(a)], dtype=np.uint64)])
-        h = mixed((sums[k:] - sums[:-k]) * _INVERSE[:len(a) - k + 1])
+        h = _grams(a, k)
         low = _slide(h, width, True)
         edge = np.zeros(width - 1, np.uint64)
         best = _slide(np.concatenate([edge, low, edge]), width, False)
@@ -78,7 +90,7 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _anchor_bytes(length: int) -> int:
-    return max(1, length * 16 // 25)
+    return max(1, length * 2 // 5)
 
 
 def _candidates(texts: DataFrame, length: int, parts: int) -> DataFrame:
@@ -133,9 +145,9 @@ def _candidates(texts: DataFrame, length: int, parts: int) -> DataFrame:
     return found.groupBy("a", "z").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("stretches"))
 
 
-def _parts(texts: DataFrame, stretches: DataFrame, length: int, part_bytes: int) -> DataFrame:
-    """The segments in parts: (part, heads, body). heads has (a, z, start, size, rank of the first byte) of each
-    segment, body their bytes. Ranks follow the order (id, text, start) over the whole corpus."""
+def _parts(texts: DataFrame, stretches: DataFrame, length: int, part_bytes: int) -> tuple[DataFrame, int]:
+    """The segments in parts, (part, heads, body), and their number. heads has (a, z, start, size) of each segment, body their bytes.
+    Parts and the segments in them follow the order (id, text, start) over the whole corpus."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
@@ -153,226 +165,245 @@ def _parts(texts: DataFrame, stretches: DataFrame, length: int, part_bytes: int)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        task, n, held, size, done = TaskContext.get().partitionId(), 0, [], 0, 0
+        task, n, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def row() -> pa.RecordBatch:
-            heads = np.array([h for h, _ in held], np.int64).reshape(-1, 5)
+            heads = np.array([h for h, _ in held], np.int64)
             body = b"".join(x for _, x in held)
-            return pa.record_batch([pa.array([task], pa.int32()), pa.array([n]), pa.array([done]), pa.array([heads.tobytes()]), pa.array([body])],
-                                   ["task", "n", "done", "heads", "body"])
+            return pa.record_batch([pa.array([task], pa.int32()), pa.array([n]), pa.array([heads.tobytes()]), pa.array([body])],
+                                   ["task", "n", "heads", "body"])
 
         for b in batches:
             for r in range(b.num_rows):
                 body = b.column(4)[r].as_py()
-                held.append(((b.column(1)[r].as_py(), b.column(2)[r].as_py(), b.column(3)[r].as_py(), len(body), done), body))
-                size, done = size + len(body), done + len(body)
+                held.append(((b.column(1)[r].as_py(), b.column(2)[r].as_py(), b.column(3)[r].as_py(), len(body)), body))
+                size += len(body)
                 if size >= part_bytes:
                     yield row()
                     n, held, size = n + 1, [], 0
         if held:
             yield row()
 
-    packed = stored(rows.mapInArrow(pack, "task int, n bigint, done bigint, heads binary, body binary"), "suffix-segments")
-    sizes = packed.groupBy("task").agg(F.max("done").alias("bytes"), F.max("n").alias("last")).orderBy("task").collect()
-    base, first, bytes_before, parts_before = {}, {}, 0, 0
-    for r in sizes:  # one row per task
-        base[r["task"]], first[r["task"]] = bytes_before, parts_before
-        bytes_before, parts_before = bytes_before + r["bytes"], parts_before + r["last"] + 1
-    if not sizes:
-        return packed.select(F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("base"), "heads", "body")
-    places = packed.sparkSession.createDataFrame([(t, base[t], first[t]) for t in base], "task int, base bigint, first bigint")
-    return packed.join(F.broadcast(places), "task").select(
-        (F.col("first") + F.col("n")).cast("int").alias("part"), "base", "heads", "body")
+    packed = stored(rows.mapInArrow(pack, "task int, n bigint, heads binary, body binary"), "suffix-segments")
+    first, before = [], 0
+    for r in packed.groupBy("task").agg(F.max("n").alias("last")).orderBy("task").collect():  # one row per task
+        first.append((r["task"], before))
+        before += r["last"] + 1
+    places = packed.sparkSession.createDataFrame(first, "task int, first bigint")
+    return packed.join(F.broadcast(places), "task").select((F.col("first") + F.col("n")).cast("int").alias("part"), "heads", "body"), before
 
 
 _CUT = [pa.int64()] * 4 + [pa.binary()]
 _CUT_NAMES = ["doc", "a", "z", "start", "body"]
 
 
-class _Part:
-    """The segments of one part as one array of bytes, with the offset of every byte in its segment."""
-
-    def __init__(self, base: int, heads: bytes, body: bytes) -> None:
-        self.heads = np.frombuffer(heads, np.int64).reshape(-1, 5)
-        self.body = np.frombuffer(body, np.uint8)
-        size = self.heads[:, 3]
-        self.first = np.cumsum(size) - size
-        self.segment = np.repeat(np.arange(len(size)), size)
-        self.offset = np.arange(len(self.body)) - self.first[self.segment]
-        self.left = size[self.segment] - self.offset
-        self.rank = base + self.heads[:, 4][self.segment] + self.offset
-
-    def sample(self, reach: int) -> np.ndarray:
-        return np.flatnonzero((self.offset % 3 != 0) & (self.left >= reach))
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorts rows of bytes (a multiple of 8 to a row): their order, and whether a new key begins at each place in it."""
+    order = np.lexsort(keys.view(">u8").T[::-1]) if keys.shape[1] else np.arange(len(keys))
+    fresh = np.ones(len(keys), bool)
+    s = keys[order].view(np.uint64)
+    fresh[1:] = (s[1:] != s[:-1]).any(axis=1)
+    return order, fresh
 
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorts rows of 64-bit words: order, where a new key begins in it, and the number of each row's key."""
-    order = np.lexsort(keys.T[::-1])
+def _agreeing(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows of bytes, and in how many first bytes each agrees with the one before it in the order."""
+    order = np.lexsort(keys.view(">u8").T[::-1]) if keys.shape[1] else np.arange(len(keys))
     s = keys[order]
-    fresh = np.ones(len(s), bool)
-    fresh[1:] = (s[1:] != s[:-1]).any(axis=1)
-    number = np.empty(len(s), np.int64)
-    number[order] = np.cumsum(fresh) - 1
-    return order, np.flatnonzero(fresh), number
-
-
-def _words(body: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """The `size` bytes behind each position as rows of big-endian 64-bit words."""
-    words = -(-size // 8)
-    padded = np.concatenate([body, np.zeros(words * 8, np.uint8)])
-    view = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    out = np.empty((len(at), words), np.uint64)
-    for w in range(words):
-        out[:, w] = np.ascontiguousarray(view[at + 8 * w]).view(">u8")[:, 0]
-    if size % 8:
-        out[:, -1] &= np.uint64(((1 << 8 * (size % 8)) - 1) << 8 * (8 - size % 8))
+    differ = np.ones((len(s), keys.shape[1] + 1), bool)  # the last column ends rows that agree in all
+    differ[1:, :-1] = s[1:] != s[:-1]
+    out = differ.argmax(axis=1)
+    out[:1] = -1
+    return order, out
+
+
+def _up(n: int) -> int:
+    return -(-n // 8) * 8
+
+
+def samples(body: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(at, low, high): the anchors of the strings of segments that lie one after the other, and the least and the most
+    steps that lead to each. Every string that lies in one segment has one anchor, the first of its least K-byte substrings."""
+    k, found, begin = _anchor_bytes(length), [], 0
+    width, edge = length - k + 1, np.zeros(length - k, np.uint64)
+    whole = np.ones(len(body), bool)
+    ends = np.cumsum(sizes)
+    whole[(ends[:, None] - np.arange(1, length)).ravel()] = False
+    while len(body) - begin >= length:
+        a = body[begin:begin + _SPAN]
+        h = _grams(a, k)
+        least = _slide(h, width, True)
+        candidates = np.flatnonzero(h == _slide(np.concatenate([edge, least, edge]), width, False))
+        start = np.flatnonzero(whole[begin:begin + len(least)])
+        least, at = least[start], start.copy()
+        # The first candidate of a string that has its least hash.
+        place, open_ = np.searchsorted(candidates, start), np.arange(len(start))
+        while len(open_):
+            at[open_] = candidates[place[open_]]
+            open_ = open_[h[at[open_]] != least[open_]]
+            place[open_] += 1
+        fresh = np.ones(len(start), bool)
+        fresh[1:] = (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)
+        first = np.flatnonzero(fresh)
+        last = np.append(first[1:], len(start)) - 1 if len(first) else first
+        found.append((at[first] + begin, at[first] - start[last], at[first] - start[first]))
+        if begin + len(a) == len(body):
+            break
+        begin += len(a) - length + 1
+    none = np.zeros(0, np.int64)
+    at, low, high = (np.concatenate([none, *x]) for x in (zip(*found, strict=True) if found else [[]] * 3))
+    return at, low, high
+
+
+def _records(body: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
+    """The bytes behind each anchor and those before it, from right to left, as far as its strings go; zeros fill up."""
+    ahead, back = _up(length), _up(length - _anchor_bytes(length))
+    padded = np.concatenate([np.zeros(back, np.uint8), body, np.zeros(ahead, np.uint8)])
+    rows = np.lib.stride_tricks.sliding_window_view(padded, back + ahead)[at]
+    out = np.concatenate([rows[:, back:], rows[:, :back][:, ::-1]], axis=1)
+    out[:, :ahead][np.arange(ahead) >= (length - low)[:, None]] = 0
+    out[:, ahead:][np.arange(back) >= high[:, None]] = 0
     return out
 
 
-def _first_keys(part: _Part, _: list) -> tuple[np.ndarray, np.ndarray]:
-    """Triples of 9-byte words at the sample positions."""
-    at = part.sample(27)
-    return at, _words(part.body, at, 27)
+def _later(keys: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(record, least step, most steps): the strings that an earlier record has too. Records come in the order of their places."""
+    ahead, k = _up(length), _anchor_bytes(length)
+    order, agree = _agreeing(keys[:, :ahead])
+    back, agree_back = _agreeing(keys[:, ahead:])
+    marked = np.zeros((len(keys), length - k + 2), bool)
+    right, left = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+    for step in range(length - k + 1):
+        here = np.flatnonzero((low <= step) & (step <= high))
+        right[order] = np.cumsum(agree < length - step)
+        left[back] = np.cumsum(agree_back < step)
+        both = right[here] * (len(keys) + 1) + left[here]
+        by = np.argsort(both, kind="stable")
+        same = both[by][1:] == both[by][:-1]
+        marked[here[by[1:][same]], step] = True
+    edge = np.diff(marked.astype(np.int8), axis=1, prepend=0)
+    record, begin = np.nonzero(edge == 1)
+    return record, begin, np.nonzero(edge == -1)[1] - 1
 
 
-def _named(part: _Part, at: np.ndarray, keys: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """For every byte of the part the name of its key, 0 where it has none."""
-    out = np.zeros(len(part.body) + 128, np.uint64)
-    if len(at):
-        out[at] = names[_distinct(keys)[2]]
-    return out
+_PLACE = np.dtype([("at", "<u4"), ("low", "<u4"), ("high", "<u4"), ("fresh", "u1")])
 
 
-def _second_keys(part: _Part, names: list) -> tuple[np.ndarray, np.ndarray]:
-    """Triples of names of 27 bytes: 81 bytes."""
-    name = _named(part, *_first_keys(part, []), names[0])
-    at = part.sample(81)
-    return at, np.stack([name[at], name[at + 27], name[at + 54]], axis=1)
-
-
-def _merge_keys(part: _Part, names: list, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two keys for each string: one for each number of steps after which it stands on the sample."""
-    name = _named(part, *_second_keys(part, names), names[1])
-    body = np.concatenate([part.body, np.zeros(length, np.uint8)]).astype(np.uint64)
-    start = np.flatnonzero(part.left >= length)
-    found, keys = [], []
-    for step in (0, 1, 2):
-        at = start[(part.offset[start] + step) % 3 != 0]
-        # The second name stands as far behind the first as whole triples go; single bytes fill up.
-        far = (length - step - 81) // 3 * 3
-        behind = step + far + 81
-        single = np.full(len(at), step, np.uint64)
-        for byte in [*range(step), *range(behind, length)]:
-            single = single * np.uint64(256) + body[at + byte]
-        found.append(at)
-        keys.append(np.stack([name[at + step], name[at + step + far], single], axis=1))
-    return np.concatenate(found), np.concatenate(keys)
-
-
-def _asked(table: DataFrame, keys_of: Callable, answer: Callable, parts: int) -> DataFrame:
-    """Send the distinct keys of every part to where they are sorted, and the answers back: (part, names).
-
-    table: part, base, heads, body and the names so far. answer(order, first, number, ranks) gives a
-    64-bit value for each key.
-    """
-    columns = table.columns
+def _marks(table: DataFrame, length: int, parts: int) -> DataFrame:
+    """(part, g0, counts, v0, v1): runs of bytes, in places of the body of each part, that strings marked as repeated cover."""
+    k, width = _anchor_bytes(length), _up(length) + _up(length - _anchor_bytes(length))
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for cell in b.column(0):
+                body = np.frombuffer(cell.as_buffer(), np.uint8)[:max(SAMPLE_BYTES, length)]
+                at = samples(body, np.array([len(body)]), length)[0]
+                at = at[::max(1, len(at) * parts // SAMPLE)]
+                yield pa.record_batch([pa.array([body[x:x + k].tobytes() for x in at.tolist()], pa.binary())], ["gram"])
+
+    grams = np.sort(np.array(table.select("body").mapInArrow(sample, "gram binary").toArrow().column(0).to_pylist(), f"S{k}"))
+    edges = grams[np.arange(1, parts) * len(grams) // parts] if len(grams) else grams
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
-                row = {c: b.column(k)[r].as_py() for k, c in enumerate(columns)}
-                part = _Part(row["base"], row["heads"], row["body"])
-                at, keys = keys_of(part, [np.frombuffer(row[c], np.uint64) for c in columns[4:]])
-                if not len(at):
-                    continue
-                order, first, _ = _distinct(keys)
-                least = np.minimum.reduceat(part.rank[at][order], first)
-                keys = np.ascontiguousarray(keys[order[first]])
-                to = np.zeros(len(keys), np.uint64)
-                for w in keys.T:
-                    to = mixed(to * np.uint64(3) + w)
-                yield blocks.deal((to % np.uint64(parts)).astype(np.int32), [np.array([row["part"]], np.int64)],
-                                  np.zeros(len(keys), np.int64), [np.arange(len(keys), dtype=np.uint32), least, keys])
-
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        home, counts, number, ranks, keys = blocks.gathered(batches, [np.int64, np.uint32, np.uint32, np.int64, np.uint64])
-        if len(number):
-            keys = keys.reshape(len(number), -1)
-            value = answer(*_distinct(keys), ranks, TaskContext.get().partitionId())
-            of = np.repeat(np.arange(len(home)), counts)
-            yield blocks.deal(home[of].astype(np.int32), [home], of, [number, value])
-
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list] = {}
+                sizes = np.frombuffer(b.column(1)[r].as_buffer(), np.int64).reshape(-1, 4)[:, 3]
+                body = np.frombuffer(b.column(2)[r].as_buffer(), np.uint8)
+                at, low, high = samples(body, sizes, length)
+                keys = _records(body, at, low, high, length)
+                order, fresh = _distinct(np.concatenate([keys, np.stack([low, high], axis=1).astype(">u4").view(np.uint8)], axis=1))
+                place = np.empty(len(at), _PLACE)
+                for c, x in zip(_PLACE.names, (at[order], low[order], high[order], fresh), strict=True):
+                    place[c] = x
+                keys = keys[order]
+                to = np.searchsorted(edges, np.ascontiguousarray(keys[:, :k]).view(f"S{k}").ravel(), "right")
+                run = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to))
+                rows = [(to[a], b.column(0)[r].as_py(), place[a:z].tobytes(), pa.compress(keys[a:z][fresh[a:z]].tobytes(), "zstd", asbytes=True))
+                        for a, z in zip(run, run[1:], strict=False)]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _SENT, strict=True)], _SENT_NAMES)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        homes, places, keys = [], [], []
         for b in batches:
             for r in range(b.num_rows):
-                found.setdefault(b.column(0)[r].as_py(), []).append(
-                    (np.frombuffer(b.column(3)[r].as_py(), np.uint32), np.frombuffer(b.column(4)[r].as_py(), np.uint64)))
-        for part, cells in found.items():
-            number, value = (np.concatenate(c) for c in zip(*cells, strict=True))
-            out = np.empty(len(number), np.uint64)
-            out[number] = value
-            yield pa.record_batch([pa.array([part], pa.int32()), pa.array([out.tobytes()], pa.binary())], ["part", "names"])
-
-    sent = blocks.together(table.mapInArrow(send, blocks.schema(1, 3)), parts)
-    back = sent.mapInArrow(sort, blocks.schema(1, 2)).repartition(parts, "part")
-    return stored(back.mapInArrow(collect, "part int, names binary"), "suffix-names")
-
-
-def _rank_names(order: np.ndarray, first: np.ndarray, number: np.ndarray, ranks: np.ndarray, task: int) -> np.ndarray:
-    """A name is the rank of the key in its task; 0 is no name."""
-    return (number + 1).astype(np.uint64) + (np.uint64(task) << np.uint64(40))
-
-
-def _earliest(order: np.ndarray, first: np.ndarray, number: np.ndarray, ranks: np.ndarray, task: int) -> np.ndarray:
-    """The earliest rank among equal keys."""
-    return np.minimum.reduceat(ranks[order], first)[number].astype(np.uint64)
-
-
-def _removed(table: DataFrame, length: int) -> DataFrame:
+                place = np.frombuffer(b.column(2)[r].as_buffer(), _PLACE)
+                n = int(place["fresh"].sum())
+                homes.append(np.full(len(place), b.column(1)[r].as_py()))
+                places.append(place)
+                keys.append(np.frombuffer(pa.decompress(b.column(3)[r].as_buffer(), n * width, "zstd"), np.uint8).reshape(n, width))
+        if not homes:
+            return
+        home, place, keys = np.concatenate(homes), np.concatenate(places), np.concatenate(keys)
+        low, high, fresh = place["low"].astype(np.int64), place["high"].astype(np.int64), place["fresh"] > 0
+        again = np.flatnonzero(~fresh)  # of equal records of a part the first, which is the earliest, came with its bytes
+        found = [(again, low[again], high[again])]
+        of = np.flatnonzero(fresh)
+        order, begins = _distinct(np.concatenate([keys[:, :k], np.zeros((len(keys), _up(k) - k), np.uint8)], axis=1))
+        groups = np.append(np.flatnonzero(begins), len(order))
+        a = 0
+        while a < len(order):
+            # Whole groups of one anchor, about `CHUNK` records at once; those that are alone are in no other record.
+            z = groups[min(len(groups) - 1, np.searchsorted(groups, a + CHUNK))]
+            size = np.diff(groups[np.searchsorted(groups, a):np.searchsorted(groups, z) + 1])
+            chosen = order[a:z][np.repeat(size > 1, size)]
+            chosen = chosen[np.lexsort((place["at"][of[chosen]], home[of[chosen]]))]
+            record, least, most = _later(keys[chosen], low[of[chosen]], high[of[chosen]], length)
+            found.append((of[chosen[record]], least, most))
+            a = z
+        of, least, most = (np.concatenate(x) for x in zip(*found, strict=True))
+        by = np.argsort(home[of], kind="stable")
+        of, least, most = of[by], least[by], most[by]
+        at = place["at"][of].astype(np.int64)
+        each, number = np.unique(home[of], return_inverse=True)
+        yield blocks.deal(home[of].astype(np.int32), [each], number, [(at - most).astype(np.uint32), (at - least + length).astype(np.uint32)])
+
+    sent = blocks.together(table.select("part", "heads", "body").mapInArrow(send, "part int, home bigint, places binary, keys binary"), parts)
+    return blocks.together(sent.mapInArrow(mark, blocks.schema(1, 2)), parts)
+
+
+_SENT = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+_SENT_NAMES = ["part", "home", "places", "keys"]
+
+
+def _removed(table: DataFrame, marks: DataFrame) -> DataFrame:
     """(a, z, start, end): the runs of bytes to remove, merged within a segment."""
-    columns = table.columns
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        home, _, start, end = blocks.gathered(batches, [np.int64, np.uint32, np.uint32, np.uint32])
+        if len(home):
+            yield pa.record_batch([pa.array(home[:1].astype(np.int32)), pa.array([start.tobytes()]), pa.array([end.tobytes()])],
+                                  ["part", "starts", "ends"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
-                row = {c: b.column(k)[r].as_py() for k, c in enumerate(columns)}
-                part = _Part(row["base"], row["heads"], row["body"])
-                names = [np.frombuffer(row[c] or b"", np.uint64) for c in columns[4:]]
-                at, keys = _merge_keys(part, names[:2], length)
-                if not len(at):
-                    continue
-                late = at[names[2][_distinct(keys)[2]].astype(np.int64) < part.rank[at]]
-                late = np.unique(late)
-                if not len(late):
-                    continue
-                fresh = np.ones(len(late), bool)
-                fresh[1:] = (part.segment[late[1:]] != part.segment[late[:-1]]) | (late[1:] - late[:-1] > length)
-                first = np.flatnonzero(fresh)
-                last = np.append(first[1:], len(late)) - 1
-                heads = part.heads[part.segment[late[first]]]
-                start = heads[:, 2] + part.offset[late[first]]
-                yield pa.record_batch([pa.array(heads[:, 0]), pa.array(heads[:, 1]), pa.array(start),
-                                       pa.array(start + late[last] - late[first] + length)], ["a", "z", "start", "end"])
-
-    return table.mapInArrow(run, "a bigint, z bigint, start bigint, end bigint")
+                heads = np.frombuffer(b.column(0)[r].as_buffer(), np.int64).reshape(-1, 4)
+                start, end = (np.frombuffer(b.column(c)[r].as_buffer(), np.uint32).astype(np.int64) for c in (1, 2))
+                order = np.argsort(start, kind="stable")
+                start, end = start[order], end[order]
+                first = np.cumsum(heads[:, 3]) - heads[:, 3]
+                segment = np.searchsorted(first, start, "right") - 1
+                # No run goes on behind its segment, so what was reached before is within it or ends before it.
+                reach = np.maximum.accumulate(end)
+                fresh = np.ones(len(start), bool)
+                fresh[1:] = (segment[1:] != segment[:-1]) | (start[1:] > reach[:-1])
+                begin = np.flatnonzero(fresh)
+                last = np.append(begin[1:], len(start)) - 1
+                own, shift = heads[segment[begin]], first[segment[begin]]
+                yield pa.record_batch([pa.array(x) for x in (own[:, 0], own[:, 1], own[:, 2] + start[begin] - shift,
+                                                             own[:, 2] + reach[last] - shift)], ["a", "z", "start", "end"])
+
+    gathered = marks.mapInArrow(gather, "part int, starts binary, ends binary")
+    return table.select("part", "heads").join(gathered, "part").select("heads", "starts", "ends").mapInArrow(
+        run, "a bigint, z bigint, start bigint, end bigint")
 
 
 def repeated(texts: DataFrame, length: int, part_bytes: int = PART_BYTES) -> DataFrame:
     """Runs of repeated bytes of distinct texts (doc, a, z, text), as (a, z, runs)."""
     parts = default_parallelism(texts.sparkSession)
     stretches = stored(_candidates(texts, length, parts), "suffix-stretches")
-    table = stored(_parts(texts, stretches, length, part_bytes), "suffix-parts")
-    # About as many keys are sorted in a task as a part sends.
-    parts = max(parts, table.count())
-    for keys_of in (_first_keys, _second_keys):
-        names = _asked(table, keys_of, _rank_names, parts)
-        table = table.join(names.withColumnRenamed("names", f"names{len(table.columns)}"), "part", "left")
-        table = table.withColumn(table.columns[-1], F.coalesce(table.columns[-1], F.lit(b"")))
-    marks = _asked(table, lambda part, names: _merge_keys(part, names, length), _earliest, parts)
-    found = _removed(table.join(marks, "part", "left"), length)
+    table, n = _parts(texts, stretches, length, part_bytes)
+    # About as many records are sorted in a task as a part sends.
+    found = _removed(table, _marks(table, length, max(parts, n)))
     return found.groupBy("a", "z").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
 
 
@@ -385,14 +416,12 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int =
           part_bytes: int = PART_BYTES) -> DataFrame:
     """All rows of `docs` with kept (binary), n_bytes, n_removed and n_spans.
 
-    Texts are UTF-8 bytes, null as none. Removed is every byte covered by a string of `length` bytes (85
-    or more) that also starts earlier: in a row of smaller id, or earlier in the same text. Strings are
+    Texts are UTF-8 bytes, null as none. Removed is every byte covered by a string of `length` bytes
+    that also starts earlier: in a row of smaller id, or earlier in the same text. Strings are
     judged on the input and do not cross texts. Equal texts of one id are one text; of different texts
     of one id the one with the smaller hash comes first; null ids come before all others. Rows are neither lost
     nor added, and an empty table gives an empty result. Columns named like a result are replaced.
     """
-    if length < 85:
-        raise ValueError("length must be 85 or more: names cover 81 bytes and up to two steps")
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.withColumns({"_doc": F.coalesce(F.col(id).cast("bigint"), F.lit(-(1 << 63)).cast("bigint")), "_body": body,
                              **{f"_{c}": h for c, h in _hashes(body).items()}})
