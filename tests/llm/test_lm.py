@@ -67,6 +67,24 @@ def test_vocabulary_holds_every_repeated_word(llm):
     assert np.exp(p).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_blocks_are_small(llm, monkeypatch):
+    """A word in a block takes some two bytes, its place with the word's counts none; both come back as they were."""
+    rng = np.random.default_rng(8)
+    words_of = [" ".join(f"w{i}" for i in np.minimum(rng.zipf(1.3, 40_000), 30_000)) for _ in range(3)]
+    table = lm.coded(llm.createDataFrame(list(enumerate(words_of)), "doc_id bigint, text string"), "doc_id", "text", 2, 7)
+    for b in table.toArrow().to_batches():
+        for r in range(b.num_rows):
+            x = lm._cells(b, r)
+            hashes = np.concatenate([lm.word_spans(*lm.utf8(lm.pa.array([words_of[d]])))[0] for d in x["docs"]])
+            assert np.array_equal(x["words"][x["codes"]], hashes)
+            assert len(b.column("codes")[r].as_py()) < 2.5 * len(hashes)
+            for parts in (1, 5, 48):
+                part = (x["words"] % np.uint64(parts)).astype(np.int64)
+                rare = [(np.flatnonzero(part == p), p) for p in range(parts)]
+                told = np.concatenate([(np.uint64(p) << np.uint64(32)) + np.arange(len(at), dtype=np.uint64) for at, p in rare])
+                assert np.array_equal(lm._places(x["words"], told, parts), np.concatenate([at for at, _ in rare]))
+
+
 class _Counts:
     def __init__(self):
         self.top_n, self.form_n, self.train_docs = np.arange(lm.FREQUENT, 0, -1), np.arange(lm.FORMS), 5
@@ -108,3 +126,9 @@ def test_state_is_carried(monkeypatch):
     every = np.arange(lm.END_INPUT + 1)
     p, _ = m.log_p(np.repeat(state, len(every), axis=0), every)
     assert np.exp(p).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_words_told_by_other_blocks(llm, documents):
+    """Counts of words that a block cannot know itself reach their places in it."""
+    rows = lm.score(documents.select("doc_id", "text").repartition(5), rounds=0).collect()
+    check(rows, [(r["doc_id"], r["text"]) for r in documents.collect()])

@@ -75,7 +75,7 @@ def coded(docs: DataFrame, id: str, text: str, fold: int, folds: int) -> DataFra
                 trained = np.bincount(codes[~np.repeat(held, counts)], minlength=len(words))
                 cells = [np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), held.astype(np.uint8),
                          counts.astype(np.uint32), words, _forms(data, starts[first], lengths[first]), trained.astype(np.uint32),
-                         codes.astype(np.uint32)]
+                         _packed(codes)]
                 yield pa.record_batch([pa.array([n])] + [pa.array([c.tobytes()], pa.binary()) for c in cells], _CODED)
                 n += 1
 
@@ -85,29 +85,41 @@ def coded(docs: DataFrame, id: str, text: str, fold: int, folds: int) -> DataFra
 
 _CODED = ["block", "docs", "null", "held", "counts", "words", "forms", "trained", "codes"]
 _KINDS = {"docs": np.int64, "null": np.uint8, "held": np.uint8, "counts": np.uint32, "words": np.uint64, "forms": np.uint8,
-          "trained": np.uint32, "codes": np.uint32, "rare": np.uint32, "uses": np.uint64}
+          "trained": np.uint32, "codes": np.uint8, "rare": np.uint64, "uses": np.uint64}
+
+
+def _packed(codes: np.ndarray) -> np.ndarray:
+    """Codes as compressed bytes, all lowest bytes first: most words of a block have few bits."""
+    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return np.frombuffer(pa.compress(planes, "zstd", asbytes=True), np.uint8)
 
 
 def _cells(b: pa.RecordBatch, row: int) -> dict[str, np.ndarray]:
-    return {c: np.frombuffer(b.column(b.schema.get_field_index(c))[row].as_buffer() or b"", k)
-            for c, k in _KINDS.items() if c in b.schema.names}
+    x = {c: np.frombuffer(b.column(b.schema.get_field_index(c))[row].as_buffer() or b"", k)
+         for c, k in _KINDS.items() if c in b.schema.names}
+    if "codes" in x:
+        n = int(x["counts"].sum())
+        planes = np.frombuffer(pa.decompress(x["codes"], 4 * n, "zstd", asbytes=True), np.uint8) if n else x["codes"][:0]
+        x["codes"] = planes.reshape(4, n).T.copy().view("<u4").ravel()
+    return x
 
 
 def counted(table: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
-    """(block, rare, uses): places and corpus counts of the words of a block that its own texts and the vocabulary do not
-    tell; and per task, as cells, its words with at least `LEAST` uses, their counts and forms, and the tokens and
+    """(block, rare, uses): words of a block that its own texts and the vocabulary do not tell, as `_places` reads
+    them, and their corpus counts; and per task, as cells, its words with at least `LEAST` uses, their counts and forms, and the tokens and
     distinct words of each form."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
                 x = _cells(b, r)
                 yield blocks.deal((x["words"] % np.uint64(parts)).astype(np.int32), [np.array([b.column(0)[r].as_py()], np.int64)],
-                                  np.zeros(len(x["words"]), np.int64),
-                                  [np.arange(len(x["words"]), dtype=np.uint32), x["words"], x["trained"], x["forms"]])
+                                  np.zeros(len(x["words"]), np.int64), [x["words"], x["trained"], x["forms"]])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, counts, place, words, trained, forms = blocks.gathered(
-            batches, [np.int64, np.uint32, np.uint32, np.uint64, np.uint32, np.uint8])
+        block, counts, words, trained, forms = blocks.gathered(batches, [np.int64, np.uint32, np.uint64, np.uint32, np.uint8])
+        part = (words[:1] % np.uint64(parts)).astype(np.int64)
+        # A block's words of a part come in their order, so where one stands among them need not be sent along.
+        place = (np.arange(len(words)) - np.repeat(np.cumsum(counts, dtype=np.int64) - counts, counts)).astype(np.uint32)
         each, first, number = np.unique(words, return_index=True, return_inverse=True)
         uses = np.bincount(number, trained, len(each)).astype(np.uint64)
         # A word that is not in the vocabulary, and used elsewhere too, or only elsewhere.
@@ -115,14 +127,14 @@ def counted(table: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
         of = np.repeat(np.arange(len(block)), counts)[untold]
         home = (mixed(block.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
         if len(of):
-            back = blocks.deal(home[of], [block], of, [place[untold], uses[number[untold]]])
+            back = blocks.deal(home[of], [block, np.repeat(part, len(block))], of, [place[untold], uses[number[untold]]])
             nothing = pa.nulls(back.num_rows)
             yield pa.record_batch([*back.columns, *[nothing.cast(pa.binary())] * 5], _BACK)
         known = uses > 0
         each, uses, form = each[known], uses[known].astype(np.int64), forms[first][known]
         cells = [uses >= LEAST, np.bincount(form, uses, FORMS).astype(np.int64), np.bincount(form, minlength=FORMS).astype(np.int64)]
         cells = [each[cells[0]], uses[cells[0]], form[cells[0]], *cells[1:]]
-        blank = [pa.nulls(1, t) for t in (pa.int32(), *[pa.binary()] * 4)]
+        blank = [pa.nulls(1, t) for t in (pa.int32(), *[pa.binary()] * 5)]
         yield pa.record_batch([*blank, *(pa.array([c.tobytes()], pa.binary()) for c in cells)], _BACK)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,8 +142,10 @@ def counted(table: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
         for b in batches:
             for r in range(b.num_rows):
                 own = np.frombuffer(b.column(1)[r].as_py(), np.int64)
-                size = np.cumsum(np.frombuffer(b.column(2)[r].as_py(), np.uint32))[:-1]
-                place, uses = np.frombuffer(b.column(3)[r].as_py(), np.uint32), np.frombuffer(b.column(4)[r].as_py(), np.uint64)
+                source, size = np.frombuffer(b.column(2)[r].as_py(), np.uint64), np.frombuffer(b.column(3)[r].as_py(), np.uint32)
+                place, uses = np.frombuffer(b.column(4)[r].as_py(), np.uint32), np.frombuffer(b.column(5)[r].as_py(), np.uint64)
+                place = (np.repeat(source, size) << np.uint64(32)) + place
+                size = np.cumsum(size)[:-1]
                 for o, p, u in zip(own.tolist(), np.split(place, size), np.split(uses, size), strict=True):
                     found.setdefault(o, []).append((p, u))
         for block, cells in found.items():
@@ -139,15 +153,22 @@ def counted(table: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
             yield pa.record_batch([pa.array([block]), pa.array([place.tobytes()], pa.binary()), pa.array([uses.tobytes()], pa.binary())],
                                   ["block", "rare", "uses"])
 
-    schema = blocks.schema(1, 2) + "".join(f", {c} binary" for c in _SUMS)
-    sent = blocks.together(table.select("block", "words", "trained", "forms").mapInArrow(send, blocks.schema(1, 4)), parts)
+    schema = blocks.schema(2, 2) + "".join(f", {c} binary" for c in _SUMS)
+    sent = blocks.together(table.select("block", "words", "trained", "forms").mapInArrow(send, blocks.schema(1, 3)), parts)
     sums = stored(sent.mapInArrow(add, schema), "lm-counts")
-    uses = blocks.together(sums.where("part IS NOT NULL").select("part", "g0", "counts", "v0", "v1"), parts)
+    uses = blocks.together(sums.where("part IS NOT NULL").select("part", "g0", "g1", "counts", "v0", "v1"), parts)
     return uses.mapInArrow(gather, "block bigint, rare binary, uses binary"), sums.where("part IS NULL").select(*_SUMS)
 
 
 _SUMS = ["words", "n", "forms", "form_n", "form_d"]
-_BACK = ["part", "g0", "counts", "v0", "v1", *_SUMS]
+_BACK = ["part", "g0", "g1", "counts", "v0", "v1", *_SUMS]
+
+
+def _places(words: np.ndarray, rare: np.ndarray, parts: int) -> np.ndarray:
+    """Where words of a block stand that are told by part (upper half) and place among its words of that part."""
+    part = words % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    return order[np.searchsorted(part[order], rare >> np.uint64(32)) + (rare & np.uint64((1 << 32) - 1)).astype(np.int64)]
 
 
 class Vocabulary:
@@ -467,7 +488,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", fold: int = 2
                 inputs = v.inputs(x["words"], x["forms"])
                 used = x["trained"].astype(np.float64)
                 used[inputs < len(v.top_n)] = v.top_n[inputs[inputs < len(v.top_n)]]
-                used[x["rare"]] = x["uses"]
+                used[_places(x["words"], x["rare"], parts)] = x["uses"]
                 share = np.bincount(of, v.shares(inputs, used)[x["codes"]], len(counts))
                 known = np.bincount(of, (used > 0)[x["codes"]], len(counts)).astype(np.int64)
                 norm = np.log10(v.tokens + 1.0 * (v.distinct + 1))
