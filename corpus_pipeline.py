@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import ngram_join, packing, quality, suffixes
-from textloom.llm.common import apart, first_of, stored, words
+from textloom.llm.common import apart, first_of, small_batches, stored, words
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut out; a document of which nothing is left goes. Characters that a cut
     divides go too, and n_chars follows the text."""
-    decode = F.pandas_udf(_decoded, "string")
+    decode = F.pandas_udf(_decoded, "string").asNondeterministic()
     out = suffixes.dedup(docs).where("n_removed = 0 OR n_removed < n_bytes")
     out = out.withColumn("text", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(decode("kept")))
     return out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(
@@ -76,5 +76,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of `sf_dir`, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        # Whole texts go to Python workers a few at a time: what a stage took there stays with the executor for the next.
+        with small_batches(spark, suffixes.BATCH):
+            docs = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -138,6 +138,16 @@ def test_columns_named_like_internal_ones(llm):
         assert [tuple(r[n] for n in names) for r in out.collect()] == [tuple(range(len(names)))] * 2
 
 
+def test_texts_are_cut_once(llm, capsys):
+    """The third stage holds one Python worker for cutting and one for decoding in a task, not one more for its filter."""
+    df = llm.createDataFrame([(1, "x" * 300, 300)], "doc_id bigint, text string, n_chars bigint")
+    out = corpus_pipeline.repeated_passages(llm, df, "")
+    out.explain()
+    shown = capsys.readouterr().out
+    assert shown.count("ArrowEvalPython") == 2
+    assert out.collect()[0]["n_chars"] == 1
+
+
 def test_pipeline(llm, documents):
     """All stages against their plain versions."""
     docs = {r["doc_id"]: r for r in documents.collect()}

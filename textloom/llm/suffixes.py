@@ -31,13 +31,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import blocks
-from textloom.llm.common import apart, default_parallelism, stored
+from textloom.llm.common import apart, default_parallelism, small_batches, stored
 from textloom.llm.shingles import _BASE, _powers, mixed, text_slices, utf8
 
 LENGTH = 100
 #: Bytes of segments in one part, and of the longest piece of a segment.
-PART_BYTES = 4 << 20
+PART_BYTES = 2 << 20
 PIECE = 1 << 19
+#: Bytes that a Python worker is handed at once.
+BATCH = 4 << 20
 #: Bytes of a part, and anchors of all parts, from which the ranges of the suffixes are taken; records compared at once.
 SAMPLE_BYTES = 1 << 16
 SAMPLE = 200_000
@@ -431,12 +433,15 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int =
     rows = rows.join(few, ["_a", "_z"], "left").withColumn("_copy", F.coalesce(F.col("_doc") > F.col("_first"), F.lit(False)))
     texts = rows.where(~F.col("_copy") & (F.octet_length("_body") >= length)).select(
         F.col("_doc").alias("doc"), F.col("_a").alias("a"), F.col("_z").alias("z"), F.col("_body").alias("text"))
-    runs = stored(repeated(texts, length, part_bytes), "suffix-runs").select(
+    with small_batches(docs.sparkSession, BATCH):
+        found = stored(repeated(texts, length, part_bytes), "suffix-runs")
+    runs = found.select(
         F.col("a").alias("_a"), F.col("z").alias("_z"), F.col("runs").alias("_runs"))
     size = F.octet_length("_body").cast("bigint")
     rows = rows.join(runs, ["_a", "_z"], "left").withColumn("_runs", F.when(F.col("_copy"), F.array(F.struct(
         F.lit(0).cast("bigint").alias("start"), size.alias("end")))).otherwise(F.col("_runs")))
-    rows = rows.withColumn("_cut", F.pandas_udf(_cut, "kept binary, n_spans bigint")(F.col("_body").cast("binary"), F.col("_runs.start"), F.col("_runs.end")))
+    # Not deterministic, so that a filter on the result stays behind it and no text is cut, nor a worker held, twice.
+    rows = rows.withColumn("_cut", F.pandas_udf(_cut, "kept binary, n_spans bigint").asNondeterministic()(F.col("_body").cast("binary"), F.col("_runs.start"), F.col("_runs.end")))
     return rows.withColumns({
         "kept": F.col("_cut.kept"), "n_bytes": size, "n_removed": size - F.octet_length("_cut.kept"), "n_spans": F.col("_cut.n_spans"),
     }).drop("_a", "_z", "_doc", "_body", "_first", "_copy", "_runs", "_cut")
