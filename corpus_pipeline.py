@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import ngram_join, packing, quality, suffixes
-from textloom.llm.common import apart, first_of, small_batches, stored, words
+from textloom.llm.common import apart, first_of, returned, small_batches, stored, words
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def _decoded(kept: pd.Series) -> pd.Series:
-    return kept.map(lambda b: None if b is None else b.decode("utf-8", "ignore"))
+    out = kept.map(lambda b: None if b is None else b.decode("utf-8", "ignore"))
+    returned()
+    return out
 
 
 def length_buckets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,14 +1,15 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from textloom.llm import packing, queries, sharding, tokenfiles
+from textloom.llm import common, packing, queries, sharding, tokenfiles
 from textloom.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path(queries.BYTE_BPE)
@@ -176,3 +177,34 @@ def test_packing_odd_rows(llm, none):
     assert sorted((r["doc_id"] or 0, r["piece"], r["n_tokens"]) for r in got) == [
         (0, 0, 20), (1, 0, 0), (1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 0, 4096), (4, 1, 4096), (4, 2, 808)]
     assert packing.pack(none, "shard").collect() == []
+
+
+def test_a_bucket_is_sorted_in_many_tasks(llm):
+    """Rows of one length, and so of one bucket, are numbered by their hashes without being in one task."""
+    df = llm.range(4000).selectExpr("id AS doc_id", "cast(7 AS int) AS length")
+    adaptive = "spark.sql.adaptive.enabled"
+    before = llm.conf.get(adaptive)
+    llm.conf.set(adaptive, "false")
+    try:
+        rows = packing.pack(df, "length", budget=80).withColumn("task", F.spark_partition_id()).withColumn(
+            "order", F.xxhash64("doc_id", F.lit(0).cast("bigint"))).collect()
+    finally:
+        llm.conf.set(adaptive, before)
+    assert max(Counter(r["task"] for r in rows).values()) < len(rows) / 2
+    assert [(r["batch"], r["slot"]) for r in sorted(rows, key=lambda r: r["order"])] == [(i // 10, i % 10) for i in range(4000)]
+
+
+def test_workers_return_memory(monkeypatch):
+    """When the task ends, also if it is not read to its end, and not before."""
+    calls = []
+    monkeypatch.setattr(common, "returned", lambda: calls.append(1))
+    run = common.lean(lambda batches: (2 * b for b in batches))
+    got = run(iter([1, 2]))
+    assert next(got) == 2 and not calls
+    assert list(got) == [4] and calls == [1]
+    got = run(iter([1, 2]))
+    next(got)
+    got.close()
+    assert calls == [1, 1]
+    monkeypatch.undo()
+    common.returned()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -66,6 +68,27 @@ def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def returned() -> None:
+    """Memory that this process has freed goes back to the system: workers outlive their tasks, and what they keep is
+    missing in the executor, in later stages too."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux has it
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For functions of mapInArrow with large arrays: the worker returns their memory when the task ends."""
+    @functools.wraps(run)
+    def returning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            returned()
+
+    return returning
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of (a, b) links as (node, component); component is the least node.
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import blocks
-from textloom.llm.common import components, default_parallelism, first_of, stored
+from textloom.llm.common import components, default_parallelism, first_of, lean, stored
 from textloom.llm.shingles import mixed, shingle_sets, text_slices
 
 WIDTH = 5
@@ -210,7 +210,7 @@ def _join(rows: DataFrame, parts: int) -> DataFrame:
         yield links([*build().inside()] if not visited and len(held) > 1 else [])
 
     return rows.repartition(parts, "cluster", "block").sortWithinPartitions("cluster", "block", F.desc("home"), "doc").mapInArrow(
-        run, "a bigint, b bigint")
+        lean(run), "a bigint, b bigint")
 
 
 def signatures(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
@@ -229,7 +229,7 @@ def signatures(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
                                       ["doc", "n", "a", "z"])
 
     return docs.select(F.col(id).cast("bigint").alias("doc"), F.col(text).alias("text")).mapInArrow(
-        run, "doc bigint, n bigint, a bigint, z bigint")
+        lean(run), "doc bigint, n bigint, a bigint, z bigint")
 
 
 def _part(tokens: np.ndarray, parts: int) -> np.ndarray:
@@ -268,9 +268,9 @@ def _shared(texts: DataFrame, width: int, parts: int) -> DataFrame:
         each, of = np.unique(docs, return_inverse=True)
         yield pa.record_batch([pa.array(each), pa.array(np.bincount(of, r, len(each)).astype(np.int64))], ["doc", "r"])
 
-    sent = blocks.together(texts.mapInArrow(send, blocks.schema(1, 1)), parts)
-    counted = blocks.together(sent.mapInArrow(count, blocks.schema(1, 1)), parts)
-    return counted.mapInArrow(add, "doc bigint, r bigint")
+    sent = blocks.together(texts.mapInArrow(lean(send), blocks.schema(1, 1)), parts)
+    counted = blocks.together(sent.mapInArrow(lean(count), blocks.schema(1, 1)), parts)
+    return counted.mapInArrow(lean(add), "doc bigint, r bigint")
 
 
 def _ordered(texts: DataFrame, width: int, parts: int) -> DataFrame:
@@ -322,9 +322,9 @@ def _ordered(texts: DataFrame, width: int, parts: int) -> DataFrame:
         kinds_out = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
         yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds_out, strict=True)], ["doc", "n", "tokens", "uses", "prefix"])
 
-    sent = blocks.together(texts.mapInArrow(send, blocks.schema(3, 1)), parts)
-    counted = blocks.together(sent.mapInArrow(count, blocks.schema(3, 2)), parts)
-    return counted.mapInArrow(order, "doc bigint, n bigint, tokens binary, uses binary, prefix bigint")
+    sent = blocks.together(texts.mapInArrow(lean(send), blocks.schema(3, 1)), parts)
+    counted = blocks.together(sent.mapInArrow(lean(count), blocks.schema(3, 2)), parts)
+    return counted.mapInArrow(lean(order), "doc bigint, n bigint, tokens binary, uses binary, prefix bigint")
 
 
 def _prefix_edges(ordered: DataFrame, parts: int) -> DataFrame:
@@ -346,8 +346,8 @@ def _prefix_edges(ordered: DataFrame, parts: int) -> DataFrame:
         pairs = np.unique(np.stack([docs, least])[:, docs != least], axis=1)
         yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
-    sent = blocks.together(ordered.select("doc", "tokens", "prefix").mapInArrow(send, blocks.schema(1, 1)), parts)
-    return sent.mapInArrow(meet, "a bigint, b bigint")
+    sent = blocks.together(ordered.select("doc", "tokens", "prefix").mapInArrow(lean(send), blocks.schema(1, 1)), parts)
+    return sent.mapInArrow(lean(meet), "a bigint, b bigint")
 
 
 def _links(ordered: DataFrame, clusters: DataFrame, parts: int, block: int) -> DataFrame:
@@ -399,7 +399,7 @@ def _visits(at_home: DataFrame, away: DataFrame) -> DataFrame:
 
     def spelt(df: DataFrame, at: str) -> DataFrame:
         return df.select("cluster", F.col(at).cast("bigint"), "tokens", "prefix").mapInArrow(
-            spell, "cluster bigint, at bigint, token bigint").distinct()
+            lean(spell), "cluster bigint, at bigint, token bigint").distinct()
 
     held = spelt(at_home, "block").withColumnRenamed("at", "block")
     return spelt(away, "doc").withColumnRenamed("at", "doc").join(held, ["cluster", "token"]).select(

@@ -11,15 +11,16 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import apart
+from textloom.llm.common import apart, stored
 
 #: Number of buckets, longest sequence, tokens of a batch, and what bucket lengths are multiples of.
 BUCKETS = 16
 MAX_LENGTH = 4096
 BUDGET = 65_536
 ALIGN = 8
-#: Sequences that one cell of the numbering holds, about.
+#: Sequences that one cell of the numbering holds, about, and the bits of the order that cut a cell of a bucket into runs.
 CELL = 200_000
+RUN_BITS = 6
 
 
 def best_lengths(counts: dict[int, int], buckets: int) -> list[int]:
@@ -68,14 +69,19 @@ def pack(df: DataFrame, length: str, id: str = "doc_id", buckets: int = BUCKETS,
     batch mixes sources; equal rows are packed each on its own. An empty table gives an empty
     result. Columns of `df` named like a result are replaced.
 
+    Rows are sorted in runs, the ranges of their hashes within a cell: however many rows a bucket has, a task sorts
+    some `cell` / 2^`RUN_BITS` of them. Lengths and ids are written first, since the histogram and the places of the
+    runs need no more of a row.
+
     The driver holds the histogram: at most max_length / align counts, whatever the table.
     """
     n = F.greatest(F.coalesce(F.col(length).cast("bigint"), F.lit(0).cast("bigint")), F.lit(0).cast("bigint"))
     rounded = lambda c: (F.greatest(F.ceil(c / align), F.lit(1)) * align).cast("int")
-    whole = F.floor(n / max_length)
-    rest = n - whole * max_length
+    narrow = stored(df.select(F.col(id).alias("_id"), n.alias("_n")), "lengths")
+    whole = F.floor(F.col("_n") / max_length)
+    rest = F.col("_n") - whole * max_length
     last = rounded(F.lit(max_length))
-    seen = df.select(whole.alias("whole"), rest.alias("rest"))
+    seen = narrow.select(whole.alias("whole"), rest.alias("rest"))
     counted = seen.select(F.explode(F.array(
         F.struct(last.alias("long"), F.col("whole").alias("n")),
         F.struct(rounded(F.col("rest")).alias("long"),
@@ -85,24 +91,28 @@ def pack(df: DataFrame, length: str, id: str = "doc_id", buckets: int = BUCKETS,
     lengths = best_lengths(histogram, buckets) or [align]
 
     made = {"piece", "start", "n_tokens", "bucket", "batch", "slot"}
-    pieces = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.ceil(n / max_length) - 1, F.lit(0)).cast("bigint"))
-    rows = df.withColumns({"_n": n, "_all": pieces}).drop(*(made - {length}))
-    rows = rows.withColumn("_piece", F.explode("_all")).drop("_all", *(made & {length}))
-    start = F.col("_piece") * max_length
-    rows = rows.withColumns({"_start": start, "_tokens": F.least(F.col("_n") - start, F.lit(max_length))})
-    bucket = F.lit(lengths[-1])
-    for b in reversed(lengths[:-1]):
-        bucket = F.when(F.col("_tokens") <= b, b).otherwise(bucket)
     cells = max(1, sum(histogram.values()) // cell)
-    order = F.xxhash64(F.col(id), F.col("_piece"))
-    rows = rows.withColumns({"_bucket": bucket, "_order": order}).withColumn("_cell", F.pmod(F.shiftright("_order", 20), F.lit(cells)))
-    before = Window.partitionBy("_bucket").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    bases = rows.groupBy("_bucket", "_cell").agg(F.count(F.lit(1)).alias("_count")).select(
-        "_bucket", "_cell", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_base"))
-    inside = F.row_number().over(Window.partitionBy("_bucket", "_cell").orderBy("_order", id, "_piece"))
-    rows = rows.withColumn("_rank", inside - 1).join(bases, ["_bucket", "_cell"]).withColumn("_rank", F.col("_rank") + F.col("_base"))
+
+    def placed(rows: DataFrame, id: str) -> DataFrame:
+        pieces = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.ceil(F.col("_n") / max_length) - 1, F.lit(0)).cast("bigint"))
+        start = F.col("_piece") * max_length
+        rows = rows.withColumn("_piece", F.explode(pieces)).withColumns(
+            {"_start": start, "_tokens": F.least(F.col("_n") - start, F.lit(max_length))})
+        bucket = F.lit(lengths[-1])
+        for b in reversed(lengths[:-1]):
+            bucket = F.when(F.col("_tokens") <= b, b).otherwise(bucket)
+        order = F.xxhash64(F.col(id), F.col("_piece"))
+        return rows.withColumns({"_bucket": bucket, "_order": order}).withColumns({
+            "_cell": F.pmod(F.shiftright("_order", 20), F.lit(cells)), "_run": F.shiftright("_order", 64 - RUN_BITS)})
+
+    rows = placed(df.withColumn("_n", n).drop(*made), id)
+    before = Window.partitionBy("_bucket").orderBy("_cell", "_run").rowsBetween(Window.unboundedPreceding, -1)
+    bases = placed(narrow, "_id").groupBy("_bucket", "_cell", "_run").agg(F.count(F.lit(1)).alias("_count")).select(
+        "_bucket", "_cell", "_run", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy("_bucket", "_cell", "_run").orderBy("_order", id, "_piece"))
+    rows = rows.withColumn("_rank", inside - 1).join(bases, ["_bucket", "_cell", "_run"]).withColumn("_rank", F.col("_rank") + F.col("_base"))
     fits = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.col("_bucket")))
     return rows.withColumns({
         "piece": F.col("_piece"), "start": F.col("_start"), "n_tokens": F.col("_tokens"), "bucket": F.col("_bucket"),
         "batch": F.floor(F.col("_rank") / fits).cast("bigint"), "slot": (F.col("_rank") % fits).cast("bigint"),
-    }).drop("_n", "_piece", "_start", "_tokens", "_bucket", "_cell", "_order", "_rank", "_base")
+    }).drop("_n", "_piece", "_start", "_tokens", "_bucket", "_cell", "_run", "_order", "_rank", "_base")

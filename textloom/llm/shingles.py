@@ -8,7 +8,7 @@ import pyarrow.compute  # noqa: F401
 
 from textloom.llm.common import SPACE
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 17
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 

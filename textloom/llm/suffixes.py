@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import blocks
-from textloom.llm.common import apart, default_parallelism, small_batches, stored
+from textloom.llm.common import apart, default_parallelism, lean, returned, small_batches, stored
 from textloom.llm.shingles import _BASE, _powers, mixed, text_slices, utf8
 
 LENGTH = 100
@@ -141,9 +141,9 @@ def _candidates(texts: DataFrame, length: int, parts: int) -> DataFrame:
         yield pa.record_batch([pa.array(x) for x in (a[first][keep], z[first][keep], start[first][keep], end[last][keep])],
                               ["a", "z", "start", "end"])
 
-    sent = blocks.together(texts.select("a", "z", "text").mapInArrow(send, blocks.schema(3, 2)), parts)
-    counted = blocks.together(sent.mapInArrow(count, blocks.schema(3, 1)), parts)
-    found = counted.mapInArrow(stretch, "a bigint, z bigint, start bigint, end bigint").distinct()
+    sent = blocks.together(texts.select("a", "z", "text").mapInArrow(lean(send), blocks.schema(3, 2)), parts)
+    counted = blocks.together(sent.mapInArrow(lean(count), blocks.schema(3, 1)), parts)
+    found = counted.mapInArrow(lean(stretch), "a bigint, z bigint, start bigint, end bigint").distinct()
     return found.groupBy("a", "z").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("stretches"))
 
 
@@ -162,7 +162,7 @@ def _parts(texts: DataFrame, stretches: DataFrame, length: int, part_bytes: int)
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _CUT, strict=True)], _CUT_NAMES)
 
     joined = texts.join(stretches, ["a", "z"]).select("doc", "a", "z", F.col("text").cast("binary"), "stretches")
-    rows = joined.mapInArrow(cut, "doc bigint, a bigint, z bigint, start bigint, body binary")
+    rows = joined.mapInArrow(lean(cut), "doc bigint, a bigint, z bigint, start bigint, body binary")
     rows = rows.dropDuplicates(["a", "z", "start"]).repartitionByRange("doc", "a", "z", "start").sortWithinPartitions("doc", "a", "z", "start")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +186,7 @@ def _parts(texts: DataFrame, stretches: DataFrame, length: int, part_bytes: int)
         if held:
             yield row()
 
-    packed = stored(rows.mapInArrow(pack, "task int, n bigint, heads binary, body binary"), "suffix-segments")
+    packed = stored(rows.mapInArrow(lean(pack), "task int, n bigint, heads binary, body binary"), "suffix-segments")
     first, before = [], 0
     for r in packed.groupBy("task").agg(F.max("n").alias("last")).orderBy("task").collect():  # one row per task
         first.append((r["task"], before))
@@ -303,7 +303,7 @@ def _marks(table: DataFrame, length: int, parts: int) -> DataFrame:
                 at = at[::max(1, len(at) * parts // SAMPLE)]
                 yield pa.record_batch([pa.array([body[x:x + k].tobytes() for x in at.tolist()], pa.binary())], ["gram"])
 
-    grams = np.sort(np.array(table.select("body").mapInArrow(sample, "gram binary").toArrow().column(0).to_pylist(), f"S{k}"))
+    grams = np.sort(np.array(table.select("body").mapInArrow(lean(sample), "gram binary").toArrow().column(0).to_pylist(), f"S{k}"))
     edges = grams[np.arange(1, parts) * len(grams) // parts] if len(grams) else grams
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,8 +359,8 @@ def _marks(table: DataFrame, length: int, parts: int) -> DataFrame:
         each, number = np.unique(home[of], return_inverse=True)
         yield blocks.deal(home[of].astype(np.int32), [each], number, [(at - most).astype(np.uint32), (at - least + length).astype(np.uint32)])
 
-    sent = blocks.together(table.select("part", "heads", "body").mapInArrow(send, "part int, home bigint, places binary, keys binary"), parts)
-    return blocks.together(sent.mapInArrow(mark, blocks.schema(1, 2)), parts)
+    sent = blocks.together(table.select("part", "heads", "body").mapInArrow(lean(send), "part int, home bigint, places binary, keys binary"), parts)
+    return blocks.together(sent.mapInArrow(lean(mark), blocks.schema(1, 2)), parts)
 
 
 _SENT = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
@@ -394,9 +394,9 @@ def _removed(table: DataFrame, marks: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array(x) for x in (own[:, 0], own[:, 1], own[:, 2] + start[begin] - shift,
                                                              own[:, 2] + reach[last] - shift)], ["a", "z", "start", "end"])
 
-    gathered = marks.mapInArrow(gather, "part int, starts binary, ends binary")
+    gathered = marks.mapInArrow(lean(gather), "part int, starts binary, ends binary")
     return table.select("part", "heads").join(gathered, "part").select("heads", "starts", "ends").mapInArrow(
-        run, "a bigint, z bigint, start bigint, end bigint")
+        lean(run), "a bigint, z bigint, start bigint, end bigint")
 
 
 def repeated(texts: DataFrame, length: int, part_bytes: int = PART_BYTES) -> DataFrame:
@@ -458,4 +458,5 @@ def _cut(body: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
         first = np.flatnonzero(np.append(True, s[1:] > reach[:-1]))
         begin, end = [*s[first].tolist(), len(b)], [0, *reach[np.append(first[1:], len(s)) - 1].tolist()]
         out.append((b"".join(b[x:y] for x, y in zip(end, begin, strict=True)), len(first)))
+    returned()
     return pd.DataFrame(out, columns=["kept", "n_spans"])
