@@ -132,3 +132,33 @@ def test_words_told_by_other_blocks(llm, documents):
     """Counts of words that a block cannot know itself reach their places in it."""
     rows = lm.score(documents.select("doc_id", "text").repartition(5), rounds=0).collect()
     check(rows, [(r["doc_id"], r["text"]) for r in documents.collect()])
+
+
+def test_softmax_out_of_reach():
+    """Without the largest value taken off: the same, also in lots, and where exponentials would overflow or vanish."""
+    rng = np.random.default_rng(5)
+    for size in (1, 30, 300):
+        x, w = rng.normal(size=(2 * lm.LOT + 7, 4)).astype(np.float32) * size, rng.normal(size=(4, 9)).astype(np.float32)
+        bias, target = rng.normal(size=(len(x), 9)).astype(np.float32), rng.integers(0, 9, len(x))
+        y = x.astype(np.float64) @ w + bias
+        y -= y.max(axis=1, keepdims=True)
+        p = np.exp(y) / np.exp(y).sum(axis=1, keepdims=True)
+        want = y[np.arange(len(x)), target] - np.log(np.exp(y).sum(axis=1))
+        out, (by_w, by_x) = lm._choose(x, w, bias, target, 0.5)
+        d = p - np.eye(9)[target]
+        assert np.allclose(out, want, rtol=1e-4, atol=1e-3)
+        assert np.allclose(by_x, 0.5 * d @ w.T, atol=2e-3) and np.allclose(by_w, 0.5 * x.T @ d, rtol=1e-3, atol=0.02 * size)
+        assert np.array_equal(lm._choose(x, w, bias, target)[0], out)
+
+
+def test_words_and_steps_in_one_array():
+    """Distinct words of a block as numpy has them, and Adam on all weights at once, which stay those of the model."""
+    x = np.random.default_rng(6).integers(0, 50, 1000).astype(np.uint64)
+    words, first, codes = lm._distinct(x)
+    assert np.array_equal(words, np.unique(x)) and np.array_equal(words[codes], x) and np.array_equal(x[first], words)
+    assert all(len(a) == 0 for a in lm._distinct(x[:0]))
+    m = lm.Model.fresh(_Counts())
+    before = [w.copy() for w in m.w]
+    adam = lm.Adam(m)
+    adam.step([np.ones_like(w) for w in m.w], 0.01)
+    assert all(np.allclose(b - w, 0.01, rtol=1e-2) and np.shares_memory(w, adam.w) for b, w in zip(before, m.w, strict=True))

@@ -35,10 +35,12 @@ FREQUENT = 512
 LEAST = 2
 #: Units of the state, lanes of a training step, words of a window, rounds.
 UNITS = 16
-LANES = 256
+LANES = 512
 WINDOW = 16
 ROUNDS = 3
 RATE = 0.02
+#: Rows of a softmax at once.
+LOT = 2048
 #: Bytes of text in a block.
 BLOCK = 4 << 20
 FORMS = 32
@@ -58,6 +60,17 @@ def _forms(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return (np.digitize(lengths, [4, 7, 11]) * 8 + kind * 2 + beyond).astype(np.uint8)
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words in order, where each occurs, and the number of every word among them."""
+    order = np.argsort(hashes)
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[order[1:]] != hashes[order[:-1]]
+    codes = np.empty(len(hashes), np.int64)
+    codes[order] = np.cumsum(new) - 1
+    first = order[new]
+    return hashes[first], first, codes
+
+
 def coded(docs: DataFrame, id: str, text: str, fold: int, folds: int) -> DataFrame:
     """Blocks of documents: block, docs, null (1 for a null id), held, counts (words of each), words (hashes
     of the distinct ones), forms, trained (times in training documents), codes (each word's place)."""
@@ -69,7 +82,7 @@ def coded(docs: DataFrame, id: str, text: str, fold: int, folds: int) -> DataFra
                 data, offsets = utf8(b.column(1))
                 hashes, starts, lengths = word_spans(data, offsets)
                 counts = np.diff(np.searchsorted(starts, offsets))
-                words, first, codes = np.unique(hashes, return_index=True, return_inverse=True)
+                words, first, codes = _distinct(hashes)
                 ids = b.column(0).to_pylist()
                 held = np.array([i is not None and zlib.crc32(str(i).encode()) % folds == fold for i in ids])
                 trained = np.bincount(codes[~np.repeat(held, counts)], minlength=len(words))
@@ -207,31 +220,55 @@ class Vocabulary:
         return np.where(rare, np.log(share), 0.0)
 
 
-def _choose(x: np.ndarray, w: np.ndarray, bias: np.ndarray, target: np.ndarray, scale: float | None = None
+def _choose(x: np.ndarray, w: np.ndarray, bias: np.ndarray | None, target: np.ndarray, scale: float | None = None
             ) -> tuple[np.ndarray, tuple | None]:
-    """Log of the softmax of x w + bias at each row's target; with `scale`, the gradients by w, x and bias of the
-    negative sum of these times `scale`."""
-    rows, y = np.arange(len(target)), x @ w
-    y += bias
-    y -= y.max(axis=1, keepdims=True)
+    """Log of the softmax of x w + bias at each row's target; with `scale`, the gradients by w and x of the
+    negative sum of these times `scale`.
+
+    Exponentials are taken as they are; only where a sum is out of reach of the type is the largest value taken off first.
+    `LOT` rows are taken at a time, so that they stay in the cache."""
+    if len(target) > LOT:
+        cuts = [slice(a, a + LOT) for a in range(0, len(target), LOT)]
+        done = [_choose(x[c], w, bias if bias is None else bias[c], target[c], scale) for c in cuts]
+        out = np.concatenate([p for p, _ in done])
+        return out, None if scale is None else (sum(g[0] for _, g in done), np.concatenate([g[1] for _, g in done]))
+    rows = np.arange(len(target))
+    y = x @ w
+    if bias is not None:
+        y += bias
     out = y[rows, target].astype(np.float64)
-    np.exp(y, out=y)
-    total = y.sum(axis=1)
+    with np.errstate(over="ignore"):
+        np.exp(y, out=y)
+        total = y @ np.ones(y.shape[1], y.dtype)
+    if not (total.min() > 1e-30 and total.max() < 1e30):
+        y = x @ w
+        if bias is not None:
+            y += bias
+        y -= y.max(axis=1, keepdims=True)
+        out = y[rows, target].astype(np.float64)
+        np.exp(y, out=y)
+        total = y.sum(axis=1)
     out -= np.log(total)
     if scale is None:
         return out, None
     y *= (scale / total)[:, None]
     y[rows, target] -= scale
-    return out, (x.T @ y, y @ w.T, y.sum(axis=0))
+    return out, ((y.T @ x).T, y @ w.T)
+
+
+def _summed(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each place once, and the sum of its rows; places ascend."""
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return at[first], np.add.reduceat(rows, first, axis=0)
 
 
 def _gathered(shape: tuple[int, int], at: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """A table with the sums of the rows that go to each place."""
     out = np.zeros(shape, np.float32)
     if len(at):
-        order = np.argsort(at, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], np.diff(at[order]) > 0]))
-        out[at[order[first]]] = np.add.reduceat(rows[order], first, axis=0)
+        order = np.argsort(at)
+        place, sums = _summed(at[order], rows[order])
+        out[place] = sums
     return out
 
 
@@ -302,100 +339,157 @@ class Model:
 
         `active`: lanes, from the first, that still go on; `fresh`: where a text begins, with an empty state.
         """
-        table, hidden, placed = self.w[0], self.w[1], self.w[4]
+        u, width = UNITS, inputs.shape[1]
         own, group, place = self.read(inputs)
-        states, saved, u = np.empty((*inputs.shape, UNITS), np.float32), [], UNITS
+        x = self.w[0].take(own, axis=0)
+        x += self.w[4].take(group, axis=0)
+        x += self.w[4].take(place, axis=0)
+        # A gate is 0.5 + 0.5 tanh(half of its sum).
+        x[:, :, :2 * u] *= 0.5
+        hidden = self.w[1].copy()
+        hidden[:, :2 * u] *= 0.5
+        states, saved = np.empty((*inputs.shape, u), np.float32), []
+        gates, news, turned = (np.empty((*inputs.shape, k), x.dtype) for k in ((2 * u, u, u) if keep else (0, 0, 0)))
         for t in range(len(inputs)):
-            a = active[t] if active else inputs.shape[1]
+            a = active[t] if active else width
             if fresh is not None:
                 h[fresh[t]] = 0
             states[t] = h
             prev = h[:a]
-            x, y = table[own[t, :a]] + placed[group[t, :a]] + placed[place[t, :a]], prev @ hidden
-            zr = 1 / (1 + np.exp(-(x[:, :2 * u] + y[:, :2 * u])))
-            z, r = zr[:, :u], zr[:, u:]
-            n = np.tanh(x[:, 2 * u:] + r * y[:, 2 * u:])
+            y = prev @ hidden
+            zr = y[:, :2 * u] + x[t, :a, :2 * u]
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            n = zr[:, u:] * y[:, 2 * u:]
+            n += x[t, :a, 2 * u:]
+            np.tanh(n, out=n)
             if keep:
-                saved.append((prev.copy(), z, r, n, y[:, 2 * u:]))
-            h[:a] = n + z * (prev - n)
+                gates[t], news[t], turned[t] = zr, n, y[:, 2 * u:]
+            prev -= n
+            prev *= zr[:, :u]
+            prev += n
+        if keep:
+            saved = [states, gates[:, :, :u], gates[:, :, u:], news, turned]
         return states, saved
 
-    def log_p(self, states: np.ndarray, targets: np.ndarray, back: bool = False) -> tuple[np.ndarray, list | None]:
+    def log_p(self, states: np.ndarray, targets: np.ndarray, back: bool = False, order: np.ndarray | None = None
+              ) -> tuple[np.ndarray, list | None]:
         """Natural logarithm of each target's probability given the state before it (for rare words, of the
-        form), and the gradients of the mean loss by the weights from the third on and by the states, if asked."""
-        w, side, scale = self.w, self.side, 1 / len(targets) if back else None
-        out, g = _choose(states, w[2], w[3][0], self.class_of(targets), scale)
-        grads = None
+        form), and the gradients of the mean loss by the weights from the third on and by the states, if asked.
+        `order` puts the targets in order, if that is known."""
+        w, side, u, scale = self.w, self.side, UNITS, 1 / len(targets) if back else None
+        # In order of the targets, those of a class, a group and a word are neighbours; forms and ends come last.
+        order = np.argsort(targets) if order is None else order
+        target = targets[order]
+        s = np.ones((len(target), u + 1), np.result_type(states, w[2]))
+        s[:, :u] = states[order]
+        out, g = _choose(s, np.concatenate([w[2], w[3]]), None, self.class_of(target), scale)
+        grads, d_s = [], None
         if back:
-            grads = [g[0], g[2][None, :], None, *(np.zeros_like(x) for x in w[5:]), g[1]]
-        # Words in order of their groups, so that each group's words are neighbours.
-        word = np.flatnonzero(targets < self.n)
-        word = word[np.argsort(targets[word], kind="stable")]
-        group = targets[word] // side
+            grads = [g[0][:u], g[0][u:], None, *(np.zeros_like(x) for x in w[5:])]
+            d_s = g[1][:, :u]
+        words = int(np.searchsorted(target, self.n))
+        target = target[:words]
+        group = target // side
         kind = group // side
         first, own = int(np.searchsorted(kind, 1)), int(np.searchsorted(group, self.own))
         edges = np.searchsorted(group[:own], np.arange(self.own + 1))
-        # (words, weights, their columns, bias rows, targets, and the factors with their rows, if any)
-        steps = [(word[a:z], at, slice(0, side), self.grouped[kind[a:z]], group[a:z] % side, 7, kind[a:z])
-                 for at, a, z in ((5, 0, first), (6, first, len(word)))]
-        steps += [(word[a:z], 8, slice(k * side, (k + 1) * side), self.words[k], targets[word[a:z]] % side, None, None)
+        # (rows, weights, their columns, rows of the biases, targets, and the factors with their rows, if any)
+        steps = [(slice(0, first), 5, slice(0, side), self.grouped[:1], group[:first] % side, None, None),
+                 (slice(first, words), 6, slice(0, side), None, group[first:] % side, 7, kind[first:])]
+        steps += [(slice(a, z), 8, slice(k * side, (k + 1) * side), self.words[k:k + 1], target[a:z] % side, None, None)
                   for k, (a, z) in enumerate(zip(edges, edges[1:], strict=False))]
-        steps.append((word[own:], 9, slice(0, side), self.words[group[own:]], targets[word[own:]] % side, 10, group[own:]))
-        for rows, at, columns, bias, target, factors, by in steps:
-            if not len(rows):
+        steps.append((slice(own, words), 9, slice(0, side), None, target[own:] % side, 10, group[own:]))
+        for rows, at, columns, bias, to, factors, by in steps:
+            if not len(to):
                 continue
-            s = states[rows]
-            factor = w[factors][by] if factors else None
-            p, g = _choose(s if factor is None else s * factor, w[at][:, columns], bias, target, scale)
+            if factors is None:
+                # The first class and the first groups have one row of biases, which goes with the weights.
+                p, g = _choose(s[rows], np.concatenate([w[at][:, columns], bias]), None, to, scale)
+            else:
+                factor, x = w[factors].take(by, axis=0), s[rows, :u]
+                p, g = _choose(x * factor, w[at], (self.grouped if at == 6 else self.words).take(by, axis=0), to, scale)
             out[rows] += p
-            if back:
-                grads[at - 2][:, columns] += g[0]
-                d = g[1]
-                if factor is not None:
-                    grads[factors - 2] += _gathered(self.shapes[factors], by, s * d)
-                    d = d * factor
-                grads[-1][rows] += d
-        return out, grads
+            if not back:
+                continue
+            if factors is None:
+                grads[at - 2][:, columns] += g[0][:u]
+                d_s[rows] += g[1][:, :u]
+            else:
+                grads[at - 2] += g[0]
+                place, rest = _summed(by, x * g[1])
+                grads[factors - 2][place] = rest
+                d_s[rows] += g[1] * factor
+        back_to = np.empty_like(out)
+        back_to[order] = out
+        if not back:
+            return back_to, None
+        d_states = np.empty_like(d_s)
+        d_states[order] = d_s
+        return back_to, [*grads, d_states]
 
     def gradients(self, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
         """Of one window (time, lanes): the state before a word predicts it, then reads it."""
-        states, saved = self.steps(inputs, h, keep=True, fresh=fresh)
-        _, g = self.log_p(states.reshape(-1, UNITS), inputs.ravel(), back=True)
-        d_states, u = g[-1].reshape(states.shape), UNITS
-        d_x = np.empty((*inputs.shape, 3 * u), np.float32)
-        d_hidden, d_h = np.zeros_like(self.w[1]), np.zeros_like(h)
+        states, (prev, z, r, n, turned) = self.steps(inputs, h, keep=True, fresh=fresh)
+        flat, u = inputs.ravel(), UNITS
+        order = np.argsort(flat)
+        _, g = self.log_p(states.reshape(-1, u), flat, back=True, order=order)
+        d_states = g[-1].reshape(states.shape)
+        by_n, by_z, by_r = (1 - z) * (1 - n * n), (prev - n) * z * (1 - z), turned * r * (1 - r)
+        d_x, d_y = np.empty((*inputs.shape, 3 * u), np.float32), np.empty((*inputs.shape, 3 * u), np.float32)
+        d_h, back = np.zeros_like(h), np.ascontiguousarray(self.w[1].T)
         for t in range(len(inputs) - 1, -1, -1):
-            prev, z, r, n, y = saved[t]
-            d_n = d_h * (1 - z) * (1 - n * n)
-            d_z = d_h * (prev - n) * z * (1 - z)
-            d_r = d_n * y * r * (1 - r)
-            d_x[t] = np.concatenate([d_z, d_r, d_n], axis=1)
-            d_y = np.concatenate([d_z, d_r, d_n * r], axis=1)
-            d_hidden += prev.T @ d_y
-            d_h = d_h * z + d_y @ self.w[1].T + d_states[t]
+            x, y = d_x[t], d_y[t]
+            np.multiply(d_h, by_z[t], out=x[:, :u], casting="same_kind")
+            np.multiply(d_h, by_n[t], out=x[:, 2 * u:], casting="same_kind")
+            np.multiply(x[:, 2 * u:], by_r[t], out=x[:, u:2 * u], casting="same_kind")
+            y[:, :2 * u] = x[:, :2 * u]
+            np.multiply(x[:, 2 * u:], r[t], out=y[:, 2 * u:], casting="same_kind")
+            d_h = d_h * z[t]
+            d_h += y @ back
+            d_h += d_states[t]
             d_h[fresh[t]] = 0
-        own, group, place = self.read(inputs.ravel())
-        flat = d_x.reshape(-1, 3 * u)
-        placed = _gathered(self.shapes[4], group, flat) + _gathered(self.shapes[4], place, flat)
-        return [_gathered(self.shapes[0], own, flat), d_hidden, g[0], g[1], placed, *g[3:-1]]
+        d_hidden = prev.reshape(-1, u).T @ d_y.reshape(-1, 3 * u)
+        # Rows of the own table are in the order of the words.
+        flat, rows = flat[order], d_x.reshape(-1, 3 * u)[order]
+        own, group, place = self.read(flat)
+        tables = np.zeros(self.shapes[0], np.float32)
+        at, sums = _summed(own, rows)
+        tables[at] = sums
+        common = np.flatnonzero(group < 2 * self.side)
+        both = rows[common]
+        placed = _gathered(self.shapes[4], np.concatenate([group[common], place[common]]), np.concatenate([both, both]))
+        placed[2 * self.side] = 2 * (np.ones(len(rows), np.float32) @ rows - np.ones(len(both), np.float32) @ both)
+        return [tables, d_hidden, g[0], g[1], placed, *g[3:-1]]
 
 
 class Adam:
+    """Steps on all weights at once, which the model then has in one array."""
+
     def __init__(self, model: Model) -> None:
-        self.m = [np.zeros_like(x) for x in model.w]
-        self.v = [np.zeros_like(x) for x in model.w]
+        self.w = np.concatenate([x.ravel() for x in model.w])
+        self.m, self.v, self.rest = (np.zeros_like(self.w) for _ in range(3))
+        edges = np.cumsum([0, *(x.size for x in model.w)])
+        model.w = [self.w[a:z].reshape(x.shape) for a, z, x in zip(edges, edges[1:], model.w, strict=False)]
         self.t = 0
 
-    def step(self, model: Model, grads: list[np.ndarray], rate: float) -> None:
+    def step(self, grads: list[np.ndarray], rate: float) -> None:
         self.t += 1
-        size = np.sqrt(sum(float((g * g).sum()) for g in grads))
-        scale = np.float32(min(1.0, 1.0 / (size + 1e-12)))
+        g, m, v, rest = np.concatenate([x.ravel() for x in grads]), self.m, self.v, self.rest
+        g *= np.float32(min(1.0, 1.0 / (np.sqrt(float(g @ g)) + 1e-12)))
         rate = rate * np.sqrt(1 - 0.999 ** self.t) / (1 - 0.9 ** self.t)
-        for w, m, v, g in zip(model.w, self.m, self.v, grads, strict=True):
-            g = g * scale
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            w -= np.float32(rate) * m / (np.sqrt(v) + np.float32(1e-8))
+        m *= np.float32(0.9)
+        m += np.multiply(g, np.float32(0.1), out=rest)
+        v *= np.float32(0.999)
+        g *= g
+        g *= np.float32(0.001)
+        v += g
+        np.sqrt(v, out=rest)
+        rest += np.float32(1e-8)
+        np.divide(m, rest, out=rest)
+        rest *= np.float32(rate)
+        self.w -= rest
 
 
 def _stream(x: dict, v: Vocabulary, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -429,7 +523,7 @@ def train(table: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
                     flat, starts = flat.reshape(lanes, steps).T, starts.reshape(lanes, steps).T
                     h = np.zeros((lanes, UNITS), np.float32)
                     for t in range(0, steps, WINDOW):
-                        adam.step(own, own.gradients(flat[t:t + WINDOW], starts[t:t + WINDOW], h), RATE / (1 + k))
+                        adam.step(own.gradients(flat[t:t + WINDOW], starts[t:t + WINDOW], h), RATE / (1 + k))
                     seen += lanes * steps
             if seen:
                 yield pa.record_batch([pa.array([(own.flat() * seen).tobytes()], pa.binary()), pa.array([float(seen)])], ["w", "seen"])
