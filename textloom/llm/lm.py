@@ -35,7 +35,7 @@ FREQUENT = 512
 LEAST = 2
 #: Units of the state, lanes of a training step, words of a window, rounds.
 UNITS = 16
-LANES = 512
+LANES = 256
 WINDOW = 16
 ROUNDS = 3
 RATE = 0.02
